@@ -18,16 +18,52 @@ MAX_DEPTH = 29
 _CHUNK = 6
 # Entry i holds the bits of i moved to the even positions.
 _SPREAD = [sum(((i >> b) & 1) << (2 * b) for b in range(_CHUNK)) for i in range(1 << _CHUNK)]
+_SPREAD_SQL = f"array({', '.join(f'{v}L' for v in _SPREAD)})"
 
 
-def _spread_bits(c: Column, depth: int) -> Column:
-    """Bits of ``c`` at the even positions, looked up six at a time."""
-    spread = None
-    for start in range(0, max(depth, 1), _CHUNK):
-        piece = c if depth <= _CHUNK else F.shiftright(c, start).bitwiseAND(F.lit((1 << _CHUNK) - 1).cast("long"))
-        moved = F.shiftleft(F.get(F.lit(_SPREAD), piece.cast("int")).cast("long"), 2 * start)
-        spread = moved if spread is None else spread.bitwiseOR(moved)
-    return spread
+def _spread_bits(value: str, depth: int) -> str:
+    """SQL for the bits of ``value`` at the even positions, looked up six at a time."""
+    if depth <= _CHUNK:
+        return f"get({_SPREAD_SQL}, CAST({value} AS INT))"
+    pieces = (
+        f"shiftleft(get({_SPREAD_SQL}, CAST(shiftright({value}, {start}) & {(1 << _CHUNK) - 1} AS INT)), {2 * start})"
+        for start in range(0, depth, _CHUNK)
+    )
+    return f"({' | '.join(pieces)})"
+
+
+def _pixel(face: str, ix: str, iy: str, depth: int) -> str:
+    return (
+        f"(shiftleft({face}, {2 * depth}) | {_spread_bits(f'({ix})', depth)}"
+        f" | shiftleft({_spread_bits(f'({iy})', depth)}, 1))"
+    )
+
+
+def _index_sql(depth: int) -> str:
+    """Pixel number from t (quarter turns), z (sine of latitude) and w (scaled polar distance)."""
+    n = 1 << depth
+    low = f"{n - 1}L"
+    t, z, w = "__hpx_t", "__hpx_z", "__hpx_w"
+
+    # belt between the polar caps: diagonal line numbers of the pixel, then its face
+    down = f"floor({n}D * ({t} + 0.5D) - {0.75 * n}D * {z})"
+    up = f"floor({n}D * ({t} + 0.5D) + {0.75 * n}D * {z})"
+    face_down, face_up = f"shiftright({down}, {depth})", f"shiftright({up}, {depth})"
+    column = f"(shiftright({face_down} + {face_up}, 1) & 3L)"
+    belt = _pixel(
+        f"({column} + ({face_down} - {face_up} + 1) * 4)", f"{up} & {low}", f"{low} - ({down} & {low})", depth
+    )
+
+    # caps: quarter of the sky, then the distance from the two edges of its face
+    quarter = f"least(floor({t}), 3L)"
+    first = f"least({low}, floor(({t} - {quarter}) * {w}))"
+    second = f"least({low}, floor((1D - ({t} - {quarter})) * {w}))"
+    north = _pixel(quarter, f"{low} - {second}", f"{low} - {first}", depth)
+    south = _pixel(f"({quarter} + 8)", first, second, depth)
+    return (
+        f"CASE WHEN {t} IS NULL THEN NULL WHEN abs({z}) <= {2 / 3!r}D THEN {belt}"
+        f" WHEN {z} > 0 THEN {north} ELSE {south} END"
+    )
 
 
 def with_healpix_index(
@@ -40,45 +76,19 @@ def with_healpix_index(
     """
     if not 0 <= depth <= MAX_DEPTH:
         raise ValueError(f"depth must be 0..{MAX_DEPTH}, got {depth}")
-    n = 1 << depth
-    low = F.lit(n - 1).cast("long")
-    t, z, w = F.col("__hpx_t"), F.col("__hpx_z"), F.col("__hpx_w")
-
-    def pixel(face: Column, ix: Column, iy: Column) -> Column:
-        return (
-            F.shiftleft(face, 2 * depth)
-            .bitwiseOR(_spread_bits(ix, depth))
-            .bitwiseOR(F.shiftleft(_spread_bits(iy, depth), 1))
-        )
-
-    # belt between the polar caps: diagonal line numbers of the pixel, then its face
-    rise, base = F.lit(0.75 * n) * z, F.lit(float(n)) * (t + 0.5)
-    down, up = F.floor(base - rise), F.floor(base + rise)
-    face_down, face_up = F.shiftright(down, depth), F.shiftright(up, depth)
-    column = F.shiftright(face_down + face_up, 1).bitwiseAND(F.lit(3).cast("long"))
-    belt = pixel(
-        column + (face_down - face_up + 1) * 4, up.bitwiseAND(low), low - down.bitwiseAND(low)
-    )
-
-    # caps: quarter of the sky, then the distance from the two edges of its face
-    quarter = F.least(F.floor(t), F.lit(3).cast("long"))
-    part = t - quarter
-    first, second = F.least(low, F.floor(part * w)), F.least(low, F.floor((F.lit(1.0) - part) * w))
-    north = pixel(quarter, low - second, low - first)
-    south = pixel(quarter + 8, first, second)
+    lon, lat = f"CAST(`{ra}` AS DOUBLE)", f"CAST(`{dec}` AS DOUBLE)"
+    stages = {
+        "__hpx_t": f"CASE WHEN {lat} BETWEEN -90D AND 90D AND NOT isnan({lon}) THEN pmod({lon}, 360D) / 90D END",
+        "__hpx_z": f"sin(radians({lat}))",
+        # n·sqrt(3(1-|z|)), written so that nothing cancels near the poles
+        "__hpx_w": f"{(1 << depth) * math.sqrt(6.0)!r}D * sin(radians(90D - abs({lat})) / 2D)",
+    }
+    index = _index_sql(depth)
 
     def apply(df: DataFrame) -> DataFrame:
-        lon, lat = F.col(ra).cast("double"), F.col(dec).cast("double")
-        df = df.withColumns(
-            {
-                "__hpx_t": F.when(lat.between(-90.0, 90.0) & ~F.isnan(lon), F.pmod(lon, F.lit(360.0)) / 90.0),
-                "__hpx_z": F.sin(F.radians(lat)),
-                # n·sqrt(3(1-|z|)), written so that nothing cancels near the poles
-                "__hpx_w": F.lit(n * math.sqrt(6.0)) * F.sin(F.radians(F.lit(90.0) - F.abs(lat)) / 2.0),
-            }
-        )
-        index = F.when(F.abs(z) <= F.lit(2.0 / 3.0), belt).when(z > 0, north).otherwise(south)
-        return df.withColumn(out, F.when(t.isNotNull(), index)).drop("__hpx_t", "__hpx_z", "__hpx_w")
+        columns = [f"`{c}`" for c in df.columns if c != out]
+        staged = df.selectExpr(*columns, *(f"{sql} AS {name}" for name, sql in stages.items()))
+        return staged.selectExpr(*columns, f"{index} AS `{out}`")
 
     return apply
 

@@ -359,7 +359,7 @@ def csv_infer(spark: SparkSession, sf: str) -> DataFrame:
     )
     path = scratch_path(spark, "csv")
     # another comment sign for the writer, which would put quotes around "#" otherwise
-    rows.unionByName(comments).write.csv(path, header=True, emptyValue="", comment="~")
+    rows.unionByName(comments).write.option("comment", "~").csv(path, header=True, emptyValue="")
     return files.read_csv_inferred(spark, path)
 
 
