@@ -67,7 +67,7 @@ def conform(df: DataFrame, target: T.StructType, on_loss: str = "fail") -> DataF
     columns, marks = [], []
     for field in target.fields:
         if field.name not in have:
-            columns.append(F.lit(None).cast(field.dataType).alias(field.name))
+            columns.append(F.expr(f"CAST(NULL AS {field.dataType.simpleString()}) AS `{field.name}`"))
             continue
         source = F.col(f"`{field.name}`")
         if have[field.name] == field.dataType:

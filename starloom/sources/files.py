@@ -38,21 +38,26 @@ def read_parquet_tree(spark: SparkSession, path: str, schema: T.StructType | Non
     return reader.parquet(path)
 
 
-# Candidate types from the narrowest; the first one that every value parses as is taken.
-_CSV_TYPES: tuple[tuple[str, T.DataType], ...] = (
-    ("bigint", T.LongType()),
-    ("double", T.DoubleType()),
-    ("date", T.DateType()),
-    ("timestamp", T.TimestampType()),
-)
+# Candidate types from the narrowest, each with its bit; the first one that every value of a
+# column fits is taken.
+_CSV_TYPES = {"boolean": 1, "bigint": 2, "double": 4, "date": 8, "timestamp": 16}
 
 
-def _csv_parses(c: Column, sql_type: str) -> Column:
-    if sql_type == "date":
-        return c.rlike(r"^\d{4}-\d{2}-\d{2}$") & c.try_cast("date").isNotNull()
-    if sql_type == "timestamp":
-        return c.rlike(r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}") & c.try_cast("timestamp").isNotNull()
-    return c.try_cast(sql_type).isNotNull()
+def _csv_fits(c: Column) -> Column:
+    """Bits of the types that a text fits. Only texts of the right look are cast at all,
+    because a failed cast costs far more than a pattern."""
+
+    def fits(pattern: str, sql_type: str) -> Column:
+        return F.when(c.rlike(pattern), c.try_cast(sql_type).isNotNull()).otherwise(False)
+
+    return (
+        F.when(fits(r"^\s*[+-]?\d{1,19}\s*$", "bigint"), 2 | 4)
+        .when(fits(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$|^(?i)[+-]?(nan|inf|infinity)$", "double"), 4)
+        .when(F.lower(c).isin("true", "false"), 1)
+        .when(fits(r"^\d{4}-\d{2}-\d{2}$", "date"), 8 | 16)
+        .when(fits(r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}", "timestamp"), 16)
+        .otherwise(0)
+    )
 
 
 def read_csv_inferred(spark: SparkSession, path: str, null_tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
@@ -67,23 +72,18 @@ def read_csv_inferred(spark: SparkSession, path: str, null_tokens: Sequence[str]
     text = text.select(
         *(F.when(~F.col(f"`{c}`").isin(*null_tokens), F.col(f"`{c}`")).alias(c) for c in text.columns)
     )
-    checks = [F.count("*").alias("n")]
-    for i, name in enumerate(text.columns):
-        c = F.col(f"`{name}`")
-        is_bool = F.lower(c).isin("true", "false")
-        checks.append(F.count(c).alias(f"some{i}"))
-        checks.append(F.count_if(c.isNotNull() & ~is_bool).alias(f"bad{i}_boolean"))
-        for sql_type, _ in _CSV_TYPES:
-            checks.append(F.count_if(c.isNotNull() & ~_csv_parses(c, sql_type)).alias(f"bad{i}_{sql_type}"))
-    seen = text.agg(*checks).first()
+    fits = [
+        F.bit_and(F.when(F.col(f"`{name}`").isNotNull(), _csv_fits(F.col(f"`{name}`")))).alias(f"fits{i}")
+        for i, name in enumerate(text.columns)
+    ]
+    seen = text.agg(F.count("*").alias("n"), *fits).first()
     if not seen or seen["n"] == 0:
         raise ValueError(f"no records found in {path}")
-    candidates = ("boolean", *(t for t, _ in _CSV_TYPES))
     typed = []
     for i, name in enumerate(text.columns):
         c = F.col(f"`{name}`")
-        fitting = [t for t in candidates if seen[f"some{i}"] and seen[f"bad{i}_{t}"] == 0]
-        typed.append((c.try_cast(fitting[0]) if fitting else c).alias(name))
+        common = [t for t, bit in _CSV_TYPES.items() if (seen[f"fits{i}"] or 0) & bit]
+        typed.append((c.try_cast(common[0]) if common else c).alias(name))
     return text.select(*typed)
 
 

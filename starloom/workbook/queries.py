@@ -237,9 +237,10 @@ def raw_individual_extract(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_cluster_extract(spark: SparkSession, sf: str) -> DataFrame:
-    star_rows = raw.individual_extract(_bare_stars(spark, sf), *_links(spark, sf))
-    found = raw.cluster_extract(star_rows, raw.object_extract(samples.centers(spark, sf)))
-    return _round(found, 6)
+    """The star extract is written first, as its own product, and then paired."""
+    path = scratch_path(spark, "extract")
+    raw.write_extract(raw_individual_extract(spark, sf), path)
+    return raw.cluster_extract(spark.read.parquet(path), raw.object_extract(samples.centers(spark, sf)))
 
 
 # --- joins ----------------------------------------------------------------------------
