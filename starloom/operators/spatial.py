@@ -76,6 +76,23 @@ def _copy_into_cells(df: DataFrame, xyz: tuple[str, str, str], reach: float, siz
     return df.filter((nearest <= F.lit(1.0) + slack) & (farthest >= F.lit(1.0) - slack))
 
 
+def _guarded(df: DataFrame, source: DataFrame, copies: float) -> DataFrame:
+    """``df``, made of about ``copies`` rows per row of ``source``, ready to be joined.
+
+    Catalyst broadcasts by an estimate that does not see how far ``explode`` multiplies
+    rows. Where the multiplied estimate passes the broadcast threshold, a merge hint rules
+    the broadcast out; below it the choice is left to Spark.
+    """
+    estimate = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return df.hint("merge") if estimate * copies > threshold else df
+
+
+def _copies(cell_factor: float) -> float:
+    """Expected cells per row for a reach of one and cells of ``cell_factor``, on a surface."""
+    return 1.5 * (1.0 + 2.0 / cell_factor) ** 2
+
+
 def _span(offset: Column, size: float) -> tuple[Column, Column]:
     """Least and greatest square of a number in [offset, offset + size]."""
     end = offset + F.lit(size)
@@ -102,7 +119,7 @@ def pairs_within(
     l = left.dropna(subset=list(left_position)).withColumns(dict(zip(lx, unit_vector(*left_position))))
     r = right.dropna(subset=list(right_position)).withColumns(dict(zip(rx, unit_vector(*right_position))))
     l = l.withColumns(_cell_of(lx, size))
-    r = _copy_into_cells(r, rx, reach, size)
+    r = _guarded(_copy_into_cells(r, rx, reach, size), r, _copies(cell_factor))
     distance = _chord_squared(tuple(F.col(c) for c in lx), tuple(F.col(c) for c in rx))
     return (
         l.join(r, list(_CELL), "inner")
@@ -136,14 +153,12 @@ def count_in_cones(
         .agg(F.count("*").alias("__n"))
         .withColumns(_cell_of(px, size))
     )
-    cones = _copy_into_cells(
+    heads = (
         centers.dropna(subset=list(center_position))
         .select(*(v.alias(n) for n, v in zip(qx, unit_vector(*center_position))))
-        .distinct(),
-        qx,
-        reach,
-        size,
+        .distinct()
     )
+    cones = _copy_into_cells(heads, qx, reach, size)
     # squared distance from the centre to the nearest and the farthest point of the cell
     nearest, farthest = F.lit(0.0), F.lit(0.0)
     for cell, k in zip(_CELL, qx):
@@ -152,6 +167,7 @@ def count_in_cones(
     limit = F.lit(reach**2)
     slack = F.lit(1e-12)
     cones = cones.filter(nearest <= limit + slack).withColumn("__inside", farthest <= limit - slack)
+    cones = _guarded(cones, heads, _copies(1.0 / splits))
 
     sums = spots.groupBy(*_CELL).agg(F.sum("__n").alias("__n"))
     whole = cones.filter("__inside").join(sums, list(_CELL)).select(*qx, "__n")
@@ -197,7 +213,7 @@ def attach_counterparts(
     tolerance_deg: float = ARCSEC,
     mode: str = "pixel",
     pixel: str = "healpix_index",
-    cell_factor: float = 16.0,
+    cell_factor: float = 4.0,
     buckets: int = 64,
 ) -> DataFrame:
     """Left join of stars to the objects within ``tolerance_deg`` of them.
@@ -238,7 +254,7 @@ def attach_counterparts(
         far_cell = F.pmod(F.xxhash64("ra_r", "dec_r", "bk_simbad"), F.lit(buckets)).cast("long")
     zero = F.lit(0).cast("long")
     far = spots.withColumns({_CELL[0]: far_cell, _CELL[1]: zero, _CELL[2]: zero, "__kind": F.lit(1)})
-    reachable = near.unionByName(far)
+    reachable = _guarded(near.unionByName(far), spots, 1.0 + _copies(cell_factor))
 
     east, north = motion_degrees("pmra"), motion_degrees("pmdec")
     dec_back = F.col("dec") - north

@@ -7,6 +7,8 @@ queue's acknowledgements: a file counts as done when its rows are on disk.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +21,7 @@ def read_messages(spark: SparkSession, path: str, max_files: int = MAX_FILES_PER
     return spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
 
 
-def parse_messages(lines: DataFrame, record: T.StructType) -> DataFrame:
+def parse_messages(lines: DataFrame, record: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
     """``catalog``, ``data``, ``hash`` and ``malformed`` (the line itself when it is no message)."""
     schema = T.StructType(
         [
@@ -30,11 +32,12 @@ def parse_messages(lines: DataFrame, record: T.StructType) -> DataFrame:
         ]
     )
     message = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    m = lines.withColumn("m", message)
-    whole = F.col("m._corrupt").isNull() & F.col("m.catalog").isNotNull() & F.col("m.hash").isNotNull() & F.col("m.data").isNotNull()
-    return m.select(
-        "m.catalog", "m.data", "m.hash", F.when(~F.coalesce(whole, F.lit(False)), F.col("value")).alias("malformed")
-    )
+    parsed = lines.withColumn("m", message)
+    complete = F.col("m._corrupt").isNull()
+    for part in ("catalog", "hash", "data"):
+        complete = complete & F.col(f"m.{part}").isNotNull()
+    malformed = F.when(~F.coalesce(complete, F.lit(False)), F.col("value")).alias("malformed")
+    return parsed.select(*keep, "m.catalog", "m.data", "m.hash", malformed)
 
 
 def _has_files(spark: SparkSession, path: str) -> bool:
@@ -71,7 +74,10 @@ def land_messages(
             fresh = good.groupBy("hash").agg(F.min_by(F.struct("catalog", "data"), "catalog").alias("m"))
             if _has_files(spark, hashes):
                 ledger = spark.read.schema("hash string, batch_id long").parquet(hashes)
-                fresh = fresh.join(ledger.filter(F.col("batch_id") < batch_id).select("hash"), "hash", "left_anti")
+                earlier = ledger.filter(F.col("batch_id") < batch_id).select("hash")
+                # the semi join scans the ledger without shuffling it when the batch is small
+                seen = earlier.join(fresh.select("hash"), "hash", "left_semi")
+                fresh = fresh.join(seen, "hash", "left_anti")
             fresh = fresh.select("m.catalog", "m.data", "hash").persist()
             try:
                 rows = fresh.select("catalog", "hash", F.explode("data").alias("r")).select("catalog", "hash", "r.*")
@@ -111,7 +117,7 @@ def land_within_watermark(
         .withColumn("seen_at", F.current_timestamp())
         .withWatermark("seen_at", delay)
     )
-    parsed = parse_messages_keeping(messages, record, "seen_at").filter(F.col("malformed").isNull())
+    parsed = parse_messages(messages, record, ["seen_at"]).filter(F.col("malformed").isNull())
     rows = (
         parsed.dropDuplicatesWithinWatermark(["hash"])
         .select("catalog", "hash", F.explode("data").alias("r"))
@@ -129,26 +135,12 @@ def land_within_watermark(
     query.awaitTermination()
 
 
-def parse_messages_keeping(lines: DataFrame, record: T.StructType, *keep: str) -> DataFrame:
-    """:func:`parse_messages` with further columns of ``lines`` kept."""
-    extra = lines.select("value", *keep)
-    nested = T.StructType(
-        [
-            T.StructField("catalog", T.StringType()),
-            T.StructField("data", T.ArrayType(record)),
-            T.StructField("hash", T.StringType()),
-        ]
-    )
-    m = extra.withColumn("m", F.from_json("value", nested))
-    return m.select(*keep, "m.*", F.when(F.col("m.hash").isNull() | F.col("m.data").isNull(), F.col("value")).alias("malformed"))
-
-
-def landed_records(spark: SparkSession, root: str, record: T.StructType) -> DataFrame:
+def landed_records(spark: SparkSession, root: str, record: T.StructType, record_format: str = "parquet") -> DataFrame:
     """All landed records."""
     schema = T.StructType(
         [T.StructField("hash", T.StringType()), *record.fields, T.StructField("batch_id", T.LongType()), T.StructField("catalog", T.StringType())]
     )
-    return spark.read.schema(schema).parquet(f"{root}/landed").select("catalog", "hash", *record.names)
+    return spark.read.schema(schema).format(record_format).load(f"{root}/landed").select("catalog", "hash", *record.names)
 
 
 def dead_letters(spark: SparkSession, root: str) -> DataFrame:

@@ -48,6 +48,22 @@ def test_pairs_are_found_by_an_equi_join(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_exploded_side_is_not_broadcast_by_a_low_estimate(spark, tmp_path):
+    """The file is below the threshold, its copies in cells are above it."""
+    frame(spark, sphere_points(20_000, 1)).write.parquet(str(tmp_path / "l"))
+    frame(spark, sphere_points(2000, 2), "_r", "other").write.parquet(str(tmp_path / "r"))
+    left, right = (spark.read.parquet(str(tmp_path / x)) for x in "lr")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(200 * 1024))
+        assert "BroadcastHashJoin" in plan_of(left.join(right, left.id == right.other))
+        assert "BroadcastHashJoin" not in plan_of(spatial.pairs_within(left, right, 1.0))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(50 * 1024 * 1024))
+        assert "BroadcastHashJoin" in plan_of(spatial.pairs_within(left, right, 1.0))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 @pytest.mark.parametrize("center,radius", [((31.8, 23.5), 10.0), ((0.0, 0.0), 5.0), ((200.0, 88.0), 6.0)])
 def test_cone(spark, center, radius):
     points = sphere_points(3000, 3)
