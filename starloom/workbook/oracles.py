@@ -311,7 +311,7 @@ def oracle_sql() -> dict[str, str]:
           FROM {stars(True)}""",
         "angular_distance": f"""SELECT source_id, round({_flat("ra", "dec", *moved)}, 9) AS threshold_angular_d,
           round({_great_circle("ra", "dec", *moved)}, 9) AS exact_d,
-          round({_great_circle("ra", "dec", "2e2", "-45e0")}, 9) AS far_d FROM {stars()}""",
+          round({_great_circle("ra", "dec", "2e2", "-45e0")}, 7) AS far_d FROM {stars()}""",
         "distance_pc": f"SELECT source_id, round(distance_pc, 9) AS distance_pc FROM {with_distance}",
         "absolute_magnitude": f"""SELECT source_id, round({_magnitude("j_m")}, 6) AS abs_mag_j,
           round({_magnitude("h_m")}, 6) AS abs_mag_h, round({_magnitude("ks_m")}, 6) AS abs_mag_ks,

@@ -35,11 +35,11 @@ def _round(df: DataFrame, digits: int = 9, **special: int) -> DataFrame:
     Positions have seven decimals and always keep nine.
     """
     places = {**dict.fromkeys(_POSITIONS, 9), **special}
-    return df.select(
+    return df.selectExpr(
         *(
-            F.round(F.col(f.name).cast("double"), places.get(f.name, digits)).alias(f.name)
+            f"round(CAST(`{f.name}` AS DOUBLE), {places.get(f.name, digits)}) AS `{f.name}`"
             if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-            else F.col(f.name)
+            else f"`{f.name}`"
             for f in df.schema.fields
         )
     )
@@ -66,7 +66,7 @@ def angular_distance(spark: SparkSession, sf: str) -> DataFrame:
     df = df.transform(sky.with_separation("ra", "dec", "ra_prop", "dec_prop"))
     df = df.transform(sky.with_separation("ra", "dec", "ra_prop", "dec_prop", exact=True, out="exact_d"))
     far = sky.great_circle_separation("ra", "dec", F.lit(200.0), F.lit(-45.0))
-    return _round(df.select("source_id", "threshold_angular_d", "exact_d", far.alias("far_d")))
+    return _round(df.select("source_id", "threshold_angular_d", "exact_d", far.alias("far_d")), far_d=7)
 
 
 def _with_distance(spark: SparkSession, sf: str) -> DataFrame:

@@ -154,18 +154,18 @@ def test_clustered_write_is_sorted(spark, tmp_path):
 
 
 def test_control_table(spark, table):
-    control.create_control_table(spark, table, [("gaia_main_source", dt.date(2026, 4, 2), "silver")])
+    control.create_control_table(spark, table, [("main_source", dt.date(2026, 4, 2), "silver")])
     control.create_control_table(spark, table, [("ignored", None, "silver")])
-    found = control.lookup(spark, table, "silver", "gaia_main_source")
+    found = control.lookup(spark, table, "silver", "main_source")
     assert found["genesis"] == dt.date(2026, 4, 2) and found["current"] is None
-    assert control.lookup(spark, table, "gold", "gaia_main_source") == {}
+    assert control.lookup(spark, table, "gold", "main_source") == {}
     assert control.lookup(spark, "t.absent", "gold", "x") == {}
-    control.advance(spark, table, "silver", "gaia_main_source", dt.date(2026, 5, 1))
+    control.advance(spark, table, "silver", "main_source", dt.date(2026, 5, 1))
     control.advance(spark, table, "gold", "facts", dt.date(2026, 5, 2))
-    again = control.lookup(spark, table, "silver", "gaia_main_source")
+    again = control.lookup(spark, table, "silver", "main_source")
     assert again["id"] == found["id"] and again["current"] == dt.date(2026, 5, 1) and again["genesis"] == dt.date(2026, 4, 2)
     state = control.with_target_date(control.current_state(spark.table(table)))
-    assert {r.pipeline: r.target_date for r in state.collect()} == {"gaia_main_source": "2026-05-01", "facts": "2026-05-02"}
+    assert {r.pipeline: r.target_date for r in state.collect()} == {"main_source": "2026-05-01", "facts": "2026-05-02"}
     rows = spark.createDataFrame([("20260430",), ("20260501",)], "fct_dt string")
     assert control.since(rows, "2026-05-01").count() == 1
 

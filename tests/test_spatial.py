@@ -204,3 +204,31 @@ def test_all_stars_in_one_place(spark):
     attached = spatial.attach_counterparts(s, o)
     assert attached.count() == n  # one candidate per star, not three thousand
     assert attached.filter(F.col("bk_simbad") == "k000000").count() >= n // 3
+
+
+def test_hot_cell_is_split_by_skew_join(spark, tmp_path):
+    """Half of the stars share one small field; AQE reads that partition in several tasks."""
+    spark.range(200_000).selectExpr(
+        "id", "IF(id % 2 = 0, 100D + (id % 1000) / 1e6D, pmod(id * 137.5D, 360D)) AS ra",
+        "IF(id % 2 = 0, 40D, id % 1600 / 10D - 80D) AS dec",
+    ).write.parquet(str(tmp_path / "l"))
+    frame(spark, [(100.0, 40.0), *sphere_points(20, 2)], "_r", "other").write.parquet(str(tmp_path / "r"))
+    left, right = (spark.read.parquet(str(tmp_path / x)) for x in "lr")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        pairs = spatial.pairs_within(left, right, 0.5)
+        assert len(pairs.select("id").collect()) >= 100_000
+        done = pairs.select("id", "other")
+        done.collect()
+        assert "skew=true" in plan_of(done)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
