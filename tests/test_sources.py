@@ -202,6 +202,23 @@ def test_landing_is_exactly_once(spark, tmp_path):
     assert state() == (want_sorted := sorted([*want, ("k", "h3", 4)]), dead) and want_sorted
 
 
+def test_landing_as_json(spark, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "out")
+    write_file(source, "a.txt", message("ps", "h1", 1, 2))
+    landing.land_messages(spark, str(source), root, MESSAGE, record_format="json")
+    rows = landing.landed_records(spark, root, MESSAGE, "json").collect()
+    assert sorted((r.catalog, r.hash, r.n, r.s) for r in rows) == [("ps", "h1", 1, "v1"), ("ps", "h1", 2, "v2")]
+    assert list((tmp_path / "out" / "landed").rglob("catalog=ps/*.json"))
+
+
+def test_landing_of_malformed_lines_only(spark, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "out")
+    write_file(source, "a.txt", "no message")
+    landing.land_messages(spark, str(source), root, MESSAGE)
+    assert landing.landed_records(spark, root, MESSAGE).count() == 0
+    assert [r[0] for r in landing.dead_letters(spark, root).collect()] == ["no message"]
+
+
 def test_landing_survives_a_lost_commit(spark, tmp_path):
     """The last micro-batch is run again when its commit is missing, with the same result."""
     source, root = tmp_path / "in", tmp_path / "out"
@@ -222,3 +239,30 @@ def test_stage_round_trip(spark):
 
 def test_shared_dir_is_the_configured_one(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+class FakeConf:
+    def __init__(self, values):
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+class FakeSession:
+    def __init__(self, master, app):
+        self.conf = FakeConf({})
+        self.sparkContext = type("C", (), {"master": master, "applicationId": app, "getConf": lambda _: FakeConf({})})()
+
+
+def test_shared_dir_without_setting():
+    local = FakeSession("local[2]", "app-1")
+    assert scratch_path(local, "a").rsplit("/", 1)[0] == scratch_path(local, "b").rsplit("/", 1)[0]
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(FakeSession("spark://host:7077", "app-2"), "a")
+
+
+def test_catalog_columns(spark):
+    assert len(catalogs.SPECTROSCOPY) == 56 and len(catalogs.PLANETS) == 19 and len(catalogs.STAR_EXTRACT) == 15
+    df = spark.range(1).select(*(F.lit(1).alias(c) for c in [*catalogs.SPECTROSCOPY, "more"]))
+    assert catalogs.spectroscopy_catalog(df).columns == catalogs.SPECTROSCOPY
