@@ -7,8 +7,6 @@ split either side of an inner join but only the left side of a left or anti join
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,8 +71,3 @@ def pixel_candidates(stars: DataFrame, objects: DataFrame, pixel: str = "healpix
         F.count("*").alias("candidates"), F.min("bk_simbad").alias("first_bk"), F.max("bk_simbad").alias("last_bk")
     )
     return stars.join(summary, pixel, "left").withColumn("candidates", F.coalesce("candidates", F.lit(0).cast("long")))
-
-
-def columns_in(df: DataFrame, names: Sequence[str]) -> list[str]:
-    """The names present in ``df``, in the order given."""
-    return [n for n in names if n in df.columns]

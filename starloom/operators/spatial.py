@@ -215,22 +215,26 @@ def attach_counterparts(
     pixel: str = "healpix_index",
     cell_factor: float = 4.0,
     buckets: int = 64,
+    distinct_positions: bool = True,
 ) -> DataFrame:
     """Left join of stars to the objects within ``tolerance_deg`` of them.
 
     The object position is first moved by the star's proper motion. Adds ``ra_r``,
     ``dec_r``, ``ra_prop``, ``dec_prop``, ``bk_simbad`` and ``threshold_angular_d`` (null
-    without a counterpart); a star with several counterparts has several rows.
+    without a counterpart); a star with several counterparts has several rows. Of objects at
+    one and the same position only the smallest key counts, which is all that the nearest
+    counterpart needs; ``distinct_positions=False`` keeps every object.
 
     ``mode="pixel"`` keeps the historic meaning: flat-sky distance, and only objects of the
     star's own pixel. ``mode="exact"`` uses the great circle and knows no pixel edges.
 
     How it scales: a star is moved *back* by its motion and lies in exactly one cell; the
-    objects, reduced to distinct positions, are copied into the few cells they can reach.
+    objects are copied into the few cells they can reach.
     The reach of four tolerances covers every possible counterpart of a star unless it is
     within arcseconds of a pole or its motion is absurd. Those few stars are recognised row
     by row and compared with their whole pixel (``pixel``) or with all objects, spread over
-    ``buckets`` groups (``exact``), so no counterpart is lost.
+    ``buckets`` groups (``exact``), so no counterpart is lost. A smaller ``cell_factor`` means
+    more copies of the objects and fewer candidates per star: 1 suits crowded fields.
     """
     if mode not in ("pixel", "exact"):
         raise ValueError(f"mode must be pixel or exact, got {mode}")
@@ -238,13 +242,11 @@ def attach_counterparts(
     size = reach * cell_factor
     tol = math.radians(tolerance_deg)
 
-    # Objects at one position are interchangeable but for their key, and ties go to the
-    # smallest key, so one row per position (and pixel) is enough.
-    spots = (
-        objects.dropna(subset=["ra", "dec"])
-        .groupBy(F.col("ra").alias("ra_r"), F.col("dec").alias("dec_r"), F.col(pixel).alias("__pixel_r"))
-        .agg(F.min("bk_simbad").alias("bk_simbad"))
+    spots = objects.dropna(subset=["ra", "dec"]).select(
+        F.col("ra").alias("ra_r"), F.col("dec").alias("dec_r"), F.col(pixel).alias("__pixel_r"), "bk_simbad"
     )
+    if distinct_positions:
+        spots = spots.groupBy("ra_r", "dec_r", "__pixel_r").agg(F.min("bk_simbad").alias("bk_simbad"))
     rx = ("__rx", "__ry", "__rz")
     near = _copy_into_cells(spots.withColumns(dict(zip(rx, unit_vector("ra_r", "dec_r")))), rx, reach, size).drop(*rx)
     near = near.withColumn("__kind", F.lit(0))

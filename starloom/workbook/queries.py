@@ -260,7 +260,8 @@ def _pixel_stars(spark: SparkSession, sf: str) -> DataFrame:
 
 def join_pixel_left(spark: SparkSession, sf: str) -> DataFrame:
     """Stars with the objects of their pixel that lie within 5″; all stars are kept."""
-    matched = spatial.attach_counterparts(_pixel_stars(spark, sf), _dimension(spark, sf), 5 * sky.ARCSEC)
+    stars, dimension = _pixel_stars(spark, sf), _dimension(spark, sf)
+    matched = spatial.attach_counterparts(stars, dimension, 5 * sky.ARCSEC, distinct_positions=False)
     return _round(matched.select("source_id", "healpix_index", "bk_simbad", "threshold_angular_d"))
 
 

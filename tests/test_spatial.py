@@ -206,6 +206,15 @@ def test_all_stars_in_one_place(spark):
     assert attached.filter(F.col("bk_simbad") == "k000000").count() >= n // 3
 
 
+def test_every_object_can_be_kept(spark):
+    s = spark.createDataFrame([(1, 10.0, 5.0, 0.0, 0.0)], "source_id long, ra double, dec double, pmra double, pmdec double")
+    o = spark.createDataFrame([("a", 10.0, 5.0), ("b", 10.0, 5.0)], "bk_simbad string, ra double, dec double")
+    s, o = (d.transform(with_healpix_index("ra", "dec")) for d in (s, o))
+    assert [r.bk_simbad for r in spatial.attach_counterparts(s, o).collect()] == ["a"]
+    every = spatial.attach_counterparts(s, o, distinct_positions=False).collect()
+    assert sorted(r.bk_simbad for r in every) == ["a", "b"]
+
+
 def test_hot_cell_is_split_by_skew_join(spark, tmp_path):
     """Half of the stars share one small field; AQE reads that partition in several tasks."""
     spark.range(200_000).selectExpr(
