@@ -9,8 +9,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from starloom.workbook.oracles import oracle_sql
+from starloom.workbook.queries import QUERIES
 
-ORACLES = entry.oracle_sql()
+ORACLES = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -27,11 +29,11 @@ def table(columns, rows):
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(entry.queries())
-    assert set(entry.queries()) - set(ORACLES) == {"binary_inventory"}
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) - set(ORACLES) == {"binary_inventory"}
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, sf_dir, name):
     df = entry.queries()[name](spark, sf_dir)
     rows = df.collect()
