@@ -4,14 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import near_dedup
+from starloom.llm import mixing, near_dedup, quality
 from starloom.llm.common import table
 
 
+def op1_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.scored(table(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "labels", "doc_id", "quality"))
+
+
 def op3_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.near_components(table(spark, sf, "documents", "doc_id", "text"))
 
 
+def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.taken_words(table(spark, sf, "documents", "doc_id", "source", "text"))
+
+
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op3_near_dedup": op3_near_dedup,
+    "op9_mixing": op9_mixing,
 }
