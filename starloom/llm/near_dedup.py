@@ -232,7 +232,7 @@ def _forest(bits: np.ndarray, code: np.ndarray, radius: int, a: list, b: list) -
 def fingerprint_roots(marked: DataFrame, radius: int = RADIUS, width: int = SEGMENT_BITS) -> DataFrame:
     """(``fp``, ``root``) for every fingerprint of ``marked.fp``: ``root`` is one fingerprint of its component."""
     points = stage(marked.select("fp").distinct(), "fingerprints")
-    edges = links(points, "fp", radius, width).distinct()
+    edges = stage(links(points, "fp", radius, width).distinct(), "near-links")
     roots = connected_components(edges, label="near")
     return points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import mixing, near_dedup, quality
+from starloom.llm import mixing, near_dedup, pieces, quality
 from starloom.llm.common import table
 
 
@@ -12,6 +13,10 @@ def op1_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality.scored(table(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "labels", "doc_id", "quality"))
 
 
+def op2_sentence_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    return pieces.segmented(table(spark, sf, "documents", "doc_id", "text"))
+
+
 def op3_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.near_components(table(spark, sf, "documents", "doc_id", "text"))
 
@@ -22,6 +27,8 @@ def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_sentence_pieces": op2_sentence_pieces,
     "op3_near_dedup": op3_near_dedup,
     "op9_mixing": op9_mixing,
+    "pipeline": corpus_pipeline.run,
 }
