@@ -5,7 +5,18 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import mixing, near_dedup, pieces, quality
+from starloom.llm import (
+    fingerprints,
+    html_text,
+    licenses,
+    mixing,
+    near_dedup,
+    neighbours,
+    pieces,
+    quality,
+    token_counts,
+    url_filter,
+)
 from starloom.llm.common import table
 
 
@@ -21,14 +32,44 @@ def op3_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.near_components(table(spark, sf, "documents", "doc_id", "text"))
 
 
+def op4_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.fingerprinted(table(spark, sf, "documents", "doc_id", "text"))
+
+
+def op5_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.search(table(spark, sf, "embeddings", "vec_id", "embedding"))
+
+
+def op6_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(table(spark, sf, "documents", "doc_id", "text"))
+
+
+def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return token_counts.counted(table(spark, sf, "documents", "doc_id", "text"))
+
+
+def op8_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf, "pages", "page_id", "url", "html"))
+
+
 def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf, "documents", "doc_id", "source", "text"))
 
 
+def op10_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf, "pages", "page_id", "url", "html"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_sentence_pieces": op2_sentence_pieces,
     "op3_near_dedup": op3_near_dedup,
+    "op4_fingerprints": op4_fingerprints,
+    "op5_neighbours": op5_neighbours,
+    "op6_licenses": op6_licenses,
+    "op7_token_counts": op7_token_counts,
+    "op8_url_filter": op8_url_filter,
     "op9_mixing": op9_mixing,
+    "op10_html_text": op10_html_text,
     "pipeline": corpus_pipeline.run,
 }
