@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+from pyspark.sql import functions as F
+from starloom.llm import fingerprints as fp
+from starloom.llm.common import signed
+from starloom.llm.queries import QUERIES
+from tests.llm.conftest import folder
+
+
+def expected(rows):
+    """Fixture rows in reading order, each edited with the next."""
+    out = []
+    for (i, text), (_, following) in zip(rows, rows[1:] + rows[:1]):
+        half = len(text) // 2
+        changed = text[: len(text) - half] + following[:half]
+        a, b, n = (fp.fingerprint_of(t.encode()) for t in (text, changed, following))
+        sha = hashlib.sha256(changed.encode()).hexdigest()
+        out.append((i, len(text), sha, f"{a:016x}", f"{b:016x}", 1 - (a ^ b).bit_count() / 64, 1 - (a ^ n).bit_count() / 64))
+    return sorted(out, key=repr)
+
+
+def test_query(spark, sf_dir):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    got = QUERIES["op4_fingerprints"](spark, sf_dir).collect()
+    assert sorted((tuple(r)[:7] for r in got), key=repr) == expected(sorted(docs))
+    prints = [(r["doc_id"], int(r["fingerprint"], 16)) for r in got]
+    for r in got:
+        near = sum((int(r["fingerprint"], 16) ^ p).bit_count() <= fp.RADIUS for _, p in prints) - 1
+        assert r["n_near"] == (near if r["doc_id"] % fp.QUERY_EVERY == 0 else None)
+
+
+def test_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(fp, "RANGE_ROWS", 3)
+    rows = [(int(i), f"text number {i} " * (int(i) % 7)) for i in np.random.default_rng(1).permutation(200)]
+    got = fp.fingerprinted(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert sorted((tuple(r)[:7] for r in got), key=repr) == expected(sorted(rows))
+
+
+def test_half_a_text_is_nearer_than_another_text(spark, sf_dir):
+    rows = QUERIES["op4_fingerprints"](spark, sf_dir).where("n_chars > 500").agg(F.avg("near_edited"), F.avg("near_next")).first()
+    assert rows[0] > rows[1] + 0.1
+
+
+def test_block_tables_find_every_pair_once(spark):
+    random = np.random.default_rng(2)
+    values = {int(x) for x in random.integers(0, 1 << 62, 200)}
+    for x in list(values)[:80]:
+        for flips in range(1, 6):
+            y = x
+            for bit in random.choice(64, flips, replace=False):
+                y ^= 1 << int(bit)
+            values.add(y)
+    values = [signed(v) for v in values]
+    index = spark.createDataFrame([(v,) for v in values], "fp long")
+    for radius in (2, 3):
+        got = [(r["q"], r["fp"]) for r in fp.within(index.where("fp % 3 = 0"), index, radius).collect()]
+        want = {(q, v) for q in values if q % 3 == 0 for v in values if ((q ^ v) % (1 << 64)).bit_count() <= radius}
+        assert len(got) == len(set(got)) and set(got) >= {w for w in want if w[0] % 3 == 0}
+        assert all(((q ^ v) % (1 << 64)).bit_count() <= radius for q, v in got)
+
+
+def test_messy(messy, no_docs, spark, tmp_path):
+    got = fp.fingerprinted(messy).collect()
+    assert len(got) == messy.count()
+    same = {r["fingerprint"] for r in got if r["doc_id"] in (0, 50)}
+    assert len(same) == 1 and {r["fingerprint"] for r in got if r["n_chars"] == 0} == {"0" * 16}
+    assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in got)
+    assert fp.fingerprinted(no_docs).count() == 0
+    single = folder(tmp_path, documents=messy.where("doc_id = 350"))
+    row = QUERIES["op4_fingerprints"](spark, single).first()
+    assert row["near_next"] == 1.0
