@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ BLOCKS = 6
 #: Rows of a range of ids that one task reads in order. Above ``MOST_RANGES`` ranges they hold more rows.
 RANGE_ROWS = 1024
 MOST_RANGES = 8192
+#: Keys of looked-up rows that may be broadcast (about 16 MB); with more, both sides are shuffled and merged.
+MOST_BROADCAST = 200_000
 #: Rows whose id is divisible by this are looked up in the block tables.
 QUERY_EVERY = 50
 
@@ -180,7 +183,10 @@ def within(queries: DataFrame, index: DataFrame, radius: int = RADIUS, blocks: i
     """
     left = queries.select(F.col("fp").alias("q")).select("q", F.explode(_tables(F.col("q"), radius, blocks)).alias("t"))
     right = index.select("fp", F.explode(_tables(F.col("fp"), radius, blocks)).alias("t"))
-    pairs = right.select("fp", "t.key").join(left.select("q", "t.key", "t.mask"), "key")
+    asked = left.select("q", "t.key", "t.mask")
+    if queries.count() * comb(blocks, radius) > MOST_BROADCAST:
+        asked = asked.hint("merge")  # the planner's estimate doesn't see the copies made by explode
+    pairs = right.select("fp", "t.key").join(asked, "key")
     differ = F.col("q").bitwiseXOR(F.col("fp"))
     near = pairs.where(F.bit_count(differ) <= radius)
     return near.where(_first_table(differ, radius, blocks) == F.col("mask")).select("q", "fp")

@@ -83,8 +83,13 @@ def _starts(words: Column, parts: list[str], label: str) -> Column:
     return F.transform(starts, lambda i: F.struct(i.cast("long").alias("start"), F.lit(label).alias("label")))
 
 
+_NO_PLACES = "array<struct<start:bigint,label:string>>"
+
+
 def _places(lowered: Column, phrases: Mapping[str, str]) -> Column:
     """(start, label) of every place where the words of a phrase stand one after the other."""
+    if not phrases:
+        return F.lit(None).cast(_NO_PLACES)
 
     def of(words: Column) -> Column:
         return F.concat(*(_starts(words, phrase.split(), label) for phrase, label in phrases.items()))
@@ -134,7 +139,7 @@ def scan(
         "license-blocks",
     )
     held = _held(rows, sets, needs, vocabulary)
-    places = F.coalesce("places", F.array().cast("array<struct<start:bigint,label:string>>"))
+    places = F.coalesce("places", F.array().cast(_NO_PLACES))
     base = F.transform(places, lambda p: p["label"])
     starts = F.transform(places, lambda p: p["start"])
     own = F.coalesce("found", F.array().cast("array<string>"))

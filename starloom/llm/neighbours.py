@@ -98,7 +98,7 @@ def nearest_in_block(model: Codes, ids, vectors: np.ndarray, query_ids, queries:
     out = []
     todo, radius = np.arange(len(queries)), model.radius
     known = np.array([-1 if i is None else i for i in ids], np.int64)
-    none = np.array([i is None for i in ids])
+    none = np.array([i is None for i in ids], bool)
     while len(todo):
         hits = candidates(codes, asked[todo], radius)
         short = []

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from starloom.llm import fingerprints as fp
 from starloom.llm.common import signed
@@ -44,7 +45,9 @@ def test_half_a_text_is_nearer_than_another_text(spark, sf_dir):
     assert rows[0] > rows[1] + 0.1
 
 
-def test_block_tables_find_every_pair_once(spark):
+@pytest.mark.parametrize("most", [0, 200_000])
+def test_block_tables_find_every_pair_once(spark, monkeypatch, most):
+    monkeypatch.setattr(fp, "MOST_BROADCAST", most)
     random = np.random.default_rng(2)
     values = {int(x) for x in random.integers(0, 1 << 62, 200)}
     for x in list(values)[:80]:

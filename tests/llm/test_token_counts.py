@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from starloom.llm import token_counts as tc
+from starloom.llm.queries import QUERIES
+
+
+def greedy(word, starting, going_on):
+    """Pieces by trying every length, longest first."""
+    at = n = 0
+    while at < len(word):
+        pieces = going_on if at else starting
+        size = next((s for s in range(len(word) - at, 0, -1) if word[at : at + s] in pieces), 0)
+        if not size:
+            return 1
+        at, n = at + size, n + 1
+    return n
+
+
+PIECES = st.sets(st.binary(min_size=1, max_size=4).map(lambda b: bytes(x % 3 for x in b)), max_size=12)
+
+
+@given(PIECES, st.one_of(st.none(), PIECES), st.lists(st.binary(max_size=10).map(lambda b: bytes(x % 3 for x in b)), max_size=15))
+@settings(max_examples=300, deadline=None)
+def test_automaton_counts_like_greedy_matching(starting, going_on, words):
+    automaton = tc.Automaton.build(sorted(starting), None if going_on is None else sorted(going_on))
+    for word in words:
+        assert automaton.count(word) == greedy(word, starting, starting if going_on is None else going_on)
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return tc.load_pieces()
+
+
+def test_query(spark, sf_dir, vocabulary):
+    known = set(vocabulary)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    got = {r["doc_id"]: r for r in QUERIES["op7_token_counts"](spark, sf_dir).collect()}
+    assert len(got) == len(docs)
+    for d in docs[:60]:
+        words = tc.words_of(d["text"])
+        assert got[d["doc_id"]]["n_words"] == len(words)
+        assert got[d["doc_id"]]["n_pieces"] == sum(greedy(w.encode() + b"\xff", known, known) for w in words)
+
+
+def test_whole_words_are_one_piece(vocabulary):
+    automaton = tc.Automaton.build(vocabulary)
+    assert automaton.count(b"the\xff") == 1 and b"the\xff" in set(vocabulary)
+    assert automaton.count("é日".encode() + b"\xff") >= 1
+
+
+def test_messy(messy, no_docs):
+    got = tc.counted(messy).collect()
+    assert len(got) == messy.count()
+    assert sum(r["n_pieces"] == 0 for r in got) == 4
+    assert tc.counted(no_docs).count() == 0
