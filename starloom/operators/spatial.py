@@ -207,34 +207,35 @@ def density_radius(counted: DataFrame, on_empty: str = "fail") -> DataFrame:
     )
 
 
-def attach_counterparts(
+def counterparts(
     stars: DataFrame,
     objects: DataFrame,
     tolerance_deg: float = ARCSEC,
     mode: str = "pixel",
     pixel: str = "healpix_index",
     cell_factor: float = 4.0,
-    buckets: int = 64,
     distinct_positions: bool = True,
+    key: str = "source_id",
 ) -> DataFrame:
-    """Left join of stars to the objects within ``tolerance_deg`` of them.
+    """Every (star, object) match within ``tolerance_deg``: ``key``, ``ra_r``, ``dec_r``,
+    ``ra_prop``, ``dec_prop``, ``bk_simbad``, ``threshold_angular_d``.
 
-    The object position is first moved by the star's proper motion. Adds ``ra_r``,
-    ``dec_r``, ``ra_prop``, ``dec_prop``, ``bk_simbad`` and ``threshold_angular_d`` (null
-    without a counterpart); a star with several counterparts has several rows. Of objects at
-    one and the same position only the smallest key counts, which is all that the nearest
-    counterpart needs; ``distinct_positions=False`` keeps every object.
+    The object position is first moved by the star's proper motion; a null motion counts as
+    none, a NaN motion gives a NaN distance and so matches nothing. Of objects at one and the
+    same position only the smallest key counts, which is all that the nearest counterpart
+    needs; ``distinct_positions=False`` keeps every object.
 
     ``mode="pixel"`` keeps the historic meaning: flat-sky distance, and only objects of the
     star's own pixel. ``mode="exact"`` uses the great circle and knows no pixel edges.
 
-    How it scales: a star is moved *back* by its motion and lies in exactly one cell; the
-    objects are copied into the few cells they can reach.
-    The reach of four tolerances covers every possible counterpart of a star unless it is
-    within arcseconds of a pole or its motion is absurd. Those few stars are recognised row
-    by row and compared with their whole pixel (``pixel``) or with all objects, spread over
-    ``buckets`` groups (``exact``), so no counterpart is lost. A smaller ``cell_factor`` means
-    more copies of the objects and fewer candidates per star: 1 suits crowded fields.
+    How it scales: only ``key``, position, motion and pixel of a star take part. A star is
+    moved *back* by its motion and lies in exactly one cell; the objects are copied into the
+    few cells they can reach. The reach of four tolerances covers every possible counterpart
+    of a star unless it is within arcseconds of a pole or its motion is absurd. Those few
+    stars are recognised row by row and meet the objects by strips of declination instead:
+    the moved declination must come within the tolerance of the star's. All joins are inner, so
+    AQE can split a crowded cell on either side. A smaller ``cell_factor`` means more copies of
+    the objects and fewer candidates per star: 1 suits crowded fields.
     """
     if mode not in ("pixel", "exact"):
         raise ValueError(f"mode must be pixel or exact, got {mode}")
@@ -247,17 +248,11 @@ def attach_counterparts(
     )
     if distinct_positions:
         spots = spots.groupBy("ra_r", "dec_r", "__pixel_r").agg(F.min("bk_simbad").alias("bk_simbad"))
-    rx = ("__rx", "__ry", "__rz")
-    near = _copy_into_cells(spots.withColumns(dict(zip(rx, unit_vector("ra_r", "dec_r")))), rx, reach, size).drop(*rx)
-    near = near.withColumn("__kind", F.lit(0))
-    if mode == "pixel":
-        far_cell = F.col("__pixel_r")
-    else:
-        far_cell = F.pmod(F.xxhash64("ra_r", "dec_r", "bk_simbad"), F.lit(buckets)).cast("long")
-    zero = F.lit(0).cast("long")
-    far = spots.withColumns({_CELL[0]: far_cell, _CELL[1]: zero, _CELL[2]: zero, "__kind": F.lit(1)})
-    reachable = _guarded(near.unionByName(far), spots, 1.0 + _copies(cell_factor))
 
+    own_pixel = [F.col(pixel)] if mode == "pixel" else []
+    slim = stars.select(key, "ra", "dec", "pmra", "pmdec", *(c.alias("__pixel") for c in own_pixel))
+    still = [F.coalesce(F.isnan(m), F.lit(False)) for m in ("pmra", "pmdec")]
+    slim = slim.dropna(subset=["ra", "dec"]).where(~(still[0] | still[1]))
     east, north = motion_degrees("pmra"), motion_degrees("pmdec")
     dec_back = F.col("dec") - north
     cos_star, cos_back = F.cos(F.radians("dec")), F.cos(F.radians(dec_back))
@@ -268,44 +263,78 @@ def attach_counterparts(
         + F.try_divide(F.abs(F.radians(east)), cos_back)
         + 1.0
     )
-    calm = (cos_star > 2 * tol) & (cos_back > 2 * tol) & (bound <= 3.9)
-    lx = ("__lx", "__ly", "__lz")
-    # a star without a position matches nothing: its null kind equals no other
-    placeless = F.col("ra").isNull() | F.col("dec").isNull() | F.isnan("ra") | F.isnan("dec")
-    kind = F.when(placeless, F.lit(None)).when(calm, 0).otherwise(1).cast("int")
-    placed = stars.withColumns({**dict(zip(lx, unit_vector(ra_back, dec_back))), "__kind": kind})
-    if mode == "pixel":
-        cells = {_CELL[0]: F.col(pixel), _CELL[1]: zero, _CELL[2]: zero}
-    else:
-        # every bucket for the exceptional stars, one entry for all others
-        everywhere = F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))
-        placed = placed.withColumn("__bucket", F.explode(F.when(F.col("__kind") == 1, everywhere).otherwise(F.array(zero))))
-        cells = {_CELL[0]: F.col("__bucket"), _CELL[1]: zero, _CELL[2]: zero}
-    fine = _cell_of(lx, size)
-    placed = placed.withColumns({c: F.when(F.col("__kind") == 0, fine[c]).otherwise(cells[c]) for c in _CELL})
-
-    l, r = placed.alias("l"), reachable.alias("r")
-    same_cell = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in (*_CELL, "__kind")]
-    ra_prop, dec_prop = propagate("r.ra_r", "r.dec_r", "l.pmra", "l.pmdec")
+    calm = F.coalesce((cos_star > 2 * tol) & (cos_back > 2 * tol) & (bound <= 3.9), F.lit(False))
+
+    rx, lx = ("__rx", "__ry", "__rz"), ("__lx", "__ly", "__lz")
+    near = _copy_into_cells(spots.withColumns(dict(zip(rx, unit_vector("ra_r", "dec_r")))), rx, reach, size).drop(*rx)
+    near = _guarded(near, spots, _copies(cell_factor))
+    placed = slim.where(calm).withColumns(dict(zip(lx, unit_vector(ra_back, dec_back)))).withColumns(_cell_of(lx, size))
+    by_cell = placed.join(near, list(_CELL))
+
+    # an angle and its mirror at the pole have the same sine; the flat distance knows no mirror
+    width = 4.0 * tolerance_deg
+    centres = [F.col("dec") - north]
+    if mode == "exact":
+        centres = [F.pmod(c + 180.0, F.lit(360.0)) - 180.0 for c in (F.col("dec") - north, 180.0 - F.col("dec") - north)]
+    slack = F.lit(tolerance_deg * (1 + 1e-9) + 1e-9) + F.abs(north) * 1e-12
+    # where the motion is too large to tell strips apart, all of them
+    low, high = (F.greatest(F.lit(-91.0), F.least(F.lit(91.0), F.col("__centre") + w)) for w in (-slack, slack))
+    strips = F.sequence(F.floor(low / width), F.floor(high / width))
+    odd = slim.where(~calm).withColumn("__centre", F.explode(F.array(*centres))).withColumn("__strip", F.explode(strips))
+    odd = odd.drop("__centre").distinct()
+    by_strip = odd.join(spots.withColumn("__strip", F.floor(F.col("dec_r") / width)), "__strip")
+
+    columns = (key, "ra", "dec", "pmra", "pmdec", "ra_r", "dec_r", "bk_simbad", "__pixel_r", *(["__pixel"] if own_pixel else []))
+    met = by_cell.select(*columns).unionByName(by_strip.select(*columns))
+    ra_prop, dec_prop = propagate("ra_r", "dec_r", "pmra", "pmdec")
     formula = flat_separation if mode == "pixel" else great_circle_separation
-    separation = formula("l.ra", "l.dec", ra_prop, dec_prop)
+    separation = formula("ra", "dec", ra_prop, dec_prop)
     close = separation <= F.lit(tolerance_deg)
     if mode == "pixel":
-        close = close & (F.col(f"l.{pixel}") == F.col("r.__pixel_r"))
-    condition = close
-    for equal in same_cell:
-        condition = condition & equal
-    return l.join(r, condition, "left").select(
-        *(f"l.{c}" for c in stars.columns),
-        "r.ra_r",
-        "r.dec_r",
+        close = close & (F.col("__pixel") == F.col("__pixel_r"))
+    return met.where(close).select(
+        key,
+        "ra_r",
+        "dec_r",
         ra_prop.alias("ra_prop"),
         dec_prop.alias("dec_prop"),
-        "r.bk_simbad",
+        "bk_simbad",
         separation.alias("threshold_angular_d"),
     )
 
 
+_MATCHED = ("ra_r", "dec_r", "ra_prop", "dec_prop", "bk_simbad", "threshold_angular_d")
+
+
+def attach_counterparts(stars: DataFrame, objects: DataFrame, *args: object, key: str = "source_id", **options: object) -> DataFrame:
+    """Left join of stars to their :func:`counterparts`, whose arguments it takes.
+
+    ``key`` must tell the stars apart. A star with several counterparts has several rows, one
+    without any has one row with nulls.
+    """
+    return stars.join(counterparts(stars, objects, *args, key=key, **options), key, "left").select(*stars.columns, *_MATCHED)
+
+
+def nearest_match(matches: DataFrame, key: str = "source_id") -> DataFrame:
+    """One row per matched star: its nearest counterpart, ties to the smaller business key.
+
+    Tasks reduce the matches before they are shuffled.
+    """
+    order = F.struct("threshold_angular_d", F.col("bk_simbad").isNull(), "bk_simbad")
+    best = matches.groupBy(key).agg(F.min_by(F.struct(*_MATCHED), order).alias("m"))
+    return best.select(key, "m.*")
+
+
+def attach_nearest(stars: DataFrame, objects: DataFrame, *args: object, key: str = "source_id", **options: object) -> DataFrame:
+    """Stars with their nearest counterpart or ``"-1"`` in ``bk_simbad``, exactly one row per star.
+
+    The wide rows are shuffled on ``key`` alone, to meet one narrow row per matched star.
+    """
+    best = nearest_match(counterparts(stars, objects, *args, key=key, **options), key)
+    joined = stars.join(best, key, "left").select(*stars.columns, *_MATCHED)
+    return joined.withColumn("bk_simbad", F.coalesce("bk_simbad", F.lit(NO_MATCH)))
+
+
 def nearest_counterpart(matched: DataFrame, key: str = "source_id") -> DataFrame:
     """One row per star: the nearest counterpart, or ``"-1"`` in ``bk_simbad``."""
     best = nearest_by(matched, key, "threshold_angular_d", "bk_simbad")

@@ -14,7 +14,7 @@ from starloom.functions.sky import (
 )
 from starloom.operators.joins import join_astrometry_photometry
 from starloom.operators.ranking import distinct_by_key
-from starloom.operators.spatial import attach_counterparts, nearest_counterpart
+from starloom.operators.spatial import attach_nearest
 
 
 def object_dimension(objects: DataFrame) -> DataFrame:
@@ -36,13 +36,12 @@ def star_facts(
 ) -> DataFrame:
     """One row per star with magnitudes, distance, velocity and its nearest object.
 
-    See :func:`starloom.operators.spatial.attach_counterparts` for the two match modes.
-    Derived quantities depend on the star alone and are computed after the ranking, so that
-    the shuffles carry measured columns only.
+    See :func:`starloom.operators.spatial.counterparts` for the two match modes. Derived
+    quantities depend on the star alone and are computed after the match, so that the
+    shuffles carry measured columns only.
     """
     stars = join_astrometry_photometry(astrometry, photometry)
-    matched = attach_counterparts(stars, objects, tolerance_deg, mode)
-    best = nearest_counterpart(matched.drop("ra_r", "dec_r", "ra_prop", "dec_prop"))
+    best = attach_nearest(stars, objects, tolerance_deg, mode)
     derived = (
         best.transform(with_distance_parsec("parallax", "is_reliable_plx"))
         .transform(with_absolute_magnitudes("j_m", "h_m", "ks_m", "distance_pc", unreliable_as_null))

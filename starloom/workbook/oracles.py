@@ -1,7 +1,8 @@
 """DuckDB SQL that says what each registered query must return.
 
 Written from the definitions, in the plainest form: pixel joins, cross joins and windows
-where the library has something better.
+where the library has something better. Numbers are written with an exponent (``1.4e0``), since
+DuckDB reads ``1.4`` as a decimal and not as a double.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ def stars(wide: bool = False, observation: int = 1) -> str:
           SELECT o_orderkey AS k, {source} AS source_id, {ra} AS ra, {dec} AS dec,
             CASE WHEN o_orderkey % 97 <> 0 THEN (o_orderkey * 31 % 400 - 50 + {bump}) / 1e1 END AS parallax,
             5e-2 + (o_orderkey % 20) / 2e1 AS parallax_error,
-            CASE WHEN o_orderkey % 17 <> 0 THEN (o_orderkey * 13 % 2001 - 1000 + {bump}) / 1e1 END AS pmra,
+            CASE WHEN o_orderkey % 101 = 0 THEN CAST('nan' AS DOUBLE) WHEN o_orderkey % 17 <> 0 THEN (o_orderkey * 13 % 2001 - 1000 + {bump}) / 1e1 END AS pmra,
             CASE WHEN o_orderkey % 19 <> 0 THEN (o_orderkey * 11 % 2001 - 1000) / 1e1 END AS pmdec,
             8e-1 + (o_orderkey % 15) / 1e1 AS ruwe,
             8 + (o_orderkey % 1200) / 1e2 AS phot_g_mean_mag,
@@ -128,7 +129,7 @@ def _chord2(a: tuple[str, str], b: tuple[str, str]) -> str:
     return " + ".join(f"pow({p} - {q}, 2)" for p, q in zip(_unit(*a), _unit(*b)))
 
 
-_STEP = "(16e0 * (1e0 / 36e5))"
+_STEP = "(16e0 * (1e0 / 3.6e6))"
 
 
 def _moved(ra: str, dec: str, pmra: str, pmdec: str) -> tuple[str, str]:
@@ -171,7 +172,7 @@ def astrometry(wide: bool = False) -> str:
     latest = _rank1(_sources("source_id, " + ", ".join(_MEASURED), wide), "source_id", f"fct_dt DESC, {ties}")
     x, y, z = _unit("ra", "dec")
     return f"""(SELECT source_id, {", ".join(_MEASURED)}, fct_dt, healpix_index, {x} AS x_unit, {y} AS y_unit,
-      {z} AS z_unit, ruwe < 14e-1 AS is_reliable_astro, {_RELIABLE} AS is_reliable_plx FROM {healpix(latest)})"""
+      {z} AS z_unit, ruwe < 1.4e0 AS is_reliable_astro, {_RELIABLE} AS is_reliable_plx FROM {healpix(latest)})"""
 
 
 def photometry(wide: bool = False) -> str:
@@ -218,7 +219,7 @@ def gold_fact() -> str:
       {_rounded("color_j_h, color_h_ks, distance_pc", 6)},
       round({_magnitude("j_m")}, 6) AS abs_mag_j, round({_magnitude("h_m")}, 6) AS abs_mag_h,
       round({_magnitude("ks_m")}, 6) AS abs_mag_ks,
-      round(474e-2 * distance_pc * sqrt(pow(pmra, 2)) + pow(pmdec, 2), 7) AS tangential_velocity
+      round(4.74e0 * distance_pc * sqrt(pow(pmra, 2)) + pow(pmdec, 2), 7) AS tangential_velocity
       FROM (SELECT *, CASE WHEN is_reliable_plx THEN 1000 / parallax ELSE 0 END AS distance_pc FROM {best})"""
 
 
@@ -318,10 +319,10 @@ def oracle_sql() -> dict[str, str]:
           round({_magnitude("j_m", "NULL")}, 6) AS known_mag_j FROM {with_distance}""",
         "propagate_motion": f"SELECT source_id, round({moved[0]}, 9) AS ra_prop, round({moved[1]}, 9) AS dec_prop FROM {stars()}",
         "tangential_velocity": f"""SELECT source_id,
-          round(474e-2 * distance_pc * sqrt(pow(pmra, 2)) + pow(pmdec, 2), 7) AS tangential_velocity,
-          round(474e-2 * (distance_pc / 1000) * sqrt(pow(pmra, 2) + pow(pmdec, 2)), 7) AS velocity_km_s
+          round(4.74e0 * distance_pc * sqrt(pow(pmra, 2)) + pow(pmdec, 2), 7) AS tangential_velocity,
+          round(4.74e0 * (distance_pc / 1000) * sqrt(pow(pmra, 2) + pow(pmdec, 2)), 7) AS velocity_km_s
           FROM {with_distance}""",
-        "quality_flags": f"""SELECT source_id, ruwe < 14e-1 AS is_reliable_astro, {_RELIABLE} AS is_reliable_plx
+        "quality_flags": f"""SELECT source_id, ruwe < 1.4e0 AS is_reliable_astro, {_RELIABLE} AS is_reliable_plx
           FROM {stars()}""",
         "sexagesimal_to_deg": """SELECT o_orderkey AS source_id,
           printf('%02dh%02dm%02d.%02ds', o_orderkey % 24, o_orderkey % 60, o_orderkey * 7 % 60, o_orderkey * 3 % 100) AS ra_text,

@@ -35,7 +35,8 @@ def stars(spark: SparkSession, sf_dir: str, wide: bool = False, observation: int
     """Star rows from ``orders``.
 
     ``observation=2`` is a second look at the same stars: dates shifted by up to three days
-    either way, slightly other values, and no source id for some rows.
+    either way, slightly other values, and no source id for some rows. Some motions are null,
+    some NaN.
     """
     second = observation == 2
     ra, dec = _position("o_orderkey", wide)
@@ -49,7 +50,7 @@ def stars(spark: SparkSession, sf_dir: str, wide: bool = False, observation: int
         f"{dec} AS dec",
         f"IF({k} % 97 != 0, ({k} * 31 % 400 - 50 + {bump}) / 10D, NULL) AS parallax",
         f"0.05D + ({k} % 20) / 20D AS parallax_error",
-        f"IF({k} % 17 != 0, ({k} * 13 % 2001 - 1000 + {bump}) / 10D, NULL) AS pmra",
+        f"IF({k} % 101 = 0, double('NaN'), IF({k} % 17 != 0, ({k} * 13 % 2001 - 1000 + {bump}) / 10D, NULL)) AS pmra",
         f"IF({k} % 19 != 0, ({k} * 11 % 2001 - 1000) / 10D, NULL) AS pmdec",
         f"0.8D + ({k} % 15) / 10D AS ruwe",
         f"8 + ({k} % 1200) / 100D AS phot_g_mean_mag",

@@ -241,3 +241,55 @@ def test_hot_cell_is_split_by_skew_join(spark, tmp_path):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("mode", ["pixel", "exact"])
+def test_every_star_has_one_row_whatever_its_motion(spark, mode):
+    """Stars at a pole, with NaN, null or absurd motion, or without a position."""
+    nan = float("nan")
+    stars_at = [
+        (1, 10.0, 90.0, 5.0, 5.0),
+        (2, 10.0, -89.9999, nan, 1.0),
+        (3, 20.0, 5.0, nan, nan),
+        (4, 20.0, 5.0, 1e15, -1e15),
+        (5, None, 5.0, 1.0, 1.0),
+        (6, nan, nan, 1.0, 1.0),
+        (7, 30.0, 30.0, None, None),
+        (8, 30.0, 89.0, 0.0, 7.2e6 * 60 / 16),
+    ]
+    rows = spark.createDataFrame(stars_at, "source_id long, ra double, dec double, pmra double, pmdec double")
+    objects = spark.createDataFrame([("far", 200.0, -40.0), ("at", 30.0, 30.0)], "bk_simbad string, ra double, dec double")
+    s, o = (df.transform(with_healpix_index("ra", "dec")) for df in (rows, objects))
+    attached = spatial.attach_counterparts(s, o, mode=mode).collect()
+    assert sorted(r.source_id for r in attached) == [1, 2, 3, 4, 5, 6, 7, 8]
+    best = {r.source_id: r.bk_simbad for r in spatial.attach_nearest(s, o, mode=mode).collect()}
+    assert best == {1: "-1", 2: "-1", 3: "-1", 4: "-1", 5: "-1", 6: "-1", 7: "at", 8: "-1"}
+
+
+def test_motion_across_a_pole_is_followed(spark):
+    """An object at 89.9995 moves 0.001 degrees north: over the pole to the other side."""
+    moves = 0.001 * 3.6e6 / 16
+    s = spark.createDataFrame([(1, 190.0, 89.9995, 0.0, moves)], "source_id long, ra double, dec double, pmra double, pmdec double")
+    o = spark.createDataFrame([("over", 10.0, 89.9995), ("stays", 190.0, 89.9995)], "bk_simbad string, ra double, dec double")
+    s, o = (df.transform(with_healpix_index("ra", "dec")) for df in (s, o))
+    assert [r.bk_simbad for r in spatial.counterparts(s, o, mode="exact").collect()] == ["over"]
+
+
+@pytest.mark.parametrize("mode", ["pixel", "exact"])
+def test_wide_star_rows_are_shuffled_once(spark, mode):
+    """With broadcasts off, only one exchange carries the columns that take no part in the match."""
+    wide = spark.range(500).selectExpr(
+        "id AS source_id", "id / 10.0D AS ra", "id / 20.0D AS dec", "1.0D AS pmra", "1.0D AS pmdec", "id * 3 AS payload"
+    )
+    objects = spark.range(500).selectExpr("string(id) AS bk_simbad", "id / 10.0D AS ra", "id / 20.0D AS dec")
+    s, o = (df.transform(with_healpix_index("ra", "dec")) for df in (wide, objects))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = spatial.attach_nearest(s, o, mode=mode)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan.splitlines()
+    exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert sum("payload" in lines[i + 1] for i in exchanges) == 1
+    assert "BroadcastExchange" not in plan and "NestedLoop" not in plan
