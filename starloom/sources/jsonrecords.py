@@ -13,6 +13,16 @@ CORRUPT = "_corrupt_record"
 _ZERO = {T.StringType: "", T.IntegerType: 0, T.LongType: 0, T.FloatType: 0.0, T.DoubleType: 0.0, T.BooleanType: False}
 
 
+def zeroed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` with 0, "" or false in place of nulls."""
+    return df.select(
+        *(
+            F.coalesce(f.name, F.lit(_ZERO[type(f.dataType)]).cast(f.dataType)).alias(f.name) if type(f.dataType) in _ZERO else F.col(f.name)
+            for f in schema.fields
+        )
+    )
+
+
 def parse_records(
     df: DataFrame, text: str, schema: T.StructType, zero_for_null: bool = True, keep: tuple[str, ...] = ()
 ) -> DataFrame:

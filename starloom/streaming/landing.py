@@ -1,13 +1,15 @@
 """Landing of message batches, each message exactly once.
 
 Messages are lines of JSON text, ``{"catalog": …, "data": […], "hash": …}``. The stream
-reads message files ten at a time until none are left. The checkpoint takes the part of the
-queue's acknowledgements: a file counts as done when its rows are on disk.
+reads message files ten at a time, or by bytes, until none are left. The checkpoint takes the
+part of the queue's acknowledgements: a file counts as done when its rows are on disk. A
+message is told by its catalogue and hash, as the hash covers the records alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +18,18 @@ from pyspark.sql import types as T
 # Fixed values of the queue consumer.
 MAX_FILES_PER_TRIGGER = 10
 
+#: Ledger folders, one per micro-batch, that are put together before a run.
+LEDGER_FOLDERS = 64
+_MESSAGE = ("catalog", "hash")
+_LEDGER = "catalog string, hash string, batch_id long"
 
-def read_messages(spark: SparkSession, path: str, max_files: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
-    return spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
+
+def read_messages(
+    spark: SparkSession, path: str, max_files: int = MAX_FILES_PER_TRIGGER, max_bytes: int | None = None
+) -> DataFrame:
+    """Lines of the message files; a micro-batch takes ``max_files`` files or, if given, about ``max_bytes`` bytes."""
+    limit = ("maxBytesPerTrigger", max_bytes) if max_bytes else ("maxFilesPerTrigger", max_files)
+    return spark.readStream.option(*limit).text(path)
 
 
 def parse_messages(lines: DataFrame, record: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
@@ -40,9 +51,45 @@ def parse_messages(lines: DataFrame, record: T.StructType, keep: Sequence[str] =
     return parsed.select(*keep, "m.catalog", "m.data", "m.hash", malformed)
 
 
-def _has_files(spark: SparkSession, path: str) -> bool:
+def _folder(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _numbers(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Values of the ``name=value`` folders below ``path`` that were written to the end."""
+    folder, fs = _folder(spark, path)
+    if not fs.exists(folder):
+        return []
+    done = [f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith(f"{name}=")]
+    marker = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(int(p.getName().split("=")[1]) for p in done if fs.exists(marker(p, "_SUCCESS")))
+
+
+def _ledger(spark: SparkSession, root: str) -> DataFrame | None:
+    """(``catalog``, ``hash``, ``batch_id``) of all landed messages; none yet gives None."""
+    packed, loose = _numbers(spark, f"{root}/ledger", "upto"), _numbers(spark, f"{root}/hashes", "batch_id")
+    parts = [spark.read.schema(_LEDGER).parquet(f"{root}/ledger/upto={packed[-1]}")] if packed else []
+    if loose:
+        parts.append(spark.read.schema(_LEDGER).parquet(f"{root}/hashes"))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def compact_ledger(spark: SparkSession, root: str, folders: int = LEDGER_FOLDERS) -> None:
+    """Put the ledger into one folder once it has ``folders`` small ones, so that listing it stays cheap.
+
+    The new folder counts when it is complete and the old ones go after that. A crash in
+    between leaves entries twice, which changes nothing. Not to be run while a stream lands.
+    """
+    loose = _numbers(spark, f"{root}/hashes", "batch_id")
+    if len(loose) < folders:
+        return
+    packed = _numbers(spark, f"{root}/ledger", "upto")
+    new = f"{root}/ledger/upto={loose[-1]}"
+    _ledger(spark, root).distinct().write.mode("overwrite").parquet(new)
+    for old in (*(f"{root}/ledger/upto={n}" for n in packed if n != loose[-1]), *(f"{root}/hashes/batch_id={n}" for n in loose)):
+        path, fs = _folder(spark, old)
+        fs.delete(path, True)
 
 
 def land_messages(
@@ -52,33 +99,37 @@ def land_messages(
     record: T.StructType,
     max_files: int = MAX_FILES_PER_TRIGGER,
     record_format: str = "parquet",
+    max_bytes: int | None = None,
 ) -> None:
     """Land all waiting messages and return.
 
     Below ``root``: ``landed/`` (one row per record, by ``batch_id`` and ``catalog``),
-    ``hashes/`` (one row per message), ``dead/`` (malformed lines) and ``checkpoint/``.
+    ``hashes/`` and ``ledger/`` (one row per message), ``dead/`` (malformed lines) and
+    ``checkpoint/``. Ten files per micro-batch is the historic setting; give ``max_bytes``
+    for large backlogs.
 
-    A hash that was landed before is passed over however late it comes back: new messages
-    are compared with the hash ledger, which has one narrow row per thousand records. Every
+    A message that was landed before is passed over however late it comes back: new messages
+    are compared with the ledger, which has one narrow row per thousand records. Every
     micro-batch writes to its own ``batch_id`` directory and overwrites it when it is run
     again after a failure, and it reads the ledger of earlier batches only, so a retry gives
     the same rows.
     """
     landed, hashes, dead = f"{root}/landed", f"{root}/hashes", f"{root}/dead"
+    compact_ledger(spark, root)
 
     def land(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_messages(batch, record).persist()
         try:
             good = parsed.filter(F.col("malformed").isNull())
-            # copies of one message are equal; one per hash survives, reduced before the shuffle
-            fresh = good.groupBy("hash").agg(F.min_by(F.struct("catalog", "data"), "catalog").alias("m"))
-            if _has_files(spark, hashes):
-                ledger = spark.read.schema("hash string, batch_id long").parquet(hashes)
-                earlier = ledger.filter(F.col("batch_id") < batch_id).select("hash")
+            # copies of one message are equal; one of each survives, reduced before the shuffle
+            fresh = good.groupBy(*_MESSAGE).agg(F.any_value("data").alias("data"))
+            ledger = _ledger(spark, root)
+            if ledger is not None:
+                earlier = ledger.filter(F.col("batch_id") < batch_id).select(*_MESSAGE)
                 # the semi join scans the ledger without shuffling it when the batch is small
-                seen = earlier.join(fresh.select("hash"), "hash", "left_semi")
-                fresh = fresh.join(seen, "hash", "left_anti")
-            fresh = fresh.select("m.catalog", "m.data", "hash").persist()
+                seen = earlier.join(fresh.select(*_MESSAGE), list(_MESSAGE), "left_semi")
+                fresh = fresh.join(seen, list(_MESSAGE), "left_anti")
+            fresh = fresh.select("catalog", "data", "hash").persist()
             try:
                 rows = fresh.select("catalog", "hash", F.explode("data").alias("r")).select("catalog", "hash", "r.*")
                 rows.write.mode("overwrite").partitionBy("catalog").format(record_format).save(
@@ -88,14 +139,14 @@ def land_messages(
                     f"{dead}/batch_id={batch_id}"
                 )
                 # the ledger entry comes last: until it is there the batch counts as not landed
-                fresh.select("hash").write.mode("overwrite").parquet(f"{hashes}/batch_id={batch_id}")
+                fresh.select(*_MESSAGE).write.mode("overwrite").parquet(f"{hashes}/batch_id={batch_id}")
             finally:
                 fresh.unpersist()
         finally:
             parsed.unpersist()
 
     query = (
-        read_messages(spark, source, max_files)
+        read_messages(spark, source, max_files, max_bytes)
         .writeStream.foreachBatch(land)
         .option("checkpointLocation", f"{root}/checkpoint")
         .trigger(availableNow=True)
@@ -109,7 +160,7 @@ def land_within_watermark(
 ) -> None:
     """Like :func:`land_messages`, but with repeats found in stream state only.
 
-    The state holds each hash for ``delay`` after it was read and does not grow beyond that;
+    The state holds each catalogue and hash for ``delay`` after it was read and does not grow beyond that;
     a repeat that comes later is landed again. Malformed lines are not written here.
     """
     messages = (
@@ -119,7 +170,7 @@ def land_within_watermark(
     )
     parsed = parse_messages(messages, record, ["seen_at"]).filter(F.col("malformed").isNull())
     rows = (
-        parsed.dropDuplicatesWithinWatermark(["hash"])
+        parsed.dropDuplicatesWithinWatermark(list(_MESSAGE))
         .select("catalog", "hash", F.explode("data").alias("r"))
         .select("catalog", "hash", "r.*")
     )

@@ -283,6 +283,9 @@ _EVENT_BATCHES = """(SELECT event_type AS catalog, batch_no, count(*) AS n_recor
 _LANDED_EVENTS = f"""SELECT e.event_type AS catalog, b.hash, e.event_id, e.user_id, e.props FROM (
     SELECT *, (row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1) // 1000 AS batch_no FROM events) e
   JOIN {_EVENT_BATCHES} b ON e.event_type = b.catalog AND e.batch_no = b.batch_no"""
+# the same records under a second catalogue
+_LANDED_TWICE = f"""SELECT catalog || suffix AS catalog, hash, event_id, user_id, props
+  FROM ({_LANDED_EVENTS}), (VALUES (''), ('_mirror')) AS v(suffix)"""
 
 _PLANET_COLUMNS = f"""pl_name, {{mass}}, hostname, {_rounded("ra, dec")}, gaia_dr3_id, sy_snum, sy_mnum, sy_pnum, soltype,
   {{method}}, {{year}}, disc_locale, disc_telescope, obm_flag, micro_flag, releasedate, elon, elat"""
@@ -413,11 +416,11 @@ def oracle_sql() -> dict[str, str]:
         "control_advance": f"""SELECT id, pipeline, genesis,
           CASE WHEN layer = 'silver' THEN DATE '2026-06-19' ELSE "current" END AS "current", layer FROM {_CONTROL_STATE}""",
         "batch_hash": f"SELECT catalog, batch_no, n_records, hash FROM {_EVENT_BATCHES}",
-        "stream_landing": _LANDED_EVENTS,
+        "stream_landing": _LANDED_TWICE,
         "stream_dead_letter": f"""SELECT '{{"catalog": "' || catalog || '", cut off at ' || hash AS malformed
           FROM {_EVENT_BATCHES}""",
-        "stream_watermark": _LANDED_EVENTS,
-        "catalog_landing": f"SELECT 'ps' AS catalog, {_PLANETS_AS_IS} FROM {PLANETS}",
+        "stream_watermark": _LANDED_TWICE,
+        "catalog_landing": f"SELECT 'ps' AS catalog, {_PLANETS_ZEROED} FROM {PLANETS}",
     }
 
 

@@ -590,11 +590,17 @@ def _spoiled(batches: DataFrame) -> DataFrame:
     return batches.select(F.concat(F.lit('{"catalog": "'), "catalog", F.lit('", cut off at '), F.col("hash")).alias("value"))
 
 
+def _with_mirror(batches: DataFrame) -> DataFrame:
+    """Messages of every batch and of a second catalogue with the same records, so with the same hash."""
+    mirror = batches.withColumn("catalog", F.concat("catalog", F.lit("_mirror")))
+    return as_messages(batches.unionByName(mirror))
+
+
 def _land_events(spark: SparkSession, sf: str) -> str:
     """Every message twice and a spoiled line per batch, landed; then all of it once more."""
     source, root = scratch_path(spark, "messages"), scratch_path(spark, "landing")
     batches = stage(_event_batches(spark, sf), "event-batches")
-    lines = as_messages(batches)
+    lines = _with_mirror(batches)
     lines.unionByName(lines).unionByName(_spoiled(batches)).write.text(source)
     landing.land_messages(spark, source, root, EVENT)
     lines.write.mode("append").text(source)
@@ -613,17 +619,17 @@ def stream_dead_letter(spark: SparkSession, sf: str) -> DataFrame:
 def stream_watermark(spark: SparkSession, sf: str) -> DataFrame:
     """Repeats removed by stream state alone."""
     source, root = scratch_path(spark, "messages"), scratch_path(spark, "landing")
-    lines = as_messages(stage(_event_batches(spark, sf), "event-batches"))
+    lines = _with_mirror(stage(_event_batches(spark, sf), "event-batches"))
     lines.unionByName(lines).write.text(source)
     landing.land_within_watermark(spark, source, root, EVENT)
     return spark.read.parquet(f"{root}/landed").select("catalog", "hash", *EVENT.names)
 
 
 def catalog_landing(spark: SparkSession, sf: str) -> DataFrame:
-    """Planet catalogue to messages to landed rows."""
+    """Planet catalogue to messages to landed JSON rows; missing values are published as 0 and ""."""
     messages, root = scratch_path(spark, "messages"), scratch_path(spark, "landing")
     publishing.publish_catalog(samples.planets(spark, sf), messages)
-    landed = publishing.land_catalog(spark, messages, root)
+    landed = publishing.land_catalog(spark, messages, root, record_format="json")
     return _round(landed.select("catalog", *catalogs.PLANETS.names))
 
 

@@ -266,3 +266,29 @@ def test_catalog_columns(spark):
     assert len(catalogs.SPECTROSCOPY) == 56 and len(catalogs.PLANETS) == 19 and len(catalogs.STAR_EXTRACT) == 15
     df = spark.range(1).select(*(F.lit(1).alias(c) for c in [*catalogs.SPECTROSCOPY, "more"]))
     assert catalogs.spectroscopy_catalog(df).columns == catalogs.SPECTROSCOPY
+
+
+def test_catalogues_with_equal_records_are_both_landed(spark, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "a.txt").write_text('{"catalog":"ps","data":[{"n":1}],"hash":"h1"}\n{"catalog":"zz","data":[{"n":1}],"hash":"h1"}\n')
+    landing.land_messages(spark, str(source), root, MESSAGE)
+    (source / "b.txt").write_text('{"catalog":"ps","data":[{"n":1}],"hash":"h1"}\n{"catalog":"yy","data":[{"n":1}],"hash":"h1"}\n')
+    landing.land_messages(spark, str(source), root, MESSAGE)
+    assert sorted(r.catalog for r in landing.landed_records(spark, root, MESSAGE).collect()) == ["ps", "yy", "zz"]
+
+
+def test_compacted_ledger_still_knows_every_message(spark, tmp_path):
+    source, root = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    for i in range(3):
+        (source / f"{i}.txt").write_text(f'{{"catalog":"ps","data":[{{"n":{i}}}],"hash":"h{i}"}}\n')
+    landing.land_messages(spark, str(source), str(root), MESSAGE, max_files=1)
+    landing.compact_ledger(spark, str(root), folders=2)
+    assert len(list((root / "ledger").glob("upto=*"))) == 1 and not list((root / "hashes").glob("batch_id=*"))
+    for i in range(4):
+        (source / f"again{i}.txt").write_text(f'{{"catalog":"ps","data":[{{"n":{i}}}],"hash":"h{i}"}}\n')
+    landing.land_messages(spark, str(source), str(root), MESSAGE, max_bytes=100)
+    landing.compact_ledger(spark, str(root), folders=1)
+    landing.land_messages(spark, str(source), str(root), MESSAGE)
+    assert sorted(r.n for r in landing.landed_records(spark, str(root), MESSAGE).collect()) == [0, 1, 2, 3]
