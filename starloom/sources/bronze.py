@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.shape import conform
-from starloom.sources.files import read_csv_inferred, read_parquet_tree
+from starloom.operators.shape import conform, union_all_by_name
+from starloom.sources.files import read_csv_inferred, read_parquet_groups, read_parquet_tree
 
 # The date tokens of a load configuration.
 DATE_TOKENS = {"current_year": "%Y", "current_month": "%m", "current_day": "%d"}
@@ -52,6 +52,11 @@ def resolve_tokens(load: TableLoad, load_date: dt.date) -> TableLoad:
     return TableLoad(load.table_name, load.source, load.dest, load.format, done)
 
 
+def conform_files(spark: SparkSession, path: str, target: T.StructType, on_loss: str = "fail") -> DataFrame:
+    """All Parquet files below ``path`` with the columns and types of ``target``, each group of files conformed by itself."""
+    return union_all_by_name([conform(frame, target, on_loss) for frame in read_parquet_groups(spark, path)])
+
+
 def load_table(
     spark: SparkSession,
     root: str,
@@ -61,8 +66,8 @@ def load_table(
 ) -> str:
     """Append one source to ``root/dest/table_name/key=value/…`` as Snappy Parquet.
 
-    Parquet sources are read at any depth and conformed to ``target``; CSV keeps its
-    inferred types. An unknown format is an error. Partition keys replace data columns of
+    Parquet sources are read at any depth; files are conformed to ``target`` before they
+    are put together, so their types may differ. CSV keeps its inferred types. An unknown format is an error. Partition keys replace data columns of
     the same name. Returns the table's path.
     """
     load = resolve_tokens(load, load_date or dt.date.today())
@@ -71,8 +76,7 @@ def load_table(
     if kind == "csv":
         df = read_csv_inferred(spark, source)
     elif kind == "parquet":
-        df = read_parquet_tree(spark, source)
-        df = conform(df, target) if target is not None else df
+        df = conform_files(spark, source, target) if target is not None else read_parquet_tree(spark, source)
     else:
         raise ValueError(f"table format {load.format} not supported")
     path = f"{root}/{load.dest}/{load.table_name}"

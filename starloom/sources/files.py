@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
-import pandas as pd
-import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,15 +27,79 @@ def read_parquet(
     return df.select(*columns) if columns else df
 
 
-def read_parquet_tree(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """All ``*.parquet`` files below ``path`` at any depth.
+#: Endings of files below a raw prefix that are not Parquet and are passed over.
+OTHER_FORMATS = (".json", ".csv", ".tsv", ".txt", ".xml", ".vot", ".avro", ".orc", ".gz", ".zip", ".md", ".log", ".crc")
 
-    Other files, such as JSON landed under the same prefix, are passed over. Directory names
-    are not read as partitions, so use this for raw data only.
+
+def list_files(spark: SparkSession, path: str, glob: str = "*") -> list[tuple[str, int]]:
+    """Path and length of all files below ``path``, sorted; names that start with ``_`` or ``.`` are hidden.
+
+    The driver lists files for every scan anyway; their contents are not read here.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    return sorted((r["path"], r["length"]) for r in listed.select("path", "length").collect())
+
+
+def _exact(paths: Sequence[str]) -> list[str]:
+    """Paths with their pattern characters taken literally."""
+    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
+
+
+def parquet_files(spark: SparkSession, path: str, skip: Sequence[str] = OTHER_FORMATS) -> tuple[list[str], list[str]]:
+    """(files to read as Parquet, files passed over) below ``path``.
+
+    Every file that is not empty counts as Parquet unless its name ends like another format;
+    one that then is no Parquet stops the read.
+    """
+    files = list_files(spark, path)
+    taken = [f for f, size in files if size and not f.lower().endswith(tuple(skip))]
+    return taken, sorted({f for f, _ in files} - set(taken))
+
+
+def read_parquet_groups(spark: SparkSession, path: str, skip: Sequence[str] = OTHER_FORMATS) -> list[DataFrame]:
+    """All Parquet files below ``path``, one frame for each set of files whose schemas can be merged.
+
+    Spark reads the footers of a set in a job; where it finds two types for one column the set
+    is halved, so files of k kinds cost about k * log(files) such jobs. Directory names are not
+    read as partitions. Files passed over are printed. No file at all is an error.
+    """
+    taken, passed = parquet_files(spark, path, skip)
+    if passed:
+        print(f"not read as Parquet: {len(passed)} files, such as {passed[0]}")
+    if not taken:
+        raise ValueError(f"no Parquet files found in {path}")
+    reader = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True)
+
+    def groups(files: list[str]) -> list[DataFrame]:
+        try:
+            return [reader.parquet(*_exact(files))]
+        except Exception as error:
+            if len(files) == 1 or "CANNOT_MERGE" not in str(error):
+                raise
+        half = len(files) // 2
+        return groups(files[:half]) + groups(files[half:])
+
+    frames: dict[str, list[DataFrame]] = {}
+    for frame in groups(taken):
+        frames.setdefault(frame.schema.json(), []).append(frame)
+    return [reduce(DataFrame.unionByName, same) for same in frames.values()]
+
+
+def read_parquet_tree(spark: SparkSession, path: str, schema: T.StructType | None = None, skip: Sequence[str] = OTHER_FORMATS) -> DataFrame:
+    """All Parquet files below ``path`` at any depth as one frame, whatever their names end in.
+
+    Files of other known formats under the same prefix are passed over. Use this for raw data
+    only, as directory names are not read as partitions. Files whose types differ can't be
+    one frame: that is an error, see :func:`read_parquet_groups`. A known ``schema`` saves
+    reading the footers.
     """
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)
-    return reader.parquet(path)
+    if schema is not None:
+        taken, _ = parquet_files(spark, path, skip)
+        return spark.read.option("recursiveFileLookup", True).schema(schema).parquet(*_exact(taken))
+    frames = read_parquet_groups(spark, path, skip)
+    if len(frames) > 1:
+        raise ValueError(f"the files below {path} have {len(frames)} schemas that differ in type")
+    return frames[0]
 
 
 # Candidate types from the narrowest, each with its bit; the first one that every value of a
@@ -60,15 +124,51 @@ def _csv_fits(c: Column) -> Column:
     )
 
 
-def read_csv_inferred(spark: SparkSession, path: str, null_tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
+def _by_header(spark: SparkSession, path: str, comment: str) -> list[list[str]]:
+    """CSV files below ``path``, those with the same header line together."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    found = (
+        lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+        .where((F.trim("value") != "") & ~F.startswith("value", F.lit(comment)))
+        .withColumn("place", F.struct("block", F.monotonically_increasing_id()))
+        .groupBy("file")
+        .agg(F.min_by("value", "place").alias("header"))
+    )
+    # one line per file
+    groups: dict[str, list[str]] = {}
+    for row in sorted(found.collect()):
+        groups.setdefault(row["header"].rstrip("\r"), []).append(unquote(row["file"]))
+    return list(groups.values())
+
+
+def _csv_texts(spark: SparkSession, path: str, comment: str, multi_line: bool) -> DataFrame:
+    """All columns as text; files with their columns in another order are put together by name."""
+    options = dict(header=True, comment=comment, escape='"', multiLine=multi_line, emptyValue="", nullValue="")
+    frames = []
+    for files in _by_header(spark, path, comment):
+        names = spark.read.csv(_exact(files[:1]), inferSchema=False, **options).columns
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        frames.append(spark.read.schema(schema).csv(_exact(files), mode="FAILFAST", enforceSchema=True, **options))
+    if not frames:
+        raise ValueError(f"no records found in {path}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def read_csv_inferred(
+    spark: SparkSession, path: str, null_tokens: Sequence[str] = NULL_TOKENS, comment: str = "#", multi_line: bool = True
+) -> DataFrame:
     """CSV with header, ``#`` comments and several null tokens, types inferred.
 
     The tokens are null in every column, text included. Types come from one aggregate pass
     over the file: boolean, long, double, date, timestamp, else string. Spark's own
     inference knows a single null token and would leave such numeric columns as text. A
-    file without records is an error.
+    file without records is an error, and so is a row with too many or too few fields.
+
+    Quotes inside quotes are doubled. ``multi_line`` allows line breaks inside quotes, for which
+    Spark has to read a file in one task; turn it off for large files without such breaks.
+    Files below ``path`` may have their columns in different orders.
     """
-    text = spark.read.csv(path, header=True, comment="#", inferSchema=False, emptyValue="", nullValue="")
+    text = _csv_texts(spark, path, comment, multi_line)
     text = text.select(
         *(F.when(~F.col(f"`{c}`").isin(*null_tokens), F.col(f"`{c}`")).alias(c) for c in text.columns)
     )
@@ -87,38 +187,11 @@ def read_csv_inferred(spark: SparkSession, path: str, null_tokens: Sequence[str]
     return text.select(*typed)
 
 
-def file_inventory(
-    spark: SparkSession, path: str, glob: str = "*", whole_file_limit: int = 256 * 1024 * 1024
-) -> DataFrame:
-    """Path, length and SHA-256 of every file below ``path``.
+def file_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """Path, length and SHA-256 of every file below ``path``, on any Hadoop file system.
 
-    Files up to ``whole_file_limit`` bytes are hashed by Spark's binary source. Longer ones
-    are read in pieces inside a task, so that no file has to fit in memory.
+    A file's bytes are one value here, so Spark stops with an error at files above 2 GiB
+    (``spark.sql.sources.binaryFile.maxLength``); cut such files before they are landed.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .load(path)
-    )
-    small = files.filter(F.col("length") <= whole_file_limit).select("path", "length", F.sha2("content", 256).alias("sha256"))
-
-    def hash_in_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            digests = []
-            for uri in batch["path"]:
-                uri = uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
-                fs, name = pyarrow.fs.FileSystem.from_uri(uri)
-                digest = hashlib.sha256()
-                with fs.open_input_stream(name) as stream:
-                    while piece := stream.read(8 * 1024 * 1024):
-                        digest.update(piece)
-                digests.append(digest.hexdigest())
-            yield batch.assign(sha256=digests)
-
-    large = (
-        files.filter(F.col("length") > whole_file_limit)
-        .select("path", "length")
-        .mapInPandas(hash_in_pieces, "path string, length long, sha256 string")
-    )
-    return small.unionByName(large)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))

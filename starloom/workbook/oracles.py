@@ -387,7 +387,14 @@ def oracle_sql() -> dict[str, str]:
         "csv_infer": """SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 0 THEN o_custkey END AS o_custkey,
           CASE WHEN o_orderkey % 15 <> 1 THEN o_orderstatus END AS o_orderstatus,
           CASE WHEN o_orderkey % 20 <> 2 THEN round(o_totalprice, 2) END AS o_totalprice,
-          CAST(o_orderdate AS DATE) AS o_orderdate, o_orderkey % 2 = 0 AS is_even FROM orders""",
+          CAST(o_orderdate AS DATE) AS o_orderdate, o_orderkey % 2 = 0 AS is_even,
+          'say "' || o_orderpriority || '", now' || CASE WHEN o_orderkey % 7 = 0 THEN chr(10) || ' or never' ELSE '' END AS remark
+          FROM orders""",
+        "conform_files": """SELECT o_orderkey, CAST(o_custkey AS DOUBLE) AS o_custkey,
+          CASE o_orderkey % 3 WHEN 0 THEN o_totalprice WHEN 1 THEN CAST(CAST(floor(o_totalprice) AS FLOAT) AS DOUBLE) END AS o_totalprice,
+          CASE WHEN o_orderkey % 3 <> 1 THEN o_orderstatus END AS o_orderstatus FROM orders""",
+        "binary_inventory": """SELECT item_id, CAST(strlen(text) + 1 AS BIGINT) AS length, sha256(text || chr(10)) AS sha256
+          FROM benchmark""",
         "scan_recursive": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
         "scan_merge_schema": """SELECT o_orderkey, o_custkey, CAST(NULL AS DOUBLE) AS o_totalprice, 1999 AS year FROM orders
           UNION ALL SELECT o_orderkey, NULL, o_totalprice, 2000 FROM orders""",

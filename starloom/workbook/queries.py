@@ -344,7 +344,7 @@ def serve_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def csv_infer(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders written as CSV with comments and three null tokens, read back with inferred types."""
+    """Orders written as CSV with comments, three null tokens, quotes, line breaks and two column orders, read back with inferred types."""
     k = F.col("o_orderkey")
     token = F.when(k % 3 == 0, "NULL").when(k % 3 == 1, "null").otherwise("")
     rows = samples.table(spark, sf, "orders").select(
@@ -354,6 +354,7 @@ def csv_infer(spark: SparkSession, sf: str) -> DataFrame:
         F.when(k % 20 == 2, token).otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("o_totalprice"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),
         (k % 2 == 0).cast("string").alias("is_even"),
+        F.concat(F.lit('say "'), "o_orderpriority", F.lit('", now'), F.when(k % 7 == 0, F.lit("\n or never")).otherwise("")).alias("remark"),
     )
     comments = samples.table(spark, sf, "supplier").select(
         F.concat(F.lit("# checked by "), "s_name").alias("o_orderkey"),
@@ -361,7 +362,9 @@ def csv_infer(spark: SparkSession, sf: str) -> DataFrame:
     )
     path = scratch_path(spark, "csv")
     # another comment sign for the writer, which would put quotes around "#" otherwise
-    rows.unionByName(comments).write.option("comment", "~").csv(path, header=True, emptyValue="")
+    options = dict(header=True, emptyValue="", escape='"')
+    rows.where(k % 5 != 0).unionByName(comments).write.option("comment", "~").csv(f"{path}/forth", **options)
+    rows.where(k % 5 == 0).select(*reversed(rows.columns)).write.csv(f"{path}/back", **options)
     return files.read_csv_inferred(spark, path)
 
 
@@ -376,6 +379,27 @@ def scan_recursive(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_parquet_tree(spark, root)
 
 
+CONFORM_FILES_TARGET = catalogs.flat_schema("o_orderkey bigint, o_custkey double, o_totalprice double, o_orderstatus string")
+
+
+def conform_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw files with int and bigint, float and double, missing and surplus columns, one of them without a suffix."""
+    root = scratch_path(spark, "kinds")
+    orders = samples.table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    plain = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    plain.where(k % 3 == 0).write.parquet(f"{root}/a")
+    narrow = plain.where(k % 3 == 1).withColumns({"o_orderkey": k.cast("int"), "o_totalprice": F.floor("o_totalprice").cast("float")})
+    narrow.drop("o_orderstatus").write.parquet(f"{root}/b/deep")
+    orders.where(k % 3 == 2).drop("o_totalprice").coalesce(1).write.parquet(f"{root}/c")
+    orders.write.json(f"{root}/d")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/c")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    part = next(f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    fs.rename(part, spark._jvm.org.apache.hadoop.fs.Path(f"{root}/c/an object 100%"))
+    return bronze.conform_files(spark, root, CONFORM_FILES_TARGET)
+
+
 def scan_merge_schema(spark: SparkSession, sf: str) -> DataFrame:
     """Partition folders whose files differ in their columns, read under one schema."""
     root = scratch_path(spark, "merge")
@@ -460,8 +484,11 @@ def json_first_link(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def binary_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    found = files.file_inventory(spark, sf, "*.parquet")
-    return found.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "length", "sha256")
+    """One text file per benchmark item; length and hash of each file's bytes."""
+    root = scratch_path(spark, "objects")
+    samples.table(spark, sf, "benchmark").select("item_id", "text").write.partitionBy("item_id").text(root)
+    found = files.file_inventory(spark, root)
+    return found.select(F.regexp_extract("path", r"item_id=(\d+)", 1).cast("long").alias("item_id"), "length", "sha256")
 
 
 def load_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -671,6 +698,7 @@ QUERIES: dict[str, Query] = {
     "csv_infer": csv_infer,
     "scan_recursive": scan_recursive,
     "scan_merge_schema": scan_merge_schema,
+    "conform_files": conform_files,
     "bronze_load": bronze_load,
     "medallion": medallion,
     "json_records": json_records,

@@ -48,17 +48,48 @@ def test_parquet_columns_and_partitions(spark, tmp_path):
     assert files.read_parquet(spark, path, ["id"]).columns == ["id"]
 
 
-def test_inventory_hashes_small_and_large_files_alike(spark, tmp_path):
-    (tmp_path / "a.bin").write_bytes(b"x" * 10)
+def test_inventory_of_odd_names(spark, tmp_path):
+    (tmp_path / "a b.bin").write_bytes(b"x" * 10)
     (tmp_path / "sub").mkdir()
-    (tmp_path / "sub" / "b.bin").write_bytes(b"y" * 5000)
-    found = files.file_inventory(spark, str(tmp_path), "*.bin", whole_file_limit=100).collect()
+    (tmp_path / "sub" / "100%20.bin").write_bytes(b"y" * 5000)
+    found = files.file_inventory(spark, str(tmp_path), "*.bin").collect()
     assert {(r.path.rsplit("/", 1)[1], r.length, r.sha256) for r in found} == {
-        ("a.bin", 10, hashlib.sha256(b"x" * 10).hexdigest()),
-        ("b.bin", 5000, hashlib.sha256(b"y" * 5000).hexdigest()),
+        ("a b.bin", 10, hashlib.sha256(b"x" * 10).hexdigest()),
+        ("100%20.bin", 5000, hashlib.sha256(b"y" * 5000).hexdigest()),
     }
 
 
+def test_csv_quotes_line_breaks_and_column_order(spark, tmp_path):
+    (tmp_path / "1.csv").write_text('a,b\n"say ""hi"", now",5\n"two\nlines",6\n')
+    (tmp_path / "2 x.csv").write_text('# note\nb,a\n7,"x,y"\n')
+    rows = files.read_csv_inferred(spark, str(tmp_path)).select("a", "b").collect()
+    assert sorted(map(tuple, rows)) == [('say "hi", now', 5), ("two\nlines", 6), ("x,y", 7)]
+
+
+@pytest.mark.parametrize("row", ["1,2,3,4", "1,2"])
+def test_csv_with_ragged_rows_is_refused(spark, tmp_path, row):
+    (tmp_path / "t.csv").write_text(f"a,b,c\n1,2,3\n{row}\n")
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        files.read_csv_inferred(spark, str(tmp_path / "t.csv"))
+
+
+def test_files_are_conformed_before_they_are_put_together(spark, tmp_path):
+    target = catalogs.flat_schema("k bigint, v double, w string")
+    spark.createDataFrame([(1, 1.5)], "k int, v float").write.parquet(f"{tmp_path}/a")
+    spark.createDataFrame([(2, 2.5, True)], "k bigint, v double, more boolean").coalesce(1).write.parquet(f"{tmp_path}/b")
+    part = next((tmp_path / "b").glob("part-*"))
+    part.rename(tmp_path / "b" / "object [1]")
+    (tmp_path / "empty").write_bytes(b"")
+    spark.range(1).write.json(f"{tmp_path}/c")
+    got = bronze.conform_files(spark, str(tmp_path), target)
+    assert sorted(map(tuple, got.collect())) == [(1, 1.5, None), (2, 2.5, None)]
+    with pytest.raises(ValueError, match="differ in type"):
+        files.read_parquet_tree(spark, str(tmp_path))
+    (tmp_path / "b" / "no parquet").write_bytes(b"something else")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        bronze.conform_files(spark, str(tmp_path), target)
+
+
 RECORD = catalogs.flat_schema("name string, mass double, n int")
 
 
