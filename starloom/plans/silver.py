@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.healpix import with_healpix_index
+from starloom.functions.healpix import parent_pixel, with_healpix_index
 from starloom.functions.keys import date_key
 from starloom.functions.sky import reliable_astrometry, reliable_parallax, with_unit_vectors
 from starloom.operators.ranking import keep_latest
@@ -19,8 +19,8 @@ from starloom.operators.shape import assert_schema, union_all_by_name
 from starloom.sources.catalogs import ASTROMETRY, PHOTOMETRY
 from starloom.sources.tables import overwrite_partitions, sync_table
 
-# Fixed value: the catalogue the infrared magnitudes come from.
-PHOTOMETRY_CATALOG = "2MASS"
+#: Partition column of published tables, a pixel of this order.
+TILE, TILE_ORDER = "sky_tile", 2
 
 
 def _known_sources(sources: Sequence[DataFrame], columns: Sequence[str]) -> DataFrame:
@@ -42,9 +42,8 @@ def astrometry_rows(*sources: DataFrame, latest: bool = True) -> DataFrame:
             "is_reliable_plx": reliable_parallax("parallax", "parallax_error"),
         }
     )
-    flags = ("is_reliable_astro", "is_reliable_plx")
-    rows = rows.select("source_id", *measured, "fct_dt", "healpix_index", "x_unit", "y_unit", "z_unit", *flags)
-    return assert_schema(rows, ASTROMETRY)
+    derived = ("x_unit", "y_unit", "z_unit", "is_reliable_astro", "is_reliable_plx")
+    return assert_schema(rows.select(*ASTROMETRY.names, *derived), ASTROMETRY)
 
 
 def photometry_rows(*sources: DataFrame, latest: bool = True) -> DataFrame:
@@ -55,15 +54,11 @@ def photometry_rows(*sources: DataFrame, latest: bool = True) -> DataFrame:
     rows = keep_latest(rows, tie_breakers=(*measured, "ra", "dec")) if latest else rows
     rows = rows.transform(with_healpix_index("ra", "dec")).withColumns(
         {
-            "catalog_name": F.lit(PHOTOMETRY_CATALOG),
             "color_j_h": F.col("j_m") - F.col("h_m"),
             "color_h_ks": F.col("h_m") - F.col("ks_m"),
         }
     )
-    rows = rows.select(
-        "source_id", *measured, "fct_dt", "healpix_index", "ra", "dec", "color_j_h", "color_h_ks"
-    )
-    return assert_schema(rows, PHOTOMETRY)
+    return assert_schema(rows.select(*PHOTOMETRY.names, "ra", "dec", "color_j_h", "color_h_ks"), PHOTOMETRY)
 
 
 def object_rows(bronze: DataFrame) -> DataFrame:
@@ -81,10 +76,17 @@ def object_rows(bronze: DataFrame) -> DataFrame:
 def publish(
     df: DataFrame,
     table: str,
-    partition_cols: Sequence[str] = ("healpix_index",),
+    partition_cols: Sequence[str] | None = None,
     sort_cols: Sequence[str] = ("healpix_index",),
     purge_key: str | None = None,
 ) -> None:
-    """Create or evolve ``table`` and replace the partitions that occur in ``df``."""
+    """Create or evolve ``table`` and replace the partitions that occur in ``df``.
+
+    By default rows are partitioned by ``sky_tile``, the order-2 pixel around them: at most 192
+    folders for the whole sky, where the order-6 pixel would make 49,152.
+    """
+    if partition_cols is None:
+        partition_cols = (TILE,)
+        df = df.withColumn(TILE, parent_pixel(F.col("healpix_index"), 6, TILE_ORDER))
     sync_table(df, table, partition_cols, sort_cols)
     overwrite_partitions(df, table, purge_key)

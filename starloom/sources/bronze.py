@@ -84,6 +84,12 @@ def load_table(
     return path
 
 
+def dated_schema(target: T.StructType, load: TableLoad) -> T.StructType:
+    """Schema of a loaded table: ``target`` with the partition keys, as Spark reads them, in place of columns of those names."""
+    keys = [k for k, _ in load.partitions]
+    return T.StructType([*(f for f in target.fields if f.name not in keys), *(T.StructField(k, T.IntegerType()) for k in keys)])
+
+
 def write_by_date(df: DataFrame, path: str, partitions: Mapping[str, str]) -> None:
     """Append under the given constant partition values."""
     df = df.withColumns({k: F.lit(v) for k, v in partitions.items()})

@@ -413,6 +413,9 @@ def oracle_sql() -> dict[str, str]:
           CASE WHEN sky_tile < {_NORTH} THEN round(dec, 9) END AS dec,
           CASE WHEN sky_tile >= {_NORTH} THEN round(parallax, 9) END AS parallax, healpix_index, sky_tile
           FROM {tiled("source_id, ra, dec, parallax")}""",
+        "table_retyped": """SELECT o_orderkey, CAST(o_orderkey % 30 AS INTEGER) AS mag, 1 AS part FROM orders
+          UNION ALL SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_orderkey % 30 + 1 AS INTEGER) END,
+            CASE WHEN o_orderkey % 3 <> 0 THEN 2 ELSE 0 END FROM orders""",
         "overwrite_partitions": f"""SELECT CASE WHEN sky_tile >= {_NORTH} THEN source_id + 1000000 ELSE source_id END AS source_id,
           {_rounded("ra, dec")}, healpix_index, sky_tile FROM {three}""",
         "purge_moved": f"""SELECT source_id, {_rounded("ra, dec")}, healpix_index,

@@ -439,16 +439,15 @@ def bronze_load(spark: SparkSession, sf: str) -> DataFrame:
 def medallion(spark: SparkSession, sf: str) -> DataFrame:
     """Raw files through bronze, silver and gold tables; the fact table read back."""
     paths = _load_bronze(spark, sf)
-    star_rows = files.read_parquet(spark, paths["stars"])
-    object_rows = files.read_parquet(spark, paths["objects"])
+    star_rows, object_rows = (
+        files.read_parquet(spark, paths[name], schema=bronze.dated_schema(schema, load))
+        for name, schema, load in (("stars", catalogs.STAR_BRONZE, LOADS[0]), ("objects", catalogs.OBJECT_BRONZE, LOADS[1]))
+    )
     db = _database(spark)
-    tile = ("sky_tile",)
 
     def save(df: DataFrame, name: str) -> DataFrame:
-        # an order-2 tile keeps the number of folders small for a table of any size
-        tiled = df.withColumn("sky_tile", parent_pixel(F.col("healpix_index"), 6, 2))
-        silver.publish(tiled, f"{db}.{name}", tile, ("healpix_index",))
-        return spark.table(f"{db}.{name}").drop("sky_tile")
+        silver.publish(df, f"{db}.{name}")
+        return spark.table(f"{db}.{name}").drop(silver.TILE)
 
     astrometry = save(silver.astrometry_rows(star_rows), "astrometry")
     photometry = save(silver.photometry_rows(star_rows), "photometry")
@@ -540,6 +539,19 @@ def table_add_columns(spark: SparkSession, sf: str) -> DataFrame:
     return _round(spark.table(table).select("source_id", "ra", "dec", "parallax", "healpix_index", "sky_tile"))
 
 
+def table_retyped(spark: SparkSession, sf: str) -> DataFrame:
+    """New rows bring a fractional magnitude for an integer column: whole ones are written, the others are kept out."""
+    whole = samples.table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 30).cast("int").alias("mag"), F.lit(1).alias("part"))
+    table = f"{_database(spark)}.magnitudes"
+    silver.publish(whole, table, ("part",), ("o_orderkey",))
+    k = F.col("o_orderkey")
+    again = whole.select(k, (F.col("mag") + F.when(k % 3 == 0, 0.7).otherwise(1.0)).alias("MAG"), F.lit(2).alias("part"))
+    clean, lossy = shape.split_losses(tables.aligned(again, table, on_loss="mark"))
+    silver.publish(clean, table, ("part",))
+    kept_out = lossy.select("o_orderkey", F.lit(None).cast("int").alias("mag"), F.lit(0).alias("part"))
+    return spark.table(table).unionByName(kept_out)
+
+
 def overwrite_partitions(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of some tiles come again with other values; the other tiles stay."""
     table = _create(spark, sf, ["source_id", "ra", "dec"])
@@ -708,6 +720,7 @@ QUERIES: dict[str, Query] = {
     "load_metrics": load_metrics,
     "table_create_sync": table_create_sync,
     "table_add_columns": table_add_columns,
+    "table_retyped": table_retyped,
     "overwrite_partitions": overwrite_partitions,
     "purge_moved": purge_moved,
     "clustered_write": clustered_write,

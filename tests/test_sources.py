@@ -164,6 +164,31 @@ def test_overwrite_only_touches_given_partitions(spark, table):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
+def test_values_that_do_not_fit_are_refused(spark, table):
+    first = spark.createDataFrame([(1, 1)], "p int, v int")
+    tables.sync_table(first, table, ["p"])
+    tables.overwrite_partitions(first, table)
+    with pytest.raises(Exception, match="cannot cast 1.7"):
+        tables.overwrite_partitions(spark.createDataFrame([(1, 1.7)], "p int, v double"), table)
+    assert spark.table(table).collect()[0].v == 1
+
+
+def test_purge_on_a_table_made_elsewhere(spark, table):
+    """Partition columns come from the catalogue; null partitions are emptied too."""
+    rows = spark.createDataFrame([(1, "a", 0), (2, "b", 0), (3, None, 0), (4, "it's", 0)], "k int, p string, q int")
+    rows.write.partitionBy("p", "q").saveAsTable(table)
+    moved = spark.createDataFrame([(1, "z", 0), (3, "z", 0), (4, "z", 0)], "k int, p string, q int")
+    tables.overwrite_partitions(moved, table, purge_key="k")
+    assert sorted((r.k, r.p) for r in spark.table(table).collect()) == [(1, "z"), (2, "b"), (3, "z"), (4, "z")]
+    assert len(spark.sql(f"SHOW PARTITIONS {table}").collect()) == 2
+
+
+def test_a_table_without_partitions_is_replaced(spark, table):
+    spark.createDataFrame([(1,)], "k int").write.saveAsTable(table)
+    tables.overwrite_partitions(spark.createDataFrame([(2,)], "k int"), table, purge_key="k")
+    assert [r.k for r in spark.table(table).collect()] == [2]
+
+
 def test_purge_removes_moved_rows(spark, table):
     first = spark.createDataFrame([(1, 5), (2, 5), (3, 6), (4, 7)], "k int, p int")
     tables.sync_table(first, table, ["p"])
