@@ -10,10 +10,11 @@ whose runner-up costs least, so A-star runs for those alone.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from heapq import heappop, heappush
-from itertools import product
+from itertools import chain, compress, product
 from math import inf
 
 import numpy as np
@@ -28,7 +29,11 @@ from starloom.llm.common import slices, texts
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 3
 #: Words a Python worker remembers over its tasks; it forgets all when there are more.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
+#: Characters that words learned together may hold; the table has a row of so many numbers per prefix.
+COMMON_CHARACTERS = 192
+LONGEST = 64
+LEARNED_AT_ONCE = 4096
 #: The mark for a space inside pieces.
 MARK = "▁"
 #: What a character without a piece costs below the worst piece, as in the unigram model.
@@ -47,6 +52,12 @@ class Vocabulary:
     byte_ids: list[int]
     alone: str
 
+    def nodes(self) -> Nodes:
+        """Built once per worker and not sent."""
+        if "_nodes" not in self.__dict__:
+            self._nodes = Nodes.build(self.table)
+        return self._nodes
+
     @classmethod
     def load(cls, path: str = MODEL_PATH) -> Vocabulary:
         """Read on the driver; the tables travel to the tasks as a broadcast of a few MB."""
@@ -71,6 +82,36 @@ class Vocabulary:
         return cls(table, octets, byte_ids, alone)
 
 
+@dataclass
+class Nodes:
+    """The prefix table as an array: next node by node and kind of character (0: none), piece id by node, score by id."""
+
+    kind_of: np.ndarray
+    step: np.ndarray
+    piece: np.ndarray
+    score: np.ndarray
+
+    @classmethod
+    def build(cls, table: dict[str, tuple[int, float] | None], kinds: int = COMMON_CHARACTERS) -> Nodes:
+        """Characters in most prefixes get a kind of their own; a word with another one is learned by itself."""
+        used = Counter(chain.from_iterable(table))
+        kind_of = np.zeros(1 << 16, np.uint8)
+        for kind, (char, _) in enumerate(sorted(used.items(), key=lambda x: (-x[1], x[0]))[: kinds - 1], 1):
+            if ord(char) < len(kind_of) - 1:
+                kind_of[ord(char)] = kind
+        number = {"": 0} | {prefix: i for i, prefix in enumerate(table, 1)}
+        step = np.zeros((len(number), kinds), np.int32)
+        piece = np.full(len(number), -1, np.int32)
+        score = np.zeros(1 + max((e[0] for e in table.values() if e), default=0))
+        for prefix, entry in table.items():
+            kind = kind_of[ord(prefix[-1])] if ord(prefix[-1]) < len(kind_of) else 0
+            if kind:
+                step[number[prefix[:-1]], kind] = number[prefix]
+            if entry:
+                piece[number[prefix]], score[entry[0]] = entry
+        return cls(kind_of, step, piece, score)
+
+
 @dataclass
 class Encoder:
     """Words met so far with their best segmentation, its score and the loss of the runner-up."""
@@ -88,8 +129,12 @@ class Encoder:
 
     def forget(self) -> None:
         class Words(dict):
-            def __missing__(words, word: str) -> int:
+            def add(words, word: str) -> int:
                 words[word] = place = len(words)
+                return place
+
+            def __missing__(words, word: str) -> int:
+                place = words.add(word)
                 self._learn(word)
                 return place
 
@@ -162,15 +207,103 @@ class Encoder:
             else:
                 ids.append(piece)
             at = start
+        ids.reverse()
+        self._keep(word, ids, best[size], best[size] - second[size])
+
+    def _keep(self, word: str, ids: list[int], score: float, loss: float) -> None:
         place = len(self.paths)
-        if place == len(self.score):
+        self._room(1)
+        self.paths.append(np.array(ids, np.int32).tobytes())
+        self.score[place], self.loss[place], self.count[place] = score, loss, len(ids)
+        self.exact[place] = self._octets(ids) == word.encode()
+
+    def _room(self, more: int) -> None:
+        """Make the tables long enough for ``more`` words."""
+        while len(self.paths) + more > len(self.score):
             self.score, self.loss, self.count, self.exact = (
                 np.concatenate((x, np.empty_like(x))) for x in (self.score, self.loss, self.count, self.exact)
             )
-        ids.reverse()
-        self.paths.append(np.array(ids, np.int32).tobytes())
-        self.score[place], self.loss[place], self.count[place] = best[size], best[size] - second[size], len(ids)
-        self.exact[place] = self._octets(ids) == word.encode()
+
+    def learn(self, words: list[str]) -> None:
+        """``_learn`` for many words at once: those of equal length advance together, a character at a time."""
+        nodes = self.vocabulary.nodes()
+        by_size: dict[int, list[str]] = {}
+        for word in words:
+            if MARK in word or len(word) > LONGEST:
+                self.words[word]  # by itself
+            else:
+                by_size.setdefault(len(word), []).append(word)
+        for size, group in by_size.items():
+            for at in range(0, len(group), LEARNED_AT_ONCE):
+                self._learn_equal(group[at : at + LEARNED_AT_ONCE], size, nodes)
+
+    def _learn_equal(self, words: list[str], size: int, nodes: Nodes) -> None:
+        shown = np.frombuffer("".join(words).replace(" ", MARK).encode("utf-32-le"), np.uint32).reshape(-1, size)
+        kinds = nodes.kind_of[np.minimum(shown, len(nodes.kind_of) - 1)].astype(np.intp)
+        if not (common := (kinds > 0).all(axis=1)).all():
+            for k in np.flatnonzero(~common):
+                self.words[words[k]]  # rare characters: by itself
+            words = [words[k] for k in np.flatnonzero(common)]
+            kinds = kinds[common]
+        if not words:
+            return
+        kinds, n = np.ascontiguousarray(kinds.T), len(words)
+        best, second = np.full((size + 1, n), -inf), np.full((size + 1, n), -inf)
+        start, piece = np.zeros((size + 1, n), np.int32), np.zeros((size + 1, n), np.int32)
+        best[0] = 0.0
+        every = np.arange(n)
+        for i in range(size):
+            rows, node = every, np.zeros(n, np.intp)
+            for j in range(i + 1, size + 1):
+                node = nodes.step[node, kinds[j - 1, rows]]
+                if not (alive := node > 0).all():
+                    if j == i + 1:
+                        self._arrive(best, second, start, piece, i, j, rows[~alive], self.unknown, -1)
+                    rows, node = rows[alive], node[alive]
+                    if not len(rows):
+                        break
+                ids = nodes.piece[node]
+                whole = ids >= 0
+                if j == i + 1 and not whole.all():
+                    self._arrive(best, second, start, piece, i, j, rows[~whole], self.unknown, -1)
+                ids = ids[whole]
+                if len(ids):
+                    self._arrive(best, second, start, piece, i, j, rows[whole], nodes.score[ids], ids)
+        steps, at = [], np.full(n, size)
+        while at.any():
+            steps.append(np.where(at > 0, piece[at, every], -2))
+            unknown = np.flatnonzero(steps[-1] == -1)
+            at = np.where(at > 0, start[at, every], 0)
+            steps[-1][unknown] = -10 - at[unknown]  # the place of a character that is spelled in bytes
+        loss, paths = best[size] - second[size], np.array(steps[::-1]).T
+        plain = (paths > -10).all(axis=1)
+        for k in np.flatnonzero(~plain):
+            ids = chain.from_iterable([x] if x >= 0 else map(self.vocabulary.byte_ids.__getitem__, words[k][-10 - x].encode()) for x in paths[k].tolist() if x != -2)
+            self.words.add(words[k])
+            self._keep(words[k], list(ids), best[size, k], loss[k])
+        known = list(compress(words, plain.tolist()))
+        first, paths = len(self.paths), paths[plain]
+        used = paths >= 0
+        ids, ends = paths[used].astype(np.int32), np.cumsum(used.sum(axis=1))
+        self._room(len(known))
+        rows = slice(first, first + len(known))
+        self.score[rows], self.loss[rows], self.count[rows] = best[size, plain], loss[plain], used.sum(axis=1)
+        self.exact[rows] = self._octets(ids.tolist()) == "".join(known).encode()
+        octets = ids.tobytes()
+        stops = (4 * ends).tolist()
+        self.paths.extend(octets[i:j] for i, j in zip([0, *stops], stops))
+        self.words.update(zip(known, range(first, first + len(known))))
+
+    @staticmethod
+    def _arrive(best, second, start, piece, i, j, rows, score, ids) -> None:
+        """Offer position ``j`` the paths that come from ``i`` by one piece."""
+        total, now = best[i, rows] + score, best[j, rows]
+        better = total > now
+        runner = second[i, rows] + score
+        second[j, rows] = np.where(better, np.maximum(now, runner), np.maximum(second[j, rows], total))
+        best[j, rows] = np.where(better, total, now)
+        start[j, rows] = np.where(better, i, start[j, rows])
+        piece[j, rows] = np.where(better, ids, piece[j, rows])
 
     def nbest(self, word: str) -> list[tuple[float, tuple[int, ...]]]:
         """The N best (score, ids) of a word by A-star from its end; the first is the Viterbi path."""
@@ -198,11 +331,19 @@ class Encoder:
 
     def encode(self, text: str) -> dict:
         """Best ids and score, the alternatives as changes to them, and whether all decode to the text."""
+        return self.encode_all([text])[0]
+
+    def encode_all(self, several: list[str]) -> list[dict]:
+        """``encode`` for a few texts, whose new words are learned together."""
         if len(self.words) > REMEMBERED:
             self.forget()
-        if not text:
-            return {"ids": np.empty(0, np.int32), "score": 0.0, "round_trip": True, "alternatives": []}
-        parts = self.cut.findall(" " + text)
+        cut = [self.cut.findall(" " + text) if text else [] for text in several]
+        self.learn([w for w in set().union(*cut) if w not in self.words])
+        return [self._encode(text, parts) for text, parts in zip(several, cut)]
+
+    def _encode(self, text: str, parts: list[str]) -> dict:
+        if not parts:
+            return {"ids": np.empty(0, np.int32), "score": 0.0, "round_trip": not text, "alternatives": []}
         found = list(map(self.words.__getitem__, parts))
         places = np.array(found, np.int64)
         ids = np.frombuffer(b"".join(map(self.paths.__getitem__, found)), np.int32)
@@ -257,7 +398,7 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, best: int = BEST) -> Column
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(shared.value, best)
         for parts in slices(batches):
-            done = [encoder.encode(t) for part in parts for t in texts(part)]
+            done = [d for part in parts for d in encoder.encode_all(texts(part))]
             yield pa.StructArray.from_arrays(
                 [
                     pa.array([d["ids"] for d in done], pa.list_(pa.int32())),
