@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from starloom.functions.sky import (
     unit_vector,
 )
 from starloom.operators.ranking import nearest_by
+from starloom.session import stage
 
 _CELL = ("__cx", "__cy", "__cz")
 
@@ -109,6 +111,9 @@ def pairs_within(
 ) -> DataFrame:
     """Every (left, right) pair at most ``radius_deg`` apart, with the columns of both.
 
+    The output holds every pair, so it grows with the square of the density; use
+    :func:`nearest_within` where a count and the nearest will do.
+
     ``right`` is the side copied into cells: pass the smaller table there. Column names of
     the two sides must differ. Larger ``cell_factor`` means fewer copies and more candidates
     per cell: 1 suits degree-wide searches, 16 and more arcsecond ones.
@@ -128,6 +133,42 @@ def pairs_within(
     )
 
 
+def nearest_within(
+    stars: DataFrame,
+    objects: DataFrame,
+    radius_deg: float = 1.0,
+    label: str = "main_id",
+    levels: int = 4,
+    out: tuple[str, str] = ("n_objects", "nearest"),
+) -> DataFrame:
+    """``stars`` with the number of ``objects`` within ``radius_deg`` and the label of the nearest one.
+
+    One row per star row, so the output grows with the stars however dense the sky is
+    (:func:`pairs_within` gives every pair). The count adds the sums of whole cells. The
+    nearest object is looked for within a small radius first, a quarter of the next one and
+    so on; only positions without any go on to a larger one, so a crowded field is settled where
+    few candidates are near. Equal distances go to the smaller label. Stars without a position
+    or an object in reach have 0 and null.
+    """
+    spots = objects.dropna(subset=["ra", "dec"]).groupBy("ra", "dec").agg(F.min(label).alias("__label"), F.count("*").alias("__n"))
+    spots = spots.select(F.col("ra").alias("ra_r"), F.col("dec").alias("dec_r"), "__label", "__n")
+    places = stage(stars.select("ra", "dec").dropna().distinct(), "nearest-places")
+    counted = count_in_cones(objects.select("ra", "dec"), places, radius_deg)
+    separation = great_circle_separation("ra", "dec", F.col("ra_r"), F.col("dec_r"))
+    waiting, found = places, []
+    for level in reversed(range(levels)):
+        reach = radius_deg / 4**level
+        pairs = pairs_within(waiting, spots, reach)
+        best = pairs.groupBy("ra", "dec").agg(F.min_by("__label", F.struct(F.round(separation, 9), "__label")).alias(out[1]))
+        found.append(stage(best, "nearest-found"))
+        if level:
+            waiting = stage(waiting.join(found[-1].select("ra", "dec"), ["ra", "dec"], "left_anti"), "nearest-places")
+    nearest = reduce(DataFrame.unionByName, found)
+    known = counted.join(nearest, ["ra", "dec"], "left").select("ra", "dec", F.col("n_obs").alias(out[0]), out[1])
+    joined = stars.join(known, ["ra", "dec"], "left")
+    return joined.select(*stars.columns, F.coalesce(out[0], F.lit(0).cast("long")).alias(out[0]), out[1])
+
+
 def count_in_cones(
     points: DataFrame,
     centers: DataFrame,

@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.joins import counterpart_chain
-from starloom.operators.spatial import cone_search, pairs_within, valid_coordinates
+from starloom.operators.spatial import cone_search, nearest_within, valid_coordinates
 from starloom.sources.catalogs import star_extract
 
-# Fixed values of the extract: centre (02h07m10.40s +23d27m44.7s) and radii in degrees.
-CENTER_TEXT = ("02h07m10.40s", "+23d27m44.7s")
+# Fixed values of the extract: centre 02h07m10.40s +23d27m44.7s and radii in degrees.
 CENTER = ((2 + 7 / 60 + 10.40 / 3600) * 15, 23 + 27 / 60 + 44.7 / 3600)
 CONE_RADIUS = 5.0
 PAIR_RADIUS = 1.0
@@ -41,11 +40,13 @@ def object_extract(
 
 
 def cluster_extract(star_rows: DataFrame, objects: DataFrame, radius_deg: float = PAIR_RADIUS) -> DataFrame:
-    """Each star of the extract once per object within ``radius_deg``, labelled with it."""
-    labels = objects.select(
-        F.col("main_id").alias("source_cluster"), F.col("ra_deg").alias("ra_r"), F.col("dec_deg").alias("dec_r")
-    )
-    return pairs_within(star_rows, labels, radius_deg).drop("ra_r", "dec_r")
+    """The rows of the extract within ``radius_deg`` of an object: labelled with the nearest, and how many there are.
+
+    The historic extract repeated a star for every object in reach; later steps keep one row
+    per star and no label, so here a row stays one row.
+    """
+    places = objects.select("main_id", F.col("ra_deg").alias("ra"), F.col("dec_deg").alias("dec"))
+    return nearest_within(star_rows, places, radius_deg, out=("n_objects", "source_cluster")).where("n_objects > 0")
 
 
 def write_extract(df: DataFrame, path: str) -> None:

@@ -264,6 +264,14 @@ def _cone_counts(radius: float) -> str:
       ON s.dec BETWEEN c.dec - {radius}e0 - 1e-6 AND c.dec + {radius}e0 + 1e-6 AND {near} GROUP BY ALL)"""
 
 
+def _in_reach(places: str, objects: str) -> str:
+    """Per position: objects within a degree, and the name of the nearest."""
+    separation = _great_circle("s.ra", "s.dec", "c.ra", "c.dec")
+    return f"""(SELECT s.ra, s.dec, count(*) AS n_objects, first(c.main_id ORDER BY round({separation}, 9), c.main_id) AS source_cluster
+      FROM (SELECT DISTINCT ra, dec FROM {places}) s JOIN {objects} c ON s.dec BETWEEN c.dec - 1.001 AND c.dec + 1.001
+      AND {_chord2(("s.ra", "s.dec"), ("c.ra", "c.dec"))} <= {_chord_limit(1)} GROUP BY s.ra, s.dec)"""
+
+
 def tiled(columns: str) -> str:
     return f"(SELECT {columns}, healpix_index, healpix_index >> 8 AS sky_tile FROM {healpix(stars())})"
 
@@ -351,9 +359,8 @@ def oracle_sql() -> dict[str, str]:
         "dim_clusters": f"SELECT main_id, {_rounded('ra, dec')}, healpix_index, bk_simbad FROM {dimension()}",
         "gold_fact": gold_fact(),
         "gold_fact_exact": gold_fact_exact(),
-        "raw_cluster_extract": f"""SELECT source_id, {_rounded(_EXTRACT, 6)}, source_cluster FROM (
-          SELECT s.*, c.main_id AS source_cluster FROM {_INDIVIDUAL} s JOIN {_in_center(centers())} c
-          ON {_chord2(("s.ra", "s.dec"), ("c.ra", "c.dec"))} <= {_chord_limit(1)})""",
+        "raw_cluster_extract": f"""SELECT source_id, {_rounded(_EXTRACT, 6)}, n_objects, source_cluster
+          FROM {_INDIVIDUAL} JOIN {_in_reach(_INDIVIDUAL, _in_center(centers()))} USING (ra, dec)""",
         "raw_individual_extract": f"SELECT source_id, {_rounded(_EXTRACT, 6)} FROM {_INDIVIDUAL}",
         "join_astro_photo": f"""SELECT source_id, is_reliable_plx, healpix_index, {_rounded("j_m, h_m, ks_m, color_j_h,"
           " color_h_ks, parallax, parallax_error, pmra, pmdec, ruwe, x_unit, y_unit, z_unit, ra, dec", 6)} FROM {astro_photo()}""",
@@ -371,10 +378,8 @@ def oracle_sql() -> dict[str, str]:
           sqrt(250000 / (n_obs / (pi() * pow(1e-1, 2))) / pi()))), 9) AS radius_deg FROM {_cone_counts(0.1)}""",
         "valid_coords": f"""SELECT source_id, {_rounded("ra, dec")} FROM {stars()}
           WHERE source_id % 23 <> 0 AND source_id % 29 <> 0""",
-        "sky_pairs_within": f"""SELECT s.source_id, round(s.ra, 9) AS ra, round(s.dec, 9) AS dec,
-          c.main_id AS source_cluster, round(c.ra, 9) AS ra_r, round(c.dec, 9) AS dec_r
-          FROM {stars(True)} s JOIN {centers(True)} c ON s.dec BETWEEN c.dec - 1.001 AND c.dec + 1.001
-          AND {_chord2(("s.ra", "s.dec"), ("c.ra", "c.dec"))} <= {_chord_limit(1)}""",
+        "sky_pairs_within": f"""SELECT source_id, {_rounded("ra, dec")}, coalesce(n_objects, 0) AS n_objects, source_cluster AS nearest
+          FROM {stars(True)} LEFT JOIN {_in_reach(stars(True), centers(True))} USING (ra, dec)""",
         "conform_schema": """SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS DOUBLE) AS o_custkey,
           CASE WHEN price = floor(price) THEN CAST(price AS BIGINT) END AS o_totalprice,
           strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority, CAST(NULL AS VARCHAR) AS clerk,

@@ -300,11 +300,9 @@ def density_radius(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sky_pairs_within(spark: SparkSession, sf: str) -> DataFrame:
+    """Each star with the number of positions within a degree and the name of the nearest."""
     stars = samples.stars(spark, sf, wide=True).select("source_id", "ra", "dec")
-    around = samples.centers(spark, sf, wide=True).select(
-        F.col("main_id").alias("source_cluster"), F.col("ra").alias("ra_r"), F.col("dec").alias("dec_r")
-    )
-    return _round(spatial.pairs_within(stars, around, 1.0))
+    return _round(spatial.nearest_within(stars, samples.centers(spark, sf, wide=True), 1.0))
 
 
 # --- shapes ---------------------------------------------------------------------------

@@ -293,3 +293,18 @@ def test_wide_star_rows_are_shuffled_once(spark, mode):
     exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
     assert sum("payload" in lines[i + 1] for i in exchanges) == 1
     assert "BroadcastExchange" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("radius", [0.5, 20.0])
+def test_nearest_within_against_brute_force(spark, radius):
+    left = frame(spark, sphere_points(300, 11))
+    right = frame(spark, [*sphere_points(150, 12), *sphere_points(20, 12)], "", "name")
+    right = right.withColumn("name", F.concat(F.lit("n"), "name"))
+    rows = left.collect()
+    others = right.collect()
+    got = spatial.nearest_within(left.unionByName(left), right, radius, "name").collect()
+    assert len(got) == 2 * len(rows)
+    for r in got:
+        away = sorted((round(separation((r.ra, r.dec), (o.ra, o.dec)), 9), o["name"]) for o in others)
+        near = [a for a in away if a[0] <= radius]
+        assert r.n_objects == len(near) and r.nearest == (near[0][1] if near else None)
