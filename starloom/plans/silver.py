@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from starloom.functions.healpix import parent_pixel, with_healpix_index
 from starloom.functions.keys import date_key
 from starloom.functions.sky import reliable_astrometry, reliable_parallax, with_unit_vectors
+from starloom.operators.metrics import observed
 from starloom.operators.ranking import keep_latest
 from starloom.operators.shape import assert_schema, union_all_by_name
 from starloom.sources.catalogs import ASTROMETRY, PHOTOMETRY
@@ -79,8 +80,8 @@ def publish(
     partition_cols: Sequence[str] | None = None,
     sort_cols: Sequence[str] = ("healpix_index",),
     purge_key: str | None = None,
-) -> None:
-    """Create or evolve ``table`` and replace the partitions that occur in ``df``.
+) -> dict[str, object]:
+    """Create or evolve ``table``, replace the partitions that occur in ``df``, and return the number of records published.
 
     By default rows are partitioned by ``sky_tile``, the order-2 pixel around them: at most 192
     folders for the whole sky, where the order-6 pixel would make 49,152.
@@ -89,4 +90,4 @@ def publish(
         partition_cols = (TILE,)
         df = df.withColumn(TILE, parent_pixel(F.col("healpix_index"), 6, TILE_ORDER))
     sync_table(df, table, partition_cols, sort_cols)
-    overwrite_partitions(df, table, purge_key)
+    return observed(df, lambda rows: overwrite_partitions(rows, table, purge_key))

@@ -6,11 +6,12 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.operators.shape import conform, union_all_by_name
+from starloom.operators.metrics import observed
 from starloom.sources.files import read_csv_inferred, read_parquet_groups, read_parquet_tree
 
 # The date tokens of a load configuration.
@@ -84,16 +85,19 @@ def load_table(
     return path
 
 
-def dated_schema(target: T.StructType, load: TableLoad) -> T.StructType:
-    """Schema of a loaded table: ``target`` with the partition keys, as Spark reads them, in place of columns of those names."""
-    keys = [k for k, _ in load.partitions]
+def dated_schema(target: T.StructType, keys: Sequence[str]) -> T.StructType:
+    """Schema of a loaded table: ``target`` with the date keys, which Spark reads as integers, in place of columns of those names."""
     return T.StructType([*(f for f in target.fields if f.name not in keys), *(T.StructField(k, T.IntegerType()) for k in keys)])
 
 
-def write_by_date(df: DataFrame, path: str, partitions: Mapping[str, str]) -> None:
-    """Append under the given constant partition values."""
+def write_by_date(df: DataFrame, path: str, partitions: Mapping[str, str], metrics: Mapping[str, Column] | None = None) -> dict[str, object]:
+    """Append under the given constant partition values; returns the run's :func:`observed` metrics."""
     df = df.withColumns({k: F.lit(v) for k, v in partitions.items()})
-    df.write.mode("append").option("compression", "snappy").partitionBy(*partitions).parquet(path)
+
+    def write(rows: DataFrame) -> None:
+        rows.write.mode("append").option("compression", "snappy").partitionBy(*partitions).parquet(path)
+
+    return observed(df, write, metrics)
 
 
 def load_all(

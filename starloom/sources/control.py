@@ -38,19 +38,24 @@ def current_state(log: DataFrame) -> DataFrame:
 
 
 def find_job(state: DataFrame, layer: str | Column, job: str | Column) -> DataFrame:
-    """Entries of one job in one layer; reads at most one row."""
-    return state.filter((F.col("layer") == layer) & (F.col("pipeline") == job)).limit(1)
+    """The entry of one job in one layer, at most one row; of several ids the smallest."""
+    return state.filter((F.col("layer") == layer) & (F.col("pipeline") == job)).orderBy("id").limit(1)
+
+
+def read_job(spark: SparkSession, table: str, layer: str, job: str) -> dict[str, object]:
+    """The job's state as a dict, empty when it is unknown. A table that can't be read is an error."""
+    log = spark.table(table).filter((F.col("layer") == layer) & (F.col("pipeline") == job))
+    row = find_job(current_state(log), layer, job).first()
+    return row.asDict() if row else {}
 
 
 def lookup(spark: SparkSession, table: str, layer: str, job: str) -> dict[str, object]:
-    """The job's state as a dict; empty when there is none or the table cannot be read."""
+    """:func:`read_job` for choosing a start date: a job runs from its default where the table can't be read."""
     try:
-        log = spark.table(table).filter((F.col("layer") == layer) & (F.col("pipeline") == job))
-        row = current_state(log).orderBy("id").first()
-    except Exception as error:  # a job without control data must still run
+        return read_job(spark, table, layer, job)
+    except Exception as error:
         print(f"control table not readable: {error}")
         return {}
-    return row.asDict() if row else {}
 
 
 def advanced(state: DataFrame, current: dt.date | Column, at: Column | None = None) -> DataFrame:
@@ -62,8 +67,8 @@ def advanced(state: DataFrame, current: dt.date | Column, at: Column | None = No
 
 
 def advance(spark: SparkSession, table: str, layer: str, job: str, current: dt.date) -> None:
-    """Append the new date of a job, entering the job if it is new."""
-    found = lookup(spark, table, layer, job)
+    """Append the new date of a job, entering the job if it is new. Nothing is written if the table can't be read."""
+    found = read_job(spark, table, layer, job)
     row = (found.get("id") or str(uuid.uuid4()), job, found.get("genesis"), current, layer, dt.datetime.now(dt.timezone.utc))
     spark.createDataFrame([row], CONTROL_SCHEMA).write.mode("append").insertInto(table)
 

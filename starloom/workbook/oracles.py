@@ -405,6 +405,8 @@ def oracle_sql() -> dict[str, str]:
           UNION ALL SELECT o_orderkey, NULL, o_totalprice, 2000 FROM orders""",
         "bronze_load": f"""SELECT source_id, {_rounded("ra, dec, parallax", 6)}, CAST(phot_bp_mean_mag AS VARCHAR) AS phot_bp_mean_mag,
           CAST(NULL AS VARCHAR) AS vbroad, {_rounded("j_m", 6)}, 2026 AS year, 6 AS month, 19 AS day FROM {stars()}""",
+        "bronze_load_csv": """SELECT p_partkey AS clean_tmass_psc_xsc_oid,
+          'T' || CAST(p_partkey // 16 AS BIGINT) AS original_psc_source_id, 2026 AS year, 6 AS month, 19 AS day FROM part""",
         "medallion": _medallion(),
         "json_records": f"SELECT {_PLANETS_ZEROED} FROM {PLANETS}",
         "json_event_props": """SELECT event_id, CASE WHEN event_id % 50 <> 0 THEN CAST(props ->> '$.k' AS BIGINT) END AS k,
@@ -427,9 +429,13 @@ def oracle_sql() -> dict[str, str]:
           CASE WHEN sky_tile >= {_NORTH} THEN 999 ELSE sky_tile END AS sky_tile FROM {three}""",
         "clustered_write": f"SELECT source_id, {_rounded('ra, dec')}, healpix_index, sky_tile FROM {three}",
         "control_lookup": f"""SELECT layer, pipeline,
-          coalesce(CAST("current" AS VARCHAR), CAST(genesis AS VARCHAR), '2026-06-19') AS target_date FROM {_CONTROL_STATE}""",
-        "control_advance": f"""SELECT id, pipeline, genesis,
-          CASE WHEN layer = 'silver' THEN DATE '2026-06-19' ELSE "current" END AS "current", layer FROM {_CONTROL_STATE}""",
+          coalesce(CAST("current" AS VARCHAR), CAST(genesis AS VARCHAR), '2026-06-19') AS target_date FROM {_CONTROL_STATE}
+          UNION ALL SELECT 'bronze', 'seed_' || r_regionkey, '1990-01-15' FROM region
+          UNION ALL SELECT 'asked', 'seed_1', '1990-01-15'""",
+        "control_advance": f"""SELECT pipeline, genesis,
+          CASE WHEN layer = 'silver' THEN DATE '2026-06-19' ELSE "current" END AS "current", layer FROM {_CONTROL_STATE}
+          UNION ALL SELECT 'seed_' || r_regionkey, DATE '1990-01-15', CASE WHEN r_regionkey = 0 THEN DATE '2026-06-19' END, 'bronze' FROM region
+          UNION ALL SELECT 'new_job', NULL, DATE '2026-06-19', 'bronze'""",
         "batch_hash": f"SELECT catalog, batch_no, n_records, hash FROM {_EVENT_BATCHES}",
         "stream_landing": _LANDED_TWICE,
         "stream_dead_letter": f"""SELECT '{{"catalog": "' || catalog || '", cut off at ' || hash AS malformed

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +16,7 @@ from starloom.functions.healpix import parent_pixel, with_healpix_index
 from starloom.functions.keys import date_key, match_or_sentinel
 from starloom.operators import joins, ranking, shape, spatial
 from starloom.operators.batches import as_messages, batch_records
+from starloom.operators.metrics import observed
 from starloom.plans import gold, publishing, raw, silver
 from starloom.session import scratch_path, shared_dir, stage
 from starloom.sources import bronze, catalogs, control, files, jsonrecords, tables
@@ -407,24 +409,26 @@ def scan_merge_schema(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_parquet(spark, root, ["o_orderkey", "o_custkey", "o_totalprice", "year"])
 
 
-LOADS = (
-    bronze.TableLoad(
-        "stars", "raw/stars", "bronze", "parquet",
-        (("year", "current_year"), ("month", "current_month"), ("day", "current_day")),
-    ),
-    bronze.TableLoad(
-        "objects", "raw/objects", "bronze", "parquet",
-        (("year", "current_year"), ("month", "current_month"), ("day", "current_day")),
-    ),
-)
+_DATED = [{"partition_key": k, "partition_value": f"current_{k}"} for k in ("year", "month", "day")]
+
+# The load configuration: tables, formats and date tokens.
+LOAD_CONFIG = [
+    {"table_name": "stars", "source": "raw/stars", "dest": "bronze", "format": "parquet", "partitions": _DATED},
+    {"table_name": "objects", "source": "raw/objects", "dest": "bronze", "format": "parquet", "partitions": _DATED},
+    {"table_name": "links", "source": "raw/links", "dest": "bronze", "format": "csv", "partitions": _DATED},
+]
+LOAD_TARGETS = {"stars": catalogs.STAR_BRONZE, "objects": catalogs.OBJECT_BRONZE}
 
 
 def _load_bronze(spark: SparkSession, sf: str) -> dict[str, str]:
+    """Raw files and a written configuration, loaded as it says."""
     root = scratch_path(spark, "lake")
     raw.write_extract(samples.stars(spark, sf).drop("year", "month", "day"), f"{root}/raw/stars")
     raw.write_extract(raw.object_extract(samples.centers(spark, sf), radius_deg=180.0), f"{root}/raw/objects")
-    targets = {"stars": catalogs.STAR_BRONZE, "objects": catalogs.OBJECT_BRONZE}
-    return bronze.load_all(spark, root, LOADS, targets, LOAD_DATE)
+    samples.bridge(spark, sf).write.csv(f"{root}/raw/links", header=True)
+    spark.createDataFrame([(json.dumps(LOAD_CONFIG, indent=1),)], "text string").coalesce(1).write.text(f"{root}/config")
+    loads = bronze.read_load_config(spark, f"{root}/config")
+    return bronze.load_all(spark, root, loads, LOAD_TARGETS, LOAD_DATE)
 
 
 def bronze_load(spark: SparkSession, sf: str) -> DataFrame:
@@ -434,12 +438,17 @@ def bronze_load(spark: SparkSession, sf: str) -> DataFrame:
     return _round(files.read_parquet(spark, path, columns), 6)
 
 
+def bronze_load_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The table that the same configuration loads from CSV."""
+    return files.read_parquet(spark, _load_bronze(spark, sf)["links"])
+
+
 def medallion(spark: SparkSession, sf: str) -> DataFrame:
     """Raw files through bronze, silver and gold tables; the fact table read back."""
     paths = _load_bronze(spark, sf)
     star_rows, object_rows = (
-        files.read_parquet(spark, paths[name], schema=bronze.dated_schema(schema, load))
-        for name, schema, load in (("stars", catalogs.STAR_BRONZE, LOADS[0]), ("objects", catalogs.OBJECT_BRONZE, LOADS[1]))
+        files.read_parquet(spark, paths[name], schema=bronze.dated_schema(schema, ("year", "month", "day")))
+        for name, schema in LOAD_TARGETS.items()
     )
     db = _database(spark)
 
@@ -490,15 +499,12 @@ def binary_inventory(spark: SparkSession, sf: str) -> DataFrame:
 
 def load_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Counts taken while ``documents`` is written, without a second pass over the data."""
-    seen = Observation("load")
-    df = samples.table(spark, sf, "documents").observe(
-        seen,
-        F.count("*").alias("n_records"),
-        F.sum(F.octet_length("text")).alias("n_bytes"),
-        F.count_if(F.col("lang") == "en").alias("n_english"),
+    seen = observed(
+        samples.table(spark, sf, "documents"),
+        lambda rows: rows.write.parquet(scratch_path(spark, "observed")),
+        {"n_bytes": F.sum(F.octet_length("text")), "n_english": F.count_if(F.col("lang") == "en")},
     )
-    df.write.parquet(scratch_path(spark, "observed"))
-    return spark.createDataFrame([seen.get], "n_records long, n_bytes long, n_english long")
+    return spark.createDataFrame([seen], "n_records long, n_bytes long, n_english long")
 
 
 # --- tables ---------------------------------------------------------------------------
@@ -592,21 +598,33 @@ def _control_log(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _control_table(spark: SparkSession, sf: str) -> str:
+    """A table made with its seed jobs, one per region, and the log of the customers' jobs appended."""
+    table = f"{_database(spark)}.control"
+    seeds = [(f"seed_{r[0]}", dt.date(1990, 1, 15), "bronze") for r in samples.table(spark, sf, "region").select("r_regionkey").collect()]
+    control.create_control_table(spark, table, seeds)
+    _control_log(spark, sf).write.mode("append").insertInto(table)
+    return table
+
+
 def control_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """Every job's date to start from: current, else first, else the fixed default."""
-    state = control.current_state(_control_log(spark, sf))
-    return control.with_target_date(state).select("layer", "pipeline", "target_date")
+    """Every job's date to start from: current, else first, else the fixed default; one job is asked for by name."""
+    table = _control_table(spark, sf)
+    state = control.current_state(spark.table(table))
+    asked = control.lookup(spark, table, "bronze", "seed_1")
+    named = control.find_job(state, "bronze", "seed_1").where(F.col("id") == asked["id"]).withColumn("layer", F.lit("asked"))
+    return control.with_target_date(state.unionByName(named)).select("layer", "pipeline", "target_date")
 
 
 def control_advance(spark: SparkSession, sf: str) -> DataFrame:
-    """All silver jobs are moved on by entries appended to the log."""
-    db = _database(spark)
-    log = f"{db}.control"
-    _control_log(spark, sf).write.format("parquet").saveAsTable(log)
+    """All silver jobs are moved on by entries appended to the log; one seed job and one new job by name."""
+    log = _control_table(spark, sf)
     silver_jobs = control.current_state(spark.table(log)).filter("layer = 'silver'")
     stamp = F.to_timestamp(F.lit("2026-06-19 00:00:00"))
-    control.advanced(silver_jobs, LOAD_DATE, stamp).write.mode("append").insertInto(log)
-    return control.current_state(spark.table(log)).select("id", "pipeline", "genesis", "current", "layer")
+    control.advanced(stage(silver_jobs, "silver-jobs"), LOAD_DATE, stamp).write.mode("append").insertInto(log)
+    control.advance(spark, log, "bronze", "seed_0", LOAD_DATE)
+    control.advance(spark, log, "bronze", "new_job", LOAD_DATE)
+    return control.current_state(spark.table(log)).select("pipeline", "genesis", "current", "layer")
 
 
 # --- batches and landing --------------------------------------------------------------
@@ -710,6 +728,7 @@ QUERIES: dict[str, Query] = {
     "scan_merge_schema": scan_merge_schema,
     "conform_files": conform_files,
     "bronze_load": bronze_load,
+    "bronze_load_csv": bronze_load_csv,
     "medallion": medallion,
     "json_records": json_records,
     "json_event_props": json_event_props,

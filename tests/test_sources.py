@@ -348,3 +348,14 @@ def test_compacted_ledger_still_knows_every_message(spark, tmp_path):
     landing.compact_ledger(spark, str(root), folders=1)
     landing.land_messages(spark, str(source), str(root), MESSAGE)
     assert sorted(r.n for r in landing.landed_records(spark, str(root), MESSAGE).collect()) == [0, 1, 2, 3]
+
+
+def test_advance_needs_a_readable_table(spark):
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        control.advance(spark, "no_such_database.control", "silver", "a", dt.date(2026, 1, 1))
+    assert control.lookup(spark, "no_such_database.control", "silver", "a") == {}
+
+
+def test_writes_return_their_counts(spark, tmp_path):
+    df = spark.range(7)
+    assert bronze.write_by_date(df, f"{tmp_path}/t", {"year": "2026"}, {"top": F.max("id")}) == {"n_records": 7, "top": 6}
