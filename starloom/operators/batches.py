@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from starloom.session import stage
 
 BATCH_SIZE = 1000
+#: (catalogue, task) runs that are broadcast, about 10 MB; with more, the records are shuffled to meet them.
+MOST_RUNS = 100_000
 
 
 def batch_records(
@@ -26,9 +28,8 @@ def batch_records(
     records are interchangeable, and a running number spreads them over tasks as well.
     """
     keys = [catalog, *order, *(c for c in record if c not in order and c != catalog)]
-    rows = df.select(*keys)
-    if not _rows_stay_in_place(rows):
-        rows = stage(rows, "batch-input")
+    # a running number must be the same when a lost task is repeated, and a file's rows stay in place
+    rows = stage(df.select(*keys), "batch-input")
     rows = rows.withColumn("__copy", F.monotonically_increasing_id())
     placed = stage(
         rows.repartitionByRange(*keys, "__copy")
@@ -40,7 +41,9 @@ def batch_records(
     # at most (catalogues + tasks) rows; within one catalogue at most one row per task
     runs = placed.groupBy(catalog, "__task").agg(F.count("*").alias("__rows"), F.min("__place").alias("__first"))
     before = Window.partitionBy(catalog).orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("__start", F.coalesce(F.sum("__rows").over(before), F.lit(0))).drop("__rows")
+    runs = stage(runs.withColumn("__start", F.coalesce(F.sum("__rows").over(before), F.lit(0))).drop("__rows"), "batch-runs")
+    # the planner's estimate of so narrow a table is too high for a broadcast, its rows are known
+    runs = F.broadcast(runs) if runs.count() <= MOST_RUNS else runs.hint("merge")
     position = F.col("__start") + F.col("__place") - F.col("__first")
     l, r = placed.alias("l"), runs.alias("r")
     same_run = F.col(f"l.{catalog}").eqNullSafe(F.col(f"r.{catalog}")) & (F.col("l.__task") == F.col("r.__task"))
@@ -60,14 +63,6 @@ def batch_records(
     )
 
 
-def _rows_stay_in_place(df: DataFrame) -> bool:
-    """Whether a repeated task sees its rows in the same order: true without a shuffle below.
-
-    The running number that spreads copies must be the same when a lost task is repeated.
-    """
-    return "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
-
-
 def as_messages(batches: DataFrame) -> DataFrame:
     """One JSON message per batch: ``{"catalog": …, "data": […], "hash": …}``."""
     opening = F.regexp_replace(F.to_json(F.struct("catalog")), r"\}$", "")

@@ -10,17 +10,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.session import stage
 
-def left_join_fan_out(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+#: Rows of one key that a task should not have to hold.
+HOT_ROWS = 1_000_000
+
+
+def left_join_fan_out(left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Left join for a right side whose keys may repeat without limit.
 
-    A plain left join cannot split a hot right-hand key. An inner join plus the left rows
-    without a counterpart is the same result, and there both parts can be split: the anti
-    join only sees the distinct keys, which are reduced before their shuffle.
+    A plain left join cannot split a hot right-hand key. Keys with more than ``hot_rows`` rows
+    on the right are counted first; as they have a counterpart, an inner join does for them,
+    and that can be split. All other keys take the plain left join, which is all there is to do
+    where no key is hot.
     """
-    matched = left.join(right, key, "inner")
-    lonely = left.join(right.select(key).distinct(), key, "left_anti")
-    return matched.unionByName(lonely, allowMissingColumns=True)
+    hot = stage(right.groupBy(key).count().where(F.col("count") > hot_rows).where(F.col(key).isNotNull()).select(key), "hot-keys")
+    if hot.isEmpty():
+        return left.join(right, key, "left")
+    plain = left.join(hot, key, "left_anti").join(right.join(hot, key, "left_anti"), key, "left")
+    spread = left.join(hot, key, "left_semi").join(right.join(hot, key, "left_semi"), key, "inner")
+    return plain.unionByName(spread)
 
 
 def join_astrometry_photometry(astrometry: DataFrame, photometry: DataFrame) -> DataFrame:

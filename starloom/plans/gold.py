@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.keys import business_key
@@ -53,3 +53,8 @@ def star_facts(
         *(F.col(f"{c}_unit").alias(c) for c in ("x", "y", "z")),
         *("color_j_h", "color_h_ks", "distance_pc", "abs_mag_j", "abs_mag_h", "abs_mag_ks", "tangential_velocity"),
     )
+
+
+def served_ids(spark: SparkSession, table: str, n: int = 10) -> DataFrame:
+    """The first ids of a published fact table."""
+    return spark.table(table).select("source_id").orderBy("source_id").limit(n)

@@ -53,12 +53,30 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_STAGED: dict[str, list[str]] = {}
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts lineage like a checkpoint, survives lost executors, and stays columnar, so a
-    second pass reads only the columns it needs.
+    second pass reads only the columns it needs. :func:`clear_staged` deletes what was written.
     """
-    path = scratch_path(df.sparkSession, label)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> int:
+    """Delete the staged tables of this application; returns how many there were.
+
+    For the end of a job, when its results are written: frames made from staged tables can't be
+    computed any more.
+    """
+    paths = _STAGED.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(paths)

@@ -336,8 +336,11 @@ def catalog_projection(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def serve_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids from the published fact table, which is made once and then only read."""
     facts = gold.star_facts(_astrometry(spark, sf), _photometry(spark, sf), _dimension(spark, sf))
-    return facts.select("source_id").orderBy("source_id").limit(10)
+    table = f"{_database(spark)}.facts"
+    silver.publish(facts, table)
+    return gold.served_ids(spark, table)
 
 
 # --- sources --------------------------------------------------------------------------

@@ -106,7 +106,9 @@ def test_union_by_name(spark):
 def test_left_join_fan_out_equals_left_join(spark):
     left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (4, "e")], "k int, v string")
     right = spark.createDataFrame([(1, 10), (1, 11), (2, 20), (9, 90), (None, 0)], "k int, w int")
-    assert sorted(map(str, joins.left_join_fan_out(left, right, "k").collect())) == sorted(map(str, left.join(right, "k", "left").collect()))
+    want = sorted(map(str, left.join(right, "k", "left").collect()))
+    for hot_rows in (1, 1000):  # with and without hot keys
+        assert sorted(map(str, joins.left_join_fan_out(left, right, "k", hot_rows).collect())) == want
 
 
 def test_counterpart_chain_keeps_every_star(spark):

@@ -3,11 +3,12 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.session import scratch_path, stage
+from starloom.session import clear_staged, scratch_path, stage
 from starloom.sources import bronze, catalogs, control, files, jsonrecords, tables
 from starloom.streaming import landing
 
@@ -359,3 +360,10 @@ def test_advance_needs_a_readable_table(spark):
 def test_writes_return_their_counts(spark, tmp_path):
     df = spark.range(7)
     assert bronze.write_by_date(df, f"{tmp_path}/t", {"year": "2026"}, {"top": F.max("id")}) == {"n_records": 7, "top": 6}
+
+
+def test_staged_tables_can_be_cleared(spark):
+    path = stage(spark.range(3), "short-lived").inputFiles()[0].removeprefix("file://")
+    assert Path(path).exists()
+    assert clear_staged(spark) >= 1
+    assert not Path(path).exists() and clear_staged(spark) == 0
