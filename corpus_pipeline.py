@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import mixing, near_dedup, pieces, quality
+from starloom.llm import corpus_dedup, mixing, pieces, quality
 from starloom.llm.common import table
 from starloom.session import stage
 
@@ -19,8 +19,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component."""
-    return near_dedup.keep_one_of_each(docs)
+    """One document of each near-duplicate component: SimHash grids, and parts of shingles for copies of 0.8 and more."""
+    return corpus_dedup.keep_one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

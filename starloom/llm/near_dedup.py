@@ -43,9 +43,15 @@ def fingerprint_of(text: bytes, words: int = SHINGLE_WORDS, seed: int = 42) -> i
 
     A-Z are lower-cased; words end at ASCII white space; a text with fewer words is one shingle.
     """
+    hashes = shingle_hashes(text, words, seed)
+    return signed(majority(hashes)) if len(hashes) else 0
+
+
+def shingle_hashes(text: bytes, words: int = SHINGLE_WORDS, seed: int = 42) -> np.ndarray:
+    """XXH64 of every word shingle of a text, repeats included."""
     parts = text.lower().split()
     if not parts:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(parts)
     if len(parts) <= words:
         hashes = [xxhash.xxh64_intdigest(joined, seed)]
@@ -56,7 +62,7 @@ def fingerprint_of(text: bytes, words: int = SHINGLE_WORDS, seed: int = 42) -> i
         hashes = [
             digest(joined[i:j], seed) for i, j in zip(starts[: 1 - words].tolist(), ends[words - 1 :].tolist())
         ]
-    return signed(majority(np.array(hashes, np.uint64)))
+    return np.array(hashes, np.uint64)
 
 
 def majority(hashes: np.ndarray, chunk: int = 1 << 15) -> int:
@@ -138,6 +144,21 @@ def zeros_for(points: int, radius: int, width: int = SEGMENT_BITS, cell: int = 5
     return zeros
 
 
+def in_blocks(cells: DataFrame, spread: Column) -> DataFrame:
+    """``cells`` with cells above ``BLOCK`` rows cut into blocks by ``spread``: every two blocks of a cell are a cell of their own."""
+    crowded = stage(cells.groupBy("cell").count().where(F.col("count") > BLOCK), "crowded-cells")
+    blocks = F.ceil(F.col("count") / BLOCK).cast("long")
+    own, zero = F.pmod(spread, blocks), F.lit(0).cast("long")
+    others = F.when(F.col("count").isNull(), F.array(zero)).otherwise(F.sequence(zero, blocks - 1))
+    pair = F.xxhash64("cell", F.least(own, "other"), F.greatest(own, "other"))
+    return (
+        cells.join(crowded, "cell", "left")
+        .withColumn("other", F.explode(others))
+        .withColumn("cell", F.when(F.col("count").isNull(), F.col("cell")).otherwise(pair))
+        .select(*["cell", *(c for c in cells.columns if c != "cell")])
+    )
+
+
 def links(points: DataFrame, fingerprint: str, radius: int = RADIUS, width: int = SEGMENT_BITS) -> DataFrame:
     """Pairs (``a``, ``b``) of distinct fingerprints with at most ``radius`` different bits.
 
@@ -154,19 +175,7 @@ def links(points: DataFrame, fingerprint: str, radius: int = RADIUS, width: int
             F.array(*(F.xxhash64(F.lit(i), code.bitwiseAND(F.lit(signed(m)))) for i, m in enumerate(grids(radius, zeros, width))))
         ).alias("cell"),
     )
-    crowded = stage(cells.groupBy("cell").count().where(F.col("count") > BLOCK), "crowded-cells")
-    blocks = F.ceil(F.col("count") / BLOCK)
-    own = F.pmod(F.xxhash64("fp"), blocks)
-    placed = (
-        cells.join(crowded, "cell", "left")
-        .withColumn("other", F.explode(F.when(F.col("count").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), (blocks - 1).cast("long")))))
-        .select(
-            "fp",
-            F.when(F.col("count").isNull(), F.col("cell"))
-            .otherwise(F.xxhash64("cell", F.least(own, "other"), F.greatest(own, "other")))
-            .alias("cell"),
-        )
-    )
+    placed = in_blocks(cells, F.xxhash64("fp"))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell = fp = np.empty(0, np.int64)
@@ -180,7 +189,7 @@ def links(points: DataFrame, fingerprint: str, radius: int = RADIUS, width: int
             cell, fp = cell[whole:], fp[whole:]
         yield _pairs(cell, fp, radius, width)
 
-    sorted_cells = placed.select("cell", "fp").repartition("cell").sortWithinPartitions("cell", "fp")
+    sorted_cells = placed.repartition("cell").sortWithinPartitions("cell", "fp")
     return sorted_cells.mapInArrow(meet, "a long, b long")
 
 
@@ -253,29 +262,3 @@ def near_components(docs: DataFrame, radius: int = RADIUS, words: int = SHINGLE_
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     names = stage(roots.join(smallest, "root").select("fp", "component_id"), "near-names")
     return marked.join(names, "fp", "left").select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
-
-
-def keep_one_of_each(docs: DataFrame, radius: int = RADIUS, words: int = SHINGLE_WORDS) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each component the row with the smallest ``doc_id`` stays.
-
-    Rows are told apart by ``doc_id`` and a hash of the text; null ids come last, ties go to
-    the smaller hash, and of repeated rows one stays. All columns are kept, whatever their names.
-    """
-    marked = stage(
-        docs.select("doc_id", F.xxhash64("text").alias("k"), shingle_fingerprint(F.col("text"), words).alias("fp")), "simhash"
-    )
-    roots = stage(fingerprint_roots(marked, radius), "near-roots")
-    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k")
-    first = marked.groupBy("fp").agg(F.min(row).alias("row")).join(roots, "fp")
-    chosen = first.groupBy("root").agg(F.min("row").alias("row")).select("row.doc_id", "row.k").alias("c")
-    times = marked.groupBy("doc_id", "k").agg(F.count("*").alias("n")).alias("t")
-    same = F.col("c.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("c.k") == F.col("t.k"))
-    kept = stage(chosen.join(times, same).select("c.doc_id", "c.k", "t.n"), "near-kept")
-
-    def rows_of(keys: DataFrame) -> DataFrame:
-        d, k = docs.alias("d"), keys.alias("k")
-        return d.join(k, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.xxhash64("d.text") == F.col("k.k"))).select("d.*")
-
-    # repeated rows are few: only they are gathered by their key
-    repeated = stage(kept.where("n > 1"), "near-repeated")
-    return rows_of(kept.where("n = 1")).unionByName(rows_of(repeated).dropDuplicates(["doc_id", "text"]))

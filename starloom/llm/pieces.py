@@ -29,7 +29,7 @@ from starloom.llm.common import slices, texts
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 3
 #: Words a Python worker remembers over its tasks; it forgets all when there are more.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Characters that words learned together may hold; the table has a row of so many numbers per prefix.
 COMMON_CHARACTERS = 192
 LONGEST = 64

@@ -1,0 +1,146 @@
+"""Links between texts whose sets of five-word shingles are alike by 0.8 or more, for the near-dedup of a corpus.
+
+Such texts differ in about 15 % of SimHash bits, ten of 64, which is too far for the grids of
+``near_dedup``. Here the shingles of a text are dealt by their hash into parts of four to eight; with
+a similarity of 0.8 a part is the same in both texts with a probability of 0.14 to 0.4, so that at
+least one of 24 parts is the same in 97 to 100 of 100 cases. Texts with a part in common are
+compared by SimHashes of 256 bits.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+
+from starloom.llm import near_dedup
+from starloom.llm.common import signed, slices, utf8
+
+SIMILARITY = 0.8
+PARTS = 24
+#: A part holds so many shingles at least, on average, and less than twice as many.
+PART_SHINGLES = 4
+WORDS = 4  # words of 64 bits in a wide SimHash
+#: Different bits of 256 that count as alike: 39 are expected at a similarity of 0.8, 60 at 0.6, give or take 6.
+WIDE_RADIUS = 46
+
+_WIDE = [f"w{i}" for i in range(WORDS)]
+_SKETCH = f"struct<fp:long,node:long,{','.join(f'{w}:long' for w in _WIDE)},parts:array<long>>"
+_MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))  # fixed values of the splitmix64 finaliser
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+_SHIFTS = [np.uint64(i * int(_STEP) & (1 << 64) - 1) for i in range(WORDS)]
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
+    """Well-mixed 64-bit numbers."""
+    values = (values ^ (values >> np.uint64(30))) * _MIX[0]
+    values = (values ^ (values >> np.uint64(27))) * _MIX[1]
+    return values ^ (values >> np.uint64(31))
+
+
+def levels(n: int) -> set[int]:
+    """Powers of two of the number of parts for a text of ``n`` shingles; texts of sizes within the similarity share one."""
+    return {max(0, math.floor(math.log2(size / PART_SHINGLES))) for size in (n, n / SIMILARITY)}
+
+
+def sketch_of(text: bytes, words: int) -> tuple:
+    """``near_dedup`` fingerprint, hash of the set of shingles of ``words + 1`` words, wide SimHash, hashes of the parts."""
+    narrow = near_dedup.shingle_hashes(text, words)
+    if not len(narrow):
+        return 0, 0, *[0] * WORDS, []
+    # two overlapping shingles make one that is a word longer
+    shingles = np.unique(mixed(narrow[:-1] * _STEP + narrow[1:]) if len(narrow) > 1 else mixed(narrow))
+    wide = [signed(near_dedup.majority(mixed(shingles + shift))) for shift in _SHIFTS]
+    terms = mixed(shingles ^ _STEP)
+    parts = []
+    for level in levels(len(shingles)):
+        part = shingles & np.uint64((1 << level) - 1)
+        chosen = np.flatnonzero(part < PARTS)
+        if len(chosen):
+            order = chosen[np.argsort(part[chosen], kind="stable")]
+            numbers, starts = np.unique(part[order], return_index=True)
+            sums = np.add.reduceat(terms[order], starts)
+            parts += mixed(sums ^ mixed(numbers + np.uint64(64 * (level + 1)))).view(np.int64).tolist()
+    return signed(near_dedup.majority(narrow)), int(terms.sum().view(np.int64)), *wide, parts
+
+
+def sketches(text: Column, words: int) -> Column:
+    """``sketch_of`` as a struct of ``fp``, ``node``, ``w0`` to ``w3`` and ``parts``."""
+
+    @arrow_udf(_SKETCH)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for pieces in slices(batches):
+            rows = [sketch_of(t, words) for piece in pieces for t in utf8(piece)]
+            columns = list(zip(*rows)) if rows else [()] * (3 + WORDS)
+            kinds = [pa.int64()] * (2 + WORDS) + [pa.list_(pa.int64())]
+            yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["fp", "node", *_WIDE, "parts"])
+
+    return run(text)
+
+
+def links(marked: DataFrame) -> DataFrame:
+    """Pairs (``a``, ``b``) of nodes with a part in common and at most ``WIDE_RADIUS`` different bits.
+
+    Nodes are distinct sets of shingles, so exact copies take part once. A part that more than
+    a few nodes have gives a spanning forest of its links and not all pairs; parts of very many nodes
+    are cut into blocks, and every two blocks meet.
+    """
+    nodes = marked.select("node", *_WIDE, "parts").dropDuplicates(["node"])
+    cells = near_dedup.in_blocks(nodes.select(F.explode("parts").alias("cell"), "node", *_WIDE), F.xxhash64("node"))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.empty((0, 2 + WORDS), np.int64)
+        for batch in batches:
+            rows = np.column_stack([c.to_numpy() for c in batch.columns])
+            held = np.concatenate((held, rows))
+            if not len(held):
+                continue
+            whole = int(np.searchsorted(held[:, 0], held[-1, 0]))  # the last cell may go on in the next batch
+            yield _pairs(held[:whole])
+            held = held[whole:]
+        yield _pairs(held)
+
+    return cells.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(meet, "a long, b long")
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count((a ^ b).view(np.uint64)).sum(axis=1, dtype=np.int64)
+
+
+def _pairs(rows: np.ndarray) -> pa.RecordBatch:
+    """Links within the cells of a sorted run of rows (cell, node, wide words)."""
+    cell, node, wide = rows[:, 0], rows[:, 1], np.ascontiguousarray(rows[:, 2:])
+    n = len(rows)
+    starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if n else np.empty(0, np.int64)
+    sizes = np.diff(np.concatenate((starts, [n])))
+    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    first = np.flatnonzero(np.repeat(sizes <= near_dedup.SMALL_CELL, sizes)) if n else starts
+    ends = np.repeat(starts + sizes, sizes)
+    for lag in range(1, near_dedup.SMALL_CELL):
+        first = first[first + lag < ends[first]]
+        if not len(first):
+            break
+        near = first[_apart(wide[first], wide[first + lag]) <= WIDE_RADIUS]
+        a.append(node[near])
+        b.append(node[near + lag])
+    for s, size in zip(starts[sizes > near_dedup.SMALL_CELL], sizes[sizes > near_dedup.SMALL_CELL]):
+        left, words = node[s : s + size], wide[s : s + size]
+        while len(left):
+            reached, left, words = [(left[0], words[0])], left[1:], words[1:]
+            while reached and len(left):
+                name, its_words = reached.pop()
+                near = _apart(words, its_words[None, :]) <= WIDE_RADIUS
+                if near.any():
+                    a.append(np.full(int(near.sum()), name))
+                    b.append(left[near])
+                    reached.extend(zip(left[near], words[near]))
+                    left, words = left[~near], words[~near]
+    ends_a, ends_b = np.concatenate(a), np.concatenate(b)
+    keep = ends_a != ends_b
+    return pa.RecordBatch.from_arrays([pa.array(ends_a[keep]), pa.array(ends_b[keep])], ["a", "b"])

@@ -23,7 +23,7 @@ from starloom.llm.common import slices, texts
 
 VOCABULARY_PATH = "/opt/tokenizers/word_bpe_49k.json"
 #: Words a Python worker remembers over its tasks; it forgets all when there are more.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: Byte that stands for the end of a word; UTF-8 never holds it.
 END = 0xFF
 #: Fixed value: how the vocabulary's own tokenizer cuts normalised text into words.

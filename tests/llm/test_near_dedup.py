@@ -121,12 +121,3 @@ def test_messy(messy, no_docs):
     assert by_id[100]["fingerprint"] == by_id[250]["fingerprint"] == "0" * 16
     assert by_id[100]["component_id"] == by_id[150]["component_id"] == by_id[250]["component_id"] == 100
     assert nd.near_components(no_docs).count() == 0
-
-
-def test_one_row_of_each_component_stays(messy, no_docs):
-    kept = nd.keep_one_of_each(messy)
-    assert kept.columns == messy.columns
-    rows = kept.collect()
-    assert sorted(r["doc_id"] for r in rows if r["doc_id"] is not None) == [0, 100, 200, 300, 350]
-    assert [r["text"] for r in rows if r["doc_id"] is None] == ["words without any id at all but with text"]
-    assert nd.keep_one_of_each(no_docs).count() == 0

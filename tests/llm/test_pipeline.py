@@ -4,10 +4,10 @@ from collections import Counter
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from starloom.llm import mixing, near_dedup, quality
+from starloom.llm import mixing, quality
 from starloom.llm.common import table
 from starloom.llm.queries import QUERIES
-from tests.llm.test_near_dedup import plain_components, plain_fingerprint
+from tests.llm.test_corpus_dedup import kept_by_brute_force
 
 
 def test_registered():
@@ -25,9 +25,8 @@ def test_stages_against_brute_force(spark, sf_dir):
     assert {r["doc_id"] for r in good.collect()} == {i for i, s in score.items() if s >= quality.THRESHOLD}
 
     single = corpus_pipeline.drop_near_copies(spark, good, sf_dir).cache()
-    prints = sorted((r["doc_id"], plain_fingerprint(r["text"])) for r in good.collect())
     assert single.columns == docs.columns
-    assert sorted(r["doc_id"] for r in single.collect()) == sorted(set(plain_components(prints).values()))
+    assert sorted(r["doc_id"] for r in single.collect()) == kept_by_brute_force({r["doc_id"]: r["text"] for r in good.collect()})
 
     mixed = corpus_pipeline.mix_sources(spark, single, sf_dir).cache()
     assert mixed.columns == docs.columns
@@ -49,9 +48,3 @@ def test_messy(spark, messy, no_docs, tmp_path):
             docs = step(spark, docs, str(tmp_path))
             assert docs.columns == start.columns
         assert (corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() > 0) is rows
-
-
-def test_kept_documents_are_not_copies(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    kept = near_dedup.keep_one_of_each(docs)
-    assert kept.count() == near_dedup.near_components(docs).select("component_id").distinct().count()
