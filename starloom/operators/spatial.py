@@ -9,12 +9,13 @@ pair is met once and no nested loop is needed.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.functions.healpix import with_healpix_index
 from starloom.functions.keys import NO_MATCH, clip
 from starloom.functions.sky import (
     ARCSEC,
@@ -57,9 +58,60 @@ def in_cone(ra: str, dec: str, ra_center: float, dec_center: float, radius_deg:
 
 
 def cone_search(
-    ra_center: float, dec_center: float, radius_deg: float, ra: str = "ra", dec: str = "dec"
+    ra_center: float,
+    dec_center: float,
+    radius_deg: float,
+    ra: str = "ra",
+    dec: str = "dec",
+    tiles: tuple[str, Sequence[int]] | None = None,
 ) -> Callable[[DataFrame], DataFrame]:
-    return lambda df: df.filter(in_cone(ra, dec, ra_center, dec_center, radius_deg))
+    """Rows within ``radius_deg`` of a centre.
+
+    ``tiles`` names a partition column and the tiles that can hold such rows (from
+    :func:`covering_tiles`), so that the other partitions of the table are not opened.
+    """
+    near = in_cone(ra, dec, ra_center, dec_center, radius_deg)
+    if tiles is not None:
+        near = F.col(tiles[0]).isin(*tiles[1]) & near
+    return lambda df: df.filter(near)
+
+
+#: Spacing of the positions that the tiles are measured with, and what is added to the size found, in degrees.
+_TILE_STEP, _TILE_MARGIN = 0.5, 2.0
+_TILES: dict[int, list[tuple[int, float, float, float, float]]] = {}
+
+
+def _tile_caps(spark: SparkSession, order: int) -> list[tuple[int, float, float, float, float]]:
+    """(tile, centre, radius in degrees) of a cap around every pixel of an order.
+
+    Measured on a net of positions; the margin is four times its spacing, so a cap also holds the
+    parts of a pixel between the positions.
+    """
+    if order not in _TILES:
+        steps = round(360 / _TILE_STEP)
+        net = spark.range(steps * (steps // 2 + 1)).selectExpr(f"(id % {steps}) * {_TILE_STEP}D AS ra", f"floor(id / {steps}) * {_TILE_STEP}D - 90D AS dec")
+        x, y, z = unit_vector("ra", "dec")
+        net = net.transform(with_healpix_index("ra", "dec", order, "tile")).withColumns({"x": x, "y": y, "z": z})
+        middle = net.groupBy("tile").agg(*(F.avg(c).alias(f"m{c}") for c in "xyz"))
+        size = F.sqrt(F.col("mx") ** 2 + F.col("my") ** 2 + F.col("mz") ** 2)
+        middle = middle.select("tile", *((F.col(f"m{c}") / size).alias(f"m{c}") for c in "xyz"))
+        cosine = F.col("x") * F.col("mx") + F.col("y") * F.col("my") + F.col("z") * F.col("mz")
+        caps = net.join(middle, "tile").groupBy("tile", "mx", "my", "mz").agg(F.min(cosine).alias("c")).collect()  # 12 * 4 ** order rows
+        _TILES[order] = [(r["tile"], r["mx"], r["my"], r["mz"], math.degrees(math.acos(max(-1.0, min(1.0, r["c"]))))) for r in caps]
+    return _TILES[order]
+
+
+def covering_tiles(spark: SparkSession, ra_center: float, dec_center: float, radius_deg: float, order: int = 2) -> list[int]:
+    """Pixels of ``order`` (at most 3) that can hold a position within ``radius_deg`` of a centre, and perhaps a few more."""
+    if not 0 <= order <= 3:
+        raise ValueError(f"order must be 0..3, got {order}")
+    lon, lat = math.radians(ra_center), math.radians(dec_center)
+    x, y, z = math.cos(lon) * math.cos(lat), math.sin(lon) * math.cos(lat), math.sin(lat)
+
+    def away(cap: tuple[int, float, float, float, float]) -> float:
+        return math.degrees(math.acos(max(-1.0, min(1.0, x * cap[1] + y * cap[2] + z * cap[3]))))
+
+    return sorted(cap[0] for cap in _tile_caps(spark, order) if away(cap) <= radius_deg + cap[4] + _TILE_MARGIN)
 
 
 def _cell_of(xyz: tuple[str, str, str], size: float) -> dict[str, Column]:

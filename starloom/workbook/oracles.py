@@ -373,6 +373,8 @@ def oracle_sql() -> dict[str, str]:
         "left_join_chain": f"SELECT source_id, {_rounded('angular_distance_arcsec, j_m, h_m, ks_m', 6)} FROM {_chain(_BARE)}",
         "cone_search": f"""SELECT source_id, {_rounded("ra, dec")} FROM {stars(True)}
           WHERE {_great_circle("ra", "dec", "2e0", "80e0")} <= 15""",
+        "cone_search_tiles": f"""SELECT source_id, {_rounded("ra, dec")} FROM {stars(True)}
+          WHERE {_great_circle("ra", "dec", "2e0", "80e0")} <= 15""",
         "cone_count": f"SELECT main_id, {_rounded('ra, dec')}, n_obs FROM {_cone_counts(1)}",
         "density_radius": f"""SELECT main_id, {_rounded("ra, dec")}, n_obs, round(least(2e0, greatest(1e-1,
           sqrt(250000 / (n_obs / (pi() * pow(1e-1, 2))) / pi()))), 9) AS radius_deg FROM {_cone_counts(0.1)}""",
@@ -412,6 +414,8 @@ def oracle_sql() -> dict[str, str]:
         "json_event_props": """SELECT event_id, CASE WHEN event_id % 50 <> 0 THEN CAST(props ->> '$.k' AS BIGINT) END AS k,
           CASE WHEN event_id % 50 <> 0 THEN '' END AS missing, CASE WHEN event_id % 50 = 0 THEN '[{broken' END AS corrupt
           FROM events""",
+        "json_reject_catalogs": """SELECT event_id, user_id % 61 AS catalog, coalesce(CAST(props ->> '$.k' AS BIGINT), 0) AS k FROM events
+          WHERE user_id % 61 NOT IN (SELECT user_id % 61 FROM events WHERE event_id % 997 = 0)""",
         "json_first_link": "SELECT page_id, CASE WHEN page_id % 10 <> 0 THEN url END AS url FROM pages",
         "load_metrics": """SELECT count(*) AS n_records, CAST(sum(strlen(text)) AS BIGINT) AS n_bytes,
           count(*) FILTER (lang = 'en') AS n_english FROM documents""",
@@ -432,6 +436,7 @@ def oracle_sql() -> dict[str, str]:
           coalesce(CAST("current" AS VARCHAR), CAST(genesis AS VARCHAR), '2026-06-19') AS target_date FROM {_CONTROL_STATE}
           UNION ALL SELECT 'bronze', 'seed_' || r_regionkey, '1990-01-15' FROM region
           UNION ALL SELECT 'asked', 'seed_1', '1990-01-15'""",
+        "control_since": f"SELECT source_id, fct_dt FROM {both} WHERE fct_dt >= '19950115'",
         "control_advance": f"""SELECT pipeline, genesis,
           CASE WHEN layer = 'silver' THEN DATE '2026-06-19' ELSE "current" END AS "current", layer FROM {_CONTROL_STATE}
           UNION ALL SELECT 'seed_' || r_regionkey, DATE '1990-01-15', CASE WHEN r_regionkey = 0 THEN DATE '2026-06-19' END, 'bronze' FROM region

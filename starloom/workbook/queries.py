@@ -291,6 +291,16 @@ def cone_search(spark: SparkSession, sf: str) -> DataFrame:
     return _round(df.transform(spatial.cone_search(2.0, 80.0, 15.0)))
 
 
+def cone_search_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """The same cone in a table laid out by tile, of which only the covering tiles are opened."""
+    table = f"{_database(spark)}.sky"
+    df = samples.stars(spark, sf, wide=True).select("source_id", "ra", "dec")
+    silver.publish(df.transform(with_healpix_index("ra", "dec")), table)
+    tiles = spatial.covering_tiles(spark, 2.0, 80.0, 15.0, silver.TILE_ORDER)
+    found = spark.table(table).transform(spatial.cone_search(2.0, 80.0, 15.0, tiles=(silver.TILE, tiles)))
+    return _round(found.select("source_id", "ra", "dec"))
+
+
 def cone_count(spark: SparkSession, sf: str) -> DataFrame:
     stars, around = samples.stars(spark, sf), samples.centers(spark, sf)
     return _round(spatial.count_in_cones(stars, around, 1.0))
@@ -438,7 +448,8 @@ def bronze_load(spark: SparkSession, sf: str) -> DataFrame:
     """Star extract to the 160-column bronze table and back."""
     path = _load_bronze(spark, sf)["stars"]
     columns = ["source_id", "ra", "dec", "parallax", "phot_bp_mean_mag", "vbroad", "j_m", "year", "month", "day"]
-    return _round(files.read_parquet(spark, path, columns), 6)
+    schema = bronze.dated_schema(catalogs.STAR_BRONZE, ("year", "month", "day"))
+    return _round(files.read_parquet(spark, path, columns, schema), 6)
 
 
 def bronze_load_csv(spark: SparkSession, sf: str) -> DataFrame:
@@ -483,6 +494,14 @@ def json_event_props(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def json_reject_catalogs(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of users in groups; a group with a broken text is left out as a whole."""
+    body = F.when(F.col("event_id") % 997 == 0, F.lit("[{broken")).otherwise(F.concat(F.lit("["), "props", F.lit("]")))
+    df = samples.table(spark, sf, "events").select("event_id", (F.col("user_id") % 61).alias("catalog"), body.alias("body"))
+    parsed = jsonrecords.parse_records(df, "body", catalogs.flat_schema("k bigint"), keep=("event_id", "catalog"))
+    return jsonrecords.reject_catalogs_with_errors(parsed, "catalog").select("event_id", "catalog", "k")
+
+
 def json_first_link(spark: SparkSession, sf: str) -> DataFrame:
     """Link lists wrapped around the page addresses; the first address comes back."""
     entry = F.struct(F.col("url").alias("url"))
@@ -619,6 +638,15 @@ def control_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return control.with_target_date(state.unionByName(named)).select("layer", "pipeline", "target_date")
 
 
+def control_since(spark: SparkSession, sf: str) -> DataFrame:
+    """Stars observed since the date that the control table gives for a seed job."""
+    target = control.with_target_date(control.current_state(spark.table(_control_table(spark, sf))).where("pipeline = 'seed_1'"))
+    rows = _two_observations(spark, sf).select("source_id", "fct_dt")
+    later = F.date_format(F.add_months(F.to_date(F.lit(target.first()["target_date"])), 60), "yyyy-MM-dd")
+    date = spark.range(1).select(later).first()[0]
+    return control.since(rows, date)
+
+
 def control_advance(spark: SparkSession, sf: str) -> DataFrame:
     """All silver jobs are moved on by entries appended to the log; one seed job and one new job by name."""
     log = _control_table(spark, sf)
@@ -718,6 +746,7 @@ QUERIES: dict[str, Query] = {
     "pixel_candidates": pixel_candidates,
     "left_join_chain": left_join_chain,
     "cone_search": cone_search,
+    "cone_search_tiles": cone_search_tiles,
     "cone_count": cone_count,
     "density_radius": density_radius,
     "valid_coords": valid_coords,
@@ -735,6 +764,7 @@ QUERIES: dict[str, Query] = {
     "medallion": medallion,
     "json_records": json_records,
     "json_event_props": json_event_props,
+    "json_reject_catalogs": json_reject_catalogs,
     "json_first_link": json_first_link,
     "binary_inventory": binary_inventory,
     "load_metrics": load_metrics,
@@ -745,6 +775,7 @@ QUERIES: dict[str, Query] = {
     "purge_moved": purge_moved,
     "clustered_write": clustered_write,
     "control_lookup": control_lookup,
+    "control_since": control_since,
     "control_advance": control_advance,
     "batch_hash": batch_hash,
     "stream_landing": stream_landing,

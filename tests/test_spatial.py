@@ -308,3 +308,24 @@ def test_nearest_within_against_brute_force(spark, radius):
         away = sorted((round(separation((r.ra, r.dec), (o.ra, o.dec)), 9), o["name"]) for o in others)
         near = [a for a in away if a[0] <= radius]
         assert r.n_objects == len(near) and r.nearest == (near[0][1] if near else None)
+
+
+@pytest.mark.parametrize("order", [0, 2, 3])
+def test_covering_tiles_hold_every_position_of_a_cone(spark, order):
+    r = random.Random(order)
+    for _ in range(6):
+        center, radius = (r.uniform(0, 360), math.degrees(math.asin(r.uniform(-1, 1)))), r.choice([0.01, 1.0, 8.0, 40.0])
+        tiles = set(spatial.covering_tiles(spark, *center, radius, order))
+        points = [p for p in sphere_points(20000, r.randrange(1000)) if separation(p, center) <= radius] + [center]
+        found = frame(spark, points).transform(with_healpix_index("ra", "dec", order, "tile")).select("tile").distinct().collect()
+        assert {t.tile for t in found} <= tiles
+        if order >= 2 and radius <= 8:
+            assert len(tiles) <= 12 * 4**order / 4
+
+
+def test_cones_open_covering_tiles_only(spark, tmp_path):
+    df = frame(spark, sphere_points(500, 3)).transform(with_healpix_index("ra", "dec", 2, "tile"))
+    df.write.partitionBy("tile").parquet(str(tmp_path / "sky"))
+    tiles = spatial.covering_tiles(spark, 30.0, 20.0, 5.0)
+    plan = plan_of(spark.read.parquet(str(tmp_path / "sky")).transform(spatial.cone_search(30.0, 20.0, 5.0, tiles=("tile", tiles))))
+    assert "PartitionFilters: [tile" in plan or "PartitionFilters: [isnotnull(tile" in plan
