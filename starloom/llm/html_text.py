@@ -40,6 +40,7 @@ DROPPED_WORDS = frozenset(
     " notices notification overlay pager pagination popup promo promoted promotion recommended related replies reply respond"
     " search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar topbar widget".split()
 )
+DROPPED_STARTS = tuple("advert breadcrumb comment cookie footer navbar newsletter sidebar sponsor subscri".split())
 #: A class name that starts so only says what is or isn't beside the element.
 ABOUT_LAYOUT = frozenset("has is no not with without".split())
 ARTICLE_WORDS = frozenset("article body content entry main post story text".split())
@@ -60,6 +61,10 @@ _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
+#: A form around an article, as some page frameworks make.
+_WRAPPED = re.compile(r"(?:(?!/?form\b)[^<]*<)*?(?:article|main|h1)\b", re.I)
+
+
 class Page:
     """Containers (path, parent, depth, factor) and text blocks (container, text, characters in links) of a page."""
 
@@ -127,6 +132,8 @@ class Page:
             if name in VOID or (token[4] or token[5] or "").endswith("/"):
                 continue
             classes, out = self._named(name, token[4] if token[4] is not None else token[5] or "")
+            if out and name == "form" and _WRAPPED.match(html, at):
+                out = False
             if out and not dropped:
                 flush()
             dropped = dropped or out
@@ -149,7 +156,7 @@ class Page:
         if name not in ("html", "body", "main", "article"):
             for label in [*classes, *values.get("id", "").split()]:
                 words = [w.lower() for w in _WORD.findall(label)]
-                out = out or bool(words) and words[0] not in ABOUT_LAYOUT and not DROPPED_WORDS.isdisjoint(words)
+                out = out or bool(words) and words[0] not in ABOUT_LAYOUT and any(w in DROPPED_WORDS or w.startswith(DROPPED_STARTS) for w in words)
             out = out or values.get("role", "").lower() in DROPPED_ROLES or values.get("aria-hidden") == "true"
             out = out or "hidden" in values or re.search(r"display\s*:\s*none", values.get("style", "")) is not None
         general = sorted({re.sub(r"\d+", "0", c.lower()) for c in classes})

@@ -26,6 +26,9 @@ FRAME = (
         ("<article><p>1 &lt; 2 &#8212; &eacute;</p><p hidden>h</p><p style='display: none'>n</p></article>", ["1 < 2 — é"]),
         ("<article><table><tr><td>a</td><td>b</td></tr><tr><td>c</td></tr></table></article>", ["a", "b", "c"]),
         ("<article><p title='a>b'>q</p><div class='no-sidebar'>kept</div></article>", ["q", "kept"]),
+        ("<article><p>a</p><ol class='commentlist'><li>nice</ol><div class='subscribeBox'>mail</div></article>", ["a"]),
+        ("<form id=f><input type=hidden><article><p>a</p><form>b</form></article></form>", ["a"]),
+        ("<article><p>a</p></article><form><p>b</p></form><h1>late</h1>", ["a"]),
         ("", []),
     ],
 )
