@@ -27,10 +27,11 @@ def texts(values: pa.Array) -> list[str]:
     return [x or "" for x in values.to_pylist()]
 
 
-def slices(batches: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
-    """Every batch as a list of short slices, so that few rows are Python objects at once."""
+def slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """All batches in short slices, so that few rows, and few results, are in a worker's memory at once."""
     for batch in batches:
-        yield [batch.slice(i, SLICE) for i in range(0, len(batch), SLICE)]
+        for i in range(0, len(batch), SLICE):
+            yield batch.slice(i, SLICE)
 
 
 def hex64(value: Column) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from starloom.llm.common import slices, texts
+from starloom.llm.common import SLICE, slices, texts
 from starloom.llm.url_filter import host_and_path
 from starloom.session import stage
 
@@ -209,9 +209,9 @@ def container_votes(html: Column) -> Column:
     @arrow_udf("array<struct<path:string,vote:double>>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kind = pa.list_(pa.struct([("path", pa.string()), ("vote", pa.float64())]))
-        for parts in slices(batches):
+        for part in slices(batches):
             rows = []
-            for page in (t for part in parts for t in texts(part)):
+            for page in texts(part):
                 scores = Page(page).scores()
                 total = sum(scores.values())
                 rows.append([{"path": p, "vote": s / total} for p, s in scores.items()])
@@ -224,10 +224,9 @@ def main_text(html: Column, path: Column) -> Column:
     @arrow_udf("string")
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for pages, paths in batches:
-            out = []
-            for i in range(0, len(pages), 256):
-                out += [Page(h).text(p) for h, p in zip(texts(pages.slice(i, 256)), paths.slice(i, 256).to_pylist())]
-            yield pa.array(out, pa.string())
+            for i in range(0, len(pages), SLICE):
+                rows = zip(texts(pages.slice(i, SLICE)), paths.slice(i, SLICE).to_pylist())
+                yield pa.array([Page(h).text(p) for h, p in rows], pa.string())
 
     return run(html, path)
 

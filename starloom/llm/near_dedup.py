@@ -80,8 +80,8 @@ def shingle_fingerprint(text: Column, words: int = SHINGLE_WORDS) -> Column:
 
     @arrow_udf("long")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for parts in slices(batches):
-            yield pa.array([fingerprint_of(t, words) for part in parts for t in utf8(part)], pa.int64())
+        for part in slices(batches):
+            yield pa.array([fingerprint_of(t, words) for t in utf8(part)], pa.int64())
 
     return run(text)
 

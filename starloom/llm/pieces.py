@@ -397,8 +397,8 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, best: int = BEST) -> Column
     @arrow_udf(SCHEMA)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(shared.value, best)
-        for parts in slices(batches):
-            done = [d for part in parts for d in encoder.encode_all(texts(part))]
+        for part in slices(batches):
+            done = encoder.encode_all(texts(part))
             yield pa.StructArray.from_arrays(
                 [
                     pa.array([d["ids"] for d in done], pa.list_(pa.int32())),
@@ -419,8 +419,8 @@ def decoded(frame: DataFrame, ids: str, vocabulary: Vocabulary) -> Column:
     @arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(shared.value)
-        for parts in slices(batches):
-            yield pa.array([encoder.decode(x) if x else "" for part in parts for x in part.to_pylist()], pa.string())
+        for part in slices(batches):
+            yield pa.array([encoder.decode(x) if x else "" for x in part.to_pylist()], pa.string())
 
     return run(frame[ids])
 

@@ -116,8 +116,8 @@ class Model:
 def terms_column(text: Column) -> Column:
     @arrow_udf("array<float>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for parts in slices(batches):
-            yield pa.array([terms_of(t) for part in parts for t in utf8(part)], pa.list_(pa.float32()))
+        for part in slices(batches):
+            yield pa.array([terms_of(t) for t in utf8(part)], pa.list_(pa.float32()))
 
     return run(text)
 
@@ -158,9 +158,8 @@ def score(docs: DataFrame, model: Model) -> Column:
 
     @arrow_udf("double")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for parts in slices(batches):
-            found = [shared.value.scores(np.array([terms_of(t) for t in utf8(part)])) for part in parts]
-            yield pa.array(np.concatenate(found) if found else [], pa.float64())
+        for part in slices(batches):
+            yield pa.array(shared.value.scores(np.array([terms_of(t) for t in utf8(part)])), pa.float64())
 
     return run(docs["text"])
 

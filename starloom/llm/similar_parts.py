@@ -75,10 +75,9 @@ def sketches(text: Column, words: int) -> Column:
 
     @arrow_udf(_SKETCH)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for pieces in slices(batches):
-            rows = [sketch_of(t, words) for piece in pieces for t in utf8(piece)]
-            columns = list(zip(*rows)) if rows else [()] * (3 + WORDS)
-            kinds = [pa.int64()] * (2 + WORDS) + [pa.list_(pa.int64())]
+        kinds = [pa.int64()] * (2 + WORDS) + [pa.list_(pa.int64())]
+        for piece in slices(batches):
+            columns = zip(*(sketch_of(t, words) for t in utf8(piece)))
             yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["fp", "node", *_WIDE, "parts"])
 
     return run(text)

@@ -151,9 +151,9 @@ def counts(docs: DataFrame, automaton: Automaton) -> Column:
         known = _KNOWN.get("counts")
         if known is None or known.automaton is not shared.value:
             known = _KNOWN["counts"] = _Counts(shared.value)
-        for parts in slices(batches):
+        for part in slices(batches):
             words, pieces = [], []
-            for text in (t for part in parts for t in texts(part)):
+            for text in texts(part):
                 if len(known) > REMEMBERED:
                     known.clear()
                 found = words_of(text)

@@ -28,7 +28,7 @@ FRAME = (
         ("<article><p title='a>b'>q</p><div class='no-sidebar'>kept</div></article>", ["q", "kept"]),
         ("<article><p>a</p><ol class='commentlist'><li>nice</ol><div class='subscribeBox'>mail</div></article>", ["a"]),
         ("<form id=f><input type=hidden><article><p>a</p><form>b</form></article></form>", ["a"]),
-        ("<article><p>a</p></article><form><p>b</p></form><h1>late</h1>", ["a"]),
+        ("<article><p>a longer text</p></article><form><p>b</p></form><h1>x</h1>", ["a longer text"]),
         ("", []),
     ],
 )
