@@ -2,12 +2,14 @@
 
 Hosts link to hosts. Trust starts at hosts with allowed pages and follows the links, distrust
 starts at hosts with blocked pages and goes against them (who links to blocked hosts is
-suspect). Both are personalised PageRank; a host whose distrust is larger than its trust and
-than a threshold is blocked.
+suspect). Both are personalised PageRank. A host is blocked if distrust makes up more than a given
+share of its own trust and distrust and is larger than a threshold. Neither depends on hosts that
+no links lead to or from: seeds weigh by the shares of their own pages, not by the table's sums.
 """
 
 from __future__ import annotations
 
+import math
 import string
 from collections.abc import Sequence
 
@@ -25,9 +27,12 @@ RULES = (
     ("block", "com", "/de/"),
 )
 DAMPING = 0.85
-ROUNDS = 30
 TOLERANCE = 1e-9
-THRESHOLD = 0.0
+#: Distrust as a share of a host's trust and distrust, above which it is suspect.
+SPAM_SHARE = 0.5
+#: Distrust that a suspect host has at least: a host without links gets it with 1 of 15 pages blocked, and
+#: a wholly blocked host passes it on over at most 16 links, each the only one to its target.
+THRESHOLD = 0.01
 
 _LINK = r"""(?i)\b(?:href|src|action)\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
 
@@ -63,14 +68,24 @@ def host_links(pages: DataFrame) -> DataFrame:
     return found.where("dst <> '' AND src <> dst").distinct()
 
 
-def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+def propagate(
+    seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int | None = None, tolerance: float = TOLERANCE, scaled: bool = True
+) -> DataFrame:
     """(``host``, ``trust``, ``distrust``) from ``seeds`` (``host``, ``good``, ``bad``) over ``links``.
 
-    The seeds are scaled to a sum of one each. Every round joins the current values with the
-    links twice and sums per host; the values are staged, and the loop ends when they move by
-    less than ``tolerance`` in all. Mass of hosts without links is lost, as nothing follows it.
+    The seeds are scaled to a sum of one each, unless ``scaled`` is false. Every round joins the
+    current values with the links twice and sums per host; the values are staged, and the loop ends
+    when they move by less than ``tolerance`` in all. A round moves them by at most ``damping`` times
+    the round before, which bounds the rounds; ``rounds`` ends the loop earlier. Mass of hosts without
+    links is lost, as nothing follows it.
     """
     sums = seeds.agg(F.sum("good"), F.sum("bad")).first()
+    if not scaled:
+        total, sums = sum(x or 0.0 for x in sums), (1.0, 1.0)
+    else:
+        total = 2.0
+    if rounds is None:
+        rounds = 2 + max(0, math.ceil(math.log(tolerance / max(total, 1.0)) / math.log(damping)))
     out = links.groupBy("src").agg((1 / F.count("*")).alias("forth"))
     into = links.groupBy("dst").agg((1 / F.count("*")).alias("back"))
     edges = stage(links.join(out, "src").join(into, "dst"), "url-edges")
@@ -105,11 +120,14 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, roun
     return values
 
 
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, threshold: float = THRESHOLD) -> DataFrame:
+def judge(
+    pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, threshold: float = THRESHOLD, spam_share: float = SPAM_SHARE
+) -> DataFrame:
     """Per row of ``pages``: ``page_id``, ``host``, ``path``, ``rule``, ``verdict``, ``trust``, ``distrust``.
 
     The longest fitting rule decides; a page without one follows its host. A host seeds trust
-    and distrust by the share of its pages that rules allow and block. Null or odd urls have
+    and distrust by the share of its pages that rules allow and block; it is blocked if distrust is
+    more than ``spam_share`` of both and more than ``threshold``, to 12 digits. Null or odd urls have
     an empty host, no rule, no trust, and are allowed; null html has no links. Repeated rows
     are kept; empty table: no rows; other columns are not read.
     """
@@ -126,14 +144,16 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, thres
             F.avg((F.coalesce("ruled", F.lit("")) == "block").cast("double")).alias("bad"),
         )
     )
-    values = propagate(seeds, links)
-    suspect = (F.col("distrust") > F.col("trust")) & (F.col("distrust") > threshold)
+    # rounded, so that the order of sums doesn't settle ties
+    values = propagate(seeds, links, scaled=False).select("host", *(F.round(c, 12).alias(c) for c in ("trust", "distrust")))
+    mass = F.round(F.col("distrust") - spam_share * (F.col("trust") + F.col("distrust")), 12)
+    suspect = (mass > 0) & (F.col("distrust") > threshold)
     return ruled.join(values, "host", "left").select(
         "page_id",
         "host",
         "path",
         "rule",
         F.coalesce("ruled", F.when(suspect, "block").otherwise("allow")).alias("verdict"),
-        F.round(F.coalesce("trust", F.lit(0.0)), 12).alias("trust"),
-        F.round(F.coalesce("distrust", F.lit(0.0)), 12).alias("distrust"),
+        F.coalesce("trust", F.lit(0.0)).alias("trust"),
+        F.coalesce("distrust", F.lit(0.0)).alias("distrust"),
     )

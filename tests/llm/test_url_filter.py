@@ -90,3 +90,52 @@ def test_query(spark, sf_dir):
         ]
         best = max(fits, key=lambda f: len(f[0]), default=(None, r["verdict"]))
         assert (r["host"], r["path"], r["rule"], r["verdict"]) == (host, path, *best)
+
+
+def test_other_hosts_do_not_settle_a_verdict(spark):
+    """More allowed than blocked pages keep a host, however much trust there is elsewhere; one blocked page of many does, too."""
+    pages = [f"http://mixed.com/{x}" for x in ("fr/1", "fr/2", "de/1", "en/1")]
+    pages += [f"http://worse.com/{x}" for x in ("fr/1", "de/1", "de/2", "en/1")]
+    pages += [f"http://even.com/{x}" for x in ("fr/1", "de/1", "en/1")]
+    pages += ["http://large.com/de/1", *(f"http://large.com/en/{i}" for i in range(29))]
+    verdicts = []
+    for others in (0, 40):
+        urls = [(u, "") for u in [*pages, *(f"http://o{i}.org/" for i in range(others))]]
+        got = uf.judge(spark.createDataFrame([(i, *u) for i, u in enumerate(urls)], "page_id long, url string, html string")).collect()
+        verdicts.append({r["host"]: (r["verdict"], r["trust"], r["distrust"]) for r in got if r["path"].startswith("/en/")})
+    assert verdicts[0] == verdicts[1]
+    assert {h: v[0] for h, v in verdicts[0].items()} == {"mixed.com": "allow", "worse.com": "block", "even.com": "allow", "large.com": "allow"}
+
+
+def test_a_long_chain_ends(spark):
+    """Distrust fades along a chain of links."""
+    link = '<a href="http://h{}.net/">x</a>'
+    pages = [(0, "http://h0.com/de/", ""), (1, "http://h1.net/", '<a href="http://h0.com/">x</a>')]
+    pages += [(i, f"http://h{i}.net/", link.format(i - 1)) for i in range(2, 22)]
+    got = {r["page_id"]: r["verdict"] for r in uf.judge(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got[2] == got[10] == "block" and got[21] == "allow"
+
+
+def test_the_default_run_goes_to_the_tolerance(spark):
+    values = uf.propagate(
+        spark.createDataFrame([("a", 1.0, 0.0), ("b", 0.0, 1.0)], "host string, good double, bad double"),
+        spark.createDataFrame([("a", "b"), ("b", "a")], "src string, dst string"),
+        damping=0.6,
+    )
+    own, passed = 0.4 / 0.64, 0.24 / 0.64
+    got = {r["host"]: (r["trust"], r["distrust"]) for r in values.collect()}
+    assert got["a"] == pytest.approx((own, passed), abs=1e-8) and got["b"] == pytest.approx((passed, own), abs=1e-8)
+
+
+def test_query_pages_without_a_rule(spark, sf_dir):
+    """The test pages have no links between hosts, so a page without a rule follows the pages of its own host."""
+    got = QUERIES["op8_url_filter"](spark, sf_dir).collect()
+    ruled = {}
+    for r in got:
+        ruled.setdefault(r["host"], []).append(r["verdict"] if r["rule"] else None)
+    free = [r for r in got if r["rule"] is None]
+    for r in free:
+        pages = ruled[r["host"]]
+        good, bad = pages.count("allow"), pages.count("block")
+        assert r["verdict"] == ("block" if bad > good and 0.15 * bad / len(pages) > uf.THRESHOLD else "allow")
+    assert free
