@@ -4,6 +4,8 @@ Pass one scores the containers of every page by the share of the page's running
 hold, how deep they are, and what they are called. Pages vote on generalised tag-class paths,
 and Spark sums the votes per host and path. Pass two extracts each page again from the
 containers at its host's winning path; a page without text there uses its own best container.
+From there it climbs to the article or main element around them, so that a title or a lead
+beside an inner content container is kept.
 """
 
 from __future__ import annotations
@@ -44,6 +46,8 @@ DROPPED_STARTS = tuple("advert breadcrumb comment cookie footer navbar newslette
 #: A class name that starts so only says what is or isn't beside the element.
 ABOUT_LAYOUT = frozenset("has is no not with without".split())
 ARTICLE_WORDS = frozenset("article body content entry main post story text".split())
+#: Of these, the ones whose container is the article and not only a part of it or of the page.
+WHOLE_WORDS = frozenset("article entry post story".split())
 
 #: A path names an element and so many of those around it, which bounds it on deeply nested pages.
 LEVELS = 6
@@ -70,6 +74,8 @@ class Page:
 
     def __init__(self, html: str) -> None:
         self.containers: list[tuple[str, int, int, float]] = [("body", -1, 0, 1.0)]
+        #: Per container 2 for an article element, 1 for main and what is named like an article, else 0.
+        self.kinds = [0]
         self.blocks: list[tuple[int, str, int]] = []
         self._read(html)
 
@@ -169,6 +175,7 @@ class Page:
             return 0
         words = set(_WORD.findall(classes)) | {name}
         factor = 1.5 if words & ARTICLE_WORDS else 1.0
+        self.kinds.append(2 if name == "article" else int(name == "main" or bool(words & WHOLE_WORDS)))
         steps = path.split(">")[-LEVELS:]
         self.containers.append((">".join([*steps, name + classes]), parent, depth + 1, factor))
         return len(self.containers) - 1
@@ -189,19 +196,48 @@ class Page:
         return found
 
     def text(self, path: str | None) -> str:
-        """Blocks below the containers at ``path``; without text there, below the best one of the page."""
+        """Blocks of the article around the containers at ``path``; without text there, around the best one of the page."""
         inside = self._inside(path) if path is not None else []
         if not inside and self.blocks:
             scores = self.scores()
             inside = self._inside(max(scores, key=lambda p: (scores[p], p))) if scores else [b[1] for b in self.blocks]
         return "\n\n".join(inside)
 
-    def _inside(self, path: str) -> list[str]:
+    def _below(self, tops: set[int]) -> list[bool]:
+        """Whether each container is one of ``tops`` or inside one."""
         within = [False] * len(self.containers)
-        for i, (own, parent, _, _) in enumerate(self.containers):
-            within[i] = own == path or (parent >= 0 and within[parent])
+        for i, (_, parent, _, _) in enumerate(self.containers):
+            within[i] = i in tops or (parent >= 0 and within[parent])
+        return within
+
+    def _inside(self, path: str) -> list[str]:
+        found = {i for i, c in enumerate(self.containers) if c[0] == path}
+        within = self._below(found)
+        if not any(within[container] for container, _, _ in self.blocks):
+            return []
+        within = self._below(self._around(found))
         return [text for container, text, _ in self.blocks if within[container]]
 
+    def _around(self, found: set[int]) -> set[int]:
+        """The outermost article around each of ``found``, and main or a container named like an article around that.
+
+        The latter only counts if it adds neither blocks made of links nor other articles.
+        """
+        article, tops = [-1] * len(self.containers), set()
+        for i, (_, parent, _, _) in enumerate(self.containers):
+            article[i] = article[parent] if parent >= 0 and article[parent] >= 0 else i if self.kinds[i] == 2 else -1
+            if i in found:
+                tops.add(article[i] if article[i] >= 0 else i)
+        within = self._below(tops)
+        other = [int(kind == 2 and not inside) for kind, inside in zip(self.kinds, within)]
+        for container, text, links in self.blocks:
+            other[container] += 2 * links > len(text) and not within[container]
+        holds = [i in tops for i in range(len(within))]
+        for i in range(len(within) - 1, 0, -1):
+            other[self.containers[i][1]] += other[i]
+            holds[self.containers[i][1]] |= holds[i]
+        return tops | {i for i, kind in enumerate(self.kinds) if kind == 1 and holds[i] and not other[i]}
+
 
 def container_votes(html: Column) -> Column:
     """The page's paths and their shares of its vote."""

@@ -78,3 +78,33 @@ def test_messy(spark):
     got = html_text.extracted(pages).collect()
     assert sorted((r["page_id"] or 0, r["n_chars"]) for r in got) == [(0, 1), (1, 0), (1, 0), (2, 20_000 * 11 - 2), (3, 0)]
     assert html_text.extracted(pages.limit(0)).count() == 0
+
+
+BODY = "<p>" + "body text " * 60 + "</p>"
+
+
+@pytest.mark.parametrize(
+    ("page", "blocks"),
+    [
+        ("<article><h1>title</h1><p>lead</p><div class='entry-content'>%s</div><p>end</p></article>", ["title", "lead", 0, "end"]),
+        ("<main><h1>title</h1><div class=content><div class=text>%s</div></div></main>", ["title", 0]),
+        ("<div class=post><h1>title</h1><p>lead</p><div class='entry-content'>%s</div></div>", ["title", "lead", 0]),
+        ("<main><h1>title</h1><article>%s</article></main>", ["title", 0]),
+        ("<main><p><a href=x>more of this</a></p><article>%s</article></main>", [0]),
+        ("<main><p>top</p><article>%s</article><article class=card>other</article></main>", [0]),
+        ("<p>outside</p><article><p>lead</p><div class='entry-content'>%s</div><div class=tags><a href=x>tag</a></div></article>", ["lead", 0, "tag"]),
+    ],
+)
+def test_text_beside_an_inner_container(page, blocks):
+    assert Page(FRAME % (page % BODY)).text(None) == "\n\n".join(b or " ".join(["body text"] * 60) for b in blocks)
+
+
+def test_title_and_lead_outside_the_content_container(spark):
+    """The inner container wins the vote of the host; the article is whole also where most of it is the lead."""
+    page = "<body><article><h1>title</h1><p>%s</p><div class='entry-content'>%s</div><p>end</p></article></body>"
+    rows = [(i, f"http://h.net/{i}", page % ("lead", BODY)) for i in range(20)] + [(20, "http://h.net/20", page % ("lead " * 100, "<p>body</p>"))]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert html_text.winning_paths(frame).first()["path"].endswith("div.entry-content")
+    got = {r["page_id"]: r["text"].split("\n\n") for r in html_text.extracted(frame).collect()}
+    assert got[0] == ["title", "lead", " ".join(["body text"] * 60), "end"]
+    assert got[20] == ["title", " ".join(["lead"] * 100), "body", "end"]
