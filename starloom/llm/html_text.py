@@ -42,7 +42,17 @@ DROPPED_WORDS = frozenset(
     " notices notification overlay pager pagination popup promo promoted promotion recommended related replies reply respond"
     " search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar topbar widget".split()
 )
-DROPPED_STARTS = tuple("advert breadcrumb comment cookie footer navbar newsletter sidebar sponsor subscri".split())
+#: Words that say what part of a page an element is, and not what is in it.
+PARTS = frozenset(
+    "area article articles bar block box button buttons container content field group holder icon icons inner items left link"
+    " links list main menu outer panel post posts right row section slot stories story thread top unit wrap wrapper".split()
+)
+#: One of these words and parts of a page written together, as in ``commentlist``.
+_JOINED = re.compile(rf"(?:advert|breadcrumb|comment|cookie|footer|navbar|newsletter|sidebar|sponsor|subscribe)s?(?:{'|'.join(sorted(PARTS))})*")
+#: Headings of articles whose ids are made from their text.
+HEADINGS = frozenset("discussion form notice notices search social".split())
+#: Elements whose names count: containers and lists, not headings, paragraphs and inline elements.
+NAMED = CONTAINERS - {"article", "body", "main"} | frozenset("dl li ol table ul".split())
 #: A class name that starts so only says what is or isn't beside the element.
 ABOUT_LAYOUT = frozenset("has is no not with without".split())
 ARTICLE_WORDS = frozenset("article body content entry main post story text".split())
@@ -69,6 +79,10 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _WRAPPED = re.compile(r"(?:(?!/?form\b)[^<]*<)*?(?:article|main|h1)\b", re.I)
 
 
+def _furniture(word: str) -> bool:
+    return word in DROPPED_WORDS or _JOINED.fullmatch(word) is not None
+
+
 class Page:
     """Containers (path, parent, depth, factor) and text blocks (container, text, characters in links) of a page."""
 
@@ -77,11 +91,16 @@ class Page:
         #: Per container 2 for an article element, 1 for main and what is named like an article, else 0.
         self.kinds = [0]
         self.blocks: list[tuple[int, str, int]] = []
+        #: Elements with names of what is no article, by the one around each, and what stands in them.
+        self._named_in: list[int] = []
+        self._held_in: list[int] = [-1]
+        self._found: list[tuple[int, str, int, int]] = []
         self._read(html)
+        self._drop_named()
 
     def _read(self, html: str) -> None:
-        stack: list[tuple[str, int, bool, bool]] = []  # name, container, dropped, in a link
-        container, dropped, linked = 0, False, False
+        stack: list[tuple[str, int, bool, bool, int]] = []  # name, container, dropped, in a link, in a named element
+        container, dropped, linked, named = 0, False, False, -1
         pieces: list[str] = []
         link_size = at = 0
 
@@ -90,7 +109,7 @@ class Page:
             if pieces:
                 text = " ".join("".join(pieces).split())
                 if text:
-                    self.blocks.append((container, text, min(link_size, len(text))))
+                    self._found.append((container, text, min(link_size, len(text)), named))
                 pieces.clear()
             link_size = 0
 
@@ -101,8 +120,8 @@ class Page:
                 pieces.append(text)
                 link_size += len(text) if linked else 0
 
-        def state() -> tuple[int, bool, bool]:
-            return stack[-1][1:] if stack else (0, False, False)
+        def state() -> tuple[int, bool, bool, int]:
+            return stack[-1][1:] if stack else (0, False, False, -1)
 
         for token in _TOKEN.finditer(html):
             add(html[at : token.start()])
@@ -117,7 +136,7 @@ class Page:
                         if any(s[0] in CONTAINERS or s[0] in BLOCKS or s[2] for s in stack[depth:]):
                             flush()
                         del stack[depth:]
-                        container, dropped, linked = state()
+                        container, dropped, linked, named = state()
                         break
                 continue
             block = name in BLOCKS or name in CONTAINERS or name in DROPPED
@@ -127,7 +146,7 @@ class Page:
                     if stack[depth][0] in closing:
                         flush()
                         del stack[depth:]
-                        container, dropped, linked = state()
+                        container, dropped, linked, named = state()
                         break
                     if stack[depth][0] in CONTAINERS or stack[depth][0] in ("ul", "ol", "table", "dl"):
                         break
@@ -137,36 +156,89 @@ class Page:
                 add(" ")
             if name in VOID or (token[4] or token[5] or "").endswith("/"):
                 continue
-            classes, out = self._named(name, token[4] if token[4] is not None else token[5] or "")
+            classes, out, marked = self._named(name, token[4] if token[4] is not None else token[5] or "")
             if out and name == "form" and _WRAPPED.match(html, at):
                 out = False
             if out and not dropped:
                 flush()
             dropped = dropped or out
+            if marked and not dropped:
+                flush()
+                self._named_in.append(named)
+                named = len(self._named_in) - 1
             linked = linked or name == "a"
             if name in CONTAINERS and not dropped:
                 container = self._container(name, classes, container)
-            stack.append((name, container, dropped, linked))
+                if len(self._held_in) < len(self.containers):
+                    self._held_in.append(named)
+            stack.append((name, container, dropped, linked, named))
         add(html[at:])
         flush()
 
-    def _named(self, name: str, attributes: str) -> tuple[str, bool]:
-        """Generalised class text of an element, and whether it is no part of an article."""
-        out = name in DROPPED
+    def _drop_named(self) -> None:
+        """Leave out the text of named elements, but not of one around the article: main, or an article with as much text as stands outside."""
+        held = [0] * len(self.containers)
+        outside = 0
+        for container, text, links, named in self._found:
+            if 2 * links <= len(text):
+                held[container] += len(text)
+                outside += len(text) if named < 0 else 0
+        for i in range(len(held) - 1, 0, -1):
+            held[self.containers[i][1]] += held[i]
+        around = [False] * len(self._named_in)
+        articles = [i for i, kind in enumerate(self.kinds) if kind == 2]
+        largest = max(articles, key=lambda i: held[i], default=-1)
+        for i, named in enumerate(self._held_in):
+            name = self.containers[i][0].split(">")[-1].split(".")[0]
+            if name == "main" and held[i] or i == largest and held[i] >= outside:
+                while named >= 0 and not around[named]:
+                    around[named] = True
+                    named = self._named_in[named]
+        if largest < 0 and self._named_in and not any(self.kinds[i] and held[i] for i in range(len(held)) if self._held_in[i] < 0):
+            self._keep_most(around)
+        dropped = [False] * len(self._named_in)
+        for i, outer in enumerate(self._named_in):
+            dropped[i] = not around[i] or outer >= 0 and dropped[outer]
+        self.blocks = [block[:3] for block in self._found if block[3] < 0 or not dropped[block[3]]]
+        self._found = []
+
+    def _keep_most(self, around: list[bool]) -> None:
+        """Mark named elements with over half of the page's running text, in several blocks, where nothing is called an article."""
+        sizes, blocks, total = [0] * len(around), [0] * len(around), 0
+        for _, text, links, named in self._found:
+            if 2 * links <= len(text):
+                total += len(text)
+                if named >= 0:
+                    sizes[named] += len(text)
+                    blocks[named] += 1
+        for i in range(len(around) - 1, -1, -1):
+            around[i] = around[i] or blocks[i] > 1 and 2 * sizes[i] > total
+            if self._named_in[i] >= 0:
+                sizes[self._named_in[i]] += sizes[i]
+                blocks[self._named_in[i]] += blocks[i]
+
+    def _named(self, name: str, attributes: str) -> tuple[str, bool, bool]:
+        """Generalised class text of an element, whether it is no part of an article, and whether its names say so."""
+        out, marked = name in DROPPED, False
         if not attributes.strip():
-            return "", out
+            return "", out, marked
         values = {}
         for m in _ATTRIBUTE.finditer(attributes):
             values[(m[1] or m[5]).lower()] = m[2] or m[3] or m[4] or ""
         classes = values.get("class", "").split()
-        if name not in ("html", "body", "main", "article"):
-            for label in [*classes, *values.get("id", "").split()]:
+        if name in NAMED:
+            for label in classes:
+                words = [w.lower() for w in _WORD.findall(label)]
+                marked = marked or bool(words) and words[0] not in ABOUT_LAYOUT and any(map(_furniture, words))
+            for label in values.get("id", "").split():
                 words = [w.lower() for w in _WORD.findall(label)]
-                out = out or bool(words) and words[0] not in ABOUT_LAYOUT and any(w in DROPPED_WORDS or w.startswith(DROPPED_STARTS) for w in words)
+                known = bool(words) and all(w in PARTS or _furniture(w) for w in words) and any(map(_furniture, words))
+                marked = marked or known and not (len(words) == 1 and words[0] in HEADINGS)
+        if name not in ("html", "body", "main", "article"):
             out = out or values.get("role", "").lower() in DROPPED_ROLES or values.get("aria-hidden") == "true"
             out = out or "hidden" in values or re.search(r"display\s*:\s*none", values.get("style", "")) is not None
         general = sorted({re.sub(r"\d+", "0", c.lower()) for c in classes})
-        return "".join(f".{c}" for c in general), out
+        return "".join(f".{c}" for c in general), out, marked
 
     def _container(self, name: str, classes: str, parent: int) -> int:
         path, _, depth, _ = self.containers[parent]

@@ -108,3 +108,23 @@ def test_title_and_lead_outside_the_content_container(spark):
     got = {r["page_id"]: r["text"].split("\n\n") for r in html_text.extracted(frame).collect()}
     assert got[0] == ["title", "lead", " ".join(["body text"] * 60), "end"]
     assert got[20] == ["title", " ".join(["lead"] * 100), "body", "end"]
+
+
+@pytest.mark.parametrize(
+    ("page", "blocks"),
+    [
+        (f"<article><section id='{i}'><h2 id='{i}'>head</h2><p>kept</p></section></article>", ["head", "kept"])
+        for i in ("related-work", "social-history", "search-algorithms", "form-and-function", "discussion")
+    ]
+    + [
+        ("<article><h2 class='section-header'>head</h2><p class=notice>note <a class=share>it</a></p></article>", ["head", "note it"]),
+        ("<article><div class='commentary'>on it</div><p>x</p></article>", ["on it", "x"]),
+        ("<div class='layout sidebar-right'><article><p>one</p></article><div class='sidebar'>side</div></div>", ["one"]),
+        ("<div class='layout sidebar-right'><main><p>one</p></main></div>", ["one"]),
+        ("<div class='layout sidebar-right'><div><p>the first paragraph</p><p>the second paragraph</p></div></div>", ["the first paragraph", "the second paragraph"]),
+        ("<div class=post><p>some words of a post</p></div><div class=comments><article class=comment>nice</article></div>", ["some words of a post"]),
+        ("<article><p>a</p><div id=comments>so</div><ul class=commentlist><li>so</ul><div id=related-posts>so</div><div id=related-theories>kept</div></article>", ["a", "kept"]),
+    ],
+)
+def test_names_that_are_no_furniture(page, blocks):
+    assert Page(FRAME % page).text(None) == "\n\n".join(blocks)
