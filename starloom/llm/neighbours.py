@@ -33,6 +33,8 @@ QUERY_ROWS = 2048
 LEAST_BLOCKS = 32
 
 _DIFFER = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)[None, :])
+#: By number of bits and value of a substring: the values that differ in at most so many bits.
+_PROBES = [[np.flatnonzero(row <= bits).tolist() for row in _DIFFER] for bits in range(9)]
 
 
 @dataclass
@@ -79,31 +81,47 @@ class Codes:
         return int(np.quantile(found, COVER, method="higher")) if found else BITS
 
 
+class Buckets:
+    """The codes of a block in one bucket table per substring: rows sorted by the substring's value, and where each value starts."""
+
+    def __init__(self, codes: np.ndarray) -> None:
+        self.codes = codes
+        parts = np.ascontiguousarray(codes)[:, None].view(np.uint8)
+        self.rows = [np.argsort(parts[:, s], kind="stable") for s in range(SUBSTRINGS)]
+        self.starts = [np.concatenate(([0], np.cumsum(np.bincount(parts[:, s], minlength=256)))) for s in range(SUBSTRINGS)]
+
+    def within(self, query: np.uint64, radius: int) -> np.ndarray:
+        """Rows with at most ``radius`` different bits, in order; only the probed buckets are read."""
+        seen = np.zeros(len(self.codes), bool)
+        for s in range(SUBSTRINGS):
+            rows, starts = self.rows[s], self.starts[s]
+            value = int(query) >> (8 * s) & 255
+            for bucket in _PROBES[min(radius // SUBSTRINGS, 8)][value]:
+                seen[rows[starts[bucket] : starts[bucket + 1]]] = True
+        found = np.flatnonzero(seen)
+        return found[np.bitwise_count(self.codes[found] ^ query) <= radius]
+
+
 def candidates(codes: np.ndarray, queries: np.ndarray, radius: int) -> np.ndarray:
     """Which rows (columns of the result) lie within the radius of which queries, by substring buckets."""
-    parts, asked = codes[:, None].view(np.uint8), queries[:, None].view(np.uint8)
-    probed = np.zeros((len(queries), len(codes)), bool)
-    for s in range(SUBSTRINGS):
-        buckets = _DIFFER[asked[:, s]] <= radius // SUBSTRINGS  # the buckets each query probes
-        probed |= buckets[:, parts[:, s]]
-    q, row = np.nonzero(probed)
-    close = np.bitwise_count(queries[q] ^ codes[row]) <= radius
-    probed[q[~close], row[~close]] = False
-    return probed
+    buckets, close = Buckets(codes), np.zeros((len(queries), len(codes)), bool)
+    for q, query in enumerate(queries):
+        close[q, buckets.within(query, radius)] = True
+    return close
 
 
 def nearest_in_block(model: Codes, ids, vectors: np.ndarray, query_ids, queries: np.ndarray, k: int) -> list[tuple]:
     """(query_id, vec_id, score) of the ``k`` nearest found for each query; the radius grows where it holds fewer."""
-    codes, asked = model.of(vectors), model.of(queries)
+    buckets, asked = Buckets(model.of(vectors)), model.of(queries)
     out = []
     todo, radius = np.arange(len(queries)), model.radius
     known = np.array([-1 if i is None else i for i in ids], np.int64)
     none = np.array([i is None for i in ids], bool)
     while len(todo):
-        hits = candidates(codes, asked[todo], radius)
         short = []
-        for q, near in zip(todo, hits):
-            rows = np.flatnonzero(near & (none | (known != query_ids[q])))
+        for q in todo:
+            near = buckets.within(asked[q], radius)
+            rows = near[none[near] | (known[near] != query_ids[q])]
             if len(rows) < k and radius < BITS:
                 short.append(q)
                 continue

@@ -70,3 +70,13 @@ def test_copies_ties_nulls_and_odd_vectors(spark):
     assert nn.search(frame.limit(0)).count() == 0
     few = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [4.0])], "vec_id long, embedding array<float>")
     assert [(r["rank"], r["vec_id"]) for r in nn.search(few).collect()] == [(1, 1), (2, 2)]
+
+
+def test_only_probed_buckets_are_read():
+    """Rows of other buckets don't turn up, even if their codes are changed to that of the query once the tables stand."""
+    codes = np.array([0, 1, 0x0101010101010101, (1 << 64) - 1], np.uint64)
+    buckets = nn.Buckets(codes)
+    assert buckets.within(np.uint64(0), 8).tolist() == [0, 1, 2] and buckets.within(np.uint64(0), 7).tolist() == [0, 1]
+    buckets.codes = np.zeros(4, np.uint64)
+    assert buckets.within(np.uint64(0), 7).tolist() == [0, 1] and buckets.within(np.uint64(0), 64).tolist() == [0, 1, 2, 3]
+    assert nn.Buckets(codes[:0]).within(np.uint64(0), 64).tolist() == []
