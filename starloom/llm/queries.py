@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starloom.llm import (
     fingerprints,
@@ -14,6 +15,7 @@ from starloom.llm import (
     neighbours,
     pieces,
     quality,
+    runs,
     token_counts,
     url_filter,
 )
@@ -60,6 +62,18 @@ def op10_html_text(spark: SparkSession, sf: str) -> DataFrame:
     return html_text.extracted(table(spark, sf, "pages", "page_id", "url", "html"))
 
 
+def op12_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    found = runs.find_runs(docs.select("doc_id", runs.with_planted_period(F.col("doc_id"), F.col("text")).alias("text")))
+    best = runs.strongest(F.col("runs")).alias("best")
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))))
+    listed = F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "")
+    digests = F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")
+    rows = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best, *digests)
+    milli = F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli")
+    return rows.select("doc_id", "n_runs", "best.start", "best.length", "best.period", milli, "runs_sha256", "collapsed_sha256")
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_sentence_pieces": op2_sentence_pieces,
@@ -71,5 +85,6 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_mixing": op9_mixing,
     "op10_html_text": op10_html_text,
+    "op12_runs": op12_runs,
     "pipeline": corpus_pipeline.run,
 }
