@@ -27,7 +27,7 @@ def texts(values: pa.Array) -> list[str]:
     return [x or "" for x in values.to_pylist()]
 
 
-def slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def slices(batches: Iterator[pa.Array | pa.RecordBatch]) -> Iterator[pa.Array | pa.RecordBatch]:
     """All batches in short slices, so that few rows, and few results, are in a worker's memory at once."""
     for batch in batches:
         for i in range(0, len(batch), SLICE):

@@ -19,7 +19,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf
 
 from starloom.llm.common import slices, utf8
 
@@ -30,7 +29,7 @@ LEAST_PERIODS = 3
 AT_ONCE = 1 << 18
 
 _RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
-SCHEMA = "struct<n_words:bigint,runs:array<struct<start:bigint,length:bigint,period:bigint>>,collapsed:string>"
+SCHEMA = "n_words long, runs array<struct<start:long,length:long,period:long>>, collapsed string"
 
 
 def suffix_order(ids: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -172,30 +171,6 @@ def analysed(text: bytes, least_words: int = LEAST_WORDS, least_periods: int = L
     return len(ids), runs, b" ".join(words)
 
 
-def periodic_runs(text: Column, least_words: int = LEAST_WORDS, least_periods: int = LEAST_PERIODS) -> Column:
-    """Struct of ``n_words``, ``runs`` (start, length, period; by start and period) and ``collapsed`` text of a text column."""
-    if least_words < least_periods or least_periods < 2:
-        raise ValueError("runs have two periods at least, and a word in each")
-
-    @arrow_udf(SCHEMA)
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for part in slices(batches):
-            counts, runs, collapsed = zip(*(analysed(t, least_words, least_periods) for t in utf8(part)))
-            sizes = np.concatenate(([0], np.cumsum([len(r) for r in runs])))
-            columns = np.concatenate(runs)
-            spans = pa.StructArray.from_arrays([pa.array(columns[:, i]) for i in range(3)], fields=list(_RUN))
-            yield pa.StructArray.from_arrays(
-                [
-                    pa.array(counts, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), spans),
-                    pa.array(collapsed, pa.binary()).cast(pa.string()),
-                ],
-                names=["n_words", "runs", "collapsed"],
-            )
-
-    return run(text)
-
-
 def find_runs(docs: DataFrame, least_words: int = LEAST_WORDS, least_periods: int = LEAST_PERIODS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_words``, ``runs``, ``collapsed``.
 
@@ -204,8 +179,25 @@ def find_runs(docs: DataFrame, least_words: int = LEAST_WORDS, least_periods: in
     ``collapsed``; repeated rows and null ids are kept; other columns are not read; empty table: no rows.
     A text is handled in one task in memory that grows as n log n of its words; there is no shuffle.
     """
-    found = docs.select("doc_id", periodic_runs(F.col("text"), least_words, least_periods).alias("found"))
-    return found.select("doc_id", "found.n_words", "found.runs", "found.collapsed")
+    if least_words < least_periods or least_periods < 2:
+        raise ValueError("runs have two periods at least, and a word in each")
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            counts, runs, collapsed = zip(*(analysed(t, least_words, least_periods) for t in utf8(part.column(1))))
+            sizes = np.concatenate(([0], np.cumsum([len(r) for r in runs])))
+            columns = np.concatenate(runs)
+            spans = pa.StructArray.from_arrays([pa.array(columns[:, i]) for i in range(3)], fields=list(_RUN))
+            made = [
+                part.column(0),
+                pa.array(counts, pa.int64()),
+                pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), spans),
+                pa.array(collapsed, pa.binary()).cast(pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays(made, ["doc_id", "n_words", "runs", "collapsed"])
+
+    key = docs.select("doc_id").schema[0].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(find, f"doc_id {key}, {SCHEMA}")
 
 
 def strongest(runs: Column) -> Column:
