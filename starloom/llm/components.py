@@ -45,20 +45,20 @@ def _state(edges: DataFrame) -> tuple[int, int]:
     return row["n"], row["h"]
 
 
-def _apart(least: DataFrame) -> DataFrame:
+def apart(least: DataFrame) -> DataFrame:
     """The minima dealt anew, as AQE only splits a hot node's edges where no aggregate shares their stage."""
     return least.hint("rebalance")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = _apart(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+    least = apart(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = _downward(edges)
-    least = _apart(down.groupBy("u").agg(F.min("v").alias("m")))
+    least = apart(down.groupBy("u").agg(F.min("v").alias("m")))
     moved = down.join(least, "u")
     across = moved.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return across.unionByName(least.select("u", F.col("m").alias("v"))).distinct()

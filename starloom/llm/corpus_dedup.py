@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm import near_dedup, similar_parts
-from starloom.llm.components import connected_components
+from starloom.llm.components import apart, connected_components
 from starloom.session import stage
 
 
@@ -24,7 +24,7 @@ def keep_one_of_each(docs: DataFrame, radius: int = near_dedup.RADIUS, words: in
     roots = stage(near_dedup.fingerprint_roots(marked, radius), "near-roots")
     # one node per set of shingles; the nodes of a component of fingerprints hang on its smallest
     nodes = marked.select("fp", "node").distinct().join(roots, "fp").select("node", "root")
-    least = nodes.groupBy("root").agg(F.min("node").alias("least"))
+    least = apart(nodes.groupBy("root").agg(F.min("node").alias("least")))
     by_bits = nodes.join(least, "root").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
     edges = stage(by_bits.unionByName(similar_parts.links(marked)).distinct(), "near-edges")
     component = stage(connected_components(edges, label="similar"), "near-components")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from starloom.llm.common import hex64, signed, slices, utf8
-from starloom.llm.components import connected_components
+from starloom.llm.components import apart, connected_components
 from starloom.session import stage
 
 SHINGLE_WORDS = 4
@@ -259,6 +259,6 @@ def near_components(docs: DataFrame, radius: int = RADIUS, words: int = SHINGLE_
     roots = stage(fingerprint_roots(marked, radius), "near-roots")
     first = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
     named = first.join(roots, "fp")
-    smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    smallest = apart(named.groupBy("root").agg(F.min("first").alias("component_id")))
     names = stage(roots.join(smallest, "root").select("fp", "component_id"), "near-names")
     return marked.join(names, "fp", "left").select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")

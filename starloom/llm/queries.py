@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import (
+    alignment,
     fingerprints,
     html_text,
     licenses,
+    minhash,
     mixing,
     near_dedup,
     neighbours,
@@ -62,6 +64,12 @@ def op10_html_text(spark: SparkSession, sf: str) -> DataFrame:
     return html_text.extracted(table(spark, sf, "pages", "page_id", "url", "html"))
 
 
+def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    tokens = alignment.aligned(table(spark, sf, "documents", "doc_id", "text"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    return alignment.with_counts(tokens, "doc_id", "n_a", "n_b", "n_groups", digest)
+
+
 def op12_runs(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents", "doc_id", "text")
     found = runs.find_runs(docs.select("doc_id", runs.with_planted_period(F.col("doc_id"), F.col("text")).alias("text")))
@@ -74,6 +82,10 @@ def op12_runs(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc_id", "n_runs", "best.start", "best.length", "best.period", milli, "runs_sha256", "collapsed_sha256")
 
 
+def op13_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_components(table(spark, sf, "documents", "doc_id", "text"), scan=True)
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_sentence_pieces": op2_sentence_pieces,
@@ -85,6 +97,8 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_mixing": op9_mixing,
     "op10_html_text": op10_html_text,
+    "op11_alignment": op11_alignment,
     "op12_runs": op12_runs,
+    "op13_minhash": op13_minhash,
     "pipeline": corpus_pipeline.run,
 }
