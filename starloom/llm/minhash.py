@@ -7,9 +7,10 @@ agree with a probability of the Jaccard similarity for small sets too. Bands of
 buckets. The members of a bucket are compared with one of them, its hub, and not with each
 other; candidates are confirmed on the full sets of shingles.
 
-A bucket whose members end up in one component needs nothing else. Others get another hub as long as
-that finds links; what is still open then is compared across components, in blocks, so
-no link between two texts with a bucket in common depends on the choice of hubs.
+A bucket whose members end up in one component needs nothing else. In the others, nodes outside the largest
+component are compared with those of other components, each pair in the first bucket that it shares: by finer
+one-permutation sketches first, which leave out what is clearly below the limit, then on the full sets. So no
+link between two texts with a bucket in common depends on the choice of hubs.
 """
 
 from __future__ import annotations
@@ -35,6 +36,9 @@ BANDS = 32
 BAND_BINS = 4
 #: Members that are compared with one copy of a hub's text.
 BLOCK = 4096
+#: Bins of a sketch, one byte each, and how many standard deviations below the limit a pair is left out.
+SKETCH = 512
+DEVIATIONS = 5.5
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))  # fixed values of the splitmix64 finaliser
@@ -96,8 +100,25 @@ class Signer:
         return mixed(np.bitwise_xor.reduce(terms, axis=1)).view(np.int64)
 
 
+def sketch_of(hashes: np.ndarray, bins: int = SKETCH) -> bytes:
+    """A byte from 1 on of the smallest hash of every bin, 0 where there is none."""
+    at = ((hashes >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)
+    first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1]))) if len(hashes) else at[:0].astype(np.int64)
+    sketch = np.zeros(bins, np.uint8)
+    sketch[at[first]] = mixed(hashes[first]) % np.uint64(255) + np.uint64(1)
+    return sketch.tobytes()
+
+
+def may_be_alike(one: np.ndarray, others: np.ndarray, percent: int) -> np.ndarray:
+    """Which sketches do not show that their set is less alike, but for one in 50 million."""
+    equal = ((others == one) & (one != 0)).sum(axis=1)
+    seen = ((others != 0) | (one != 0)).sum(axis=1)
+    limit = percent / 100
+    return equal >= limit * seen - DEVIATIONS * np.sqrt(limit * (1 - limit) * seen)
+
+
 def marked(docs: DataFrame, size: int = SHINGLE_WORDS, bands: int = BANDS, band_bins: int = BAND_BINS) -> DataFrame:
-    """``row``, ``doc_id``, ``n`` shingles, ``digest`` of the set, ``buckets`` of every row; an empty set has no digest."""
+    """``row``, ``doc_id``, ``n`` shingles, ``digest`` of the set, ``buckets``, ``sketch`` of every row; an empty set has no digest."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(bands, band_bins)
@@ -105,11 +126,12 @@ def marked(docs: DataFrame, size: int = SHINGLE_WORDS, bands: int = BANDS, band_
             sets = [shingle_hashes(t, size) for t in utf8(part.column(2))]
             digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             buckets = pa.array([signer.buckets(s) for s in sets], pa.list_(pa.int64()))
-            made = [part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), buckets]
-            yield pa.RecordBatch.from_arrays(made, ["row", "doc_id", "n", "digest", "buckets"])
+            sketches = pa.array([sketch_of(s) if len(s) else None for s in sets], pa.binary())
+            made = [part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), buckets, sketches]
+            yield pa.RecordBatch.from_arrays(made, ["row", "doc_id", "n", "digest", "buckets", "sketch"])
 
     key = docs.select("doc_id").schema[0].dataType.simpleString()
-    return docs.select("row", "doc_id", "text").mapInArrow(sign, f"row long, doc_id {key}, n long, digest binary, buckets array<long>")
+    return docs.select("row", "doc_id", "text").mapInArrow(sign, f"row long, doc_id {key}, n long, digest binary, buckets array<long>, sketch binary")
 
 
 # --- candidates and exact links -----------------------------------------------------------
@@ -164,56 +186,73 @@ def _star(members: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("h.node").alias("hub"), "node").distinct()
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of nodes of one bucket but different components; no task holds more than two blocks of a bucket."""
-    cells = near_dedup.in_blocks(members.withColumnRenamed("bucket", "cell"), F.xxhash64("node"))
+def _across(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (``hub``, ``node``) of one bucket but different components that may be alike by their sketches.
 
-    def meet(cell: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray) -> Iterator[pa.RecordBatch]:
-        ends = np.searchsorted(cell, cell, "right")
-        for i in range(len(cell)):
-            rest = slice(i + 1, ends[i])
-            fit = (root[rest] != root[i]) & (node[rest] != node[i]) & (100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i]))
-            others = node[rest][fit]
+    Every pair is looked at in the first bucket that it shares. Buckets with very many members are cut into
+    blocks, and every two blocks meet in a task of their own.
+    """
+    cells = near_dedup.in_blocks(members.withColumn("cell", F.col("bucket")), F.xxhash64("node"))
+    known = cells.join(nodes.select("node", "buckets", "sketch"), "node").select("cell", "node", "n", "root", "bucket", "buckets", "sketch")
+
+    def meet(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        node, n, root, bucket = (rows[c].to_numpy() for c in ("node", "n", "root", "bucket"))
+        buckets = rows["buckets"].combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(len(node), -1)
+        band = int(np.flatnonzero(buckets[0] == bucket[0])[0])
+        roots, sizes = np.unique(root, return_counts=True)
+        large = roots[sizes.argmax()]
+        place = np.arange(len(node))
+        for i in place[root != large].tolist():
+            fit = (root != root[i]) & ((root == large) | (place > i))
+            fit &= 100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])
+            others = place[fit]
+            others = others[~(buckets[others, :band] == buckets[i, :band]).any(axis=1)]
+            others = node[others[may_be_alike(sketch[i], sketch[others], percent)]]
             if len(others):
                 mine = np.full(len(others), node[i])
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(mine, others)), pa.array(np.maximum(mine, others))], ["hub", "node"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.empty((4, 0), np.int64)
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            held = np.concatenate((held, np.array([c.to_numpy() for c in batch.columns])), axis=1)
-            if not held.shape[1]:
-                continue
-            whole = int(np.searchsorted(held[0], held[0, -1]))  # the last cell may go on in the next batch
-            yield from meet(*held[:, :whole])
-            held = held[:, whole:]
-        yield from meet(*held)
+            cell = batch.column(0).to_numpy()
+            starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))).tolist()
+            for start, end in zip(starts, [*starts[1:], len(cell)]):
+                if held and held[0].column(0)[0].as_py() != cell[start]:
+                    yield from meet(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(start, end - start))
+        if held:
+            yield from meet(pa.Table.from_batches(held))
 
-    return cells.select("cell", "node", "n", "root").repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "hub long, node long").distinct()
+    return known.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "hub long, node long").distinct()
 
 
 def node_roots(nodes: DataFrame, texts: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """(``node``, ``root``) of all ``nodes`` (``node``, ``n``, ``buckets``) with a link; ``texts`` has ``row`` and ``text``."""
+    """(``node``, ``root``) of all ``nodes`` (``node``, ``n``, ``buckets``, ``sketch``) with a link; ``texts`` has ``row`` and ``text``."""
     placed = nodes.select(F.explode("buckets").alias("bucket"), "node", "n")
     shared = apart(placed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket"))
-    members = stage(placed.join(shared, "bucket"), "minhash-members").withColumn("root", F.col("node"))
-    links = stage(confirmed(stage(_star(members, percent), "minhash-stars"), texts, size, percent), "minhash-links")
-    done = False
-    while True:
-        roots = stage(connected_components(links, label="minhash"), "minhash-roots")
-        named = members.drop("root").join(roots, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
-        named = stage(named, "minhash-named")
-        torn = named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("node").alias("hub"))
-        torn = apart(torn.where("low <> high").select("bucket", "hub"))
-        # the hub has met all others of its bucket
-        members = stage(named.join(torn, "bucket").where("node <> hub").drop("hub"), "minhash-open")
-        if done or members.isEmpty():
-            return roots
-        found = stage(confirmed(stage(_star(members, percent), "minhash-stars"), texts, size, percent), "minhash-links")
-        if found.isEmpty():
-            found = stage(confirmed(stage(_across(members, percent), "minhash-stars"), texts, size, percent), "minhash-links")
-            done = True
-        links = links.unionByName(found)
+    members = stage(placed.join(shared, "bucket"), "minhash-members")
+    stars = stage(_star(members.withColumn("root", F.col("node")), percent), "minhash-stars")
+    links = stage(confirmed(stars, texts, size, percent), "minhash-links")
+    roots = stage(connected_components(links, label="minhash"), "minhash-roots")
+    named = members.join(roots, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
+    named = stage(named, "minhash-named")
+    torn = named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("node").alias("hub"))
+    torn = apart(torn.where("low <> high").select("bucket", "hub"))
+    # the hub has met all others of its bucket
+    open_ = stage(named.join(torn, "bucket").where("node <> hub").drop("hub"), "minhash-open")
+    across = stage(_across(open_, nodes, percent), "minhash-across")
+    found = stage(confirmed(across, texts, size, percent), "minhash-links")
+    if found.isEmpty():
+        return roots
+    # components of components
+    of = roots.union(open_.select("node", F.col("root")).distinct().join(roots.select("node"), "node", "left_anti"))
+    joined = found.join(of.toDF("a", "u"), "a").join(of.toDF("b", "v"), "b").select("u", "v")
+    merged = stage(connected_components(joined, "u", "v", label="minhash"), "minhash-roots").toDF("old", "new")
+    renamed = stage(of.toDF("node", "old").join(apart(merged), "old", "left"), "minhash-renamed")
+    return renamed.select("node", F.coalesce("new", "old").alias("root"))
 
 
 def near_components(
@@ -237,7 +276,8 @@ def near_components(
     # of equal sets one takes part; its row names them all
     firsts = signed.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("first"))
     firsts = stage(firsts, "minhash-sets")
-    nodes = signed.join(firsts.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "n", "buckets")
+    nodes = signed.join(firsts.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "n", "buckets", "sketch")
+    nodes = stage(nodes, "minhash-nodes")
     roots = node_roots(nodes, texts.select("row", "text"), size, percent)
     joined = firsts.join(roots, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("root"))
     joined = stage(joined, "minhash-joined")

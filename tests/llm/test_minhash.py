@@ -95,15 +95,30 @@ def test_components_against_all_pairs(spark, words, monkeypatch):
     assert len({r[2] for r in want}) < 240
 
 
-def test_hub_without_links_loses_none(spark, monkeypatch):
-    """One bucket for all: most hubs link to nothing, and the rest is found across components."""
-    monkeypatch.setattr(minhash.Signer, "buckets", lambda self, hashes: np.array([7]) if len(hashes) else np.empty(0, np.int64))
+@pytest.mark.parametrize("block", [4096, 20])
+def test_hub_without_links_loses_none(spark, monkeypatch, block):
+    """Few large buckets: most hubs link to nothing, and the rest is found across components."""
+    monkeypatch.setattr(minhash.near_dedup, "BLOCK", block)
+    monkeypatch.setattr(minhash.Signer, "buckets", lambda self, hashes: np.array([int(hashes[0]) % 2, 7, 8]) if len(hashes) else np.empty(0, np.int64))
     random = np.random.default_rng(3)
     docs = list(enumerate(near_texts(random, 60, 40)))
     got = minhash.near_components(spark.createDataFrame(docs, "doc_id long, text string"))
     assert sorted(map(tuple, got.collect())) == plain_rows(docs)
 
 
+@pytest.mark.parametrize("size", [1, 5, 40, 600, 9000])
+def test_sketches_leave_out_no_pair_at_the_limit(size):
+    random = np.random.default_rng(size)
+    for _ in range(400):
+        values = np.unique(random.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2))
+        part = np.sort(random.permutation(values)[: max(1, -(-len(values) * 4 // 5))])
+        one, other = (np.frombuffer(minhash.sketch_of(x), np.uint8) for x in (values, part))
+        assert minhash.may_be_alike(one, other[None, :], 80)[0]
+    far = np.unique(random.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2))
+    if size >= 600:
+        assert not minhash.may_be_alike(np.frombuffer(minhash.sketch_of(np.sort(far[: size * 6 // 10])), np.uint8), np.frombuffer(minhash.sketch_of(far), np.uint8)[None, :], 80)[0]
+
+
 def test_query(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     got = QUERIES["op13_minhash"](spark, sf_dir)
