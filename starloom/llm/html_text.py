@@ -11,6 +11,7 @@ beside an inner content container is kept.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -31,7 +32,7 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SPACING = frozenset("br img td th option".split())
-DROPPED = frozenset("aside button datalist dialog footer form head header menu nav object option select".split())
+DROPPED = frozenset("aside button datalist dialog footer form head header menu nav option select".split())
 #: An opening tag of the key ends an open element of the value.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 DROPPED_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
@@ -44,15 +45,18 @@ DROPPED_WORDS = frozenset(
 )
 #: Words that say what part of a page an element is, and not what is in it.
 PARTS = frozenset(
-    "area article articles bar block box button buttons container content field group holder icon icons inner items left link"
-    " links list main menu outer panel post posts right row section slot stories story thread top unit wrap wrapper".split()
+    "area article articles bar block box button buttons container content email field group holder icon icons inner item items left link"
+    " links list main menu outer page panel post posts reader readers right row section site slot stories story thread top unit user users"
+    " wrap wrapper".split()
 )
 #: One of these words and parts of a page written together, as in ``commentlist``.
 _JOINED = re.compile(rf"(?:advert|breadcrumb|comment|cookie|footer|navbar|newsletter|sidebar|sponsor|subscribe)s?(?:{'|'.join(sorted(PARTS))})*")
+#: Lists and tables, which are dropped only where all words of a name say so.
+LISTS = frozenset("dl li ol table ul".split())
 #: Headings of articles whose ids are made from their text.
 HEADINGS = frozenset("discussion form notice notices search social".split())
 #: Elements whose names count: containers and lists, not headings, paragraphs and inline elements.
-NAMED = CONTAINERS - {"article", "body", "main"} | frozenset("dl li ol table ul".split())
+NAMED = CONTAINERS - {"article", "body", "main"} | LISTS
 #: A class name that starts so only says what is or isn't beside the element.
 ABOUT_LAYOUT = frozenset("has is no not with without".split())
 ARTICLE_WORDS = frozenset("article body content entry main post story text".split())
@@ -63,15 +67,16 @@ WHOLE_WORDS = frozenset("article entry post story".split())
 LEVELS = 6
 
 _NAME = r"([a-zA-Z][^\s/>]*)"
-_ATTRIBUTES = r"((?:\"[^\"<]*\"|'[^'<]*'|[^>\"'])*)"
+# an attribute list ends before the next tag, so that no tag is looked for beyond it
+_ATTRIBUTES = r"((?:\"[^\"<]*\"|'[^'<]*'|[^<>\"'])*+)"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|iframe|svg|title|math|audio|video|canvas)\b[^>]*>.*?(?:</\1\b[^>]*>|\Z)"
+    r"|<(script|style|noscript|template|textarea|iframe|svg|title|audio|video|canvas)\b[^>]*>.*?(?:</\1\b[^>]*>|\Z)"
     r"|<[!?][^>]*>"
     rf"|<(/?){_NAME}(?:{_ATTRIBUTES}|([^>]*))>",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(\bhidden\b)""")
+_ATTRIBUTE = re.compile(r"""(?:^|(?<=[\s"'/]))([^\s=/"'>]++)\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]++))|(\bhidden\b)""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -123,7 +128,19 @@ class Page:
         def state() -> tuple[int, bool, bool, int]:
             return stack[-1][1:] if stack else (0, False, False, -1)
 
-        for token in _TOKEN.finditer(html):
+        # where elements of a name are open, and where such are that end the search for an element to close
+        places: defaultdict[str, list[int]] = defaultdict(list)
+        bounds: list[int] = []
+
+        def leave(depth: int) -> None:
+            for element in reversed(stack[depth:]):
+                places[element[0]].pop()
+            del stack[depth:]
+            while bounds and bounds[-1] >= depth:
+                bounds.pop()
+
+        # without a closing bracket behind it a "<" is text
+        for token in _TOKEN.finditer(html, 0, html.rfind(">") + 1):
             add(html[at : token.start()])
             at = token.end()
             name = token[3]
@@ -131,32 +148,28 @@ class Page:
                 continue
             name = name.lower()
             if token[2]:
-                for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth][0] == name:
-                        if any(s[0] in CONTAINERS or s[0] in BLOCKS or s[2] for s in stack[depth:]):
-                            flush()
-                        del stack[depth:]
-                        container, dropped, linked, named = state()
-                        break
+                if places[name]:
+                    depth = places[name][-1]
+                    if any(s[0] in CONTAINERS or s[0] in BLOCKS or s[2] for s in stack[depth:]):
+                        flush()
+                    leave(depth)
+                    container, dropped, linked, named = state()
                 continue
             block = name in BLOCKS or name in CONTAINERS or name in DROPPED
             closing = CLOSES.get(name, set()) | ({"p"} if block else set()) | ({"head"} if name == "body" else set())
             if closing:
-                for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth][0] in closing:
-                        flush()
-                        del stack[depth:]
-                        container, dropped, linked, named = state()
-                        break
-                    if stack[depth][0] in CONTAINERS or stack[depth][0] in ("ul", "ol", "table", "dl"):
-                        break
+                depth = max((places[c][-1] for c in closing if places[c]), default=-1)
+                if depth >= (bounds[-1] if bounds else 0):
+                    flush()
+                    leave(depth)
+                    container, dropped, linked, named = state()
             if block:
                 flush()
             if name in SPACING:
                 add(" ")
             if name in VOID or (token[4] or token[5] or "").endswith("/"):
                 continue
-            classes, out, marked = self._named(name, token[4] if token[4] is not None else token[5] or "")
+            classes, out, marked = self._named(name, token[4] if token[4] is not None else token[5] or "", bool(places["article"]))
             if out and name == "form" and _WRAPPED.match(html, at):
                 out = False
             if out and not dropped:
@@ -171,8 +184,11 @@ class Page:
                 container = self._container(name, classes, container)
                 if len(self._held_in) < len(self.containers):
                     self._held_in.append(named)
+            places[name].append(len(stack))
+            if name in CONTAINERS or name in ("ul", "ol", "table", "dl"):
+                bounds.append(len(stack))
             stack.append((name, container, dropped, linked, named))
-        add(html[at:])
+        add(html[at:].partition("<!--")[0])
         flush()
 
     def _drop_named(self) -> None:
@@ -217,8 +233,12 @@ class Page:
                 sizes[self._named_in[i]] += sizes[i]
                 blocks[self._named_in[i]] += blocks[i]
 
-    def _named(self, name: str, attributes: str) -> tuple[str, bool, bool]:
-        """Generalised class text of an element, whether it is no part of an article, and whether its names say so."""
+    def _named(self, name: str, attributes: str, in_article: bool) -> tuple[str, bool, bool]:
+        """Generalised class text of an element, whether it is no part of an article, and whether its names say so.
+
+        One word of a class will do for a container outside an article; inside one, and for lists and tables, all
+        words of the class must be furniture or parts of a page.
+        """
         out, marked = name in DROPPED, False
         if not attributes.strip():
             return "", out, marked
@@ -229,7 +249,8 @@ class Page:
         if name in NAMED:
             for label in classes:
                 words = [w.lower() for w in _WORD.findall(label)]
-                marked = marked or bool(words) and words[0] not in ABOUT_LAYOUT and any(map(_furniture, words))
+                told = not (in_article or name in LISTS) or all(w in PARTS or _furniture(w) for w in words)
+                marked = marked or told and bool(words) and words[0] not in ABOUT_LAYOUT and any(map(_furniture, words))
             for label in values.get("id", "").split():
                 words = [w.lower() for w in _WORD.findall(label)]
                 known = bool(words) and all(w in PARTS or _furniture(w) for w in words) and any(map(_furniture, words))

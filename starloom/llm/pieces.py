@@ -10,6 +10,7 @@ whose runner-up costs least, so A-star runs for those alone.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -28,8 +29,9 @@ from starloom.llm.common import slices, texts
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 3
-#: Words a Python worker remembers over its tasks; it forgets all when there are more.
+#: Words a Python worker remembers over its tasks, and their characters; it forgets all when there are more.
 REMEMBERED = 150_000
+REMEMBERED_CHARACTERS = 4_000_000
 #: Characters that words learned together may hold; the table has a row of so many numbers per prefix.
 COMMON_CHARACTERS = 192
 LONGEST = 64
@@ -123,6 +125,7 @@ class Encoder:
     def __post_init__(self) -> None:
         scores = [s for entry in self.vocabulary.table.values() if entry for s in entry[1:]]
         self.unknown = min(scores, default=0.0) - UNKNOWN_PENALTY
+        self.longest = max(map(len, self.vocabulary.table), default=1)
         alone = re.escape(self.vocabulary.alone)
         self.cut = re.compile(f"[{alone}]| *[^ {alone}]+| +" if alone else " *[^ ]+| +")
         self.forget()
@@ -139,36 +142,41 @@ class Encoder:
                 return place
 
         self.words, self.paths, self.nbest_of = Words(), [], {}
-        self.score, self.loss, self.count, self.exact = np.empty(1024), np.empty(1024), np.empty(1024, np.int64), np.empty(1024, bool)
+        self.score, self.loss, self.count = np.empty(1024), np.empty(1024), np.empty(1024, np.int64)
+        self.characters = 0
 
-    def edges(self, word: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
-        """For each start: (end, score, ids). A mark that stands in the text itself is spelled in bytes."""
-        table, size, out = self.vocabulary.table, len(word), []
-        shown = word.replace(MARK, "\0").replace(" ", MARK)
+    def shown(self, word: str) -> str:
+        """The word as pieces are written. A mark that stands in the text itself is spelled in bytes."""
+        return word.replace(MARK, "\0").replace(" ", MARK)
+
+    def reach(self, word: str) -> array:
+        """Best score of a path from the start to each position."""
+        table, size, shown = self.vocabulary.table, len(word), self.shown(word)
+        best = array("d", [-inf]) * (size + 1)
+        best[0] = 0.0
         for i in range(size):
-            found = []
+            base, single = best[i], False
             for j in range(i + 1, size + 1):
-                piece = shown[i:j]
-                if piece not in table:
+                entry = table.get(shown[i:j], False)
+                if entry is False:
                     break
-                if entry := table[piece]:
-                    found.append((j, entry[1], (entry[0],)))
-            if not found or found[0][0] > i + 1:
-                byte_ids = self.vocabulary.byte_ids
-                found.append((i + 1, self.unknown, tuple(byte_ids[b] for b in word[i].encode())))
-            out.append(found)
-        return out
-
-    @staticmethod
-    def forward(edges: list) -> list[float]:
-        """Best score of a path from the start to each position."""
-        reach = [0.0] + [-inf] * len(edges)
-        for i, found in enumerate(edges):
-            base = reach[i]
-            for j, score, _ in found:
-                if base + score > reach[j]:
-                    reach[j] = base + score
-        return reach
+                if entry:
+                    single |= j == i + 1
+                    best[j] = max(best[j], base + entry[1])
+            if not single:
+                best[i + 1] = max(best[i + 1], base + self.unknown)
+        return best
+
+    def into(self, word: str, shown: str, end: int, reach: array) -> list[tuple[float, int, float, tuple[int, ...]]]:
+        """(score of the best path over it, start, score, ids) of the pieces that end at a position, best first."""
+        table, found = self.vocabulary.table, []
+        for i in range(max(0, end - self.longest), end):
+            if entry := table.get(shown[i:end]):
+                found.append((reach[i] + entry[1], i, entry[1], (entry[0],)))
+        if not table.get(shown[end - 1 : end]):
+            ids = tuple(self.vocabulary.byte_ids[b] for b in word[end - 1].encode())
+            found.append((reach[end - 1] + self.unknown, end - 1, self.unknown, ids))
+        return sorted(found, key=lambda e: (-e[0], -e[1]))
 
     def _learn(self, word: str) -> None:
         """Forward Viterbi with the two best scores per position: the best path and the loss of the runner-up."""
@@ -215,14 +223,11 @@ class Encoder:
         self._room(1)
         self.paths.append(np.array(ids, np.int32).tobytes())
         self.score[place], self.loss[place], self.count[place] = score, loss, len(ids)
-        self.exact[place] = self._octets(ids) == word.encode()
 
     def _room(self, more: int) -> None:
         """Make the tables long enough for ``more`` words."""
         while len(self.paths) + more > len(self.score):
-            self.score, self.loss, self.count, self.exact = (
-                np.concatenate((x, np.empty_like(x))) for x in (self.score, self.loss, self.count, self.exact)
-            )
+            self.score, self.loss, self.count = (np.concatenate((x, np.empty_like(x))) for x in (self.score, self.loss, self.count))
 
     def learn(self, words: list[str]) -> None:
         """``_learn`` for many words at once: those of equal length advance together, a character at a time."""
@@ -288,7 +293,6 @@ class Encoder:
         self._room(len(known))
         rows = slice(first, first + len(known))
         self.score[rows], self.loss[rows], self.count[rows] = best[size, plain], loss[plain], used.sum(axis=1)
-        self.exact[rows] = self._octets(ids.tolist()) == "".join(known).encode()
         octets = ids.tobytes()
         stops = (4 * ends).tolist()
         self.paths.extend(octets[i:j] for i, j in zip([0, *stops], stops))
@@ -306,24 +310,41 @@ class Encoder:
         piece[j, rows] = np.where(better, ids, piece[j, rows])
 
     def nbest(self, word: str) -> list[tuple[float, tuple[int, ...]]]:
-        """The N best (score, ids) of a word by A-star from its end; the first is the Viterbi path."""
+        """The N best (score, ids) of a word by A-star from its end; the first is the Viterbi path.
+
+        An entry of the heap stands for a path's last pieces and the k-th best piece before them. It points back at the piece
+        behind it, so an entry has a fixed size, and leaves the (k + 1)-th piece to one further entry. Of equal scores the
+        latest entry goes on, so that ties do not widen the search.
+        """
         if (known := self.nbest_of.get(word)) is not None:
             return known
-        edges = self.edges(word)
-        reach = self.forward(edges)
-        into: list[list] = [[] for _ in range(len(word) + 1)]
-        for i, found in enumerate(edges):
-            for j, score, ids in found:
-                into[j].append((i, score, ids))
-        heap: list = [(-reach[-1], (), len(word), 0.0)]
+        reach, shown = self.reach(word), self.shown(word)
+        before: dict[int, list] = {}
+        heap: list = []
+        count = 0
+
+        def offer(at: int, k: int, behind: float, tail: tuple | None) -> None:
+            nonlocal count
+            if at not in before:
+                before[at] = self.into(word, shown, at, reach)
+            if k < len(before[at]):
+                count += 1
+                heappush(heap, (-(before[at][k][0] + behind), -count, at, k, behind, tail))
+
         out: list[tuple[float, tuple[int, ...]]] = []
+        offer(len(word), 0, 0.0, None)
         while heap and len(out) < self.best + 1:
-            _, ids, at, behind = heappop(heap)
-            if at == 0:
-                out.append((behind, ids))
+            _, _, at, k, behind, tail = heappop(heap)
+            _, i, score, ids = before[at][k]
+            offer(at, k + 1, behind, tail)
+            if i:
+                offer(i, 0, score + behind, (ids, tail))
                 continue
-            for i, score, piece in into[at]:
-                heappush(heap, (-(reach[i] + score + behind), piece + ids, i, score + behind))
+            path, tail = [], (ids, tail)
+            while tail:
+                path.extend(tail[0])
+                tail = tail[1]
+            out.append((score + behind, tuple(path)))
         first = tuple(np.frombuffer(self.paths[self.words[word]], np.int32).tolist())
         rest = [x for x in out if x[1] != first][: self.best - 1]
         self.nbest_of[word] = known = [(float(self.score[self.words[word]]), first), *rest]
@@ -335,10 +356,12 @@ class Encoder:
 
     def encode_all(self, several: list[str]) -> list[dict]:
         """``encode`` for a few texts, whose new words are learned together."""
-        if len(self.words) > REMEMBERED:
+        if len(self.words) > REMEMBERED or self.characters > REMEMBERED_CHARACTERS:
             self.forget()
         cut = [self.cut.findall(" " + text) if text else [] for text in several]
-        self.learn([w for w in set().union(*cut) if w not in self.words])
+        new = [w for w in set().union(*cut) if w not in self.words]
+        self.characters += sum(map(len, new))
+        self.learn(new)
         return [self._encode(text, parts) for text, parts in zip(several, cut)]
 
     def _encode(self, text: str, parts: list[str]) -> dict:
@@ -355,14 +378,15 @@ class Encoder:
             (sum(o[0][0] - o[k][0] for o, k in zip(options, pick)), pick) for pick in product(*(range(len(o)) for o in options))
         )
         starts = np.cumsum(self.count[places]) - self.count[places]
-        # every word's pieces spell the word, and the words spell the text
-        alternatives, good = [], bool(self.exact[places].all()) and "".join(parts) == " " + text
+        # what is returned is decoded: the ids, and each alternative's changes against the ids that they replace
+        alternatives, good = [], self.decode(ids) == text
         for lost, pick in combined[1 : self.best]:
             changes = []
             for p, option, k in zip(near.tolist(), options, pick):
                 if k:
-                    changes.append({"at": int(starts[p]), "removed": int(self.count[places[p]]), "ids": list(option[k][1])})
-                    good &= self._octets(option[k][1]) == self._octets(option[0][1])
+                    at, removed = int(starts[p]), int(self.count[places[p]])
+                    changes.append({"at": at, "removed": removed, "ids": list(option[k][1])})
+                    good &= self._octets(option[k][1]) == self._octets(ids[at : at + removed].tolist())
             alternatives.append({"score": total - lost, "changes": changes})
         return {"ids": ids, "score": total, "round_trip": good, "alternatives": alternatives}
 

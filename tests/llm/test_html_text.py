@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 from html import unescape
 
 import pytest
@@ -128,3 +129,67 @@ def test_title_and_lead_outside_the_content_container(spark):
 )
 def test_names_that_are_no_furniture(page, blocks):
     assert Page(FRAME % page).text(None) == "\n\n".join(blocks)
+
+
+@pytest.mark.parametrize(
+    "block",
+    [
+        '<section class="related-work"><p>%s</p></section>',
+        '<table class="search-results"><tr><td>%s</td></tr></table>',
+        '<ul class="share-prices"><li>%s</li></ul>',
+        '<div class="alert-levels"><p>%s</p></div>',
+        '<div class="form-factor">%s</div>',
+        '<ol class="menu-engineering"><li>%s</ol>',
+        '<div class="cookie-recipe"><div><p>%s</p></div></div>',
+        "<math><p>%s</p></math>",
+        "<object data=x><p>%s</p></object>",
+        '<div class="wrap"><section class="comment-culture"><ul class="list"><li>%s</ul></section></div>',
+    ],
+)
+def test_article_blocks_stay(block):
+    page = Page(FRAME % f"<article><p>before this block</p>{block % 'kept words'}<p>after this block</p></article>")
+    assert page.text(None) == "before this block\n\nkept words\n\nafter this block"
+
+
+@pytest.mark.parametrize(
+    "block",
+    [
+        '<section class="related-posts"><p>%s</p></section>',
+        '<div class="reader-comments"><p>%s</p></div>',
+        '<ul class="share-buttons"><li>%s</li></ul>',
+        '<div class="cookie-banner">%s</div>',
+        '<div id="newsletterBox">%s</div>',
+        "<aside>%s</aside>",
+    ],
+)
+def test_furniture_in_articles_goes(block):
+    page = Page(FRAME % f"<article><p>before this block</p>{block % 'dropped words'}<p>after this block</p></article>")
+    assert page.text(None) == "before this block\n\nafter this block"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<a " * 300_000,
+        "<a " * 300_000 + ">",
+        '<a ">" ' * 140_000,
+        "<script" * 140_000,
+        "<!" * 500_000,
+        "<a " + "x" * 1_000_000 + ">text</a>",
+        "<a " + "x=" * 500_000 + ">text</a>",
+        "<a " + "x " * 500_000 + ">text</a>",
+        "<b>x" * 100_000 + "<hr>y" * 100_000,
+        "<b>x" * 100_000 + "</i>y" * 100_000,
+        "<p>" + "<b>x" * 100_000 + "<hr>y" * 100_000,
+        "<form>" * 160_000,
+        "<div><p>" * 100_000,
+        "<li>" * 250_000,
+        "&amp" * 250_000,
+    ],
+    ids=range(15),
+)
+def test_any_page_takes_linear_time(html):
+    start = time.perf_counter()
+    Page(html).text(None)
+    Page(html).scores()
+    assert time.perf_counter() - start < 20

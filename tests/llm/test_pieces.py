@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 from itertools import product
 
 import pytest
@@ -24,7 +25,11 @@ def applied(result):
 
 def every_path(encoder, text):
     word = " " + text
-    edges, paths = encoder.edges(word), [[] for _ in range(len(word) + 1)]
+    reach, shown = encoder.reach(word), encoder.shown(word)
+    edges, paths = [[] for _ in word], [[] for _ in range(len(word) + 1)]
+    for end in range(1, len(word) + 1):
+        for _, i, score, ids in encoder.into(word, shown, end, reach):
+            edges[i].append((end, score, ids))
     paths[0] = [(0.0, ())]
     for i, found in enumerate(edges):
         for (score, ids), (j, more, piece) in product(paths[i], found):
@@ -78,3 +83,27 @@ def test_messy(spark, messy, no_docs):
     assert len(rows) == messy.count() and all(r["round_trip"] for r in rows)
     assert sum(r["n_pieces"] == 0 for r in rows) == 3
     assert pieces.segmented(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("word", ["a" * 100_000, "ab" * 50_000, "itwasthebestoftimesitwastheworstoftimes" * 2_000, "▁" * 50_000])
+def test_very_long_words(word):
+    encoder = pieces.Encoder(pieces.Vocabulary.load())
+    start = time.perf_counter()
+    got = encoder.encode(f"x {word} y")
+    assert time.perf_counter() - start < 20
+    assert got["round_trip"] and encoder.decode(got["ids"]) == f"x {word} y"
+    scores = [got["score"], *(a["score"] for a in got["alternatives"])]
+    assert len(scores) == pieces.BEST and scores == sorted(scores, reverse=True)
+    for a in got["alternatives"]:
+        ids = got["ids"].tolist()
+        for change in sorted(a["changes"], key=lambda c: -c["at"]):
+            ids[change["at"] : change["at"] + change["removed"]] = change["ids"]
+        assert encoder.decode(ids) == f"x {word} y" and ids != got["ids"].tolist()
+
+
+def test_words_are_forgotten_by_their_length(monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED_CHARACTERS", 1000)
+    encoder = pieces.Encoder(pieces.Vocabulary.load())
+    encoder.encode("z" * 2000)
+    encoder.encode("short")
+    assert len(encoder.words) == 1
