@@ -109,12 +109,18 @@ def sketch_of(hashes: np.ndarray, bins: int = SKETCH) -> bytes:
     return sketch.tobytes()
 
 
-def may_be_alike(one: np.ndarray, others: np.ndarray, percent: int) -> np.ndarray:
-    """Which sketches do not show that their set is less alike, but for one in 50 million."""
+def may_be_alike(one: np.ndarray, others: np.ndarray, n_one: int, n_others: np.ndarray, percent: int) -> np.ndarray:
+    """Which sketches do not show that their set is less alike, but for one in 50 million.
+
+    A filled bin draws an element of the union without putting it back, so the equal bins of a pair at the
+    limit follow the hypergeometric distribution, which is narrow where most of a small set is drawn.
+    """
     equal = ((others == one) & (one != 0)).sum(axis=1)
-    seen = ((others != 0) | (one != 0)).sum(axis=1)
+    drawn = ((others != 0) | (one != 0)).sum(axis=1)
     limit = percent / 100
-    return equal >= limit * seen - DEVIATIONS * np.sqrt(limit * (1 - limit) * seen)
+    union = (n_one + n_others) / (1 + limit)
+    left = np.clip(1 - drawn / union, 0, 1)
+    return equal >= limit * drawn - 1 - DEVIATIONS * np.sqrt(limit * (1 - limit) * drawn * left)
 
 
 def marked(docs: DataFrame, size: int = SHINGLE_WORDS, bands: int = BANDS, band_bins: int = BAND_BINS) -> DataFrame:
@@ -156,7 +162,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE_WORDS, per
     )
     hubs = crowds.select("hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("hub").alias("node"))
     asked = stage(dealt.unionByName(hubs), "minhash-asked")
-    sent = asked.join(texts.withColumnRenamed("row", "node"), "node").select("hub", "block", (F.col("hub") != F.col("node")).alias("other"), "node", "text")
+    # merged at any size, so that a run's cost grows with its input alone
+    sent = asked.hint("merge").join(texts.withColumnRenamed("row", "node"), "node").select("hub", "block", (F.col("hub") != F.col("node")).alias("other"), "node", "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, its_set = None, set()
@@ -208,7 +215,7 @@ def _across(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             fit &= 100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])
             others = place[fit]
             others = others[~(buckets[others, :band] == buckets[i, :band]).any(axis=1)]
-            others = node[others[may_be_alike(sketch[i], sketch[others], percent)]]
+            others = node[others[may_be_alike(sketch[i], sketch[others], n[i], n[others], percent)]]
             if len(others):
                 mine = np.full(len(others), node[i])
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(mine, others)), pa.array(np.maximum(mine, others))], ["hub", "node"])

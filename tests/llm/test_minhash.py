@@ -106,17 +106,19 @@ def test_hub_without_links_loses_none(spark, monkeypatch, block):
     assert sorted(map(tuple, got.collect())) == plain_rows(docs)
 
 
-@pytest.mark.parametrize("size", [1, 5, 40, 600, 9000])
+@pytest.mark.parametrize("size", [1, 5, 40, 150, 600, 9000])
 def test_sketches_leave_out_no_pair_at_the_limit(size):
     random = np.random.default_rng(size)
-    for _ in range(400):
+    for _ in range(1500):
         values = np.unique(random.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2))
         part = np.sort(random.permutation(values)[: max(1, -(-len(values) * 4 // 5))])
         one, other = (np.frombuffer(minhash.sketch_of(x), np.uint8) for x in (values, part))
-        assert minhash.may_be_alike(one, other[None, :], 80)[0]
+        assert minhash.may_be_alike(one, other[None, :], len(values), np.array([len(part)]), 80)[0]
     far = np.unique(random.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2))
-    if size >= 600:
-        assert not minhash.may_be_alike(np.frombuffer(minhash.sketch_of(np.sort(far[: size * 6 // 10])), np.uint8), np.frombuffer(minhash.sketch_of(far), np.uint8)[None, :], 80)[0]
+    if size >= 40:
+        less = np.sort(far[: size * 6 // 10])
+        one, other = (np.frombuffer(minhash.sketch_of(x), np.uint8) for x in (less, far))
+        assert not minhash.may_be_alike(one, other[None, :], len(less), np.array([len(far)]), 80)[0]
 
 
 def test_query(spark, sf_dir):
