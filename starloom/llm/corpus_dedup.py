@@ -1,45 +1,52 @@
-"""One document of each group of near copies."""
+"""One document of each group of near copies, all links confirmed on the texts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm import near_dedup, similar_parts
-from starloom.llm.components import apart, connected_components
+from starloom.llm import minhash, near_dedup
+from starloom.llm.components import apart
 from starloom.session import stage
 
+#: Words of the shingles that similarity is measured on.
+SIMILAR_WORDS = 5
 
-def keep_one_of_each(docs: DataFrame, radius: int = near_dedup.RADIUS, words: int = near_dedup.SHINGLE_WORDS) -> DataFrame:
+
+def keep_one_of_each(
+    docs: DataFrame,
+    radius: int = near_dedup.RADIUS,
+    words: int = near_dedup.SHINGLE_WORDS,
+    similar_words: int = SIMILAR_WORDS,
+    percent: int = minhash.PERCENT,
+) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the row with the smallest ``doc_id`` stays.
 
-    Rows are linked by fingerprints within ``radius`` bits, as in :func:`starloom.llm.near_dedup.near_components`, and
-    by :mod:`starloom.llm.similar_parts`, since copies of a similarity of 0.8 often differ in
-    more bits. Rows are told apart by ``doc_id`` and a hash of the text; null ids come last,
-    ties go to the smaller hash, and of repeated rows one stays. All columns are kept,
-    whatever their names.
+    Candidates are rows with SimHash fingerprints within ``radius`` bits, found as by
+    :func:`starloom.llm.near_dedup.near_components`, and, as copies of a similarity of 0.8 often differ in more
+    bits, rows that share a bucket of :mod:`starloom.llm.minhash`. A candidate is a link only if the sets of shingles of
+    ``similar_words`` words, compared word by word, have ``percent`` per cent of their union in common. Null ids
+    come last, and of rows with equal ids one stays. Rows without words are alike: one of them stays. All columns are
+    kept, whatever their names; empty table: no rows.
     """
-    sketch = similar_parts.sketches(F.col("text"), words).alias("s")
-    marked = stage(docs.select("doc_id", F.xxhash64("text").alias("k"), sketch).select("doc_id", "k", "s.*"), "simhash")
-    roots = stage(near_dedup.fingerprint_roots(marked, radius), "near-roots")
-    # one node per set of shingles; the nodes of a component of fingerprints hang on its smallest
-    nodes = marked.select("fp", "node").distinct().join(roots, "fp").select("node", "root")
-    least = apart(nodes.groupBy("root").agg(F.min("node").alias("least")))
-    by_bits = nodes.join(least, "root").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
-    edges = stage(by_bits.unionByName(similar_parts.links(marked)).distinct(), "near-edges")
-    component = stage(connected_components(edges, label="similar"), "near-components")
-
-    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k")
-    first = marked.groupBy("node").agg(F.min(row).alias("row")).join(component, "node", "left")
-    chosen = first.groupBy(F.coalesce("root", "node")).agg(F.min("row").alias("row")).select("row.doc_id", "row.k").alias("c")
-    times = marked.groupBy("doc_id", "k").agg(F.count("*").alias("n")).alias("t")
-    same = F.col("c.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("c.k") == F.col("t.k"))
-    kept = stage(chosen.join(times, same).select("c.doc_id", "c.k", "t.n"), "near-kept")
-
-    def rows_of(keys: DataFrame) -> DataFrame:
-        d, k = docs.alias("d"), keys.alias("k")
-        return d.join(k, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.xxhash64("d.text") == F.col("k.k"))).select("d.*")
-
-    # repeated rows are few: only they are gathered by their key
-    repeated = stage(kept.where("n > 1"), "near-repeated")
-    return rows_of(kept.where("n = 1")).unionByName(rows_of(repeated).dropDuplicates(["doc_id", "text"]))
+    number = next(n for i in range(len(docs.columns) + 1) if (n := f"row_{i}") not in docs.columns)
+    rows = stage(docs.withColumn(number, F.monotonically_increasing_id()), "dedup-rows")
+    texts = rows.select(F.col(number).alias("row"), "doc_id", "text")
+    no_words = F.lit(bytearray())
+    signed = stage(minhash.marked(texts, similar_words).withColumn("digest", F.coalesce("digest", no_words)), "dedup-signed")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    sets = stage(signed.groupBy("digest").agg(F.min("row").alias("node"), F.min(row).alias("first")), "dedup-sets")
+    nodes = signed.where("n > 0").join(sets.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "n", "buckets", "sketch")
+    nodes = stage(nodes, "dedup-nodes")
+
+    prints = texts.select(F.col("row").alias("node"), near_dedup.shingle_fingerprint(F.col("text"), words).alias("fp"))
+    prints = stage(nodes.select("node").join(stage(prints, "simhash"), "node"), "simhash-nodes")
+    hubs = stage(prints.groupBy("fp").agg(F.min("node").alias("hub")), "simhash-hubs")
+    same = prints.join(hubs, "fp").where("node <> hub").select("hub", "node")
+    near = near_dedup.links(hubs, "fp", radius).distinct()
+    near = near.join(hubs.toDF("a", "x"), "a").join(hubs.toDF("b", "y"), "b").select(F.least("x", "y").alias("hub"), F.greatest("x", "y").alias("node"))
+
+    roots = minhash.node_roots(nodes, texts.select("row", "text"), similar_words, percent, same.unionByName(near))
+    joined = stage(sets.join(apart(roots), "node", "left").select("first", F.coalesce("root", "node").alias("root")), "dedup-roots")
+    kept = stage(joined.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(number)), "dedup-kept")
+    return rows.join(kept, number, "left_semi").drop(number)

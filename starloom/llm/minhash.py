@@ -236,12 +236,18 @@ def _across(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return known.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "hub long, node long").distinct()
 
 
-def node_roots(nodes: DataFrame, texts: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """(``node``, ``root``) of all ``nodes`` (``node``, ``n``, ``buckets``, ``sketch``) with a link; ``texts`` has ``row`` and ``text``."""
+def node_roots(nodes: DataFrame, texts: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, others: DataFrame | None = None) -> DataFrame:
+    """(``node``, ``root``) of all ``nodes`` (``node``, ``n``, ``buckets``, ``sketch``) with a link; ``texts`` has ``row`` and ``text``.
+
+    ``others`` are further candidates (``hub``, ``node``), which are confirmed like those of the buckets.
+    """
     placed = nodes.select(F.explode("buckets").alias("bucket"), "node", "n")
     shared = apart(placed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket"))
     members = stage(placed.join(shared, "bucket"), "minhash-members")
-    stars = stage(_star(members.withColumn("root", F.col("node")), percent), "minhash-stars")
+    stars = _star(members.withColumn("root", F.col("node")), percent)
+    if others is not None:
+        stars = stars.unionByName(others).distinct()
+    stars = stage(stars, "minhash-stars")
     links = stage(confirmed(stars, texts, size, percent), "minhash-links")
     roots = stage(connected_components(links, label="minhash"), "minhash-roots")
     named = members.join(roots, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
@@ -262,9 +268,7 @@ def node_roots(nodes: DataFrame, texts: DataFrame, size: int = SHINGLE_WORDS, pe
     return renamed.select("node", F.coalesce("new", "old").alias("root"))
 
 
-def near_components(
-    docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, bands: int = BANDS, band_bins: int = BAND_BINS, scan: bool = False
-) -> DataFrame:
+def near_components(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, bands: int = BANDS, band_bins: int = BAND_BINS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
 
     Rows are linked if the intersection of their sets of word shingles has ``percent`` per cent of the union
@@ -273,12 +277,10 @@ def near_components(
     that it is the row's own. Null and empty texts have no shingles and stand alone. Repeated rows are kept and
     alike; a null ``doc_id`` is no candidate for the smallest and never ``kept``, a component of such rows
     has a null id. Empty table: no rows. Other columns are not read.
-    Texts are read again when candidates are confirmed. They are staged for that unless ``docs`` is a ``scan``: a plain read
-    of files, which numbers its rows alike every time.
+    Texts are staged with a row number, as they are read again when candidates are confirmed: a second scan
+    of the input may split its files otherwise and number them otherwise.
     """
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    if not scan:
-        texts = stage(texts, "minhash-texts")
+    texts = stage(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "minhash-texts")
     signed = stage(marked(texts, size, bands, band_bins), "minhash-signed")
     # of equal sets one takes part; its row names them all
     firsts = signed.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("first"))

@@ -83,7 +83,7 @@ def op12_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op13_minhash(spark: SparkSession, sf: str) -> DataFrame:
-    return minhash.near_components(table(spark, sf, "documents", "doc_id", "text"), scan=True)
+    return minhash.near_components(table(spark, sf, "documents", "doc_id", "text"))
 
 
 QUERIES = {

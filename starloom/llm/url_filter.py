@@ -75,7 +75,7 @@ def propagate(
 
     The seeds are scaled to a sum of one each, unless ``scaled`` is false. Every round joins the
     current values with the links twice and sums per host; the values are staged, and the loop ends
-    when they move by less than ``tolerance`` in all. A round moves them by at most ``damping`` times
+    when no host's moves by more than ``tolerance``, however many hosts there are. A round moves them by at most ``damping`` times
     the round before, which bounds the rounds; ``rounds`` ends the loop earlier. Mass of hosts without
     links is lost, as nothing follows it.
     """
@@ -113,7 +113,7 @@ def propagate(
             "bad_was",
         )
         new = stage(new, "url-values")
-        step = new.agg(F.sum(F.abs(F.col("trust") - F.col("was")) + F.abs(F.col("distrust") - F.col("bad_was")))).first()[0]
+        step = new.agg(F.max(F.greatest(F.abs(F.col("trust") - F.col("was")), F.abs(F.col("distrust") - F.col("bad_was"))))).first()[0]
         values = new.select("host", "trust", "distrust")
         if not step or step < tolerance:
             break

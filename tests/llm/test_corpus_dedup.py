@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from starloom.llm import near_dedup, similar_parts
+from starloom.llm import minhash, near_dedup
 from starloom.llm.common import table
 from starloom.llm.corpus_dedup import keep_one_of_each
 
@@ -17,11 +17,9 @@ def alike(a, b):
 
 
 def kept_by_brute_force(texts):
-    """Smallest id of each component of all pairs within four bits, or with a part in common and within the wide radius."""
+    """Smallest id of each component of all pairs whose sets of five-word shingles are alike by 0.8 or more."""
     ids = sorted(texts)
-    sketch = [similar_parts.sketch_of(texts[i].encode(), near_dedup.SHINGLE_WORDS) for i in ids]
-    fp, node = (np.array([s[k] for s in sketch]) for k in (0, 1))
-    wide, parts = np.array([s[2:-1] for s in sketch]), [set(s[-1]) for s in sketch]
+    sets = [shingles(texts[i]) for i in ids]
     root = list(range(len(ids)))
 
     def find(x):
@@ -31,12 +29,11 @@ def kept_by_brute_force(texts):
         return x
 
     for i in range(len(ids)):
-        near = np.bitwise_count((fp[:i] ^ fp[i]).view(np.uint64)) <= near_dedup.RADIUS
-        far = np.bitwise_count((wide[:i] ^ wide[i]).view(np.uint64)).sum(axis=1) <= similar_parts.WIDE_RADIUS
-        for j in np.flatnonzero(near | far | (node[:i] == node[i])):
-            if near[j] or node[j] == node[i] or parts[i] & parts[j]:
-                a, b = sorted((find(i), find(int(j))))
-                root[b] = a
+        for j in range(i):
+            if 10 * min(len(sets[i]), len(sets[j])) >= 8 * max(len(sets[i]), len(sets[j])) and find(i) != find(j):
+                if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                    a, b = sorted((find(i), find(j)))
+                    root[b] = a
     return sorted({ids[find(i)] for i in range(len(ids))})
 
 
@@ -44,35 +41,34 @@ def sample(random, n):
     return [f"w{random.integers(400)}" for _ in range(n)]
 
 
-@pytest.mark.parametrize("size", [60, 200, 1500])
-def test_copies_of_similarity_are_found_and_others_are_not(spark, size):
+@pytest.mark.parametrize("size", [8, 12, 24, 200, 1000])
+def test_copies_above_the_limit_go_and_others_stay(spark, size):
+    """Pairs on both sides of the limit at any length, all against exact similarity."""
     random = np.random.default_rng(size)
-    texts = {}
-    for group in range(40):
+    texts, above, below = {}, 0, 0
+    for group in range(60):
         words = sample(random, size)
         texts[10 * group] = " ".join(words)
-        for copy in range(1, 4):  # four texts a group: the original, two light edits, one heavy edit
+        for copy in range(1, 4):
             edited = list(words)
-            for at in random.choice(size, max(1, size // (90 if copy < 3 else 9)), replace=False):
-                edited[at] = "new" + str(random.integers(10**6))
+            if random.random() < 0.5:
+                edited += sample(random, int(random.integers(1, max(2, size // 3))))
+            else:
+                for at in random.choice(size, max(1, size // int(random.integers(20, 90))), replace=False):
+                    edited[at] = "new" + str(random.integers(10**6))
             texts[10 * group + copy] = " ".join(edited)
+            share = alike(texts[10 * group + copy], texts[10 * group])
+            above, below = above + (0.8 <= share < 1), below + (0.5 <= share < 0.8)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    kept = {r["doc_id"] for r in keep_one_of_each(docs).collect()}
-    light = [i for i in texts if i % 10 in (1, 2) and alike(texts[i], texts[i - i % 10]) >= 0.8]
-    heavy = [i for i in texts if i % 10 == 3 and alike(texts[i], texts[i - 3]) < 0.5]
-    assert light and heavy and set(heavy) <= kept and set(range(0, 400, 10)) <= kept
-    assert sum(i in kept for i in light) <= 0.06 * len(light)
-
-
-def test_sizes_within_the_similarity_share_a_level():
-    for n in range(1, 3000, 7):
-        for m in range(n, int(n / similar_parts.SIMILARITY) + 1):
-            assert similar_parts.levels(n) & similar_parts.levels(m)
+    kept = sorted(r["doc_id"] for r in keep_one_of_each(docs).collect())
+    assert kept == kept_by_brute_force(texts)
+    assert above >= 5 and below >= 5
 
 
-def test_links_with_crowded_parts(spark, monkeypatch):
-    """A large group of near copies of one text, in blocks, and all of it against brute force."""
+def test_a_large_group(spark, monkeypatch):
+    """Near copies of one text, in blocks."""
     monkeypatch.setattr(near_dedup, "BLOCK", 20)
+    monkeypatch.setattr(minhash, "BLOCK", 20)
     random = np.random.default_rng(3)
     words, texts = sample(random, 150), {}
     for i in range(150):
