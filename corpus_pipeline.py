@@ -19,7 +19,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component: SimHash grids, and parts of shingles for copies of 0.8 and more."""
+    """One document of each near-duplicate component: SimHash grids and MinHash buckets, links confirmed at a similarity of 0.8."""
     return corpus_dedup.keep_one_of_each(docs)
 
 
