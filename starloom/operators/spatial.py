@@ -12,10 +12,10 @@ import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.healpix import with_healpix_index
+from starloom.functions.healpix import disc_order, disc_ranges, pixel_width, with_healpix_index
 from starloom.functions.keys import NO_MATCH, clip
 from starloom.functions.sky import (
     ARCSEC,
@@ -26,6 +26,7 @@ from starloom.functions.sky import (
     propagate,
     unit_vector,
 )
+from starloom.operators.discs import at_orders, chord_squared, depth_for, disc_cover, order_for, orders_of, reach_of, with_local_stop, with_vector
 from starloom.operators.ranking import nearest_by
 from starloom.session import stage
 
@@ -57,6 +58,14 @@ def in_cone(ra: str, dec: str, ra_center: float, dec_center: float, radius_deg:
     return F.col(dec).between(dec_center - margin, dec_center + margin) & near
 
 
+def in_ranges(column: str, ranges: Sequence[tuple[int, int]]) -> Column:
+    """Whether a pixel lies in one of the ranges; plain comparisons, which reach partitions and Parquet statistics."""
+    wanted = F.lit(False)
+    for low, high in ranges:
+        wanted = wanted | (F.col(column) == low if low == high else F.col(column).between(low, high))
+    return wanted
+
+
 def cone_search(
     ra_center: float,
     dec_center: float,
@@ -64,54 +73,25 @@ def cone_search(
     ra: str = "ra",
     dec: str = "dec",
     tiles: tuple[str, Sequence[int]] | None = None,
+    pixels: Sequence[tuple[str, int]] = (),
 ) -> Callable[[DataFrame], DataFrame]:
     """Rows within ``radius_deg`` of a centre.
 
-    ``tiles`` names a partition column and the tiles that can hold such rows (from
-    :func:`covering_tiles`), so that the other partitions of the table are not opened.
+    ``pixels`` names columns that hold the nested pixel of a row and their orders; the cone's index ranges of that order
+    become comparisons, so that partitions and row groups without such pixels are not opened. ``tiles`` does the
+    same with a list of tiles (from :func:`covering_tiles`). Neither runs a job.
     """
     near = in_cone(ra, dec, ra_center, dec_center, radius_deg)
     if tiles is not None:
         near = F.col(tiles[0]).isin(*tiles[1]) & near
+    for column, order in pixels:
+        near = in_ranges(column, disc_ranges(ra_center, dec_center, radius_deg, order)) & near
     return lambda df: df.filter(near)
 
 
-#: Spacing of the positions that the tiles are measured with, and what is added to the size found, in degrees.
-_TILE_STEP, _TILE_MARGIN = 0.5, 2.0
-_TILES: dict[int, list[tuple[int, float, float, float, float]]] = {}
-
-
-def _tile_caps(spark: SparkSession, order: int) -> list[tuple[int, float, float, float, float]]:
-    """(tile, centre, radius in degrees) of a cap around every pixel of an order.
-
-    Measured on a net of positions; the margin is four times its spacing, so a cap also holds the
-    parts of a pixel between the positions.
-    """
-    if order not in _TILES:
-        steps = round(360 / _TILE_STEP)
-        net = spark.range(steps * (steps // 2 + 1)).selectExpr(f"(id % {steps}) * {_TILE_STEP}D AS ra", f"floor(id / {steps}) * {_TILE_STEP}D - 90D AS dec")
-        x, y, z = unit_vector("ra", "dec")
-        net = net.transform(with_healpix_index("ra", "dec", order, "tile")).withColumns({"x": x, "y": y, "z": z})
-        middle = net.groupBy("tile").agg(*(F.avg(c).alias(f"m{c}") for c in "xyz"))
-        size = F.sqrt(F.col("mx") ** 2 + F.col("my") ** 2 + F.col("mz") ** 2)
-        middle = middle.select("tile", *((F.col(f"m{c}") / size).alias(f"m{c}") for c in "xyz"))
-        cosine = F.col("x") * F.col("mx") + F.col("y") * F.col("my") + F.col("z") * F.col("mz")
-        caps = net.join(middle, "tile").groupBy("tile", "mx", "my", "mz").agg(F.min(cosine).alias("c")).collect()  # 12 * 4 ** order rows
-        _TILES[order] = [(r["tile"], r["mx"], r["my"], r["mz"], math.degrees(math.acos(max(-1.0, min(1.0, r["c"]))))) for r in caps]
-    return _TILES[order]
-
-
-def covering_tiles(spark: SparkSession, ra_center: float, dec_center: float, radius_deg: float, order: int = 2) -> list[int]:
-    """Pixels of ``order`` (at most 3) that can hold a position within ``radius_deg`` of a centre, and perhaps a few more."""
-    if not 0 <= order <= 3:
-        raise ValueError(f"order must be 0..3, got {order}")
-    lon, lat = math.radians(ra_center), math.radians(dec_center)
-    x, y, z = math.cos(lon) * math.cos(lat), math.sin(lon) * math.cos(lat), math.sin(lat)
-
-    def away(cap: tuple[int, float, float, float, float]) -> float:
-        return math.degrees(math.acos(max(-1.0, min(1.0, x * cap[1] + y * cap[2] + z * cap[3]))))
-
-    return sorted(cap[0] for cap in _tile_caps(spark, order) if away(cap) <= radius_deg + cap[4] + _TILE_MARGIN)
+def covering_tiles(ra_center: float, dec_center: float, radius_deg: float, order: int = 2) -> list[int]:
+    """Pixels of ``order`` that can hold a position within ``radius_deg`` of a centre; few of them miss the cone."""
+    return [t for low, high in disc_ranges(ra_center, dec_center, radius_deg, order) for t in range(low, high + 1)]
 
 
 def _cell_of(xyz: tuple[str, str, str], size: float) -> dict[str, Column]:
@@ -190,91 +170,133 @@ def nearest_within(
     objects: DataFrame,
     radius_deg: float = 1.0,
     label: str = "main_id",
-    levels: int = 4,
     out: tuple[str, str] = ("n_objects", "nearest"),
+    reports: list[tuple[float, int]] | None = None,
 ) -> DataFrame:
     """``stars`` with the number of ``objects`` within ``radius_deg`` and the label of the nearest one.
 
     One row per star row, so the output grows with the stars however dense the sky is
-    (:func:`pairs_within` gives every pair). The count adds the sums of whole cells. The
-    nearest object is looked for within a small radius first, a quarter of the next one and
-    so on; only positions without any go on to a larger one, so a crowded field is settled where
-    few candidates are near. Equal distances go to the smaller label. Stars without a position
-    or an object in reach have 0 and null.
+    (:func:`pairs_within` gives every pair). The discs around the objects are covered with pixels; a star lies in
+    one pixel of each order. The count adds up the objects whose disc holds a whole pixel of the star, and meets those with
+    the star's pixel on their rim one by one. The nearest is looked for in rings: the first radius is the
+    width of pixels with few objects where these are densest, the next four times that. A star leaves when it has
+    found one, as all objects within the ring's radius were met, and only the others wait for the next ring, which
+    ``reports`` counts as (radius, stars waiting). Equal distances go to the smaller label. Stars without a
+    position or an object in reach have 0 and null.
     """
     spots = objects.dropna(subset=["ra", "dec"]).groupBy("ra", "dec").agg(F.min(label).alias("__label"), F.count("*").alias("__n"))
-    spots = spots.select(F.col("ra").alias("ra_r"), F.col("dec").alias("dec_r"), "__label", "__n")
+    spots = stage(spots.select(F.col("ra").alias("ra_r"), F.col("dec").alias("dec_r"), "__label", "__n"), "nearest-objects")
     places = stage(stars.select("ra", "dec").dropna().distinct(), "nearest-places")
-    counted = count_in_cones(objects.select("ra", "dec"), places, radius_deg)
-    separation = great_circle_separation("ra", "dec", F.col("ra_r"), F.col("dec_r"))
+    counted = _discs_holding(places, spots, radius_deg)
+    separation = great_circle_separation("ra", "dec", "ra_r", "dec_r")
+    reach = min(radius_deg, pixel_width(depth_for(spots, ("ra_r", "dec_r"), densest=True)))
     waiting, found = places, []
-    for level in reversed(range(levels)):
-        reach = radius_deg / 4**level
-        pairs = pairs_within(waiting, spots, reach)
+    while True:
+        pairs = _pairs_by_pixel(waiting, spots, reach)
         best = pairs.groupBy("ra", "dec").agg(F.min_by("__label", F.struct(F.round(separation, 9), "__label")).alias(out[1]))
         found.append(stage(best, "nearest-found"))
-        if level:
-            waiting = stage(waiting.join(found[-1].select("ra", "dec"), ["ra", "dec"], "left_anti"), "nearest-places")
+        if reach >= radius_deg:
+            break
+        waiting = stage(waiting.join(found[-1].select("ra", "dec"), ["ra", "dec"], "left_anti"), "nearest-places")
+        reach = min(radius_deg, 4 * reach)
+        left = waiting.count()
+        if reports is not None:
+            reports.append((reach, left))
+        if not left:
+            break
     nearest = reduce(DataFrame.unionByName, found)
     known = counted.join(nearest, ["ra", "dec"], "left").select("ra", "dec", F.col("n_obs").alias(out[0]), out[1])
     joined = stars.join(known, ["ra", "dec"], "left")
     return joined.select(*stars.columns, F.coalesce(out[0], F.lit(0).cast("long")).alias(out[0]), out[1])
 
 
+_PX, _QX = ("__px", "__py", "__pz"), ("__qx", "__qy", "__qz")
+
+
+def _pairs_by_pixel(places: DataFrame, spots: DataFrame, radius_deg: float) -> DataFrame:
+    """Pairs of ``places`` (ra, dec) and ``spots`` (ra_r, dec_r) within a radius: discs around the spots, one pixel per place."""
+    order = disc_order(radius_deg, 0)
+    discs = with_vector(spots, ("ra_r", "dec_r"), _QX).withColumns({"__reach": F.lit(chord(radius_deg)), "__stop": F.lit(order)})
+    cover = disc_cover(discs, whole=False)
+    points = with_vector(places, ("ra", "dec"), _PX).transform(with_healpix_index("ra", "dec", order, "pixel"))
+    return points.join(cover, "pixel").where(chord_squared(_PX, _QX) <= F.lit(chord(radius_deg) ** 2)).drop(*_PX, *_QX)
+
+
+def _discs_holding(places: DataFrame, spots: DataFrame, radius_deg: float) -> DataFrame:
+    """``places`` with ``n_obs``: the sum of ``__n`` over the spots within a radius, from covers of the spots' discs."""
+    limit = F.lit(chord(radius_deg) ** 2)
+    discs = with_vector(spots, ("ra_r", "dec_r"), _QX).withColumn("__reach", F.lit(chord(radius_deg)))
+    discs = with_local_stop(discs, places, ("ra", "dec"), ("ra_r", "dec_r"))
+    discs = discs.withColumn("__stop", F.greatest(F.lit(disc_order(radius_deg, 0)), F.least("__stop", F.lit(disc_order(radius_deg, FINEST)))))
+    cover = stage(disc_cover(discs.select(*_QX, "__n", "__reach", "__stop"), whole=True), "disc-cover")
+    sums = cover.where("whole").groupBy("pixel_order", "pixel").agg(F.sum("__n").alias("__n"))
+    inside = at_orders(places, orders_of(cover, "whole"), ("ra", "dec")).join(sums, ["pixel_order", "pixel"]).select("ra", "dec", "__n")
+    points = at_orders(with_vector(places, ("ra", "dec"), _PX), orders_of(cover, "NOT whole"), ("ra", "dec"))
+    met = points.join(cover.where("NOT whole"), ["pixel_order", "pixel"]).where(chord_squared(_PX, _QX) <= limit).select("ra", "dec", "__n")
+    totals = inside.unionByName(met).groupBy("ra", "dec").agg(F.sum("__n").alias("n_obs"))
+    return places.join(totals, ["ra", "dec"], "left").withColumn("n_obs", F.coalesce("n_obs", F.lit(0).cast("long")))
+
+
+#: Covers go down to pixels 2 ** FINEST times narrower than the radius at most.
+FINEST = 6
+
+
 def count_in_cones(
     points: DataFrame,
     centers: DataFrame,
-    radius_deg: float,
+    radius_deg: float | str,
     position: tuple[str, str] = ("ra", "dec"),
     center_position: tuple[str, str] = ("ra", "dec"),
-    splits: int = 2,
+    per_pixel: float = 4.0,
 ) -> DataFrame:
-    """``centers`` with ``n_obs``, the number of points within ``radius_deg`` of each.
+    """``centers`` with ``n_obs``, the number of points within ``radius_deg`` of each, a number or a column of degrees.
 
-    Points are first summed per exact position and per cell of size radius/``splits``. A
-    cell that lies wholly inside a cone adds its sum without looking at its points, so only
-    the cells on the rim are joined point by point; raise ``splits`` for dense data to make
-    the rim thinner. Centres without points get 0.
+    The points are summed up per position and in a pyramid of nested pixels. A cone takes the sums of the coarsest pixels
+    that lie wholly inside and is divided on its rim only, down to pixels that hold about ``per_pixel`` points around
+    its centre; these are joined point by point. So a centre meets about as many rim points as rim
+    pixels, and their number grows with the square root of the density. Centres without points, position or
+    radius get 0.
     """
-    reach = chord(radius_deg)
-    size = reach / splits
-    px, qx = ("__px", "__py", "__pz"), ("__qx", "__qy", "__qz")
-    spots = (
-        points.dropna(subset=list(position))
-        .select(*(v.alias(n) for n, v in zip(px, unit_vector(*position))))
-        .groupBy(*px)
-        .agg(F.count("*").alias("__n"))
-        .withColumns(_cell_of(px, size))
-    )
-    heads = (
-        centers.dropna(subset=list(center_position))
-        .select(*(v.alias(n) for n, v in zip(qx, unit_vector(*center_position))))
-        .distinct()
-    )
-    cones = _copy_into_cells(heads, qx, reach, size)
-    # squared distance from the centre to the nearest and the farthest point of the cell
-    nearest, farthest = F.lit(0.0), F.lit(0.0)
-    for cell, k in zip(_CELL, qx):
-        near, far = _span(F.col(cell) * F.lit(size) - F.col(k), size)
-        nearest, farthest = nearest + near, farthest + far
-    limit = F.lit(reach**2)
-    slack = F.lit(1e-12)
-    cones = cones.filter(nearest <= limit + slack).withColumn("__inside", farthest <= limit - slack)
-    cones = _guarded(cones, heads, _copies(1.0 / splits))
-
-    sums = spots.groupBy(*_CELL).agg(F.sum("__n").alias("__n"))
-    whole = cones.filter("__inside").join(sums, list(_CELL)).select(*qx, "__n")
-    distance = _chord_squared(tuple(F.col(c) for c in px), tuple(F.col(c) for c in qx))
-    rim = cones.filter(~F.col("__inside")).join(spots, list(_CELL)).filter(distance <= limit).select(*qx, "__n")
-    totals = whole.unionByName(rim).groupBy(*qx).agg(F.sum("__n").alias("n_obs"))
-
-    at = dict(zip(qx, unit_vector(*center_position)))
-    return (
-        centers.withColumns(at)
-        .join(totals, list(qx), "left")
-        .drop(*qx)
-        .withColumn("n_obs", F.coalesce("n_obs", F.lit(0).cast("long")))
-    )
+    radius = F.col(radius_deg) if isinstance(radius_deg, str) else F.lit(float(radius_deg))
+    heads = centers.select(*(F.col(c).cast("double").alias(n) for c, n in zip(center_position, ("__qra", "__qdec"))), radius.cast("double").alias("__radius"))
+    heads = with_vector(heads.distinct(), ("__qra", "__qdec"), _QX).withColumn("__reach", reach_of(F.col("__radius")))
+    heads = with_local_stop(heads.where("__reach IS NOT NULL"), points, position, ("__qra", "__qdec"), per_pixel)
+    bounds = [order_for(F.col("__radius"), d) for d in (0, FINEST)]
+    heads = heads.withColumn("__stop", F.greatest(bounds[0], F.least("__stop", bounds[1])))
+    cover = stage(disc_cover(heads.select("__qra", "__qdec", "__radius", *_QX, "__reach", "__stop"), whole=True), "disc-cover")
+    spots = points.dropna(subset=list(position)).groupBy(*(F.col(c).alias(n) for c, n in zip(position, ("__ra", "__dec")))).agg(F.count("*").alias("__n"))
+    sums = at_orders(spots, orders_of(cover, "whole"), ("__ra", "__dec")).groupBy("pixel_order", "pixel").agg(F.sum("__n").alias("__n"))
+    key = ["__qra", "__qdec", "__radius"]
+    inside = cover.where("whole").join(sums, ["pixel_order", "pixel"]).select(*key, "__n")
+    placed = at_orders(with_vector(spots, ("__ra", "__dec"), _PX), orders_of(cover, "NOT whole"), ("__ra", "__dec"))
+    rim = cover.where("NOT whole").join(placed, ["pixel_order", "pixel"])
+    met = rim.where(chord_squared(_PX, _QX) <= F.pow("__reach", 2)).select(*key, "__n")
+    totals = inside.unionByName(met).groupBy(*key).agg(F.sum("__n").alias("n_obs"))
+    at = {"__qra": F.col(center_position[0]).cast("double"), "__qdec": F.col(center_position[1]).cast("double"), "__radius": radius.cast("double")}
+    joined = centers.withColumns(at).join(totals, key, "left").drop(*key)
+    return joined.withColumn("n_obs", F.coalesce("n_obs", F.lit(0).cast("long")))
+
+
+def pairs_in_cones(
+    points: DataFrame,
+    centers: DataFrame,
+    radius: str = "radius_deg",
+    position: tuple[str, str] = ("ra", "dec"),
+    center_position: tuple[str, str] = ("ra_r", "dec_r"),
+) -> DataFrame:
+    """Every (point, centre) pair within the centre's own ``radius`` in degrees, with the columns of both.
+
+    Radii fall into classes by powers of two. Each class covers its cones with pixels about half as wide as the
+    radius, and a point has one pixel per class that occurs, so a narrow cone does not pay for a wide
+    one. Column names must differ. Centres without position or radius meet nothing. The output holds every
+    pair, so it grows with the area of the cones and the density.
+    """
+    discs = with_vector(centers, center_position, _QX)
+    discs = discs.withColumn("__reach", reach_of(F.col(radius).cast("double"))).where("__reach IS NOT NULL").withColumn("__stop", order_for(F.col(radius), 1))
+    cover = stage(disc_cover(discs), "disc-cover")
+    placed = at_orders(with_vector(points, position, _PX), orders_of(cover), position)
+    met = placed.join(cover, ["pixel_order", "pixel"]).where(chord_squared(_PX, _QX) <= F.pow("__reach", 2))
+    return met.select(*points.columns, *centers.columns)
 
 
 # Fixed values of the density search.
@@ -284,19 +306,28 @@ DENSITY_RADIUS_MAX = 2.0
 DENSITY_TEST_RADIUS = 0.1
 
 
-def density_radius(counted: DataFrame, on_empty: str = "fail") -> DataFrame:
-    """Add ``radius_deg``, the radius expected to hold 250,000 sources around each centre.
+def density_radius(
+    counted: DataFrame,
+    on_empty: str = "fail",
+    target_rows: float = DENSITY_TARGET_ROWS,
+    test_radius: float = DENSITY_TEST_RADIUS,
+) -> DataFrame:
+    """Add ``radius_deg``, the radius expected to hold ``target_rows`` sources around each centre.
 
-    The density comes from ``n_obs`` counted within 0.1°. A centre without sources has no
-    density: that stops the job, or gives null with ``on_empty="null"``.
+    The density comes from ``n_obs`` counted within ``test_radius`` degrees. A centre without sources has no
+    density: that stops the job, gives null with ``on_empty="null"`` or the largest radius with ``on_empty="largest"``.
     """
-    area = math.pi * DENSITY_TEST_RADIUS**2
+    area = math.pi * test_radius**2
     density = F.col("n_obs") / F.lit(area)
-    radius = F.sqrt(F.lit(float(DENSITY_TARGET_ROWS)) / density / F.lit(math.pi))
-    empty = F.raise_error(F.lit("no sources around a centre")).cast("double") if on_empty == "fail" else F.lit(None)
+    radius = F.sqrt(F.lit(float(target_rows)) / density / F.lit(math.pi))
+    empties = {
+        "fail": F.raise_error(F.lit("no sources around a centre")).cast("double"),
+        "null": F.lit(None).cast("double"),
+        "largest": F.lit(DENSITY_RADIUS_MAX),
+    }
     return counted.withColumn(
         "radius_deg",
-        F.when(F.col("n_obs") == 0, empty).otherwise(clip(radius, DENSITY_RADIUS_MIN, DENSITY_RADIUS_MAX)),
+        F.when(F.col("n_obs") == 0, empties[on_empty]).otherwise(clip(radius, DENSITY_RADIUS_MIN, DENSITY_RADIUS_MAX)),
     )
 
 
@@ -326,7 +357,8 @@ def counterparts(
     few cells they can reach. The reach of four tolerances covers every possible counterpart
     of a star unless it is within arcseconds of a pole or its motion is absurd. Those few
     stars are recognised row by row and meet the objects by strips of declination instead:
-    the moved declination must come within the tolerance of the star's. All joins are inner, so
+    the moved declination must come within the tolerance of the star's; where there are none, which one look at the
+    stars tells, their branch is left out of the plan. All joins are inner, so
     AQE can split a crowded cell on either side. A smaller ``cell_factor`` means more copies of
     the objects and fewer candidates per star: 1 suits crowded fields.
     """
@@ -373,12 +405,14 @@ def counterparts(
     # where the motion is too large to tell strips apart, all of them
     low, high = (F.greatest(F.lit(-91.0), F.least(F.lit(91.0), F.col("__centre") + w)) for w in (-slack, slack))
     strips = F.sequence(F.floor(low / width), F.floor(high / width))
-    odd = slim.where(~calm).withColumn("__centre", F.explode(F.array(*centres))).withColumn("__strip", F.explode(strips))
-    odd = odd.drop("__centre").distinct()
-    by_strip = odd.join(spots.withColumn("__strip", F.floor(F.col("dec_r") / width)), "__strip")
-
     columns = (key, "ra", "dec", "pmra", "pmdec", "ra_r", "dec_r", "bk_simbad", "__pixel_r", *(["__pixel"] if own_pixel else []))
-    met = by_cell.select(*columns).unionByName(by_strip.select(*columns))
+    met = by_cell.select(*columns)
+    odd = slim.where(~calm)
+    if not odd.isEmpty():
+        odd = odd.withColumn("__centre", F.explode(F.array(*centres))).withColumn("__strip", F.explode(strips))
+        odd = odd.drop("__centre").distinct()
+        by_strip = odd.join(spots.withColumn("__strip", F.floor(F.col("dec_r") / width)), "__strip")
+        met = met.unionByName(by_strip.select(*columns))
     ra_prop, dec_prop = propagate("ra_r", "dec_r", "pmra", "pmdec")
     formula = flat_separation if mode == "pixel" else great_circle_separation
     separation = formula("ra", "dec", ra_prop, dec_prop)

@@ -15,6 +15,7 @@ from starloom.functions.sky import (
 from starloom.operators.joins import join_astrometry_photometry
 from starloom.operators.ranking import distinct_by_key
 from starloom.operators.spatial import attach_nearest
+from starloom.session import stage
 
 
 def object_dimension(objects: DataFrame) -> DataFrame:
@@ -33,14 +34,21 @@ def star_facts(
     mode: str = "pixel",
     unreliable_as_null: bool = False,
     corrected_velocity: bool = False,
+    staged: bool = True,
 ) -> DataFrame:
     """One row per star with magnitudes, distance, velocity and its nearest object.
 
+    The joined stars are staged, as the match and the rows both read them; the match then reads its six columns
+    only. Silver tables published with :func:`starloom.sources.tables.publish_by_key` need no ``staged``: their join is
+    a scan without a shuffle, and so are the wide rows that the matches are attached to.
+
     See :func:`starloom.operators.spatial.counterparts` for the two match modes. Derived
     quantities depend on the star alone and are computed after the match, so that the
     shuffles carry measured columns only.
     """
     stars = join_astrometry_photometry(astrometry, photometry)
+    if staged:
+        stars = stage(stars, "gold-stars")
     best = attach_nearest(stars, objects, tolerance_deg, mode)
     derived = (
         best.transform(with_distance_parsec("parallax", "is_reliable_plx"))

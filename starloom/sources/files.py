@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import re
 from collections.abc import Sequence
 from functools import reduce
@@ -11,6 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.session import stage
+from starloom.sources.csvsplit import csv_records
+
 NULL_TOKENS = ("NULL", "null", "")
 
 
@@ -141,11 +146,33 @@ def _by_header(spark: SparkSession, path: str, comment: str) -> list[list[str]]:
     return list(groups.values())
 
 
+def _header_names(header: str) -> list[str]:
+    """Column names of a header record: empty ones are numbered, and so are repeated ones."""
+    names = next(csv.reader(io.StringIO(header.rstrip("\r"))))
+    again = {n.lower() for i, n in enumerate(names) if n.lower() in {m.lower() for m in names[:i]}}
+    return [f"_c{i}" if not n else f"{n}{i}" if n.lower() in again else n for i, n in enumerate(names)]
+
+
+def _split_texts(spark: SparkSession, path: str, comment: str) -> list[DataFrame]:
+    """All columns as text, one frame per header, from records that are cut block by block and staged."""
+    records = stage(csv_records(spark, [path], comment), "csv-records")
+    first = records.where("number = 0").groupBy("file").agg(F.min_by(F.struct("block", "record"), "block").alias("f"))
+    heads = stage(first.select("file", F.col("f.block").alias("head_block"), F.col("f.record").alias("header")), "csv-headers")
+    frames = []
+    for row in heads.select("header").distinct().orderBy("header").collect():
+        names = _header_names(row["header"])
+        rows = records.join(heads.where(F.col("header") == row["header"]), "file").where("block <> head_block OR number > 0")
+        options = {"mode": "FAILFAST", "escape": '"', "multiLine": "true", "emptyValue": "", "nullValue": ""}
+        fields = F.from_csv(F.rtrim("record", F.lit("\r")), ", ".join(f"c{i} STRING" for i in range(len(names))), options).alias("f")
+        frames.append(rows.select(fields).select(*(F.col(f"f.c{i}").alias(n) for i, n in enumerate(names))))
+    return frames
+
+
 def _csv_texts(spark: SparkSession, path: str, comment: str, multi_line: bool) -> DataFrame:
     """All columns as text; files with their columns in another order are put together by name."""
-    options = dict(header=True, comment=comment, escape='"', multiLine=multi_line, emptyValue="", nullValue="")
-    frames = []
-    for files in _by_header(spark, path, comment):
+    options = dict(header=True, comment=comment, escape='"', emptyValue="", nullValue="")
+    frames = _split_texts(spark, path, comment) if multi_line else []
+    for files in [] if multi_line else _by_header(spark, path, comment):
         names = spark.read.csv(_exact(files[:1]), inferSchema=False, **options).columns
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         frames.append(spark.read.schema(schema).csv(_exact(files), mode="FAILFAST", enforceSchema=True, **options))
@@ -164,9 +191,9 @@ def read_csv_inferred(
     inference knows a single null token and would leave such numeric columns as text. A
     file without records is an error, and so is a row with too many or too few fields.
 
-    Quotes inside quotes are doubled. ``multi_line`` allows line breaks inside quotes, for which
-    Spark has to read a file in one task; turn it off for large files without such breaks.
-    Files below ``path`` may have their columns in different orders.
+    Quotes inside quotes are doubled. ``multi_line`` allows line breaks inside quotes: two passes over the blocks of the
+    files find the records (:mod:`starloom.sources.csvsplit`), which are staged. Without it lines are records, and
+    nothing is staged. Files below ``path`` may have their columns in different orders.
     """
     text = _csv_texts(spark, path, comment, multi_line)
     text = text.select(

@@ -134,3 +134,14 @@ def _insert_dynamic(df: DataFrame, table: str) -> None:
             df.write.insertInto(table, overwrite=True)
         finally:
             spark.conf.set(setting, before)
+
+
+def publish_by_key(df: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Write ``df`` as a new table, bucketed and sorted by ``key``; an old one of the name is replaced.
+
+    Two tables with equally many buckets join on ``key``, and one aggregates by it, without a shuffle or a
+    sort. A bucket is read by one task, so ``buckets`` should keep it near a quarter of a GB. The rows are shuffled
+    once, here, so that each bucket is one file.
+    """
+    dealt = df.repartition(buckets, key).sortWithinPartitions(key)
+    dealt.write.format("parquet").mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)

@@ -264,6 +264,16 @@ def _cone_counts(radius: float) -> str:
       ON s.dec BETWEEN c.dec - {radius}e0 - 1e-6 AND c.dec + {radius}e0 + 1e-6 AND {near} GROUP BY ALL)"""
 
 
+def _density_extract() -> str:
+    """Every star against every cone whose declinations can meet."""
+    own = "2 * sin(radians(k.radius_deg) / 2)"
+    return f"""SELECT k.main_id, s.source_id, round(k.radius_deg, 9) AS radius_deg FROM (
+      SELECT main_id, ra, dec, CASE WHEN n_obs = 0 THEN 2e0 ELSE least(2e0, greatest(1e-1,
+        sqrt(12 / (n_obs / (pi() * pow(1e-1, 2))) / pi()))) END AS radius_deg FROM {_cone_counts(0.1)}) k
+      JOIN {stars()} s ON s.dec BETWEEN k.dec - k.radius_deg - 1e-6 AND k.dec + k.radius_deg + 1e-6
+      AND {_chord2(("k.ra", "k.dec"), ("s.ra", "s.dec"))} <= pow({own}, 2)"""
+
+
 def _in_reach(places: str, objects: str) -> str:
     """Per position: objects within a degree, and the name of the nearest."""
     separation = _great_circle("s.ra", "s.dec", "c.ra", "c.dec")
@@ -358,6 +368,7 @@ def oracle_sql() -> dict[str, str]:
         "silver_clusters": f"SELECT main_id, {_rounded('ra, dec')}, fct_dt, healpix_index FROM {object_rows()}",
         "dim_clusters": f"SELECT main_id, {_rounded('ra, dec')}, healpix_index, bk_simbad FROM {dimension()}",
         "gold_fact": gold_fact(),
+        "gold_fact_bucketed": gold_fact(),
         "gold_fact_exact": gold_fact_exact(),
         "raw_cluster_extract": f"""SELECT source_id, {_rounded(_EXTRACT, 6)}, n_objects, source_cluster
           FROM {_INDIVIDUAL} JOIN {_in_reach(_INDIVIDUAL, _in_center(centers()))} USING (ra, dec)""",
@@ -378,6 +389,7 @@ def oracle_sql() -> dict[str, str]:
         "cone_count": f"SELECT main_id, {_rounded('ra, dec')}, n_obs FROM {_cone_counts(1)}",
         "density_radius": f"""SELECT main_id, {_rounded("ra, dec")}, n_obs, round(least(2e0, greatest(1e-1,
           sqrt(250000 / (n_obs / (pi() * pow(1e-1, 2))) / pi()))), 9) AS radius_deg FROM {_cone_counts(0.1)}""",
+        "density_extract": _density_extract(),
         "valid_coords": f"""SELECT source_id, {_rounded("ra, dec")} FROM {stars()}
           WHERE source_id % 23 <> 0 AND source_id % 29 <> 0""",
         "sky_pairs_within": f"""SELECT source_id, {_rounded("ra, dec")}, coalesce(n_objects, 0) AS n_objects, source_cluster AS nearest

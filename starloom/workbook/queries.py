@@ -205,11 +205,30 @@ def dim_clusters(spark: SparkSession, sf: str) -> DataFrame:
     return _round(_dimension(spark, sf))
 
 
+BUCKETS = 8  # of the silver tables that are published by key
+
+
 def gold_fact(spark: SparkSession, sf: str) -> DataFrame:
     facts = gold.star_facts(_astrometry(spark, sf), _photometry(spark, sf), _dimension(spark, sf))
     return _round(facts, 6, tangential_velocity=7)
 
 
+def _by_key(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """The silver star tables, published in buckets of the source id."""
+    made = []
+    for name, rows in (("astrometry", _astrometry(spark, sf)), ("photometry", _photometry(spark, sf))):
+        table = f"{_database(spark)}.{name}"
+        tables.publish_by_key(rows, table, "source_id", BUCKETS)
+        made.append(spark.table(table))
+    return made
+
+
+def gold_fact_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The gold table from published silver tables, whose wide rows are not shuffled again."""
+    facts = gold.star_facts(*_by_key(spark, sf), _dimension(spark, sf), staged=False)
+    return _round(facts, 6, tangential_velocity=7)
+
+
 def gold_fact_exact(spark: SparkSession, sf: str) -> DataFrame:
     """The same over the whole sphere with great-circle matching."""
     facts = gold.star_facts(
@@ -272,6 +291,8 @@ def pixel_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("source_id", "healpix_index", "candidates", "first_bk", "last_bk")
 
 
+DENSE_ROWS = 12.0  # stars that a cone of the density extract is expected to hold
+
 # --- sky search -----------------------------------------------------------------------
 
 
@@ -292,12 +313,12 @@ def cone_search(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cone_search_tiles(spark: SparkSession, sf: str) -> DataFrame:
-    """The same cone in a table laid out by tile, of which only the covering tiles are opened."""
+    """The same cone in a table laid out by tile: only covering tiles and row groups with its pixels are opened."""
     table = f"{_database(spark)}.sky"
     df = samples.stars(spark, sf, wide=True).select("source_id", "ra", "dec")
     silver.publish(df.transform(with_healpix_index("ra", "dec")), table)
-    tiles = spatial.covering_tiles(spark, 2.0, 80.0, 15.0, silver.TILE_ORDER)
-    found = spark.table(table).transform(spatial.cone_search(2.0, 80.0, 15.0, tiles=(silver.TILE, tiles)))
+    laid_out = [(silver.TILE, silver.TILE_ORDER), ("healpix_index", 6)]
+    found = spark.table(table).transform(spatial.cone_search(2.0, 80.0, 15.0, pixels=laid_out))
     return _round(found.select("source_id", "ra", "dec"))
 
 
@@ -311,6 +332,16 @@ def density_radius(spark: SparkSession, sf: str) -> DataFrame:
     return _round(spatial.density_radius(spatial.count_in_cones(stars, around, spatial.DENSITY_TEST_RADIUS)))
 
 
+def density_extract(spark: SparkSession, sf: str) -> DataFrame:
+    """Stars of cones that are as wide as the sources around their centre are rare: a dozen stars each, or two degrees in empty fields."""
+    stars = samples.stars(spark, sf).select("source_id", "ra", "dec")
+    around = samples.centers(spark, sf)
+    counted = spatial.count_in_cones(stars, around, spatial.DENSITY_TEST_RADIUS)
+    cones = spatial.density_radius(counted, on_empty="largest", target_rows=DENSE_ROWS)
+    cones = cones.select("main_id", F.col("ra").alias("ra_r"), F.col("dec").alias("dec_r"), "radius_deg")
+    return _round(spatial.pairs_in_cones(stars, cones).select("main_id", "source_id", "radius_deg"))
+
+
 def sky_pairs_within(spark: SparkSession, sf: str) -> DataFrame:
     """Each star with the number of positions within a degree and the name of the nearest."""
     stars = samples.stars(spark, sf, wide=True).select("source_id", "ra", "dec")
@@ -738,6 +769,7 @@ QUERIES: dict[str, Query] = {
     "silver_clusters": silver_clusters,
     "dim_clusters": dim_clusters,
     "gold_fact": gold_fact,
+    "gold_fact_bucketed": gold_fact_bucketed,
     "gold_fact_exact": gold_fact_exact,
     "raw_cluster_extract": raw_cluster_extract,
     "raw_individual_extract": raw_individual_extract,
@@ -749,6 +781,7 @@ QUERIES: dict[str, Query] = {
     "cone_search_tiles": cone_search_tiles,
     "cone_count": cone_count,
     "density_radius": density_radius,
+    "density_extract": density_extract,
     "valid_coords": valid_coords,
     "sky_pairs_within": sky_pairs_within,
     "conform_schema": conform_schema,

@@ -201,3 +201,26 @@ def test_gold_needs_no_shuffle_beyond_its_inputs(spark, tmp_path):
         assert large.count() == 20
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_gold_from_bucketed_tables_moves_no_wide_row(spark):
+    """Published by source id, the silver tables meet each other and the matches without an exchange or a sort of their own."""
+    stars = spark.createDataFrame([star(i, 10.0 + i / 7, 20.0) for i in range(300)], STAR)
+    for name, rows in (("a", silver.astrometry_rows(stars)), ("p", silver.photometry_rows(stars))):
+        tables.publish_by_key(rows, f"bucketed_{name}", "source_id", 4)
+        tables.publish_by_key(rows, f"bucketed_{name}", "source_id", 4)  # replaces the first
+    objects = spark.createDataFrame([(f"k{i}", 10.0 + i / 7, 20.0, 1) for i in range(0, 300, 3)], "bk_simbad string, ra double, dec double, healpix_index long")
+    objects = objects.transform(with_healpix_index("ra", "dec"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = gold.star_facts(spark.table("bucketed_a"), spark.table("bucketed_p"), objects, staged=False)
+        lines = plan_of(facts).splitlines()
+        wide = [line for i, line in enumerate(lines) if "Exchange hashpartitioning(source_id" in line and "threshold_angular_d" not in "".join(lines[i + 1 : i + 3])]
+        assert not wide
+        plain = gold.star_facts(silver.astrometry_rows(stars), silver.photometry_rows(stars), objects)
+        assert facts.exceptAll(plain).count() == 0 and facts.count() == 300
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        for name in "ap":
+            spark.sql(f"DROP TABLE bucketed_{name}")

@@ -2,13 +2,16 @@ from __future__ import annotations
 
 import math
 import random
+import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.functions import healpix
 from starloom.functions.healpix import with_healpix_index
-from starloom.functions.sky import ARCSEC
-from starloom.operators import spatial
+from starloom.functions.sky import ARCSEC, chord
+from starloom.operators import discs, spatial
 
 from .conftest import plan_of
 
@@ -77,16 +80,47 @@ def test_cone_prefilter_reaches_parquet(spark, tmp_path):
     assert "GreaterThanOrEqual(dec" in plan and "LessThanOrEqual(dec" in plan
 
 
-@pytest.mark.parametrize("splits", [1, 2, 5])
-def test_counts_equal_brute_force(spark, splits):
-    points, around = sphere_points(3000, 4), sphere_points(60, 5)
+@pytest.mark.parametrize("per_pixel", [0.05, 4.0, 1000.0])
+def test_counts_equal_brute_force(spark, per_pixel):
+    points, around = sphere_points(3000, 4), sphere_points(60, 5) + [(0.0, 90.0), (120.0, -90.0), (0.0, 0.0), (45.0, 41.8103)]
     points += [points[0]] * 50  # copies of one position
-    got = spatial.count_in_cones(frame(spark, points), frame(spark, around), 8.0, splits=splits).collect()
+    got = spatial.count_in_cones(frame(spark, points), frame(spark, around), 8.0, per_pixel=per_pixel).collect()
     assert len(got) == len(around)
     for r in got:
         assert r.n_obs == sum(separation(p, (r.ra, r.dec)) <= 8.0 for p in points)
 
 
+def test_counts_with_own_radii(spark):
+    points, r = sphere_points(2000, 6), random.Random(6)
+    centers = [(i, *p, radius) for i, (p, radius) in enumerate(zip(sphere_points(40, 7), [0.001, 1.0, 7.5, 60.0, 120.0, 180.0, None, -1.0] * 6))]
+    frame_ = spark.createDataFrame([*centers, (99, None, 1.0, 5.0)], "id int, ra double, dec double, radius double")
+    got = {x.id: x.n_obs for x in spatial.count_in_cones(frame(spark, points), frame_, "radius").collect()}
+    assert got.pop(99) == 0
+    assert got == {i: sum(separation(p, (ra, dec)) <= radius for p in points) if radius and radius > 0 else 0 for i, ra, dec, radius in centers}
+    assert spatial.count_in_cones(frame(spark, points).limit(0), frame_, 1.0).agg(F.sum("n_obs")).first()[0] == 0
+
+
+def test_few_rim_points_however_dense(spark):
+    """Sixteen times the density: points met one by one grow less, about with its square root."""
+    met = []
+    for n in (4_000, 64_000):
+        points = frame(spark, sphere_points(n, 8))
+        discs_ = discs.with_vector(frame(spark, sphere_points(20, 9)), ("ra", "dec")).withColumn("__reach", F.lit(chord(10.0)))
+        cover = discs.disc_cover(discs.with_local_stop(discs_, points, ("ra", "dec"), ("ra", "dec")), whole=True).where("NOT whole")
+        rim = discs.at_orders(points.select("ra", "dec"), discs.orders_of(cover), ("ra", "dec")).join(cover.drop("ra", "dec"), ["pixel_order", "pixel"])
+        met.append(rim.count())
+    assert met[0] < 27 * 60 and met[1] < 10 * met[0]
+
+
+def test_pairs_with_own_radii(spark):
+    points = sphere_points(1500, 10)
+    centers = [(i, *p, radius) for i, (p, radius) in enumerate(zip(sphere_points(35, 11), [0.01, 0.1, 0.9, 2.0, 20.0, None, float("nan")] * 5))]
+    right = spark.createDataFrame(centers, "c int, ra_r double, dec_r double, radius_deg double")
+    got = {(r.id, r.c) for r in spatial.pairs_in_cones(frame(spark, points), right).collect()}
+    assert got == {(i, c) for i, p in enumerate(points) for c, ra, dec, radius in centers if radius and separation(p, (ra, dec)) <= radius}
+    assert spatial.pairs_in_cones(frame(spark, points), right.limit(0)).count() == 0
+
+
 def test_density_radius(spark):
     counted = spark.createDataFrame([("a", 10), ("b", 10**9), ("c", 1000)], "k string, n_obs long")
     got = {r.k: r.radius_deg for r in spatial.density_radius(counted).collect()}
@@ -310,22 +344,72 @@ def test_nearest_within_against_brute_force(spark, radius):
         assert r.n_objects == len(near) and r.nearest == (near[0][1] if near else None)
 
 
-@pytest.mark.parametrize("order", [0, 2, 3])
+def test_rings_end_early(spark):
+    """A crowd in one place: its stars leave in the first ring, and the waiting ones are reported."""
+    r = random.Random(2)
+    crowd = [(50 + r.uniform(-0.01, 0.01), 20 + r.uniform(-0.01, 0.01)) for _ in range(300)]
+    left, right = frame(spark, crowd + sphere_points(200, 13)), frame(spark, crowd[:150] + sphere_points(100, 14), "", "name")
+    right = right.withColumn("name", F.concat(F.lit("n"), "name"))
+    reports = []
+    got = spatial.nearest_within(left, right, 5.0, "name", reports=reports).collect()
+    others = right.collect()
+    for x in got[::7]:
+        away = sorted((round(separation((x.ra, x.dec), (o.ra, o.dec)), 9), o["name"]) for o in others)
+        assert (x.n_objects, x.nearest) == (sum(a[0] <= 5.0 for a in away), away[0][1] if away[0][0] <= 5.0 else None)
+    waits = [n for _, n in reports]
+    assert len(waits) >= 3 and waits == sorted(waits, reverse=True) and waits[-1] <= 201
+
+
+@pytest.mark.parametrize("depth", [0, 1, 2, 5, 9, 20, 29])
+def test_pixels_and_back(spark, depth):
+    r = np.random.default_rng(depth)
+    pixels = r.integers(0, 12 * 4**depth, 300)
+    places = []
+    for pixel, at in zip(pixels.tolist(), r.uniform(0.01, 0.99, (300, 2)).tolist()):
+        x, y, z = healpix.pixel_vectors(*healpix.pixel_parts(np.array([pixel]), depth), depth, at)[0]
+        places.append((pixel, math.degrees(math.atan2(y, x)), math.degrees(math.atan2(z, math.hypot(x, y)))))
+    found = spark.createDataFrame(places, "pixel long, ra double, dec double").transform(with_healpix_index("ra", "dec", depth))
+    wrong = found.where("pixel <> healpix_index").count()
+    assert wrong == 0 if depth <= 20 else wrong <= 30  # doubles in degrees are coarser than the last pixels
+
+
+@pytest.mark.parametrize("depth", range(5))
+def test_pixel_radius_is_the_largest(depth):
+    parts = healpix.pixel_parts(np.arange(12 * 4**depth), depth)
+    middle = healpix.pixel_vectors(*parts, depth)
+    corners = [healpix.pixel_vectors(*parts, depth, (a, b)) for a in (0, 1) for b in (0, 1)]
+    chord_ = max(np.sqrt(((c - middle) ** 2).sum(axis=1)).max() for c in corners)
+    assert math.isclose(math.degrees(2 * math.asin(chord_ / 2)), healpix.pixel_radius(depth), rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("order", [0, 2, 3, 8, 14])
 def test_covering_tiles_hold_every_position_of_a_cone(spark, order):
     r = random.Random(order)
     for _ in range(6):
         center, radius = (r.uniform(0, 360), math.degrees(math.asin(r.uniform(-1, 1)))), r.choice([0.01, 1.0, 8.0, 40.0])
-        tiles = set(spatial.covering_tiles(spark, *center, radius, order))
-        points = [p for p in sphere_points(20000, r.randrange(1000)) if separation(p, center) <= radius] + [center]
-        found = frame(spark, points).transform(with_healpix_index("ra", "dec", order, "tile")).select("tile").distinct().collect()
-        assert {t.tile for t in found} <= tiles
-        if order >= 2 and radius <= 8:
-            assert len(tiles) <= 12 * 4**order / 4
+        ranges = healpix.disc_ranges(*center, radius, order)
+        assert all(a <= b for a, b in ranges) and all(a[1] + 1 < b[0] for a, b in zip(ranges, ranges[1:])) and len(ranges) < 120
+        points = [(center[0] + a, center[1] + b) for a, b in np.random.default_rng(order).uniform(-radius, radius, (3000, 2)).tolist()]
+        points = [p for p in points + sphere_points(5000, 3) if abs(p[1]) <= 90 and separation(p, center) <= radius] + [center]
+        found = frame(spark, points).transform(with_healpix_index("ra", "dec", order, "tile"))
+        assert found.where(~spatial.in_ranges("tile", ranges)).count() == 0
+        if order <= 3:
+            assert set(spatial.covering_tiles(*center, radius, order)) == {t for a, b in ranges for t in range(a, b + 1)}
+        covered = sum(b - a + 1 for a, b in ranges) * 41253 / (12 * 4**order)
+        size = math.pi * (radius + 2 * healpix.pixel_radius(order) + radius / 2) ** 2
+        assert covered <= max(size * 1.5, 12 * 41253 / (12 * 4**order))
 
 
 def test_cones_open_covering_tiles_only(spark, tmp_path):
-    df = frame(spark, sphere_points(500, 3)).transform(with_healpix_index("ra", "dec", 2, "tile"))
-    df.write.partitionBy("tile").parquet(str(tmp_path / "sky"))
-    tiles = spatial.covering_tiles(spark, 30.0, 20.0, 5.0)
-    plan = plan_of(spark.read.parquet(str(tmp_path / "sky")).transform(spatial.cone_search(30.0, 20.0, 5.0, tiles=("tile", tiles))))
+    df = frame(spark, sphere_points(20000, 3)).transform(with_healpix_index("ra", "dec", 2, "tile")).transform(with_healpix_index("ra", "dec", 6))
+    df.repartition("tile").sortWithinPartitions("healpix_index").write.partitionBy("tile").parquet(str(tmp_path / "sky"))
+    table = spark.read.parquet(str(tmp_path / "sky"))
+    cone = spatial.cone_search(30.0, 20.0, 1 / 60, pixels=[("tile", 2), ("healpix_index", 6)])
+    found = table.transform(cone)
+    plan = plan_of(found)
+    assert re.search(r"PartitionFilters: \[[^\]]*tile#\d+ (=|>=|IN)", plan) and "healpix_index" in plan.split("PushedFilters")[1]
+    assert len(spatial.covering_tiles(30.0, 20.0, 1 / 60, 2)) == 1
+    assert found.count() == table.transform(spatial.cone_search(30.0, 20.0, 1 / 60)).count()
+    tiles = spatial.covering_tiles(30.0, 20.0, 5.0)
+    plan = plan_of(table.transform(spatial.cone_search(30.0, 20.0, 5.0, tiles=("tile", tiles))))
     assert "PartitionFilters: [tile" in plan or "PartitionFilters: [isnotnull(tile" in plan
