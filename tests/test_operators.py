@@ -6,9 +6,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.functions.healpix import with_healpix_index
 from starloom.operators import joins, ranking, shape
 from starloom.operators.batches import as_messages, batch_records
 from starloom.plans import gold, silver
+from starloom.sources import tables
 from starloom.sources.catalogs import ASTROMETRY, STAR_BRONZE, flat_schema
 
 from .conftest import plan_of
