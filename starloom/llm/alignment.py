@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,7 +38,12 @@ SLICE_RECORDS = 1 << 22
 #: An id pair as one number: the second id, then the first.
 SHIFT = 20
 
+#: Stretches of text that a worker remembers, and their characters; it forgets all when there are more.
+REMEMBERED = 100_000
+REMEMBERED_CHARACTERS = 2_000_000
+
 MARK = "▁"
+_STRETCH = re.compile(r"(?<=\S) (?=\S)")
 
 
 def byte_letters() -> dict[str, int]:
@@ -90,6 +96,8 @@ class Pair:
         # a token inside a group, and one at the end of its side
         written = [[f"{i}{end}" for i in range(len(t.spelled))] for t, ends in ((self.a, ",|"), (self.b, ",;")) for end in ends]
         self.starts = np.cumsum([0, *map(len, written)])
+        self.known: dict[str, tuple[int, int, int, str, bytes]] = {}
+        self.characters = 0
         self.written = [text for part in written for text in part]
 
     def _piece(self, i: int) -> bytes:
@@ -106,6 +114,32 @@ class Pair:
             a, b = [], []
         return np.array(a, np.int64), np.array(b, np.int64)
 
+    def aligned(self, text: str) -> tuple[int, int, int, str, np.ndarray]:
+        """Numbers of tokens of both sides and of groups, the groups written out, and the linked pairs of a text.
+
+        No token of either side goes over a single space between two other characters, so the stretches between them
+        are aligned by themselves, and remembered. A text with a stretch that is not spelled is encoded as a whole.
+        """
+        if not text:
+            return 0, 0, 0, "", np.empty(0, np.int64)
+        if len(self.known) > REMEMBERED or self.characters > REMEMBERED_CHARACTERS:
+            self.known, self.characters = {}, 0
+        known, parts = self.known, []
+        for stretch in _STRETCH.split(text):
+            entry = known.get(stretch)
+            if entry is None:
+                a, b = self.encoded(stretch)
+                links, n, written = self.groups(a, b)
+                entry = known[stretch] = (len(a), len(b), n, written, links.tobytes())
+                self.characters += len(stretch)
+            parts.append(entry)
+        counts_a, counts_b, counts, written, links = zip(*parts)
+        if min(counts) == 0:
+            a, b = self.encoded(text)
+            whole, n, groups = self.groups(a, b)
+            return len(a), len(b), n, groups, whole
+        return sum(counts_a), sum(counts_b), sum(counts), ";".join(written), np.frombuffer(b"".join(links), np.int64)
+
     def groups(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, int, str]:
         """The linked pairs in order, the number of groups, and the groups written as ``a1,a2|b1;a3|b2,b3``."""
         if not len(a):
@@ -136,34 +170,65 @@ def links_of(a: np.ndarray, group_a: np.ndarray, b: np.ndarray, group_b: np.ndar
     return (b[at] << SHIFT) | np.repeat(a, sizes)
 
 
-def aligned(docs: DataFrame, first_path: str = FIRST_PATH, second_path: str = SECOND_PATH) -> DataFrame:
-    """One row per row of ``docs``: ``row`` (a number), ``doc_id``, ``n_a``, ``n_b``, ``n_groups``, ``groups``, ``links``.
+@dataclass
+class Alignment:
+    """Tokens of every document, and the runs of all links."""
+
+    tokens: DataFrame
+    runs: DataFrame
+
+
+def aligned(docs: DataFrame, first_path: str = FIRST_PATH, second_path: str = SECOND_PATH, radices: int = RADICES) -> Alignment:
+    """``tokens`` has one row per row of ``docs``: ``row`` (a number), ``doc_id``, ``n_a``, ``n_b``, ``n_groups``, ``groups``, ``n_links``.
 
     The first tokenizer encodes space + text, the second, which adds the space itself, the text; neither adds special
-    tokens, and their strings inside a text are plain text. ``groups`` is ``a1,a2|b1;a3|b2,b3`` in decimal ids, ``links``
-    the pairs as ``second << SHIFT | first``. Texts that are null, empty or not spelled by both have no tokens: zeros,
-    an empty ``groups``. Repeated rows and null ids are kept; other columns are not read; empty table: no rows.
+    tokens, and their strings inside a text are plain text. ``groups`` is ``a1,a2|b1;a3|b2,b3`` in decimal ids. Texts that
+    are null, empty or not spelled by both have no tokens: zeros, an empty ``groups``. Repeated rows and null ids
+    are kept; other columns are not read; empty table: no rows.
+
+    ``runs`` (``radix``, ``records``, ``run``) holds the linked pairs, ``second << SHIFT | first``, with their documents. Both are
+    written in one pass to one staged table.
     """
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = Pair(first_path, second_path)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        count, schema = 0, pa.schema([])
         for batch in batches:
+            schema = pa.schema([("row", pa.int64()), ("doc_id", batch.schema.field(1).type), *_REST])
             for part in short(batch):
-                texts = [t or "" for t in part.column(2).to_pylist()]
+                numbers = part.column(0).to_pylist()
                 rows = []
-                for text in texts:
-                    a, b = pair.encoded(text)
-                    links, n_groups, written = pair.groups(a, b)
-                    rows.append((len(a), len(b), n_groups, written, links))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()))
-                made = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-                names = ["row", "doc_id", "n_a", "n_b", "n_groups", "groups", "links"]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *made], names)
+                for number, text in zip(numbers, part.column(2).to_pylist()):
+                    *found, links = pair.aligned(text or "")
+                    rows.append((*found, len(links)))
+                    for i in range(0, len(links), HELD):
+                        held.append((links[i : i + HELD], np.full(len(links[i : i + HELD]), number, np.int64)))
+                        count += len(held[-1][0])
+                        if count >= HELD:
+                            yield _made(runs_of(held, radices), schema)
+                            held, count = [], 0
+                columns = zip(_NAMES, zip(*rows))
+                yield _made({"row": part.column(0), "doc_id": part.column(1), **dict(columns)}, schema)
+        if count:
+            yield _made(runs_of(held, radices), schema)
 
     key = docs.select("doc_id").schema[0].dataType.simpleString()
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    schema = f"row long, doc_id {key}, n_a long, n_b long, n_groups long, groups string, links array<long>"
-    return stage(numbered.mapInArrow(align, schema), "aligned")
+    types = f"row long, doc_id {key}, n_a long, n_b long, n_groups long, groups string, n_links long, radix int, records long, run binary"
+    staged = stage(numbered.mapInArrow(align, types), "aligned")
+    return Alignment(staged.where("radix IS NULL").select("row", "doc_id", *_NAMES), staged.where("radix IS NOT NULL").select("radix", "records", "run"))
+
+
+_NAMES = ("n_a", "n_b", "n_groups", "groups", "n_links")
+_REST = [*zip(_NAMES, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64())), ("radix", pa.int32()), ("records", pa.int64()), ("run", pa.binary())]
+
+
+def _made(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
+    """A batch of the staged table; columns that are not given are null."""
+    size = len(next(iter(columns.values())))
+    arrays = [c if isinstance(c := columns.get(f.name), pa.Array) else pa.nulls(size, f.type) if c is None else pa.array(c, f.type) for f in schema]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
 def short(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
@@ -237,31 +302,8 @@ def merged(runs: list[bytes]) -> Iterator[tuple[int, Head, int]]:
         heapq.heapreplace(heap, (head.pairs[head.at], i))
 
 
-def spilled(links: DataFrame, radices: int = RADICES) -> DataFrame:
-    """(``radix``, ``records``, ``run``) from (``row``, ``links``): the records of each task in sorted runs."""
-
-    def spill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        count = 0
-        for batch in batches:
-            lists = batch.column(1).combine_chunks() if hasattr(batch.column(1), "combine_chunks") else batch.column(1)
-            sizes = np.diff(lists.offsets.to_numpy())
-            pairs = lists.flatten().to_numpy()
-            rows = np.repeat(batch.column(0).to_numpy(), sizes)
-            for i in range(0, len(pairs), HELD):
-                held.append((pairs[i : i + HELD], rows[i : i + HELD]))
-                count += len(held[-1][0])
-                if count >= HELD:
-                    yield runs_of(held, radices)
-                    held, count = [], 0
-        if count:
-            yield runs_of(held, radices)
-
-    return links.mapInArrow(spill, "radix int, records long, run binary")
-
-
-def runs_of(held: list[tuple[np.ndarray, np.ndarray]], radices: int) -> pa.RecordBatch:
-    """One run per radix of the records held: equal (pair, row) counted, then sorted by pair and row."""
+def runs_of(held: list[tuple[np.ndarray, np.ndarray]], radices: int) -> dict[str, list]:
+    """One run per radix of the records held, as columns: equal (pair, row) counted, then sorted by pair and row."""
     pairs, rows = (np.concatenate(c) for c in zip(*held))
     order = np.lexsort((rows, pairs))
     pairs, rows = pairs[order], rows[order]
@@ -269,12 +311,12 @@ def runs_of(held: list[tuple[np.ndarray, np.ndarray]], radices: int) -> pa.Recor
     times = np.diff(np.concatenate((first, [len(pairs)])))
     pairs, rows = pairs[first], rows[first]
     radix = (pairs >> SHIFT) % radices
-    made = []
+    made: dict[str, list] = {"radix": [], "records": [], "run": []}
     for r in np.unique(radix).tolist():
         mine = radix == r
-        made.append((r, int(mine.sum()), written_run(pairs[mine], rows[mine], times[mine])))
-    columns = [pa.array(c, k) for c, k in zip(zip(*made), (pa.int32(), pa.int64(), pa.binary()))]
-    return pa.RecordBatch.from_arrays(columns, ["radix", "records", "run"])
+        for name, value in zip(made, (r, int(mine.sum()), written_run(pairs[mine], rows[mine], times[mine]))):
+            made[name].append(value)
+    return made
 
 
 def in_slices(runs: DataFrame, most: int = SLICE_RECORDS) -> DataFrame:
@@ -344,26 +386,26 @@ def weighted(held: list, which: list[int], totals: np.ndarray, best: np.ndarray)
 def summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """One entry per row with the sums of the other two columns."""
     rows, *values = (np.concatenate(c) for c in zip(*parts))
+    if not len(rows):
+        return rows, *values
     order = np.argsort(rows, kind="stable")
     rows = rows[order]
     first = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
     return rows[first], *(np.add.reduceat(v[order], first) for v in values)
 
 
-def with_counts(tokens: DataFrame, *columns: Column | str, radices: int = RADICES, most: int = SLICE_RECORDS) -> DataFrame:
-    """``columns`` of :func:`aligned` rows, and ``n_links``, ``n_best``, ``count_sum`` of their links in the whole table.
+def with_counts(found: Alignment, *columns: Column | str, most: int = SLICE_RECORDS) -> DataFrame:
+    """``columns`` of the tokens, and ``n_links``, ``n_best``, ``count_sum`` of their links in the whole table.
 
     ``n_best`` counts the links whose pair is linked as often as any pair of the same second id, ``count_sum`` adds up
     how often each link's pair is linked. Rows without links have zeros. An id of the second tokenizer that is in
     very many links has its runs in many slices, and a pair's counts are added up over them. Only ``columns`` are
     shuffled beside the sums.
     """
-    links = tokens.where(F.size("links") > 0).select("row", "links")
-    runs = stage(spilled(links, radices), "alignment-runs")
-    sliced = in_slices(runs, most)
+    sliced = in_slices(found.runs, most)
     counts = stage(pair_counts(sliced), "alignment-counts")
     given = stage(shares(sliced, counts), "alignment-shares")
-    mine = tokens.select("row", *columns, F.size("links").cast("long").alias("n_links"))
+    mine = found.tokens.select("row", *columns, "n_links")
     zero = F.lit(0).cast("long")
     sums = (F.coalesce(c, zero).alias(c) for c in ("n_best", "count_sum"))
     return mine.join(given, "row", "left").select(*mine.columns[1:], *sums)

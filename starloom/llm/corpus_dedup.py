@@ -36,7 +36,7 @@ def keep_one_of_each(
     signed = stage(minhash.marked(texts, similar_words).withColumn("digest", F.coalesce("digest", no_words)), "dedup-signed")
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     sets = stage(signed.groupBy("digest").agg(F.min("row").alias("node"), F.min(row).alias("first")), "dedup-sets")
-    nodes = signed.where("n > 0").join(sets.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "n", "buckets", "sketch")
+    nodes = signed.where("n > 0").join(sets.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "n", "buckets")
     nodes = stage(nodes, "dedup-nodes")
 
     prints = texts.select(F.col("row").alias("node"), near_dedup.shingle_fingerprint(F.col("text"), words).alias("fp"))

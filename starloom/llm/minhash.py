@@ -9,12 +9,13 @@ other; candidates are confirmed on the full sets of shingles.
 
 A bucket whose members end up in one component needs nothing else. In the others, nodes outside the largest
 component are compared with those of other components, each pair in the first bucket that it shares: by finer
-one-permutation sketches first, which leave out what is clearly below the limit, then on the full sets. So no
-link between two texts with a bucket in common depends on the choice of hubs.
+one-permutation sketches first, then by short hashes of their shingles, both of which leave out what is surely
+below the limit, and what is left on the full sets. So no link between two texts with a bucket in common depends on the choice of hubs.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,8 @@ BLOCK = 4096
 #: Bins of a sketch, one byte each, and how many standard deviations below the limit a pair is left out.
 SKETCH = 512
 DEVIATIONS = 5.5
+#: Short hashes of a set at most.
+SHORT = 1024
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))  # fixed values of the splitmix64 finaliser
@@ -123,8 +126,33 @@ def may_be_alike(one: np.ndarray, others: np.ndarray, n_one: int, n_others: np.n
     return equal >= limit * drawn - 1 - DEVIATIONS * np.sqrt(limit * (1 - limit) * drawn * left)
 
 
+def short_hashes(hashes: np.ndarray, most: int = SHORT) -> tuple[int, bytes]:
+    """32 bits of each hash in the lowest 2**-k of their range, with the smallest k that leaves at most so many; and k."""
+    k = 0
+    while int(np.searchsorted(hashes, np.uint64(1 << (64 - k)) if k else np.uint64((1 << 64) - 1), "right")) > most:
+        k += 1
+    low = hashes[: np.searchsorted(hashes, np.uint64(1 << (64 - k)), "left")] if k else hashes
+    return k, ((low << np.uint64(k)) >> np.uint64(32)).astype("<u4").tobytes()
+
+
+def still_alike(k: int, one: bytes, k_other: int, other: bytes, percent: int) -> bool:
+    """Whether short hashes of two sets do not show that these are less alike. All hashes of both decide it but for the
+    hashes' own equal ones, which only add; a part of them decides for all but one in 50 million."""
+    a, b = np.frombuffer(one, "<u4"), np.frombuffer(other, "<u4")
+    if k > k_other:
+        k, k_other, a, b = k_other, k, b, a
+    d = k_other - k
+    if d:
+        # of the larger range the part that the smaller one covers, and of that as many bits as both have
+        a, b = a[a < (1 << (32 - d))], b >> np.uint32(d)
+    both = int(np.isin(a, b).sum())
+    union = len(a) + len(b) - both
+    limit = percent / 100
+    return both >= limit * union - (1 + DEVIATIONS * math.sqrt(limit * (1 - limit) * union) if k_other else 0)
+
+
 def marked(docs: DataFrame, size: int = SHINGLE_WORDS, bands: int = BANDS, band_bins: int = BAND_BINS) -> DataFrame:
-    """``row``, ``doc_id``, ``n`` shingles, ``digest`` of the set, ``buckets``, ``sketch`` of every row; an empty set has no digest."""
+    """``row``, ``doc_id``, ``n`` shingles, ``digest`` of the set, ``buckets`` of every row; an empty set has no digest."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(bands, band_bins)
@@ -132,12 +160,11 @@ def marked(docs: DataFrame, size: int = SHINGLE_WORDS, bands: int = BANDS, band_
             sets = [shingle_hashes(t, size) for t in utf8(part.column(2))]
             digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             buckets = pa.array([signer.buckets(s) for s in sets], pa.list_(pa.int64()))
-            sketches = pa.array([sketch_of(s) if len(s) else None for s in sets], pa.binary())
-            made = [part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), buckets, sketches]
-            yield pa.RecordBatch.from_arrays(made, ["row", "doc_id", "n", "digest", "buckets", "sketch"])
+            made = [part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), buckets]
+            yield pa.RecordBatch.from_arrays(made, ["row", "doc_id", "n", "digest", "buckets"])
 
     key = docs.select("doc_id").schema[0].dataType.simpleString()
-    return docs.select("row", "doc_id", "text").mapInArrow(sign, f"row long, doc_id {key}, n long, digest binary, buckets array<long>, sketch binary")
+    return docs.select("row", "doc_id", "text").mapInArrow(sign, f"row long, doc_id {key}, n long, digest binary, buckets array<long>")
 
 
 # --- candidates and exact links -----------------------------------------------------------
@@ -148,7 +175,7 @@ def _may_link(a: str, b: str, percent: int) -> str:
     return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, merge: bool = True) -> DataFrame:
     """The ``pairs`` (``hub``, ``node``; distinct) of rows of ``texts`` (``row``, ``text``) whose sets are alike enough.
 
     A node's text goes where its hub's is, so each task holds one hub's set and reads the others one by one; a hub
@@ -162,8 +189,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE_WORDS, per
     )
     hubs = crowds.select("hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("hub").alias("node"))
     asked = stage(dealt.unionByName(hubs), "minhash-asked")
-    # merged at any size, so that a run's cost grows with its input alone
-    sent = asked.hint("merge").join(texts.withColumnRenamed("row", "node"), "node").select("hub", "block", (F.col("hub") != F.col("node")).alias("other"), "node", "text")
+    # many pairs are merged at any size, so that a run's cost grows with its input alone; few are left to Spark
+    sent = (asked.hint("merge") if merge else asked).join(texts.withColumnRenamed("row", "node"), "node").select("hub", "block", (F.col("hub") != F.col("node")).alias("other"), "node", "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, its_set = None, set()
@@ -193,29 +220,47 @@ def _star(members: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("h.node").alias("hub"), "node").distinct()
 
 
-def _across(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (``hub``, ``node``) of one bucket but different components that may be alike by their sketches.
+def _details(nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(``node``, ``sketch``, ``k``, ``short``) of the given nodes, from their texts."""
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            sets = [shingle_hashes(t, size) for t in utf8(part.column(1))]
+            ks, shorts = zip(*(short_hashes(s) for s in sets))
+            made = [part.column(0), pa.array([sketch_of(s) for s in sets], pa.binary()), pa.array(ks, pa.int32()), pa.array(shorts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(made, ["node", "sketch", "k", "short"])
+
+    own = texts.withColumnRenamed("row", "node").join(nodes, "node").select("node", "text")
+    return own.mapInArrow(describe, "node long, sketch binary, k int, short binary")
+
+
+def _across(members: DataFrame, nodes: DataFrame, details: DataFrame, percent: int) -> DataFrame:
+    """Pairs (``hub``, ``node``) of one bucket but different components that may be alike by their sketches and short hashes.
 
     Every pair is looked at in the first bucket that it shares. Buckets with very many members are cut into
     blocks, and every two blocks meet in a task of their own.
     """
     cells = near_dedup.in_blocks(members.withColumn("cell", F.col("bucket")), F.xxhash64("node"))
-    known = cells.join(nodes.select("node", "buckets", "sketch"), "node").select("cell", "node", "n", "root", "bucket", "buckets", "sketch")
+    known = cells.join(details.join(nodes.select("node", "buckets"), "node"), "node")
+    known = known.select("cell", "node", "n", "root", "bucket", "buckets", "sketch", "k", "short")
 
     def meet(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         node, n, root, bucket = (rows[c].to_numpy() for c in ("node", "n", "root", "bucket"))
-        buckets = rows["buckets"].combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        buckets = np.ascontiguousarray(rows["buckets"].combine_chunks().flatten().to_numpy().reshape(len(node), -1).T)
         sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(len(node), -1)
-        band = int(np.flatnonzero(buckets[0] == bucket[0])[0])
+        ks, shorts = rows["k"].to_pylist(), rows["short"].to_pylist()
+        band = int(np.flatnonzero(buckets[:, 0] == bucket[0])[0])
         roots, sizes = np.unique(root, return_counts=True)
         large = roots[sizes.argmax()]
         place = np.arange(len(node))
         for i in place[root != large].tolist():
             fit = (root != root[i]) & ((root == large) | (place > i))
             fit &= 100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])
+            for earlier in buckets[:band]:
+                fit &= earlier != earlier[i]
             others = place[fit]
-            others = others[~(buckets[others, :band] == buckets[i, :band]).any(axis=1)]
-            others = node[others[may_be_alike(sketch[i], sketch[others], n[i], n[others], percent)]]
+            others = others[may_be_alike(sketch[i], sketch[others], n[i], n[others], percent)]
+            others = node[[j for j in others.tolist() if still_alike(ks[i], shorts[i], ks[j], shorts[j], percent)]]
             if len(others):
                 mine = np.full(len(others), node[i])
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(mine, others)), pa.array(np.maximum(mine, others))], ["hub", "node"])
@@ -237,7 +282,7 @@ def _across(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def node_roots(nodes: DataFrame, texts: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, others: DataFrame | None = None) -> DataFrame:
-    """(``node``, ``root``) of all ``nodes`` (``node``, ``n``, ``buckets``, ``sketch``) with a link; ``texts`` has ``row`` and ``text``.
+    """(``node``, ``root``) of all ``nodes`` (``node``, ``n``, ``buckets``) with a link; ``texts`` has ``row`` and ``text``.
 
     ``others`` are further candidates (``hub``, ``node``), which are confirmed like those of the buckets.
     """
@@ -256,8 +301,9 @@ def node_roots(nodes: DataFrame, texts: DataFrame, size: int = SHINGLE_WORDS, pe
     torn = apart(torn.where("low <> high").select("bucket", "hub"))
     # the hub has met all others of its bucket
     open_ = stage(named.join(torn, "bucket").where("node <> hub").drop("hub"), "minhash-open")
-    across = stage(_across(open_, nodes, percent), "minhash-across")
-    found = stage(confirmed(across, texts, size, percent), "minhash-links")
+    details = stage(_details(open_.select("node").distinct(), texts, size), "minhash-details")
+    across = stage(_across(open_, nodes, details, percent), "minhash-across")
+    found = stage(confirmed(across, texts, size, percent, merge=False), "minhash-links")
     if found.isEmpty():
         return roots
     # components of components
@@ -285,7 +331,7 @@ def near_components(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
     # of equal sets one takes part; its row names them all
     firsts = signed.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("first"))
     firsts = stage(firsts, "minhash-sets")
-    nodes = signed.join(firsts.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "n", "buckets", "sketch")
+    nodes = signed.join(firsts.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "n", "buckets")
     nodes = stage(nodes, "minhash-nodes")
     roots = node_roots(nodes, texts.select("row", "text"), size, percent)
     joined = firsts.join(roots, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("root"))

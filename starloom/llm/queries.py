@@ -65,9 +65,9 @@ def op10_html_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
-    tokens = alignment.aligned(table(spark, sf, "documents", "doc_id", "text"))
+    found = alignment.aligned(table(spark, sf, "documents", "doc_id", "text"))
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
-    return alignment.with_counts(tokens, "doc_id", "n_a", "n_b", "n_groups", digest)
+    return alignment.with_counts(found, "doc_id", "n_a", "n_b", "n_groups", digest)
 
 
 def op12_runs(spark: SparkSession, sf: str) -> DataFrame:

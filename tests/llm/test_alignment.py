@@ -90,6 +90,9 @@ def test_groups(libraries, pair, text):
     want_links, groups = plain_groups(want_a, want_b)
     assert written == ";".join(groups) and n == len(groups)
     assert links.tolist() == [y << alignment.SHIFT | x for x, y in want_links]
+    n_a, n_b, n, written, links = pair.aligned(text)
+    assert (n_a, n_b, n, written) == (len(want_a), len(want_b), len(groups), ";".join(groups))
+    assert links.tolist() == [y << alignment.SHIFT | x for x, y in want_links]
 
 
 @pytest.mark.parametrize("character", ["a", " ", "é", "語"])
@@ -111,7 +114,7 @@ def test_runs_merge_in_order(monkeypatch):
         pairs, rows = random.integers(0, 9, 40), random.integers(0, 5, 40)
         for p, r in zip(pairs.tolist(), rows.tolist()):
             records[p, r] += 1
-        runs += [bytes(r) for r in alignment.runs_of([(pairs, rows)], 1).column(2).to_pylist()]
+        runs += alignment.runs_of([(pairs, rows)], 1)["run"]
     seen, order = Counter(), []
     for p, head, at in alignment.merged(runs):
         order.append(p)
@@ -130,8 +133,7 @@ def test_counts(spark, libraries, most, monkeypatch):
     words = ["the", "a", "Cat", "über", "token", "tokens", ",", "\n", "zzqx"]
     docs = [(i, " ".join(random.choice(words, int(random.integers(0, 30))))) for i in range(80)] + [(7, "the the"), (None, "the"), (81, None)]
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
-    tokens = alignment.aligned(frame)
-    got = alignment.with_counts(tokens, "doc_id", "n_a", "n_b", "n_groups", "groups", most=most).collect()
+    got = alignment.with_counts(alignment.aligned(frame), "doc_id", "n_a", "n_b", "n_groups", "groups", most=most).collect()
     key = lambda r: (r[0] is None, r)
     rows = [(r[0], r[1], r[2], r[3], hashlib.sha256(r[4].encode()).hexdigest() if r[4] else "", *r[5:]) for r in map(tuple, got)]
     assert sorted(rows, key=key) == sorted(plain_rows(libraries, docs), key=key)

@@ -121,6 +121,24 @@ def test_sketches_leave_out_no_pair_at_the_limit(size):
         assert not minhash.may_be_alike(one, other[None, :], len(less), np.array([len(far)]), 80)[0]
 
 
+@pytest.mark.parametrize("size", [1, 5, 150, 1024, 1300, 9000])
+def test_short_hashes(size):
+    """Exact for small sets; for large ones no pair at the limit is left out, also where the two ranges differ."""
+    random = np.random.default_rng(size)
+    for share in (1.0, 0.9, 0.8, 0.75, 0.5):
+        for _ in range(100):
+            values = np.unique(random.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2))
+            part = np.sort(random.permutation(values)[: max(1, int(np.ceil(len(values) * share)))])
+            alike = 100 * len(part) >= 80 * len(values)
+            got = minhash.still_alike(*minhash.short_hashes(values), *minhash.short_hashes(part), 80)
+            assert got == minhash.still_alike(*minhash.short_hashes(part), *minhash.short_hashes(values), 80)
+            if alike or len(values) <= minhash.SHORT:
+                assert got == alike
+            if share == 0.5:
+                assert not got or size == 1
+            assert len(minhash.short_hashes(values)[1]) <= 4 * minhash.SHORT
+
+
 def test_query(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     got = QUERIES["op13_minhash"](spark, sf_dir)
