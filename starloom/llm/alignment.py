@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import heapq
 import json
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,12 +37,7 @@ SLICE_RECORDS = 1 << 22
 #: An id pair as one number: the second id, then the first.
 SHIFT = 20
 
-#: Stretches of text that a worker remembers, and their characters; it forgets all when there are more.
-REMEMBERED = 100_000
-REMEMBERED_CHARACTERS = 2_000_000
-
 MARK = "▁"
-_STRETCH = re.compile(r"(?<=\S) (?=\S)")
 
 
 def byte_letters() -> dict[str, int]:
@@ -96,8 +90,6 @@ class Pair:
         # a token inside a group, and one at the end of its side
         written = [[f"{i}{end}" for i in range(len(t.spelled))] for t, ends in ((self.a, ",|"), (self.b, ",;")) for end in ends]
         self.starts = np.cumsum([0, *map(len, written)])
-        self.known: dict[str, tuple[int, int, int, str, bytes]] = {}
-        self.characters = 0
         self.written = [text for part in written for text in part]
 
     def _piece(self, i: int) -> bytes:
@@ -115,30 +107,10 @@ class Pair:
         return np.array(a, np.int64), np.array(b, np.int64)
 
     def aligned(self, text: str) -> tuple[int, int, int, str, np.ndarray]:
-        """Numbers of tokens of both sides and of groups, the groups written out, and the linked pairs of a text.
-
-        No token of either side goes over a single space between two other characters, so the stretches between them
-        are aligned by themselves, and remembered. A text with a stretch that is not spelled is encoded as a whole.
-        """
-        if not text:
-            return 0, 0, 0, "", np.empty(0, np.int64)
-        if len(self.known) > REMEMBERED or self.characters > REMEMBERED_CHARACTERS:
-            self.known, self.characters = {}, 0
-        known, parts = self.known, []
-        for stretch in _STRETCH.split(text):
-            entry = known.get(stretch)
-            if entry is None:
-                a, b = self.encoded(stretch)
-                links, n, written = self.groups(a, b)
-                entry = known[stretch] = (len(a), len(b), n, written, links.tobytes())
-                self.characters += len(stretch)
-            parts.append(entry)
-        counts_a, counts_b, counts, written, links = zip(*parts)
-        if min(counts) == 0:
-            a, b = self.encoded(text)
-            whole, n, groups = self.groups(a, b)
-            return len(a), len(b), n, groups, whole
-        return sum(counts_a), sum(counts_b), sum(counts), ";".join(written), np.frombuffer(b"".join(links), np.int64)
+        """Numbers of tokens of both sides and of groups, the groups written out, and the linked pairs of a text."""
+        a, b = self.encoded(text)
+        links, n, written = self.groups(a, b)
+        return len(a), len(b), n, written, links
 
     def groups(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, int, str]:
         """The linked pairs in order, the number of groups, and the groups written as ``a1,a2|b1;a3|b2,b3``."""

@@ -13,7 +13,7 @@ from tests.llm.test_corpus_dedup import kept_by_brute_force
 def test_registered():
     names = set(entry.queries())
     assert set(QUERIES) <= names and "pipeline" in names
-    assert [sum(q.startswith(f"op{n}_") for q in names) for n in range(1, 11)] == [1] * 10
+    assert [sum(q.startswith(f"op{n}_") for q in names) for n in range(1, 14)] == [1] * 13
 
 
 def test_stages_against_brute_force(spark, sf_dir):
