@@ -8,8 +8,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.session import stage
+
 #: Rows of an Arrow batch that are turned into Python objects at a time.
 SLICE = 256
+#: Masks that are broadcast at most, some 40 MB; they hold 67 million row numbers where these are dense.
+MOST_MASKS = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -34,6 +38,21 @@ def slices(batches: Iterator[pa.Array | pa.RecordBatch]) -> Iterator[pa.Array |
             yield batch.slice(i, SLICE)
 
 
+def among(rows: DataFrame, keys: DataFrame, column: str, most: int = MOST_MASKS) -> DataFrame:
+    """The ``rows`` whose whole number in ``column`` is also in that column of ``keys``; null is in none.
+
+    The numbers wanted are sent to the rows as masks, one for 64 neighbouring numbers, so wide rows are not shuffled
+    to find those wanted. More than ``most`` masks are not broadcast: then rows and keys meet in a shuffle.
+    """
+    number = F.col(column)
+    bit = F.expr(f"shiftleft(1L, cast(`{column}` & 63L AS int))")
+    masks = stage(keys.groupBy(F.shiftright(number, 6).alias("__block")).agg(F.bit_or(bit).alias("__mask")), "masks")
+    if masks.count() > most:
+        return rows.join(keys.select(column), column, "left_semi")
+    wanted = (F.shiftright(number, 6) == F.col("__block")) & F.expr(f"getbit(__mask, cast(`{column}` & 63L AS int)) = 1")
+    return rows.join(F.broadcast(masks), wanted, "left_semi")
+
+
 def hex64(value: Column) -> Column:
     """A 64-bit number as 16 lower-case hexadecimal digits."""
     return F.lower(F.lpad(F.hex(value), 16, "0"))

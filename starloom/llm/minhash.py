@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm import near_dedup
-from starloom.llm.common import slices, utf8
+from starloom.llm.common import among, slices, utf8
 from starloom.llm.components import apart, connected_components
 from starloom.session import stage
 
@@ -190,7 +190,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE_WORDS, per
     hubs = crowds.select("hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("hub").alias("node"))
     asked = stage(dealt.unionByName(hubs), "minhash-asked")
     # many pairs are merged at any size, so that a run's cost grows with its input alone; few are left to Spark
-    sent = (asked.hint("merge") if merge else asked).join(texts.withColumnRenamed("row", "node"), "node").select("hub", "block", (F.col("hub") != F.col("node")).alias("other"), "node", "text")
+    wanted = among(texts.withColumnRenamed("row", "node"), asked, "node")
+    sent = (asked.hint("merge") if merge else asked).join(wanted, "node").select("hub", "block", (F.col("hub") != F.col("node")).alias("other"), "node", "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, its_set = None, set()
@@ -230,7 +231,7 @@ def _details(nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
             made = [part.column(0), pa.array([sketch_of(s) for s in sets], pa.binary()), pa.array(ks, pa.int32()), pa.array(shorts, pa.binary())]
             yield pa.RecordBatch.from_arrays(made, ["node", "sketch", "k", "short"])
 
-    own = texts.withColumnRenamed("row", "node").join(nodes, "node").select("node", "text")
+    own = among(texts.withColumnRenamed("row", "node"), nodes, "node").select("node", "text")
     return own.mapInArrow(describe, "node long, sketch binary, k int, short binary")
 
 
@@ -241,7 +242,7 @@ def _across(members: DataFrame, nodes: DataFrame, details: DataFrame, percent: i
     blocks, and every two blocks meet in a task of their own.
     """
     cells = near_dedup.in_blocks(members.withColumn("cell", F.col("bucket")), F.xxhash64("node"))
-    known = cells.join(details.join(nodes.select("node", "buckets"), "node"), "node")
+    known = cells.join(details.join(among(nodes.select("node", "buckets"), details, "node"), "node"), "node")
     known = known.select("cell", "node", "n", "root", "bucket", "buckets", "sketch", "k", "short")
 
     def meet(rows: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -301,7 +302,7 @@ def node_roots(nodes: DataFrame, texts: DataFrame, size: int = SHINGLE_WORDS, pe
     torn = apart(torn.where("low <> high").select("bucket", "hub"))
     # the hub has met all others of its bucket
     open_ = stage(named.join(torn, "bucket").where("node <> hub").drop("hub"), "minhash-open")
-    details = stage(_details(open_.select("node").distinct(), texts, size), "minhash-details")
+    details = stage(_details(open_.select("node"), texts, size), "minhash-details")
     across = stage(_across(open_, nodes, details, percent), "minhash-across")
     found = stage(confirmed(across, texts, size, percent, merge=False), "minhash-links")
     if found.isEmpty():
@@ -331,7 +332,7 @@ def near_components(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
     # of equal sets one takes part; its row names them all
     firsts = signed.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("first"))
     firsts = stage(firsts, "minhash-sets")
-    nodes = signed.join(firsts.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "n", "buckets")
+    nodes = among(signed, firsts.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "n", "buckets")
     nodes = stage(nodes, "minhash-nodes")
     roots = node_roots(nodes, texts.select("row", "text"), size, percent)
     joined = firsts.join(roots, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("root"))
