@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm import minhash, near_dedup
+from starloom.llm.common import among
 from starloom.llm.components import apart
 from starloom.session import stage
 
@@ -36,11 +37,11 @@ def keep_one_of_each(
     signed = stage(minhash.marked(texts, similar_words).withColumn("digest", F.coalesce("digest", no_words)), "dedup-signed")
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     sets = stage(signed.groupBy("digest").agg(F.min("row").alias("node"), F.min(row).alias("first")), "dedup-sets")
-    nodes = signed.where("n > 0").join(sets.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "n", "buckets")
+    nodes = among(signed.where("n > 0"), sets.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "n", "buckets")
     nodes = stage(nodes, "dedup-nodes")
 
-    prints = texts.select(F.col("row").alias("node"), near_dedup.shingle_fingerprint(F.col("text"), words).alias("fp"))
-    prints = stage(nodes.select("node").join(stage(prints, "simhash"), "node"), "simhash-nodes")
+    first_texts = among(texts.select(F.col("row").alias("node"), "text"), nodes, "node")
+    prints = stage(first_texts.select("node", near_dedup.shingle_fingerprint(F.col("text"), words).alias("fp")), "simhash-nodes")
     hubs = stage(prints.groupBy("fp").agg(F.min("node").alias("hub")), "simhash-hubs")
     same = prints.join(hubs, "fp").where("node <> hub").select("hub", "node")
     near = near_dedup.links(hubs, "fp", radius).distinct()
@@ -49,4 +50,4 @@ def keep_one_of_each(
     roots = minhash.node_roots(nodes, texts.select("row", "text"), similar_words, percent, same.unionByName(near))
     joined = stage(sets.join(apart(roots), "node", "left").select("first", F.coalesce("root", "node").alias("root")), "dedup-roots")
     kept = stage(joined.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(number)), "dedup-kept")
-    return rows.join(kept, number, "left_semi").drop(number)
+    return among(rows, kept, number).drop(number)

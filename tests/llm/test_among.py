@@ -6,7 +6,7 @@ import random
 from collections import Counter
 
 import pytest
-from starloom.llm import minhash
+from starloom.llm import corpus_dedup, minhash
 from starloom.llm.common import among
 
 NUMBERS = [-(2**63), -65, -64, -1, 0, 1, 62, 63, 64, 65, 127, 128, 5 << 33, (5 << 33) + 63, 2**63 - 1]
@@ -59,3 +59,10 @@ def test_only_wanted_texts_are_confirmed(no_broadcasts, monkeypatch):
     links = minhash.confirmed(no_broadcasts.createDataFrame([(0, 1), (0, 2)], "hub long, node long"), texts)
     assert sorted(map(tuple, links.collect())) == [(0, 1), (0, 2)]
     assert counts == [3]
+
+
+def test_kept_documents_are_not_shuffled(no_broadcasts):
+    docs = no_broadcasts.createDataFrame([(i, f"word{i} " * 9) for i in (1, 1, 2, 3, 4)], "doc_id long, text string")
+    kept = corpus_dedup.keep_one_of_each(docs)
+    assert "SortMergeJoin" not in _plan(kept) and "hashpartitioning" not in _plan(kept)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 3, 4]
