@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,17 @@ def slices(batches: Iterator[pa.Array | pa.RecordBatch]) -> Iterator[pa.Array |
             yield batch.slice(i, SLICE)
 
 
+def short(batch: pa.Array | pa.RecordBatch, most: int) -> Iterator[pa.Array | pa.RecordBatch]:
+    """Slices of at most ``SLICE`` rows and, but for single longer texts, ``most`` bytes of the texts or of the last column."""
+    values = batch.column(batch.num_columns - 1) if isinstance(batch, pa.RecordBatch) else batch
+    sizes = pc.binary_length(values).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    at = 0
+    while at < len(sizes):
+        till = at + max(1, int(np.searchsorted(np.cumsum(sizes[at : at + SLICE]), most, "right")))
+        yield batch.slice(at, till - at)
+        at = till
+
+
 def among(rows: DataFrame, keys: DataFrame, column: str, most: int = MOST_MASKS) -> DataFrame:
     """The ``rows`` whose whole number in ``column`` is also in that column of ``keys``; null is in none.
 

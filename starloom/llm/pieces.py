@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from heapq import heappop, heappush
 from itertools import chain, compress, product
@@ -21,11 +21,12 @@ from math import inf
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from starloom.llm.common import slices, texts
+from starloom.llm.common import short, slices, texts
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 3
@@ -36,6 +37,8 @@ REMEMBERED_CHARACTERS = 4_000_000
 COMMON_CHARACTERS = 192
 LONGEST = 64
 LEARNED_AT_ONCE = 4096
+#: Bytes of texts that are encoded together.
+AT_ONCE = 1 << 20
 #: The mark for a space inside pieces.
 MARK = "▁"
 #: What a character without a piece costs below the worst piece, as in the unigram model.
@@ -102,7 +105,7 @@ class Nodes:
             if ord(char) < len(kind_of) - 1:
                 kind_of[ord(char)] = kind
         number = {"": 0} | {prefix: i for i, prefix in enumerate(table, 1)}
-        step = np.zeros((len(number), kinds), np.int32)
+        step = np.zeros((len(number), kinds), np.uint16 if len(number) <= 1 << 16 else np.int32)
         piece = np.full(len(number), -1, np.int32)
         score = np.zeros(1 + max((e[0] for e in table.values() if e), default=0))
         for prefix, entry in table.items():
@@ -128,23 +131,21 @@ class Encoder:
         self.longest = max(map(len, self.vocabulary.table), default=1)
         alone = re.escape(self.vocabulary.alone)
         self.cut = re.compile(f"[{alone}]| *[^ {alone}]+| +" if alone else " *[^ ]+| +")
+        self.spelled = pa.array(self.vocabulary.octets, pa.large_binary())
         self.forget()
 
     def forget(self) -> None:
-        class Words(dict):
-            def add(words, word: str) -> int:
-                words[word] = place = len(words)
-                return place
-
-            def __missing__(words, word: str) -> int:
-                place = words.add(word)
-                self._learn(word)
-                return place
-
-        self.words, self.paths, self.nbest_of = Words(), [], {}
-        self.score, self.loss, self.count = np.empty(1024), np.empty(1024), np.empty(1024, np.int64)
+        self.words, self.nbest_of = {}, {}
+        #: Per word: its score, the runner-up's loss, and where the ids of its path begin and how many there are.
+        self.score, self.loss, self.start, self.count = np.empty(1024), np.empty(1024), np.empty(1024, np.int64), np.empty(1024, np.int64)
+        self.paths, self.written = np.empty(4096, np.int32), 0
         self.characters = 0
 
+    def path(self, word: str) -> np.ndarray:
+        """Ids of a known word's best path."""
+        place = self.words[word]
+        return self.paths[self.start[place] : self.start[place] + self.count[place]]
+
     def shown(self, word: str) -> str:
         """The word as pieces are written. A mark that stands in the text itself is spelled in bytes."""
         return word.replace(MARK, "\0").replace(" ", MARK)
@@ -216,50 +217,54 @@ class Encoder:
                 ids.append(piece)
             at = start
         ids.reverse()
-        self._keep(word, ids, best[size], best[size] - second[size])
-
-    def _keep(self, word: str, ids: list[int], score: float, loss: float) -> None:
-        place = len(self.paths)
-        self._room(1)
-        self.paths.append(np.array(ids, np.int32).tobytes())
-        self.score[place], self.loss[place], self.count[place] = score, loss, len(ids)
-
-    def _room(self, more: int) -> None:
-        """Make the tables long enough for ``more`` words."""
-        while len(self.paths) + more > len(self.score):
-            self.score, self.loss, self.count = (np.concatenate((x, np.empty_like(x))) for x in (self.score, self.loss, self.count))
-
-    def learn(self, words: list[str]) -> None:
-        """``_learn`` for many words at once: those of equal length advance together, a character at a time."""
-        nodes = self.vocabulary.nodes()
-        by_size: dict[int, list[str]] = {}
+        self._keep([word], np.array(ids, np.int32), np.array([len(ids)]), best[size], best[size] - second[size])
+
+    def _keep(self, words: list[str], ids: np.ndarray, counts: np.ndarray, scores, losses) -> None:
+        """Remember new words and their paths, one path after another in ``ids``."""
+        first = len(self.words)
+        self.score, self.loss, self.start, self.count = (_room(x, first + len(words)) for x in (self.score, self.loss, self.start, self.count))
+        self.paths = _room(self.paths, self.written + len(ids))
+        rows = slice(first, first + len(words))
+        self.score[rows], self.loss[rows], self.count[rows] = scores, losses, counts
+        self.start[rows] = self.written + np.cumsum(counts) - counts
+        self.paths[self.written : self.written + len(ids)] = ids
+        self.written += len(ids)
+        self.words.update(zip(words, range(first, first + len(words))))
+
+    def learn(self, words: Iterable[str]) -> None:
+        """``_learn`` for many new words at once: they advance together, a character at a time."""
+        nodes, together = self.vocabulary.nodes(), []
         for word in words:
             if MARK in word or len(word) > LONGEST:
-                self.words[word]  # by itself
+                self._learn(word)
             else:
-                by_size.setdefault(len(word), []).append(word)
-        for size, group in by_size.items():
-            for at in range(0, len(group), LEARNED_AT_ONCE):
-                self._learn_equal(group[at : at + LEARNED_AT_ONCE], size, nodes)
-
-    def _learn_equal(self, words: list[str], size: int, nodes: Nodes) -> None:
-        shown = np.frombuffer("".join(words).replace(" ", MARK).encode("utf-32-le"), np.uint32).reshape(-1, size)
-        kinds = nodes.kind_of[np.minimum(shown, len(nodes.kind_of) - 1)].astype(np.intp)
-        if not (common := (kinds > 0).all(axis=1)).all():
+                together.append(word)
+        together.sort(key=len, reverse=True)
+        for at in range(0, len(together), LEARNED_AT_ONCE):
+            self._learn_together(together[at : at + LEARNED_AT_ONCE], nodes)
+
+    def _learn_together(self, words: list[str], nodes: Nodes) -> None:
+        """For words in falling order of length; a position is reached by the first of them."""
+        sizes = np.array(list(map(len, words)))
+        shown = np.frombuffer("".join(words).replace(" ", MARK).encode("utf-32-le"), np.uint32)
+        kind = nodes.kind_of[np.minimum(shown, len(nodes.kind_of) - 1)]
+        common = np.minimum.reduceat(kind, np.cumsum(sizes) - sizes) > 0
+        if not common.all():
             for k in np.flatnonzero(~common):
-                self.words[words[k]]  # rare characters: by itself
-            words = [words[k] for k in np.flatnonzero(common)]
-            kinds = kinds[common]
+                self._learn(words[k])  # rare characters: by itself
+            kind, words, sizes = kind[np.repeat(common, sizes)], list(compress(words, common.tolist())), sizes[common]
         if not words:
             return
-        kinds, n = np.ascontiguousarray(kinds.T), len(words)
-        best, second = np.full((size + 1, n), -inf), np.full((size + 1, n), -inf)
-        start, piece = np.zeros((size + 1, n), np.int32), np.zeros((size + 1, n), np.int32)
+        longest, n, every = int(sizes[0]), len(words), np.arange(len(words))
+        kinds = np.zeros((longest, n), np.intp)
+        kinds.T[np.arange(longest) < sizes[:, None]] = kind
+        best, second = np.full((longest + 1, n), -inf), np.full((longest + 1, n), -inf)
+        start, piece = np.zeros((longest + 1, n), np.int32), np.zeros((longest + 1, n), np.int32)
         best[0] = 0.0
-        every = np.arange(n)
-        for i in range(size):
-            rows, node = every, np.zeros(n, np.intp)
-            for j in range(i + 1, size + 1):
+        for i in range(longest):
+            rows = every[: np.searchsorted(-sizes, -i)]
+            node = np.zeros(len(rows), np.intp)
+            for j in range(i + 1, longest + 1):
                 node = nodes.step[node, kinds[j - 1, rows]]
                 if not (alive := node > 0).all():
                     if j == i + 1:
@@ -274,29 +279,20 @@ class Encoder:
                 ids = ids[whole]
                 if len(ids):
                     self._arrive(best, second, start, piece, i, j, rows[whole], nodes.score[ids], ids)
-        steps, at = [], np.full(n, size)
+        steps, at = [], sizes.copy()
         while at.any():
             steps.append(np.where(at > 0, piece[at, every], -2))
             unknown = np.flatnonzero(steps[-1] == -1)
             at = np.where(at > 0, start[at, every], 0)
             steps[-1][unknown] = -10 - at[unknown]  # the place of a character that is spelled in bytes
-        loss, paths = best[size] - second[size], np.array(steps[::-1]).T
-        plain = (paths > -10).all(axis=1)
+        score, paths = best[sizes, every], np.array(steps[::-1]).T
+        loss, plain = score - second[sizes, every], (paths > -10).all(axis=1)
         for k in np.flatnonzero(~plain):
             ids = chain.from_iterable([x] if x >= 0 else map(self.vocabulary.byte_ids.__getitem__, words[k][-10 - x].encode()) for x in paths[k].tolist() if x != -2)
-            self.words.add(words[k])
-            self._keep(words[k], list(ids), best[size, k], loss[k])
-        known = list(compress(words, plain.tolist()))
-        first, paths = len(self.paths), paths[plain]
-        used = paths >= 0
-        ids, ends = paths[used].astype(np.int32), np.cumsum(used.sum(axis=1))
-        self._room(len(known))
-        rows = slice(first, first + len(known))
-        self.score[rows], self.loss[rows], self.count[rows] = best[size, plain], loss[plain], used.sum(axis=1)
-        octets = ids.tobytes()
-        stops = (4 * ends).tolist()
-        self.paths.extend(octets[i:j] for i, j in zip([0, *stops], stops))
-        self.words.update(zip(known, range(first, first + len(known))))
+            ids = np.fromiter(ids, np.int32)
+            self._keep([words[k]], ids, np.array([len(ids)]), score[k], loss[k])
+        used = paths[plain] >= 0
+        self._keep(list(compress(words, plain.tolist())), paths[plain][used], used.sum(axis=1), score[plain], loss[plain])
 
     @staticmethod
     def _arrive(best, second, start, piece, i, j, rows, score, ids) -> None:
@@ -345,7 +341,7 @@ class Encoder:
                 path.extend(tail[0])
                 tail = tail[1]
             out.append((score + behind, tuple(path)))
-        first = tuple(np.frombuffer(self.paths[self.words[word]], np.int32).tolist())
+        first = tuple(self.path(word).tolist())
         rest = [x for x in out if x[1] != first][: self.best - 1]
         self.nbest_of[word] = known = [(float(self.score[self.words[word]]), first), *rest]
         return known
@@ -359,17 +355,32 @@ class Encoder:
         if len(self.words) > REMEMBERED or self.characters > REMEMBERED_CHARACTERS:
             self.forget()
         cut = [self.cut.findall(" " + text) if text else [] for text in several]
-        new = [w for w in set().union(*cut) if w not in self.words]
+        new = set().union(*cut).difference(self.words)
         self.characters += sum(map(len, new))
         self.learn(new)
-        return [self._encode(text, parts) for text, parts in zip(several, cut)]
-
-    def _encode(self, text: str, parts: list[str]) -> dict:
+        sizes = np.array([len(parts) for parts in cut], np.int64)
+        places = np.fromiter(map(self.words.__getitem__, chain.from_iterable(cut)), np.int64, sizes.sum())
+        counts = self.count[places]
+        ends = np.cumsum(counts)
+        ids = self.paths[np.repeat(self.start[places] - (ends - counts), counts) + np.arange(counts.sum())]
+        # what is returned is decoded
+        octets = self.spelled.take(pa.array(ids))
+        _, stops, octets = octets.buffers()
+        octets, stops = octets.to_pybytes() if octets else b"", np.frombuffer(stops, np.int64, len(ids) + 1)
+        till = np.cumsum(sizes)
+        pieces = np.concatenate(([0], ends))[np.concatenate(([0], till))]
+        stops, pieces = stops[pieces].tolist(), pieces.tolist()
+        out = []
+        for k, (text, parts, j) in enumerate(zip(several, cut, till.tolist())):
+            mine = slice(pieces[k], pieces[k + 1])
+            spelled = octets[stops[k] : stops[k + 1]]
+            own = slice(j - len(parts), j)
+            out.append(self._encode(text, parts, places[own], ends[own] - counts[own] - pieces[k], ids[mine], spelled))
+        return out
+
+    def _encode(self, text: str, parts: list[str], places: np.ndarray, starts: np.ndarray, ids: np.ndarray, spelled: bytes) -> dict:
         if not parts:
             return {"ids": np.empty(0, np.int32), "score": 0.0, "round_trip": not text, "alternatives": []}
-        found = list(map(self.words.__getitem__, parts))
-        places = np.array(found, np.int64)
-        ids = np.frombuffer(b"".join(map(self.paths.__getitem__, found)), np.int32)
         total, loss = float(self.score[places].sum()), self.loss[places]
         few = min(self.best - 1, len(parts))
         near = np.sort(np.argpartition(loss, few - 1)[:few] if few else np.empty(0, np.int64))
@@ -377,9 +388,8 @@ class Encoder:
         combined = sorted(
             (sum(o[0][0] - o[k][0] for o, k in zip(options, pick)), pick) for pick in product(*(range(len(o)) for o in options))
         )
-        starts = np.cumsum(self.count[places]) - self.count[places]
-        # what is returned is decoded: the ids, and each alternative's changes against the ids that they replace
-        alternatives, good = [], self.decode(ids) == text
+        # each alternative's changes are decoded against the ids that they replace
+        alternatives, good = [], spelled == f" {text}".encode() or spelled.decode(errors="replace")[1:] == text
         for lost, pick in combined[1 : self.best]:
             changes = []
             for p, option, k in zip(near.tolist(), options, pick):
@@ -398,15 +408,23 @@ class Encoder:
         return self._octets(ids.tolist() if isinstance(ids, np.ndarray) else ids).decode(errors="replace")[1:]
 
 
-_ENCODERS: dict[int, Encoder] = {}
+def _room(table: np.ndarray, most: int) -> np.ndarray:
+    """The table, longer by half if it has less room."""
+    if most <= len(table):
+        return table
+    return np.concatenate((table, np.empty(max(most, len(table) * 3 // 2) - len(table), table.dtype)))
+
 
+_ENCODERS: dict[int, tuple[Broadcast, Encoder]] = {}
 
-def _encoder(vocabulary: Vocabulary, best: int) -> Encoder:
-    """The worker's encoder: tasks of one query go on with the words of the earlier ones."""
-    known = _ENCODERS.get(best)
-    if known is None or known.vocabulary is not vocabulary:
-        _ENCODERS[best] = known = Encoder(vocabulary, best)
-    return known
+
+def _encoder(shared: Broadcast, best: int) -> Encoder:
+    """The worker's encoder: tasks of one query go on with the words of the earlier ones, another query's are dropped first."""
+    if best in _ENCODERS and _ENCODERS[best][0] is not shared:
+        _ENCODERS.clear()
+    if best not in _ENCODERS:
+        _ENCODERS[best] = shared, Encoder(shared.value, best)
+    return _ENCODERS[best][1]
 
 
 def encoded(docs: DataFrame, vocabulary: Vocabulary, best: int = BEST) -> Column:
@@ -420,8 +438,8 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, best: int = BEST) -> Column
 
     @arrow_udf(SCHEMA)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = _encoder(shared.value, best)
-        for part in slices(batches):
+        encoder = _encoder(shared, best)
+        for part in (part for batch in batches for part in short(batch, AT_ONCE)):
             done = encoder.encode_all(texts(part))
             yield pa.StructArray.from_arrays(
                 [

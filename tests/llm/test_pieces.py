@@ -107,3 +107,26 @@ def test_words_are_forgotten_by_their_length(monkeypatch):
     encoder.encode("z" * 2000)
     encoder.encode("short")
     assert len(encoder.words) == 1
+
+
+def test_one_query_at_a_time_is_remembered(monkeypatch):
+    monkeypatch.setattr(pieces, "_ENCODERS", {})
+
+    class Shared:
+        @property
+        def value(self):
+            assert not pieces._ENCODERS  # the other query's tables are gone before these are read
+            return VOCABULARY
+
+    first, second = Shared(), Shared()
+    known = pieces._encoder(first, 3)
+    assert pieces._encoder(first, 3) is known
+    assert pieces._encoder(second, 3) is not known and len(pieces._ENCODERS) == 1
+
+
+def test_what_a_worker_holds():
+    assert VOCABULARY.nodes().step.nbytes < 25_000_000
+    encoder = pieces.Encoder(VOCABULARY)
+    encoder.encode(" ".join(map("".join, product("aeioubcd", repeat=5))))
+    tables = encoder.score, encoder.loss, encoder.start, encoder.count, encoder.paths
+    assert sum(t.nbytes for t in tables) < 100 * len(encoder.words) and len(encoder.words) == 8**5
