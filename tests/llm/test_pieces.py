@@ -130,3 +130,29 @@ def test_what_a_worker_holds():
     encoder.encode(" ".join(map("".join, product("aeioubcd", repeat=5))))
     tables = encoder.score, encoder.loss, encoder.start, encoder.count, encoder.paths
     assert sum(t.nbytes for t in tables) < 100 * len(encoder.words) and len(encoder.words) == 8**5
+
+
+def test_words_of_all_lengths_are_learned_together(monkeypatch):
+    words = sorted({w[:n] for w in (" international", " 1,234.56", " été", " xqzjv", "   ", " of日本") for n in range(1, len(w) + 1)})
+    alone, together = pieces.Encoder(VOCABULARY), pieces.Encoder(VOCABULARY)
+    for word in words:
+        alone._learn(word)
+    calls, arrive = [], pieces.Encoder._arrive
+    monkeypatch.setattr(pieces.Encoder, "_arrive", staticmethod(lambda *args: calls.append(1) or arrive(*args)))
+    together.learn(words)
+    longest = max(map(len, words))
+    assert 0 < len(calls) <= longest * (longest + 1) // 2 + 2 * longest
+    for word in words:
+        a, b = alone.words[word], together.words[word]
+        assert together.path(word).tolist() == alone.path(word).tolist()
+        assert (together.score[b], together.loss[b]) == (alone.score[a], alone.loss[a])
+
+
+def test_several_texts_at_once():
+    several = ["", "one", "", "two words", "no▁mark", "� é日", "", "x" * 70]
+    encoder = pieces.Encoder(VOCABULARY)
+    for text, got in zip(several, encoder.encode_all(several)):
+        want = pieces.Encoder(VOCABULARY).encode(text)
+        assert got["ids"].tolist() == want["ids"].tolist() and got["alternatives"] == want["alternatives"]
+        assert got["score"] == want["score"] and got["round_trip"] and encoder.decode(got["ids"]) == text
+    assert encoder.encode_all([]) == []
