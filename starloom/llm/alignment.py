@@ -23,13 +23,15 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import SLICE
+from starloom.llm.common import short, texts
 from starloom.session import stage
 
 FIRST_PATH = "/opt/tokenizers/byte_bpe_50k.json"
 SECOND_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 #: Parts of the second tokenizer's ids, by remainder.
 RADICES = 64
+#: Bytes of texts that are aligned together.
+AT_ONCE = 1 << 18
 #: Records that a task holds before it writes its runs, records of a block of a run, and of a slice.
 HELD = 1 << 20
 BLOCK = 1 << 14
@@ -71,12 +73,24 @@ class Tokens:
     """Bytes of every token id, and their lengths."""
 
     def __init__(self, spelled: list[bytes]) -> None:
-        self.spelled = spelled
+        self.spelled = pa.array(spelled, pa.large_binary())
         self.lengths = np.array([len(s) for s in spelled], np.int64)
 
-    def spell(self, ids: list[int]) -> bytes:
-        spelled = self.spelled
-        return b"".join([spelled[i] for i in ids])
+    def spell(self, ids: np.ndarray, sizes: list[int], wanted: list[bytes]) -> list[bool]:
+        """Whether the first ``sizes`` of the ids spell the first of the bytes wanted, and so on."""
+        found, stops = joined(self.spelled, ids)
+        spelled, ends = found.to_pybytes(), stops[np.cumsum(sizes)].tolist()
+        return [j - i == len(w) and spelled.startswith(w, i) for i, j, w in zip([0, *ends], ends, wanted)]
+
+
+def joined(values: pa.Array, at: np.ndarray) -> tuple[pa.Buffer, np.ndarray]:
+    """The values at these places one after another, and where each starts, with the end of the last."""
+    taken = values.take(pa.array(at))
+    _, stops, found = taken.buffers()
+    return found or pa.py_buffer(b""), np.frombuffer(stops, np.int64, len(taken) + 1)
+
+
+NONE = np.empty(0, np.int64)
 
 
 class Pair:
@@ -87,10 +101,11 @@ class Pair:
         self.a = Tokens([self.first.decode_single_token_bytes(i) for i in range(self.first.n_vocab)])
         self.second = sentencepiece.SentencePieceProcessor(model_file=second_path)
         self.b = Tokens([self._piece(i) for i in range(self.second.get_piece_size())])
-        # a token inside a group, and one at the end of its side
-        written = [[f"{i}{end}" for i in range(len(t.spelled))] for t, ends in ((self.a, ",|"), (self.b, ",;")) for end in ends]
+        # a token inside a group, one at the end of its side, and the last of a text
+        kinds = [(self.a, ","), (self.a, "|"), (self.b, ","), (self.b, ";"), (self.b, "")]
+        written = [[f"{i}{end}".encode() for i in range(len(t.spelled))] for t, end in kinds]
         self.starts = np.cumsum([0, *map(len, written)])
-        self.written = [text for part in written for text in part]
+        self.written = pa.array([text for part in written for text in part], pa.large_binary())
 
     def _piece(self, i: int) -> bytes:
         piece = self.second.id_to_piece(i)
@@ -98,38 +113,76 @@ class Pair:
 
     def encoded(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of both tokenizers; none where one of them does not spell space + text."""
-        if not text:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        a, b = self.first.encode_ordinary(" " + text), self.second.encode(text)
-        spelled = f" {text}".encode()
-        if self.a.spell(a) != spelled or self.b.spell(b) != spelled:
-            a, b = [], []
-        return np.array(a, np.int64), np.array(b, np.int64)
+        a, b, *_ = self.encoded_all([text])
+        return a, b
+
+    def encoded_all(self, several: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``encoded`` for some texts: the ids of all, one text after another, and how many each has."""
+        a = [self.first.encode_to_numpy(" " + text).astype(np.int64) if text else NONE for text in several]
+        b = [np.array(self.second.encode(text), np.int64) if text else NONE for text in several]
+        spelled = [f" {text}".encode() if text else b"" for text in several]
+        good = [t.spell(np.concatenate(ids), [*map(len, ids)], spelled) for t, ids in ((self.a, a), (self.b, b))]
+        for k, both in enumerate(zip(*good)):
+            if not all(both):
+                a[k] = b[k] = NONE
+        return np.concatenate(a), np.concatenate(b), *(np.array([len(x) for x in ids], np.int64) for ids in (a, b))
 
     def aligned(self, text: str) -> tuple[int, int, int, str, np.ndarray]:
         """Numbers of tokens of both sides and of groups, the groups written out, and the linked pairs of a text."""
-        a, b = self.encoded(text)
-        links, n, written = self.groups(a, b)
-        return len(a), len(b), n, written, links
+        links, found = self.aligned_all([text])
+        return *(found[c][0].item() for c in ("n_a", "n_b", "n_groups")), found["groups"][0].as_py(), links
+
+    def aligned_all(self, several: list[str]) -> tuple[np.ndarray, dict]:
+        """The linked pairs of some texts, one text after another, and the columns ``_NAMES``."""
+        a, b, n_a, n_b = self.encoded_all(several)
+        links, n_groups, n_links, written = self.groups_all(a, b, n_a, n_b)
+        return links, dict(zip(_NAMES, (n_a, n_b, n_groups, written, n_links)))
 
     def groups(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, int, str]:
         """The linked pairs in order, the number of groups, and the groups written as ``a1,a2|b1;a3|b2,b3``."""
+        links, n, _, written = self.groups_all(a, b, *(np.array([len(x)]) for x in (a, b)))
+        return links, n[0].item(), written[0].as_py()
+
+    def groups_all(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+        """``groups`` for some texts, one after another, of ``n_a`` and ``n_b`` tokens: the links of all; groups, links and written groups of each.
+
+        Both sides of a text end together, so the texts are cut like a single one.
+        """
         if not len(a):
-            return np.empty(0, np.int64), 0, ""
-        ends_a, ends_b = np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b])
-        common = np.intersect1d(ends_a, ends_b)
-        group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+            none = np.zeros(len(n_a), np.int64)
+            return NONE, none, none, pa.array([""] * len(none), pa.string())
+        stops_a, stops_b, some = np.cumsum(n_a), np.cumsum(n_b), n_a > 0
+        ends_a, ends_b = self.a.lengths[a], self.b.lengths[b]
+        for ends, first in ((ends_a, (stops_a - n_a)[some]), (ends_b, (stops_b - n_b)[some])):
+            ends[first] += 1  # a place before each text, so that a token without bytes does not end with the text before
+            np.cumsum(ends, out=ends)
+        common, other = np.zeros((2, ends_a[-1] + 1), bool)
+        common[ends_a], other[ends_b] = True, True
+        common &= other
         # a token without bytes would end where the one before it does, and each of the two be linked
-        last_a, last_b = common[group_a] == ends_a, common[group_b] == ends_b
+        last_a, last_b = common[ends_a], common[ends_b]
+        up_to = np.cumsum(common)
+        group_a, group_b = up_to[ends_a] - last_a, up_to[ends_b] - last_b
         links = links_of(a[last_a], group_a[last_a], b[last_b], group_b[last_b])
         final_a = np.concatenate((group_a[1:] != group_a[:-1], [True]))
         final_b = np.concatenate((group_b[1:] != group_b[:-1], [True]))
-        up_to_a, up_to_b = (np.cumsum(np.bincount(g, minlength=len(common))) for g in (group_a, group_b))
+        # every group has tokens of both sides
+        till_a, till_b = (np.concatenate(([0], np.flatnonzero(f) + 1)) for f in (final_a, final_b))
         codes = np.empty(len(a) + len(b), np.int64)
-        codes[np.arange(len(a)) + np.concatenate(([0], up_to_b))[group_a]] = a + np.where(final_a, self.starts[1], 0)
-        codes[np.arange(len(b)) + up_to_a[group_b]] = b + np.where(final_b, self.starts[3], self.starts[2])
-        written = self.written
-        return links, len(common), "".join([written[c] for c in codes.tolist()])[:-1]
+        codes[np.arange(len(a)) + till_b[group_a]] = a + np.where(final_a, self.starts[1], 0)
+        codes_b = b + np.where(final_b, self.starts[3], self.starts[2])
+        at = stops_b[some] - 1
+        codes_b[at] = b[at] + self.starts[4]
+        codes[np.arange(len(b)) + till_a[1:][group_b]] = codes_b
+        done = np.concatenate(([0], group_a + 1))[stops_a]
+        per_group = np.ones(done[-1], np.int64)
+        if len(links) != len(per_group):
+            per_group = np.bincount(group_a[last_a], minlength=done[-1]) * np.bincount(group_b[last_b], minlength=done[-1])
+        n_links = np.diff(np.concatenate(([0], np.cumsum(per_group)))[done], prepend=0)
+        found, stops = joined(self.written, codes)
+        stops = stops[np.concatenate(([0], stops_a + stops_b))].astype(np.int32)
+        written = pa.StringArray.from_buffers(len(n_a), pa.py_buffer(stops), found)
+        return links, np.diff(done, prepend=0), n_links, written
 
 
 def links_of(a: np.ndarray, group_a: np.ndarray, b: np.ndarray, group_b: np.ndarray) -> np.ndarray:
@@ -168,20 +221,16 @@ def aligned(docs: DataFrame, first_path: str = FIRST_PATH, second_path: str = SE
         count, schema = 0, pa.schema([])
         for batch in batches:
             schema = pa.schema([("row", pa.int64()), ("doc_id", batch.schema.field(1).type), *_REST])
-            for part in short(batch):
-                numbers = part.column(0).to_pylist()
-                rows = []
-                for number, text in zip(numbers, part.column(2).to_pylist()):
-                    *found, links = pair.aligned(text or "")
-                    rows.append((*found, len(links)))
-                    for i in range(0, len(links), HELD):
-                        held.append((links[i : i + HELD], np.full(len(links[i : i + HELD]), number, np.int64)))
-                        count += len(held[-1][0])
-                        if count >= HELD:
-                            yield _made(runs_of(held, radices), schema)
-                            held, count = [], 0
-                columns = zip(_NAMES, zip(*rows))
-                yield _made({"row": part.column(0), "doc_id": part.column(1), **dict(columns)}, schema)
+            for part in short(batch, AT_ONCE):
+                links, columns = pair.aligned_all(texts(part.column(2)))
+                rows = np.repeat(part.column(0).to_numpy(), columns["n_links"])
+                for i in range(0, len(links), HELD):
+                    held.append((links[i : i + HELD], rows[i : i + HELD]))
+                    count += len(held[-1][0])
+                    if count >= HELD:
+                        yield _made(runs_of(held, radices), schema)
+                        held, count = [], 0
+                yield _made({"row": part.column(0), "doc_id": part.column(1), **columns}, schema)
         if count:
             yield _made(runs_of(held, radices), schema)
 
@@ -203,16 +252,6 @@ def _made(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-def short(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of at most ``SLICE`` rows and, but for single longer texts, ``most`` bytes of the last column."""
-    sizes = np.array([len(t.as_py() or "") for t in batch.column(batch.num_columns - 1)], np.int64)
-    at = 0
-    while at < len(sizes):
-        till = at + max(1, int(np.searchsorted(np.cumsum(sizes[at : at + SLICE]), most, "right")))
-        yield batch.slice(at, till - at)
-        at = till
-
-
 # --- runs ---------------------------------------------------------------------------------
 
 

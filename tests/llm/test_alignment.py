@@ -153,3 +153,39 @@ def test_messy(messy, no_docs):
     assert all(by_id[i]["n_a"] == 0 and by_id[i]["groups"] == "" and by_id[i]["count_sum"] == 0 for i in (100, 150, 300))
     assert by_id[200]["n_a"] > 100_000
     assert alignment.with_counts(alignment.aligned(no_docs), "doc_id").count() == 0
+
+
+def test_several_texts_at_once(libraries, pair, monkeypatch):
+    calls, links_of = [], alignment.links_of
+    monkeypatch.setattr(alignment, "links_of", lambda *args: calls.append(1) or links_of(*args))
+    several = ["", *TEXTS, "", "the cat's 1,234 hats", "no▁mark either", " \n x"]
+    links, found = pair.aligned_all(several)
+    assert len(calls) == 1
+    at, written = 0, found["groups"].to_pylist()
+    for k, text in enumerate(several):
+        a, b = plain_tokens(libraries, text) if "▁" not in text else ([], [])
+        want, groups = plain_groups(a, b)
+        assert [found[c][k] for c in ("n_a", "n_b", "n_groups", "n_links")] == [len(a), len(b), len(groups), len(want)]
+        assert written[k] == ";".join(groups)
+        assert links[at : at + len(want)].tolist() == [y << alignment.SHIFT | x for x, y in want]
+        at += len(want)
+    assert at == len(links)
+    links, found = pair.aligned_all(["", "no▁mark"])
+    assert len(links) == 0 and found["groups"].to_pylist() == ["", ""] and found["n_links"].tolist() == [0, 0]
+
+
+def test_several_texts_with_tokens_without_bytes():
+    pair = object.__new__(alignment.Pair)
+    spelled = [b"a", b"bc", b""]
+    pair.a = pair.b = alignment.Tokens(spelled)
+    kinds = ",", "|", ",", ";", ""
+    pair.starts = np.arange(0, 16, 3)
+    pair.written = alignment.pa.array([f"{i}{end}".encode() for end in kinds for i in range(3)], alignment.pa.large_binary())
+    texts = [([0, 2, 1], [0, 2, 2, 1]), ([], []), ([1, 2], [1, 2, 2]), ([0, 0], [0, 2, 0])]
+    a, b = (np.array([i for text in texts for i in text[side]]) for side in (0, 1))
+    sizes = (np.array([len(text[side]) for text in texts]) for side in (0, 1))
+    links, n_groups, n_links, written = pair.groups_all(a, b, *sizes)
+    want = [plain_groups(*(list(zip(ids, np.cumsum([len(spelled[i]) for i in ids]).tolist())) for ids in text)) for text in texts]
+    assert links.tolist() == [y << alignment.SHIFT | x for found, _ in want for x, y in found]
+    assert n_links.tolist() == [len(found) for found, _ in want] and n_groups.tolist() == [len(groups) for _, groups in want]
+    assert written.to_pylist() == [";".join(groups) for _, groups in want]
